@@ -36,8 +36,7 @@ def sample_long(
 
 def assemble_matrix(samples: DataFrame, features: list[str], point_id: str = "point_id") -> DataFrame:
     """Long samples to one row per point with the named features in the given order."""
-    wanted = samples.where(F.col("feature").isin(*features)) if len(features) < 50 else samples
-    return wanted.groupBy(point_id).pivot("feature", features).agg(F.max("value")).select(point_id, *features)
+    return samples.groupBy(point_id).pivot("feature", features).agg(F.max("value")).select(point_id, *features)
 
 
 def sample_points(
