@@ -58,7 +58,7 @@ def geometry_parts(geojson: Column) -> Column:
 
 def geometry_from_geojson(geojson: Column) -> Column:
     """Single-part GeoJSON struct to the normal form (first part of a multi-part shape)."""
-    return F.try_element_at(geometry_parts(geojson), F.lit(1))
+    return F.get(geometry_parts(geojson), F.lit(0))
 
 
 def geometry_to_geojson(geom: Column) -> Column:
@@ -66,8 +66,8 @@ def geometry_to_geojson(geom: Column) -> Column:
     pairs = F.transform(geom["rings"], lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
     body = (
         F.when(geom["type"] == "Polygon", F.to_json(pairs))
-        .when(geom["type"] == "LineString", F.to_json(F.try_element_at(pairs, F.lit(1))))
-        .otherwise(F.to_json(F.try_element_at(F.flatten(pairs), F.lit(1))))
+        .when(geom["type"] == "LineString", F.to_json(F.get(pairs, F.lit(0))))
+        .otherwise(F.to_json(F.get(F.flatten(pairs), F.lit(0))))
     )
     return F.concat(F.lit('{"type":"'), geom["type"], F.lit('","coordinates":'), body, F.lit("}"))
 
@@ -117,7 +117,7 @@ def envelope(geom: Column) -> Column:
 
 def signed_ring_area(ring: Column) -> Column:
     """Shoelace sum, taken relative to the first vertex to keep digits; > 0 is counter-clockwise."""
-    ox, oy = F.try_element_at(ring, F.lit(1))["x"], F.try_element_at(ring, F.lit(1))["y"]
+    ox, oy = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
     twice = F.aggregate(
         ring_edges(ring),
         F.lit(0.0),
@@ -129,7 +129,7 @@ def signed_ring_area(ring: Column) -> Column:
 def rings_area(rings: Column) -> Column:
     """Shell area minus the holes."""
     areas = F.transform(rings, lambda ring: F.abs(signed_ring_area(ring)))
-    shell = F.coalesce(F.try_element_at(areas, F.lit(1)), F.lit(0.0))
+    shell = F.coalesce(F.get(areas, F.lit(0)), F.lit(0.0))
     return shell * 2 - F.aggregate(areas, F.lit(0.0), lambda acc, a: acc + a)
 
 

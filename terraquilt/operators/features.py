@@ -92,8 +92,8 @@ def bbox_intersects(df: DataFrame, bbox, geometry: str = "geometry") -> DataFram
 def bbox_midpoint(df: DataFrame, bbox, geometry: str = "geometry") -> DataFrame:
     """Polygons whose midpoint of shell vertices 0 and 2 lies strictly inside the rectangle."""
     x0, y0, x1, y1 = _box(bbox)
-    shell = F.try_element_at(F.col(f"{geometry}.rings"), F.lit(1))
-    a, b = F.try_element_at(shell, F.lit(1)), F.try_element_at(shell, F.lit(3))
+    shell = F.get(F.col(f"{geometry}.rings"), F.lit(0))
+    a, b = F.get(shell, F.lit(0)), F.get(shell, F.lit(2))
     x, y = (a["x"] + b["x"]) / 2, (a["y"] + b["y"]) / 2
     return df.where((F.col(f"{geometry}.type") == "Polygon") & (x > x0) & (x < x1) & (y > y0) & (y < y1))
 

@@ -100,8 +100,8 @@ def focal_statistics(
         results["std_dev"] = F.sqrt(F.greatest(F.try_divide(F.col("_ss"), n) - offset * offset, F.lit(0.0)))
     if "median" in operations:
         k = F.size("_list")
-        upper = F.try_element_at("_list", F.expr("CAST(size(_list) div 2 + 1 AS INT)"))
-        lower = F.try_element_at("_list", F.expr("CAST(greatest((size(_list) + 1) div 2, 1) AS INT)"))
+        upper = F.get("_list", F.expr("CAST(size(_list) div 2 AS INT)"))
+        lower = F.get("_list", F.expr("CAST((size(_list) - 1) div 2 AS INT)"))
         results["median"] = F.when(k > 0, (lower + upper) / 2)
     return both.select(
         "raster_id", "band", "row", "col", "value", *[results[op].alias(op) for op in operations]

@@ -57,14 +57,26 @@ def label_encode(df: DataFrame, columns: list[str], max_broadcast: int = MAX_BRO
     return encoded.select(*df.columns)
 
 
-def group_median_fill(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
-    """Replace NULL by the median of the row's group; a group without values keeps NULL."""
-    filled = df
-    for c in columns:
-        medians = exact_percentiles(df, [group], c, {"_median": 0.5}).withColumnRenamed(group, "_group")
-        filled = (
-            filled.join(medians, filled[group].eqNullSafe(medians["_group"]), "left")
-            .withColumn(c, F.coalesce(F.col(c), F.col("_median")))
-            .drop("_group", "_median")
-        )
+def group_median_fill(
+    df: DataFrame, group: str, columns: list[str], medians_from: DataFrame | None = None
+) -> DataFrame:
+    """Replace NULL by the median of the row's group; a group without values keeps NULL.
+
+    All columns share one percentile job. ``medians_from`` may name a cheaper table with
+    the same groups and columns to take the medians from.
+    """
+    source = df if medians_from is None else medians_from
+    long = source.select(
+        F.col(group).alias("_group"),
+        F.inline(F.array(*[
+            F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_x")) for c in columns
+        ])),
+    )
+    medians = exact_percentiles(long, ["_group", "_column"], "_x", {"_median": 0.5})
+    wide = medians.groupBy("_group").agg(*[
+        F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"_m{i}") for i, c in enumerate(columns)
+    ])
+    filled = df.join(wide, df[group].eqNullSafe(wide["_group"]), "left").withColumns({
+        c: F.coalesce(F.col(c), F.col(f"_m{i}")) for i, c in enumerate(columns)
+    })
     return filled.select(*df.columns)

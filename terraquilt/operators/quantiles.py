@@ -17,9 +17,9 @@ ACCURACY = 50000
 MARGIN = 2.0 / ACCURACY
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]):
-    """NULL-safe equality on the keys."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _same(left: DataFrame, keys: list[str], right: DataFrame):
+    """NULL-safe equality of the keys with their numbered copies on the other side."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k{i}"]) for i, k in enumerate(keys)])
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -51,43 +51,41 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     ])
     brackets = sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], wanted.alias("_wanted"))
 
-    counted = numbers.where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    on_keys = reduce(lambda a, b: a & b, [counted[k].eqNullSafe(brackets[f"_k{i}"]) for i, k in enumerate(keys)])
-    ranked = counted.join(brackets, on_keys).select(*keys, "_v", "_n", F.explode("_wanted").alias("w"))
+    counted = numbers.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = counted.join(brackets, _same(counted, keys, brackets)).select(
+        *keys, "_v", "_n", F.explode("_wanted").alias("w")
+    )
 
     below = F.sum(F.when(F.col("_v") < F.col("w.lo"), F.col("_n")).otherwise(0))
-    outside = ranked.groupBy(*keys, F.col("w.name").alias("name")).agg(
-        F.first("w.at").alias("at"), below.alias("below")
-    ).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("name").alias("_name"), "at", "below")
-    inside = ranked.where((F.col("_v") >= F.col("w.lo")) & (F.col("_v") <= F.col("w.hi"))).select(
-        *keys, F.col("w.name").alias("name"), "_v", "_n"
+    outside = ranked.groupBy(*keys, F.col("w.name").alias("_name")).agg(
+        F.first("w.at").alias("_at"), below.alias("_below")
     )
-    running = Window.partitionBy(*keys, "name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("_upto", F.sum("_n").over(running))
-    on_name = reduce(
-        lambda a, b: a & b,
-        [inside[k].eqNullSafe(outside[f"_k{i}"]) for i, k in enumerate(keys)],
-        inside["name"] == outside["_name"],
+    running = Window.partitionBy(*keys, "w.name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = ranked.where((F.col("_v") >= F.col("w.lo")) & (F.col("_v") <= F.col("w.hi"))).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("w.name").alias("_in"),
+        "_v",
+        "_n",
+        F.sum("_n").over(running).alias("_upto"),
     )
-    last = F.col("below") + F.col("_upto") - 1
+    last = F.col("_below") + F.col("_upto") - 1
     first = last - F.col("_n") + 1
-    at = F.col("at")
-    picked = (
-        inside.join(outside, on_name)
-        .groupBy(*keys, "name")
-        .agg(
-            F.max(F.when((first <= F.floor(at)) & (last >= F.floor(at)), F.col("_v"))).alias("_a"),
-            F.max(F.when((first <= F.ceil(at)) & (last >= F.ceil(at)), F.col("_v"))).alias("_b"),
-            F.first(at - F.floor(at)).alias("_t"),
+
+    def value_at(name: str, rank):
+        return F.max(F.when((F.col("_name") == name) & (first <= rank) & (last >= rank), F.col("_v")))
+
+    at = F.col("_at")
+    placed = outside.join(inside, _same(outside, keys, inside) & (F.col("_name") == F.col("_in")), "left")
+    found = placed.groupBy(*keys).agg(*[
+        c
+        for i, n in enumerate(names)
+        for c in (
+            value_at(n, F.floor(at)).alias(f"_a{i}"),
+            value_at(n, F.ceil(at)).alias(f"_b{i}"),
+            F.max(F.when(F.col("_name") == n, at - F.floor(at))).alias(f"_t{i}"),
         )
-        .withColumn("_p", F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t"))
-    )
-    wide = picked.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        *[F.max(F.when(F.col("name") == n, F.col("_p"))).alias(n) for n in names]
-    )
-    everyone = sketch.select(*keys)
-    return everyone.join(
-        wide,
-        reduce(lambda a, b: a & b, [everyone[k].eqNullSafe(wide[f"_k{i}"]) for i, k in enumerate(keys)]),
-        "left",
-    ).select(*keys, *names)
+    ])
+    return found.select(*keys, *[
+        (F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_t{i}")).alias(n)
+        for i, n in enumerate(names)
+    ])

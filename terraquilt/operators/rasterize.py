@@ -30,7 +30,7 @@ def prepare_streets(streets: DataFrame) -> DataFrame:
     """Category codes and group medians the street bands are made of."""
     columns = ["TrafDir", "direction", "RW_TYPE", "street_width_avg", "Number_Total_Lanes", "geometry"]
     encoded = label_encode(streets.select(*columns), ["TrafDir", "direction"])
-    return group_median_fill(encoded, "RW_TYPE", ["street_width_avg", "Number_Total_Lanes"])
+    return group_median_fill(encoded, "RW_TYPE", ["street_width_avg", "Number_Total_Lanes"], medians_from=streets)
 
 
 def rasterize_streets(streets: DataFrame, grid: GridSpec, highway: int = 2) -> DataFrame:
