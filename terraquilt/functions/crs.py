@@ -1,15 +1,16 @@
-"""Coordinate transforms between the three reference systems in use, as column maths.
+"""Coordinate transforms between the three reference systems in use.
 
 EPSG:4326 (degrees), EPSG:2263 (Lambert conformal conic, US survey feet) and
 EPSG:3857 (spherical web mercator). Formulas: Snyder, USGS Professional Paper 1395.
+
+Functions take and return Spark SQL expression text, so that they nest inside the
+higher-order functions of a geometry; wrap the outermost one in ``F.expr``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
-
 # GRS80 ellipsoid and the parameters of EPSG:2263.
 SEMI_MAJOR_M = 6378137.0
 INVERSE_FLATTENING = 298.257222101
@@ -39,66 +40,61 @@ SCALE_FT = SEMI_MAJOR_M / US_FOOT_M * _cone_m(PARALLEL_1) / (CONE * _isometric_t
 RHO_ORIGIN_FT = SCALE_FT * _isometric_t(ORIGIN_LAT) ** CONE
 
 
-def to_state_plane(lon: Column, lat: Column) -> Column:
+def to_state_plane(lon: str, lat: str) -> str:
     """EPSG:4326 degrees to EPSG:2263 feet, ``struct<x, y>``."""
-    phi = F.radians(lat)
-    t = F.tan(F.lit(math.pi / 4) - phi / 2) * F.exp(F.lit(ECC) * F.atanh(F.lit(ECC) * F.sin(phi)))
-    rho = F.lit(SCALE_FT) * F.pow(t, F.lit(CONE))
-    theta = F.lit(CONE) * (F.radians(lon) - F.lit(ORIGIN_LON))
-    return F.struct(
-        (F.lit(FALSE_EASTING_FT) + rho * F.sin(theta)).alias("x"),
-        (F.lit(FALSE_NORTHING_FT + RHO_ORIGIN_FT) - rho * F.cos(theta)).alias("y"),
+    phi = f"radians({lat})"
+    t = f"tan(pi() / 4 - {phi} / 2) * exp({ECC!r}D * atanh({ECC!r}D * sin({phi})))"
+    rho = f"({SCALE_FT!r}D * power({t}, {CONE!r}D))"
+    theta = f"({CONE!r}D * (radians({lon}) - ({ORIGIN_LON!r}D)))"
+    return (
+        f"named_struct('x', {FALSE_EASTING_FT!r}D + {rho} * sin({theta}), "
+        f"'y', {FALSE_NORTHING_FT + RHO_ORIGIN_FT!r}D - {rho} * cos({theta}))"
     )
 
 
-def from_state_plane(x: Column, y: Column) -> Column:
+def from_state_plane(x: str, y: str) -> str:
     """EPSG:2263 feet to EPSG:4326 degrees, ``struct<lon, lat>``; NULL in, NULL out."""
-    east = x - F.lit(FALSE_EASTING_FT)
-    south = F.lit(RHO_ORIGIN_FT + FALSE_NORTHING_FT) - y
-    t = F.pow(F.sqrt(east * east + south * south) / F.lit(SCALE_FT), F.lit(1 / CONE))
-    phi = F.lit(math.pi / 2) - 2 * F.atan(t)
+    east = f"({x} - {FALSE_EASTING_FT!r}D)"
+    south = f"({RHO_ORIGIN_FT + FALSE_NORTHING_FT!r}D - {y})"
+    t = f"power(sqrt({east} * {east} + {south} * {south}) / {SCALE_FT!r}D, {1 / CONE!r}D)"
+    phi = f"(pi() / 2 - 2 * atan({t}))"
     for _ in range(5):
         # the latitude occurs once per step, so the unrolled expression stays linear in size
-        shift = F.exp(-F.lit(ECC) * F.atanh(F.lit(ECC) * F.sin(phi)))
-        phi = F.lit(math.pi / 2) - 2 * F.atan(t * shift)
-    lon = F.atan2(east, south) / F.lit(CONE) + F.lit(ORIGIN_LON)
-    return F.struct(F.degrees(lon).alias("lon"), F.degrees(phi).alias("lat"))
+        phi = f"(pi() / 2 - 2 * atan({t} * exp(-{ECC!r}D * atanh({ECC!r}D * sin({phi})))))"
+    lon = f"atan2({east}, {south}) / {CONE!r}D + ({ORIGIN_LON!r}D)"
+    return f"named_struct('lon', degrees({lon}), 'lat', degrees({phi}))"
 
 
-def to_web_mercator(lon: Column, lat: Column) -> Column:
+def to_web_mercator(lon: str, lat: str) -> str:
     """EPSG:4326 degrees to EPSG:3857 metres, ``struct<x, y>``."""
-    return F.struct(
-        (F.lit(SEMI_MAJOR_M) * F.radians(lon)).alias("x"),
-        (F.lit(SEMI_MAJOR_M) * F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2))).alias("y"),
+    return (
+        f"named_struct('x', {SEMI_MAJOR_M!r}D * radians({lon}), "
+        f"'y', {SEMI_MAJOR_M!r}D * ln(tan(pi() / 4 + radians({lat}) / 2)))"
     )
 
 
-def from_web_mercator(x: Column, y: Column) -> Column:
+def from_web_mercator(x: str, y: str) -> str:
     """EPSG:3857 metres to EPSG:4326 degrees, ``struct<lon, lat>``."""
-    return F.struct(
-        F.degrees(x / F.lit(SEMI_MAJOR_M)).alias("lon"),
-        F.degrees(2 * F.atan(F.exp(y / F.lit(SEMI_MAJOR_M))) - F.lit(math.pi / 2)).alias("lat"),
+    return (
+        f"named_struct('lon', degrees({x} / {SEMI_MAJOR_M!r}D), "
+        f"'lat', degrees(2 * atan(exp({y} / {SEMI_MAJOR_M!r}D)) - pi() / 2))"
     )
 
 
-def transform_xy(x: Column, y: Column, source: int, target: int) -> Column:
+_TO_DEGREES = {2263: from_state_plane, 3857: from_web_mercator}
+_FROM_DEGREES = {2263: to_state_plane, 3857: to_web_mercator}
+
+
+def transform_xy(x: str, y: str, source: int, target: int) -> str:
     """``struct<x, y>`` in the target system, going through degrees where needed."""
+    for srid in (source, target):
+        if srid != 4326 and srid not in _TO_DEGREES:
+            raise ValueError(f"unsupported reference system EPSG:{srid}")
     if source == target:
-        return F.struct(x.alias("x"), y.alias("y"))
-    if source == 4326:
-        lon, lat = x, y
-    elif source == 2263:
-        degrees = from_state_plane(x, y)
-        lon, lat = degrees["lon"], degrees["lat"]
-    elif source == 3857:
-        degrees = from_web_mercator(x, y)
-        lon, lat = degrees["lon"], degrees["lat"]
-    else:
-        raise ValueError(f"unsupported reference system EPSG:{source}")
+        return f"named_struct('x', {x}, 'y', {y})"
+    if source != 4326:
+        degrees = _TO_DEGREES[source](x, y)
+        x, y = f"{degrees}.lon", f"{degrees}.lat"
     if target == 4326:
-        return F.struct(lon.alias("x"), lat.alias("y"))
-    if target == 2263:
-        return to_state_plane(lon, lat)
-    if target == 3857:
-        return to_web_mercator(lon, lat)
-    raise ValueError(f"unsupported reference system EPSG:{target}")
+        return f"named_struct('x', {x}, 'y', {y})"
+    return _FROM_DEGREES[target](x, y)

@@ -2,240 +2,222 @@
 
 Polygon: ring 0 is the shell, the others are holes, each closed. LineString: one open
 ring. Point: one ring of one vertex. Multi-part shapes are exploded to one row per part.
+
+Like the transforms in :mod:`terraquilt.functions.crs`, functions take and return Spark SQL
+expression text; wrap the outermost one in ``F.expr``. Lambda variables end in an underscore.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+GEOMETRY_DDL = "struct<type:string,rings:array<array<struct<x:double,y:double>>>>"
 
-GEOJSON_DDL = "struct<type:string,coordinates:string>"
 
-_DEPTH_DDL = {
-    "Point": "array<double>",
-    "LineString": "array<array<double>>",
-    "Polygon": "array<array<array<double>>>",
-    "MultiPolygon": "array<array<array<array<double>>>>",
-    "MultiLineString": "array<array<array<double>>>",
-}
+def number(value: float) -> str:
+    """DOUBLE literal that is safe inside arithmetic."""
+    return f"({float(value)!r}D)"
 
 
-def point(x: Column, y: Column) -> Column:
-    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+# ---------------------------------------------------------------- construction
 
+def point(x: str, y: str) -> str:
+    return f"named_struct('x', CAST({x} AS DOUBLE), 'y', CAST({y} AS DOUBLE))"
 
-def _vertex(pair: Column) -> Column:
-    return F.struct(pair[0].alias("x"), pair[1].alias("y"))
 
+def geometry(kind: str, rings: str) -> str:
+    """``kind`` is a plain name such as Polygon."""
+    return f"named_struct('type', '{kind}', 'rings', {rings})"
 
-def _ring(pairs: Column) -> Column:
-    return F.transform(pairs, _vertex)
 
+def polygon(*rings: list[tuple[str, str]]) -> str:
+    """Rings given as lists of (x, y) texts; each must already be closed."""
+    arrays = ", ".join("array(" + ", ".join(point(x, y) for x, y in ring) + ")" for ring in rings)
+    return geometry("Polygon", f"array({arrays})")
 
-def geometry(kind: Column, rings: Column) -> Column:
-    return F.struct(kind.alias("type"), rings.alias("rings"))
 
+def line(*vertices: tuple[str, str]) -> str:
+    return geometry("LineString", "array(array(" + ", ".join(point(x, y) for x, y in vertices) + "))")
 
-def geometry_parts(geojson: Column) -> Column:
-    """GeoJSON struct with its coordinates as text to an array of normal-form geometries."""
-    kind, text = geojson["type"], geojson["coordinates"]
-    parsed = {name: F.from_json(text, ddl) for name, ddl in _DEPTH_DDL.items()}
-    polygon = F.lit("Polygon")
-    line = F.lit("LineString")
-    return (
-        F.when(kind == "Polygon", F.array(geometry(polygon, F.transform(parsed["Polygon"], _ring))))
-        .when(kind == "LineString", F.array(geometry(line, F.array(_ring(parsed["LineString"])))))
-        .when(kind == "Point", F.array(geometry(F.lit("Point"), F.array(F.array(_vertex(parsed["Point"]))))))
-        .when(
-            kind == "MultiPolygon",
-            F.transform(parsed["MultiPolygon"], lambda part: geometry(polygon, F.transform(part, _ring))),
-        )
-        .when(
-            kind == "MultiLineString",
-            F.transform(parsed["MultiLineString"], lambda part: geometry(line, F.array(_ring(part)))),
-        )
-    )
 
+def point_geometry(x: str, y: str) -> str:
+    return geometry("Point", f"array(array({point(x, y)}))")
 
-def geometry_from_geojson(geojson: Column) -> Column:
-    """Single-part GeoJSON struct to the normal form (first part of a multi-part shape)."""
-    return F.get(geometry_parts(geojson), F.lit(0))
 
+def box_ring(xmin: str, ymin: str, xmax: str, ymax: str) -> list[tuple[str, str]]:
+    """Counter-clockwise closed rectangle."""
+    return [(xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin)]
 
-def geometry_to_geojson(geom: Column) -> Column:
-    """Normal form back to GeoJSON text."""
-    pairs = F.transform(geom["rings"], lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-    body = (
-        F.when(geom["type"] == "Polygon", F.to_json(pairs))
-        .when(geom["type"] == "LineString", F.to_json(F.get(pairs, F.lit(0))))
-        .otherwise(F.to_json(F.get(F.flatten(pairs), F.lit(0))))
-    )
-    return F.concat(F.lit('{"type":"'), geom["type"], F.lit('","coordinates":'), body, F.lit("}"))
 
+def box_polygon(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    return polygon(box_ring(xmin, ymin, xmax, ymax))
 
-def box_polygon(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Counter-clockwise closed rectangle."""
-    shell = F.array(point(xmin, ymin), point(xmax, ymin), point(xmax, ymax), point(xmin, ymax), point(xmin, ymin))
-    return geometry(F.lit("Polygon"), F.array(shell))
+
+def bbox_polygon(bbox) -> str:
+    return box_polygon(*[number(v) for v in bbox])
 
 
-def bbox_polygon(bbox) -> Column:
-    return box_polygon(*[F.lit(float(v)) for v in bbox])
+# ---------------------------------------------------------------- GeoJSON
 
+def _vertex(pair: str) -> str:
+    return f"named_struct('x', {pair}[0], 'y', {pair}[1])"
 
-def line(*vertices: Column) -> Column:
-    return geometry(F.lit("LineString"), F.array(F.array(*vertices)))
 
+def _ring(pairs: str) -> str:
+    return f"transform({pairs}, v_ -> {_vertex('v_')})"
 
-def ring_edges(ring: Column) -> Column:
-    """Consecutive vertex pairs as ``struct<ax, ay, bx, by>``."""
-    steps = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(ring, 1, steps),
-        F.slice(ring, 2, steps),
-        lambda a, b: F.struct(
-            a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")
-        ),
+
+def geometry_parts(geojson: str) -> str:
+    """GeoJSON struct with its coordinates as text to an array of normal-form geometries."""
+    def parsed(depth: int) -> str:
+        return f"from_json({geojson}.coordinates, '{'array<' * depth}double{'>' * depth}')"
+
+    def rings(value: str) -> str:
+        return f"transform({value}, r_ -> {_ring('r_')})"
+
+    return f"""CASE {geojson}.type
+        WHEN 'Polygon' THEN array({geometry("Polygon", rings(parsed(3)))})
+        WHEN 'LineString' THEN array({geometry("LineString", f"array({_ring(parsed(2))})")})
+        WHEN 'Point' THEN array({geometry("Point", f"array(array({_vertex(parsed(1))}))")})
+        WHEN 'MultiPolygon' THEN transform({parsed(4)}, g_ -> {geometry("Polygon", rings("g_"))})
+        WHEN 'MultiLineString' THEN transform({parsed(3)}, g_ -> {geometry("LineString", f"array({_ring('g_')})")})
+        END"""
+
+
+def geometry_from_geojson(geojson: str) -> str:
+    """Single-part GeoJSON struct to the normal form (first part of a multi-part shape)."""
+    return f"get({geometry_parts(geojson)}, 0)"
+
+
+def geometry_to_geojson(geom: str) -> str:
+    """Normal form back to GeoJSON text."""
+    pairs = f"transform({geom}.rings, r_ -> transform(r_, p_ -> array(p_.x, p_.y)))"
+    return f"""concat('{{"type":"', {geom}.type, '","coordinates":', CASE {geom}.type
+        WHEN 'Polygon' THEN to_json({pairs})
+        WHEN 'LineString' THEN to_json(get({pairs}, 0))
+        ELSE to_json(get(flatten({pairs}), 0)) END, '}}')"""
+
+
+# ---------------------------------------------------------------- measures
+
+def ring_edges(ring: str) -> str:
+    """Consecutive vertex pairs as ``struct<x1, y1, x2, y2>``."""
+    steps = f"greatest(size({ring}) - 1, 0)"
+    return (
+        f"zip_with(slice({ring}, 1, {steps}), slice({ring}, 2, {steps}), "
+        f"(a_, b_) -> named_struct('x1', a_.x, 'y1', a_.y, 'x2', b_.x, 'y2', b_.y))"
     )
 
 
-def geometry_edges(geom: Column) -> Column:
-    return F.flatten(F.transform(geom["rings"], ring_edges))
+def edges_of_rings(rings: str) -> str:
+    return f"flatten(transform({rings}, r_ -> {ring_edges('r_')}))"
+
 
+def geometry_edges(geom: str) -> str:
+    return edges_of_rings(f"{geom}.rings")
 
-def envelope(geom: Column) -> Column:
+
+def envelope(geom: str) -> str:
     """Bounding box ``struct<xmin, ymin, xmax, ymax>``."""
-    vertices = F.flatten(geom["rings"])
-    xs = F.transform(vertices, lambda p: p["x"])
-    ys = F.transform(vertices, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
+    xs = f"transform(flatten({geom}.rings), p_ -> p_.x)"
+    ys = f"transform(flatten({geom}.rings), p_ -> p_.y)"
+    return (
+        f"named_struct('xmin', array_min({xs}), 'ymin', array_min({ys}), "
+        f"'xmax', array_max({xs}), 'ymax', array_max({ys}))"
     )
 
 
-def signed_ring_area(ring: Column) -> Column:
+def signed_ring_area(ring: str) -> str:
     """Shoelace sum, taken relative to the first vertex to keep digits; > 0 is counter-clockwise."""
-    ox, oy = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
-    twice = F.aggregate(
-        ring_edges(ring),
-        F.lit(0.0),
-        lambda acc, e: acc + (e["ax"] - ox) * (e["by"] - oy) - (e["bx"] - ox) * (e["ay"] - oy),
-    )
-    return twice / 2
+    x, y = f"{ring}[0].x", f"{ring}[0].y"
+    term = f"(e_.x1 - {x}) * (e_.y2 - {y}) - (e_.x2 - {x}) * (e_.y1 - {y})"
+    return f"(aggregate({ring_edges(ring)}, 0D, (acc_, e_) -> acc_ + ({term})) / 2)"
 
 
-def rings_area(rings: Column) -> Column:
-    """Shell area minus the holes."""
-    areas = F.transform(rings, lambda ring: F.abs(signed_ring_area(ring)))
-    shell = F.coalesce(F.get(areas, F.lit(0)), F.lit(0.0))
-    return shell * 2 - F.aggregate(areas, F.lit(0.0), lambda acc, a: acc + a)
+def rings_area(rings: str) -> str:
+    """Shell area minus the holes; 0 without rings."""
+    areas = f"transform({rings}, (r_, i_) -> abs({signed_ring_area('r_')}) * IF(i_ = 0, 1, -1))"
+    return f"aggregate({areas}, 0D, (sum_, a_) -> sum_ + a_)"
 
 
-def transform_rings(rings: Column, to_xy) -> Column:
+def transform_rings(rings: str, to_xy) -> str:
     """Apply ``to_xy(x, y) -> struct<x, y>`` to every vertex."""
-    return F.transform(rings, lambda ring: F.transform(ring, lambda p: to_xy(p["x"], p["y"])))
+    return f"transform({rings}, r_ -> transform(r_, p_ -> {to_xy('p_.x', 'p_.y')}))"
 
 
-def rings_length(rings: Column) -> Column:
-    edges = F.flatten(F.transform(rings, ring_edges))
-    return F.aggregate(
-        edges,
-        F.lit(0.0),
-        lambda acc, e: acc
-        + F.sqrt((e["bx"] - e["ax"]) * (e["bx"] - e["ax"]) + (e["by"] - e["ay"]) * (e["by"] - e["ay"])),
-    )
+def rings_length(rings: str) -> str:
+    length = "sqrt(power(e_.x2 - e_.x1, 2) + power(e_.y2 - e_.y1, 2))"
+    return f"aggregate({edges_of_rings(rings)}, 0D, (acc_, e_) -> acc_ + {length})"
 
 
-def orient_rings(rings: Column) -> Column:
+def orient_rings(rings: str) -> str:
     """Shell counter-clockwise, holes clockwise."""
-    return F.transform(
-        rings,
-        lambda ring, i: F.when((signed_ring_area(ring) > 0) == (i == 0), ring).otherwise(F.reverse(ring)),
-    )
+    area = signed_ring_area("r_")
+    return f"transform({rings}, (r_, i_) -> IF(({area} > 0) = (i_ = 0), r_, reverse(r_)))"
 
 
-def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
+# ---------------------------------------------------------------- predicates
+
+def point_in_edges(x: str, y: str, edges: str) -> str:
     """Even-odd rule over all edges, so holes count as outside."""
-    crossings = F.aggregate(
-        edges,
-        F.lit(0),
-        lambda acc, e: acc
-        + F.when(
-            ((e["ay"] > y) != (e["by"] > y))
-            & (x < e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / (e["by"] - e["ay"])),
-            1,
-        ).otherwise(0),
+    crosses = (
+        f"(e_.y1 > {y}) != (e_.y2 > {y}) "
+        f"AND {x} < e_.x1 + ({y} - e_.y1) * (e_.x2 - e_.x1) / (e_.y2 - e_.y1)"
     )
-    return crossings % 2 == 1
-
+    return f"(aggregate({edges}, 0, (acc_, e_) -> acc_ + IF({crosses}, 1, 0)) % 2 = 1)"
 
-def edge_meets_box(e: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Closed segment against closed box, by separating axes: x, y and the segment's normal."""
-    def side(px, py):
-        return (e["bx"] - e["ax"]) * (py - e["ay"]) - (e["by"] - e["ay"]) * (px - e["ax"])
 
-    corners = (side(xmin, ymin), side(xmin, ymax), side(xmax, ymin), side(xmax, ymax))
+def edge_meets_box(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    """Closed edge ``e_`` against closed box, by separating axes: x, y and the edge's normal."""
+    sides = ", ".join(
+        f"(e_.x2 - e_.x1) * ({y} - e_.y1) - (e_.y2 - e_.y1) * ({x} - e_.x1)"
+        for x in (xmin, xmax)
+        for y in (ymin, ymax)
+    )
     return (
-        (F.least(e["ax"], e["bx"]) <= xmax)
-        & (F.greatest(e["ax"], e["bx"]) >= xmin)
-        & (F.least(e["ay"], e["by"]) <= ymax)
-        & (F.greatest(e["ay"], e["by"]) >= ymin)
-        & (F.least(*corners) <= 0)
-        & (F.greatest(*corners) >= 0)
+        f"least(e_.x1, e_.x2) <= {xmax} AND greatest(e_.x1, e_.x2) >= {xmin} "
+        f"AND least(e_.y1, e_.y2) <= {ymax} AND greatest(e_.y1, e_.y2) >= {ymin} "
+        f"AND least({sides}) <= 0 AND greatest({sides}) >= 0"
     )
 
 
-def box_intersects(kind: Column, edges: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Shape meets the closed box; touching counts. ``edges`` from :func:`geometry_edges`.
+def any_edge_meets_box(edges: str, box: tuple[str, str, str, str]) -> str:
+    return f"exists({edges}, e_ -> {edge_meets_box(*box)})"
 
-    An area meets the box if an edge does or if the box lies wholly inside it.
-    """
-    return F.exists(edges, lambda e: edge_meets_box(e, xmin, ymin, xmax, ymax)) | (
-        (kind == "Polygon") & point_in_edges(xmin, ymin, edges)
-    )
 
+def box_in_area(kind: str, edges: str, box: tuple[str, str, str, str]) -> str:
+    """A box no edge meets lies wholly inside an area or wholly outside; one corner tells."""
+    return f"({kind} = 'Polygon' AND {point_in_edges(box[0], box[1], edges)})"
 
-def clip_ring_to_box(ring: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Closed ring cut to a rectangle: one half-plane cut per side (Sutherland-Hodgman)."""
-    one, zero = F.lit(1.0), F.lit(0.0)
 
-    def half_plane(nx, ny, c):
-        return F.struct(nx.alias("nx"), ny.alias("ny"), c.cast("double").alias("c"))
+def box_intersects(kind: str, edges: str, box: tuple[str, str, str, str]) -> str:
+    """Shape meets the closed box ``(xmin, ymin, xmax, ymax)``; touching counts."""
+    return f"({any_edge_meets_box(edges, box)} OR {box_in_area(kind, edges, box)})"
 
-    sides = F.array(
-        half_plane(one, zero, -xmin),
-        half_plane(-one, zero, xmax),
-        half_plane(zero, one, -ymin),
-        half_plane(zero, -one, ymax),
-    )
 
-    def cut(acc: Column, s: Column) -> Column:
-        def pieces(e: Column) -> Column:
-            a = s["nx"] * e["ax"] + s["ny"] * e["ay"] + s["c"]
-            b = s["nx"] * e["bx"] + s["ny"] * e["by"] + s["c"]
-            t = a / (a - b)
-            crossing = point(e["ax"] + t * (e["bx"] - e["ax"]), e["ay"] + t * (e["by"] - e["ay"]))
-            end = point(e["bx"], e["by"])
-            return (
-                F.when((a >= 0) & (b >= 0), F.array(end))
-                .when(a >= 0, F.array(crossing))
-                .when(b >= 0, F.array(crossing, end))
-                .otherwise(F.slice(F.array(end), 1, 0))
-            )
-
-        cut_ring = F.flatten(F.transform(ring_edges(acc), pieces))
-        return F.transform(
-            F.array(cut_ring), lambda r: F.concat(r, F.slice(r, 1, 1))
-        )[0]
-
-    return F.aggregate(sides, ring, cut)
-
-
-def clip_rings_to_box(rings: Column, xmin, ymin, xmax, ymax) -> Column:
-    """Each ring cut to the rectangle; rings with nothing left are dropped."""
-    return F.filter(
-        F.transform(rings, lambda ring: clip_ring_to_box(ring, xmin, ymin, xmax, ymax)),
-        lambda ring: F.size(ring) >= 4,
-    )
+# ---------------------------------------------------------------- clipping
+
+def clip_ring_to_box(ring: str, xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    """Closed ring cut to a rectangle: one half-plane cut per side (Sutherland-Hodgman)."""
+    def side(nx: int, ny: int, c: str) -> str:
+        return f"named_struct('nx', {nx}D, 'ny', {ny}D, 'c', CAST({c} AS DOUBLE))"
+
+    sides = ", ".join([
+        side(1, 0, f"-({xmin})"), side(-1, 0, xmax), side(0, 1, f"-({ymin})"), side(0, -1, ymax),
+    ])
+    a = "(s_.nx * e_.x1 + s_.ny * e_.y1 + s_.c)"
+    b = "(s_.nx * e_.x2 + s_.ny * e_.y2 + s_.c)"
+    t = f"{a} / ({a} - {b})"
+    crossing = point(f"e_.x1 + {t} * (e_.x2 - e_.x1)", f"e_.y1 + {t} * (e_.y2 - e_.y1)")
+    end = point("e_.x2", "e_.y2")
+    pieces = f"""CASE WHEN {a} >= 0 AND {b} >= 0 THEN array({end})
+        WHEN {a} >= 0 THEN array({crossing})
+        WHEN {b} >= 0 THEN array({crossing}, {end})
+        ELSE slice(array({end}), 1, 0) END"""
+    cut = f"flatten(transform({ring_edges('acc_')}, e_ -> {pieces}))"
+    closed = f"transform(array({cut}), q_ -> concat(q_, slice(q_, 1, 1)))[0]"
+    return f"aggregate(array({sides}), {ring}, (acc_, s_) -> {closed})"
+
+
+def clip_rings_to_box(rings: str, box: tuple[str, str, str, str]) -> str:
+    """Each ring cut to the rectangle; an emptied shell takes its holes with it."""
+    clipped = f"transform({rings}, r_ -> {clip_ring_to_box('r_', *box)})"
+    return f"filter({clipped}, k_ -> size(k_) >= 4)"

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from terraquilt.functions.geometry import number
+
 METRES_PER_DEGREE = 111320.0
 
 
@@ -38,27 +40,29 @@ class GridSpec:
             self.y1,
         )
 
-    def col_of(self, x: Column) -> Column:
-        return F.floor((x - F.lit(self.x0)) / F.lit(self.px)).cast("int")
+    # the following give Spark SQL expression text
+
+    def col_of(self, x: str) -> str:
+        return f"CAST(floor(({x} - {number(self.x0)}) / {number(self.px)}) AS INT)"
 
-    def row_of(self, y: Column) -> Column:
-        return F.floor((F.lit(self.y1) - y) / F.lit(self.py)).cast("int")
+    def row_of(self, y: str) -> str:
+        return f"CAST(floor(({number(self.y1)} - {y}) / {number(self.py)}) AS INT)"
 
-    def centre_x(self, col: Column) -> Column:
-        return F.lit(self.x0) + (col + F.lit(0.5)) * F.lit(self.px)
+    def centre_x(self, col: str) -> str:
+        return f"({number(self.x0)} + ({col} + 0.5D) * {number(self.px)})"
 
-    def centre_y(self, row: Column) -> Column:
-        return F.lit(self.y1) - (row + F.lit(0.5)) * F.lit(self.py)
+    def centre_y(self, row: str) -> str:
+        return f"({number(self.y1)} - ({row} + 0.5D) * {number(self.py)})"
 
-    def edges(self, row: Column, col: Column) -> dict[str, Column]:
-        """Closed cell rectangle as four columns."""
-        x0, y1, px, py = F.lit(self.x0), F.lit(self.y1), F.lit(self.px), F.lit(self.py)
-        return {
-            "xmin": x0 + col * px,
-            "xmax": x0 + (col + 1) * px,
-            "ymin": y1 - (row + 1) * py,
-            "ymax": y1 - row * py,
-        }
+    def box(self, row: str, col: str, rows: int = 1, cols: int = 1) -> tuple[str, str, str, str]:
+        """Closed rectangle of a block of cells: ``xmin, ymin, xmax, ymax``."""
+        x0, y1, px, py = number(self.x0), number(self.y1), number(self.px), number(self.py)
+        return (
+            f"({x0} + {col} * {px})",
+            f"({y1} - ({row} + {rows}) * {py})",
+            f"({x0} + ({col} + {cols}) * {px})",
+            f"({y1} - {row} * {py})",
+        )
 
     def cells(self, spark):
         """Every cell of the grid as ``(row, col)``, generated in parallel."""

@@ -17,48 +17,43 @@ def cover_cells(features: DataFrame, grid: GridSpec, geometry: str = "geometry",
     that miss the shape are dropped whole and cells of blocks inside it need no test, so
     a large shape pays for its border only. Touching counts.
     """
-    env, kind, edges = F.col("_env"), F.col(f"{geometry}.type"), F.col("_edges")
-    prepared = features.withColumn("_env", geo.envelope(F.col(geometry))).withColumn(
-        "_edges", geo.geometry_edges(F.col(geometry))
-    )
+    kind = f"{geometry}.type"
+    prepared = features.withColumns({
+        "_env": F.expr(geo.envelope(geometry)), "_edges": F.expr(geo.geometry_edges(geometry)),
+    })
     # one cell of margin on either side covers shapes that end on a cell border
-    bounds = {
-        "_c0": F.greatest(grid.col_of(env["xmin"]) - 1, F.lit(0)),
-        "_c1": F.least(grid.col_of(env["xmax"]) + 1, F.lit(grid.width - 1)),
-        "_r0": F.greatest(grid.row_of(env["ymax"]) - 1, F.lit(0)),
-        "_r1": F.least(grid.row_of(env["ymin"]) + 1, F.lit(grid.height - 1)),
-    }
-    local = prepared.withColumns(bounds).where("_c0 <= _c1 AND _r0 <= _r1")
-
-    def span(first: str, last: str) -> Column:
-        return F.explode(F.sequence(F.expr(f"{first} div {block}"), F.expr(f"{last} div {block}")))
-
-    blocks = local.withColumn("_br", span("_r0", "_r1")).withColumn("_bc", span("_c0", "_c1"))
-    corner = grid.edges(F.col("_br") * block, F.col("_bc") * block)
-    opposite = grid.edges(F.col("_br") * block + (block - 1), F.col("_bc") * block + (block - 1))
-    box = {
-        "xmin": corner["xmin"], "xmax": opposite["xmax"], "ymin": opposite["ymin"], "ymax": corner["ymax"],
-    }
-    blocks = blocks.withColumn("_border", F.exists(edges, lambda e: geo.edge_meets_box(e, **box))).where(
-        F.col("_border") | ((kind == "Polygon") & geo.point_in_edges(box["xmin"], box["ymin"], edges))
-    )
+    local = prepared.withColumns({
+        "_c0": F.expr(f"greatest({grid.col_of('_env.xmin')} - 1, 0)"),
+        "_c1": F.expr(f"least({grid.col_of('_env.xmax')} + 1, {grid.width - 1})"),
+        "_r0": F.expr(f"greatest({grid.row_of('_env.ymax')} - 1, 0)"),
+        "_r1": F.expr(f"least({grid.row_of('_env.ymin')} + 1, {grid.height - 1})"),
+    }).where("_c0 <= _c1 AND _r0 <= _r1")
 
-    def cells(axis: str) -> Column:
-        b = F.col(f"_b{axis}")
-        first = F.greatest(F.col(f"_{axis}0"), (b * block).cast("int"))
-        last = F.least(F.col(f"_{axis}1"), (b * block + (block - 1)).cast("int"))
-        return F.explode(F.sequence(first, last))
+    def blocks(axis: str) -> Column:
+        return F.expr(f"explode(sequence(_{axis}0 div {block}, _{axis}1 div {block}))")
 
-    candidates = blocks.withColumn("row", cells("r")).withColumn("col", cells("c"))
-    cell = grid.edges(F.col("row"), F.col("col"))
-    hit = ~F.col("_border") | geo.box_intersects(kind, edges, **cell)
-    return candidates.where(hit).select(*features.columns, "row", "col")
+    def cells(axis: str) -> Column:
+        first, last = f"_b{axis} * {block}", f"_b{axis} * {block} + {block - 1}"
+        return F.expr(
+            f"explode(sequence(greatest(_{axis}0, CAST({first} AS INT)), least(_{axis}1, CAST({last} AS INT))))"
+        )
+
+    box = grid.box(f"(_br * {block})", f"(_bc * {block})", block, block)
+    near = (
+        local.withColumn("_br", blocks("r"))
+        .withColumn("_bc", blocks("c"))
+        .withColumn("_border", F.expr(geo.any_edge_meets_box("_edges", box)))
+        .where(f"_border OR {geo.box_in_area(kind, '_edges', box)}")
+    )
+    candidates = near.withColumn("row", cells("r")).withColumn("col", cells("c"))
+    exact = geo.box_intersects(kind, "_edges", grid.box("row", "col"))
+    return candidates.where(f"NOT _border OR {exact}").select(*features.columns, "row", "col")
 
 
-def clip_area_sqft(geom: Column, cell: dict[str, Column]) -> Column:
-    """Area of a shape within a cell, in square feet of EPSG:2263; cut in degrees, then projected."""
-    pieces = geo.clip_rings_to_box(geom["rings"], cell["xmin"], cell["ymin"], cell["xmax"], cell["ymax"])
-    return geo.rings_area(geo.transform_rings(pieces, crs.to_state_plane))
+def clip_area_sqft(grid: GridSpec, geometry: str = "geometry") -> Column:
+    """Area of a shape within its cell, in square feet of EPSG:2263; cut in degrees, then projected."""
+    pieces = geo.clip_rings_to_box(f"{geometry}.rings", grid.box("row", "col"))
+    return F.expr(geo.rings_area(geo.transform_rings(pieces, crs.to_state_plane)))
 
 
 ENTROPY_BIN = 3
@@ -145,36 +140,32 @@ def envelope_join(
     Either side may be of any size. A pair that meets in several bins is kept in the one
     holding the larger of the two lower-left corners, so nothing has to be made distinct.
     """
-    def binned(df: DataFrame, geometry: str, prefix: str) -> DataFrame:
-        env = F.col(f"{prefix}env")
-        placed = df.withColumn(f"{prefix}env", geo.envelope(F.col(geometry)))
-        for axis, low, high in (("x", "xmin", "xmax"), ("y", "ymin", "ymax")):
-            bins = F.sequence(F.floor(env[low] / cell), F.floor(env[high] / cell))
-            placed = placed.withColumn(f"{prefix}b{axis}", F.explode(bins))
+    def binned(df: DataFrame, geometry: str, side: str) -> DataFrame:
+        placed = df.withColumn(f"_{side}", F.expr(geo.envelope(geometry)))
+        for axis in "xy":
+            low, high = f"_{side}.{axis}min", f"_{side}.{axis}max"
+            bins = f"explode(sequence(floor({low} / {cell}D), floor({high} / {cell}D)))"
+            placed = placed.withColumn(f"_{side}b{axis}", F.expr(bins))
         return placed
 
-    a, b = binned(left, left_geometry, "_l"), binned(right, right_geometry, "_r")
+    a, b = binned(left, left_geometry, "l"), binned(right, right_geometry, "r")
     pairs = a.join(b, (F.col("_lbx") == F.col("_rbx")) & (F.col("_lby") == F.col("_rby")))
-    le, re = F.col("_lenv"), F.col("_renv")
     return pairs.where(
-        (F.floor(F.greatest(le["xmin"], re["xmin"]) / cell) == F.col("_lbx"))
-        & (F.floor(F.greatest(le["ymin"], re["ymin"]) / cell) == F.col("_lby"))
-        & (le["xmin"] <= re["xmax"])
-        & (le["xmax"] >= re["xmin"])
-        & (le["ymin"] <= re["ymax"])
-        & (le["ymax"] >= re["ymin"])
+        f"floor(greatest(_l.xmin, _r.xmin) / {cell}D) = _lbx "
+        f"AND floor(greatest(_l.ymin, _r.ymin) / {cell}D) = _lby "
+        "AND _l.xmin <= _r.xmax AND _l.xmax >= _r.xmin AND _l.ymin <= _r.ymax AND _l.ymax >= _r.ymin"
     ).drop("_lbx", "_lby", "_rbx", "_rby")
 
 
+_RIGHT_BOX = ("_r.xmin", "_r.ymin", "_r.xmax", "_r.ymax")
+
+
 def aoi_join(
     shapes: DataFrame, boxes: DataFrame, cell: float = 0.01, geometry: str = "geometry", box: str = "aoi"
 ) -> DataFrame:
     """Shapes with every rectangle they meet (inner join on intersects)."""
     pairs = envelope_join(shapes, boxes, cell, geometry, box)
-    e = F.col("_renv")
-    exact = geo.box_intersects(
-        F.col(f"{geometry}.type"), geo.geometry_edges(F.col(geometry)), e["xmin"], e["ymin"], e["xmax"], e["ymax"]
-    )
+    exact = geo.box_intersects(f"{geometry}.type", geo.geometry_edges(geometry), _RIGHT_BOX)
     return pairs.where(exact).select(*shapes.columns, *boxes.columns)
 
 
@@ -183,9 +174,8 @@ def overlay_intersection(
 ) -> DataFrame:
     """Pairwise intersection of polygons and rectangles; pairs without common area are left out."""
     pairs = envelope_join(shapes, boxes, cell, geometry, box)
-    e = F.col("_renv")
-    rings = geo.clip_rings_to_box(F.col(f"{geometry}.rings"), e["xmin"], e["ymin"], e["xmax"], e["ymax"])
-    clipped = pairs.withColumn("_rings", rings).where(geo.rings_area(F.col("_rings")) > 0)
-    return clipped.withColumn(geometry, geo.geometry(F.lit("Polygon"), F.col("_rings"))).select(
+    clipped = pairs.withColumn("_rings", F.expr(geo.clip_rings_to_box(f"{geometry}.rings", _RIGHT_BOX)))
+    shared = clipped.where(f"{geo.rings_area('_rings')} > 0")
+    return shared.withColumn(geometry, F.expr(geo.geometry("Polygon", "_rings"))).select(
         *shapes.columns, *[c for c in boxes.columns if c != box]
     )

@@ -49,53 +49,45 @@ def before_timestamp(value: Column, limit: str) -> Column:
 
 def with_envelope(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Bounding box as four columns; stored in Parquet they let a scan skip row groups."""
-    return df.withColumn("_env", geo.envelope(F.col(geometry))).select(
+    return df.withColumn("_env", F.expr(geo.envelope(geometry))).select(
         *[c for c in df.columns if c not in ENVELOPE], *[F.col(f"_env.{n}").alias(n) for n in ENVELOPE]
     )
 
 
-def _has_envelope(df: DataFrame) -> bool:
-    return set(ENVELOPE) <= set(df.columns)
-
-
-def _box(bbox):
-    return [F.lit(float(v)) for v in bbox]
+def _enveloped(df: DataFrame, geometry: str) -> DataFrame:
+    return df if set(ENVELOPE) <= set(df.columns) else with_envelope(df, geometry)
 
 
 def bbox_contains(df: DataFrame, bbox, geometry: str = "geometry") -> DataFrame:
     """Shapes inside the rectangle; one that only runs along its border is not inside."""
-    x0, y0, x1, y1 = _box(bbox)
-    with_env = df if _has_envelope(df) else with_envelope(df, geometry)
-    inside = (F.col("xmin") >= x0) & (F.col("xmax") <= x1) & (F.col("ymin") >= y0) & (F.col("ymax") <= y1)
+    x0, y0, x1, y1 = (geo.number(v) for v in bbox)
+    inside = f"xmin >= {x0} AND xmax <= {x1} AND ymin >= {y0} AND ymax <= {y1}"
+    strict = f"xmin > {x0} AND xmax < {x1} AND ymin > {y0} AND ymax < {y1}"
     # an edge within a closed rectangle has inner points exactly if its midpoint is one
-    inner_edge = F.exists(
-        geo.geometry_edges(F.col(geometry)),
-        lambda e: (e["ax"] + e["bx"] > x0 * 2)
-        & (e["ax"] + e["bx"] < x1 * 2)
-        & (e["ay"] + e["by"] > y0 * 2)
-        & (e["ay"] + e["by"] < y1 * 2),
+    inner_edge = (
+        f"exists({geo.geometry_edges(geometry)}, e_ -> e_.x1 + e_.x2 > 2 * {x0} AND e_.x1 + e_.x2 < 2 * {x1} "
+        f"AND e_.y1 + e_.y2 > 2 * {y0} AND e_.y1 + e_.y2 < 2 * {y1})"
     )
-    strict = (F.col("xmin") > x0) & (F.col("xmax") < x1) & (F.col("ymin") > y0) & (F.col("ymax") < y1)
-    solid = (F.col(f"{geometry}.type") == "Polygon") | strict | inner_edge
-    return with_env.where(inside).where(solid).select(*df.columns)
+    solid = f"{geometry}.type = 'Polygon' OR ({strict}) OR {inner_edge}"
+    return _enveloped(df, geometry).where(inside).where(solid).select(*df.columns)
 
 
 def bbox_intersects(df: DataFrame, bbox, geometry: str = "geometry") -> DataFrame:
     """Shapes that share at least a point with the closed rectangle."""
-    x0, y0, x1, y1 = _box(bbox)
-    with_env = df if _has_envelope(df) else with_envelope(df, geometry)
-    overlap = (F.col("xmin") <= x1) & (F.col("xmax") >= x0) & (F.col("ymin") <= y1) & (F.col("ymax") >= y0)
-    exact = geo.box_intersects(F.col(f"{geometry}.type"), geo.geometry_edges(F.col(geometry)), x0, y0, x1, y1)
-    return with_env.where(overlap).where(exact).select(*df.columns)
+    x0, y0, x1, y1 = box = tuple(geo.number(v) for v in bbox)
+    overlap = f"xmin <= {x1} AND xmax >= {x0} AND ymin <= {y1} AND ymax >= {y0}"
+    exact = geo.box_intersects(f"{geometry}.type", geo.geometry_edges(geometry), box)
+    return _enveloped(df, geometry).where(overlap).where(exact).select(*df.columns)
 
 
 def bbox_midpoint(df: DataFrame, bbox, geometry: str = "geometry") -> DataFrame:
     """Polygons whose midpoint of shell vertices 0 and 2 lies strictly inside the rectangle."""
-    x0, y0, x1, y1 = _box(bbox)
-    shell = F.get(F.col(f"{geometry}.rings"), F.lit(0))
-    a, b = F.get(shell, F.lit(0)), F.get(shell, F.lit(2))
-    x, y = (a["x"] + b["x"]) / 2, (a["y"] + b["y"]) / 2
-    return df.where((F.col(f"{geometry}.type") == "Polygon") & (x > x0) & (x < x1) & (y > y0) & (y < y1))
+    x0, y0, x1, y1 = (geo.number(v) for v in bbox)
+    shell = f"get({geometry}.rings, 0)"
+    x, y = (f"(get({shell}, 0).{axis} + get({shell}, 2).{axis}) / 2" for axis in "xy")
+    return df.where(
+        f"{geometry}.type = 'Polygon' AND {x} > {x0} AND {x} < {x1} AND {y} > {y0} AND {y} < {y1}"
+    )
 
 
 BBOX_PREDICATES = {"contains": bbox_contains, "intersects": bbox_intersects, "midpoint": bbox_midpoint}
@@ -103,18 +95,18 @@ BBOX_PREDICATES = {"contains": bbox_contains, "intersects": bbox_intersects, "mi
 
 # ---------------------------------------------------------------- measures
 
-def polygon_area_sqft(geom: Column) -> Column:
+def polygon_area_sqft(geometry: str = "geometry") -> Column:
     """Planar area in square feet of EPSG:2263."""
-    return geo.rings_area(geo.transform_rings(geom["rings"], crs.to_state_plane))
+    return F.expr(geo.rings_area(geo.transform_rings(f"{geometry}.rings", crs.to_state_plane)))
 
 
-def line_length_ft(geom: Column) -> Column:
+def line_length_ft(geometry: str = "geometry") -> Column:
     """Planar length in US survey feet of EPSG:2263."""
-    return geo.rings_length(geo.transform_rings(geom["rings"], crs.to_state_plane))
+    return F.expr(geo.rings_length(geo.transform_rings(f"{geometry}.rings", crs.to_state_plane)))
 
 
 def with_line_length(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    feet = df.withColumn("length_ft", line_length_ft(F.col(geometry)))
+    feet = df.withColumn("length_ft", line_length_ft(geometry))
     return feet.withColumn("length_m", F.col("length_ft") * F.lit(crs.US_FOOT_M))
 
 
@@ -150,9 +142,7 @@ def filter_buildings(raw: DataFrame, cfg: JobConfig = JobConfig(), predicate: st
         "lstmoddate", F.try_to_timestamp("lstmoddate")
     )
     local = BBOX_PREDICATES[predicate](building_attr_filter(typed, cfg), cfg.bbox)
-    return area_threshold(
-        local.withColumn("shape_area", polygon_area_sqft(F.col("geometry"))), cfg.min_area_sqft
-    )
+    return area_threshold(local.withColumn("shape_area", polygon_area_sqft()), cfg.min_area_sqft)
 
 
 def building_features(buildings: DataFrame) -> DataFrame:
@@ -192,8 +182,8 @@ def street_features(streets: DataFrame) -> DataFrame:
         numbers["RW_TYPE"] = numbers["RW_TYPE"].cast("int")
     if "BIKE_TRAFDIR" in streets.columns:
         numbers["BIKE_TRAFDIR"] = text.blank_to_null(F.col("BIKE_TRAFDIR"))
-    start = crs.from_state_plane(F.col("XFrom"), F.col("YFrom"))
-    end = crs.from_state_plane(F.col("XTo"), F.col("YTo"))
+    start = F.expr(crs.from_state_plane("XFrom", "YFrom"))
+    end = F.expr(crs.from_state_plane("XTo", "YTo"))
     placed = streets.withColumns(numbers).withColumns({"_start": start, "_end": end})
     derived = placed.withColumns({
         "street_width_avg": maths.mean_of_two(F.col("StreetWidth_Min"), F.col("StreetWidth_Max")),

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terraquilt.functions import crs
+from terraquilt.functions.geometry import number
 from terraquilt.functions.indices import INDEX_NAMES, spectral_indices
 from terraquilt.functions.maths import null_if_nan, safe_ratio
 from terraquilt.grid import GridSpec
@@ -150,10 +151,9 @@ def transform_bbox(bbox, source: int, target: int):
 
     spark = SparkSession.getActiveSession()
     x0, y0, x1, y1 = bbox
-    low = crs.transform_xy(F.lit(float(x0)), F.lit(float(y0)), source, target)
-    high = crs.transform_xy(F.lit(float(x1)), F.lit(float(y1)), source, target)
-    row = spark.range(1).select(low["x"], low["y"], high["x"], high["y"]).first()
-    return tuple(row)
+    corners = [F.expr(crs.transform_xy(number(x), number(y), source, target)) for x, y in ((x0, y0), (x1, y1))]
+    low, high = spark.range(1).select(*corners).first()
+    return low["x"], low["y"], high["x"], high["y"]
 
 
 def crop_all_touched(pixels: DataFrame, grid: GridSpec, aoi: DataFrame, nodata: float = 255.0) -> DataFrame:
@@ -279,10 +279,8 @@ def reproject(pixels: DataFrame, source: GridSpec, target: GridSpec, method: str
     """Pull every target cell from the source raster; cells that fall outside are absent."""
     spark = pixels.sparkSession
     cells = target.cells(spark)
-    there = crs.transform_xy(
-        target.centre_x(F.col("col")), target.centre_y(F.col("row")), target.srid, source.srid
-    )
-    placed = cells.withColumn("_p", there).select(
+    there = crs.transform_xy(target.centre_x("col"), target.centre_y("row"), target.srid, source.srid)
+    placed = cells.withColumn("_p", F.expr(there)).select(
         "row",
         "col",
         ((F.col("_p.x") - F.lit(source.x0)) / F.lit(source.px)).alias("_u"),

@@ -17,12 +17,11 @@ ZONE_COUNT_BANDS = {"has_residence": "R", "has_manufacture": "M", "has_commercia
 def rasterize_buildings(buildings: DataFrame, grid: GridSpec) -> DataFrame:
     """Mean height, height deviation, mean year and built area (sq ft) of every cell."""
     cover = cover_cells(buildings.select("heightroof", "cnstrct_yr", "geometry"), grid)
-    area = clip_area_sqft(F.col("geometry"), grid.edges(F.col("row"), F.col("col")))
     return cell_statistics(cover, {
         "building_height": ("mean", F.col("heightroof")),
         "building_height_std": ("std_dev", F.col("heightroof")),
         "building_year": ("mean", F.col("cnstrct_yr")),
-        "building_area": ("sum_area", area),
+        "building_area": ("sum_area", clip_area_sqft(grid)),
     }, grid)
 
 

@@ -14,12 +14,11 @@ def point_cells(points: DataFrame, grids: dict[str, GridSpec], point_id: str = "
 
     The grids are job parameters, so this is a projection: no join with a table of rasters.
     """
-    x, y = F.col("lon"), F.col("lat")
     cells = F.array(*[
         F.struct(
             F.lit(raster_id).alias("raster_id"),
-            F.greatest(F.lit(0), F.least(F.lit(g.height - 1), g.row_of(y))).alias("row"),
-            F.greatest(F.lit(0), F.least(F.lit(g.width - 1), g.col_of(x))).alias("col"),
+            F.expr(f"greatest(0, least({g.height - 1}, {g.row_of('lat')}))").alias("row"),
+            F.expr(f"greatest(0, least({g.width - 1}, {g.col_of('lon')}))").alias("col"),
         )
         for raster_id, g in grids.items()
     ])

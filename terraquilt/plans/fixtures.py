@@ -155,12 +155,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rectangles(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Replace the four rectangle columns by a geometry."""
-    box = geo.box_polygon(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
+    box = F.expr(geo.box_polygon("xmin", "ymin", "xmax", "ymax"))
     return df.withColumn(geometry, box).drop("xmin", "ymin", "xmax", "ymax", "side")
 
 
 def buildings(spark, sf_dir) -> DataFrame:
-    """Building records with typed attributes and rectangle geometry."""
+    """Building records as delivered, with rectangle geometry."""
     return rectangles(load(spark, sf_dir, "buildings"))
 
 
@@ -170,25 +170,21 @@ def zones(spark, sf_dir) -> DataFrame:
 
 def triangles(spark, sf_dir) -> DataFrame:
     """Lower-left triangle of every zone rectangle."""
-    z = load(spark, sf_dir, "zones")
-    x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
-    ring = F.array(geo.point(x0, y0), geo.point(x1, y0), geo.point(x0, y1), geo.point(x0, y0))
-    return z.select("id", geo.geometry(F.lit("Polygon"), F.array(ring)).alias("geometry"))
+    shape = geo.polygon([("xmin", "ymin"), ("xmax", "ymin"), ("xmin", "ymax"), ("xmin", "ymin")])
+    return load(spark, sf_dir, "zones").select("id", F.expr(shape).alias("geometry"))
 
 
 def donuts(spark, sf_dir) -> DataFrame:
     """Zone rectangles with a hole over their middle half."""
-    z = load(spark, sf_dir, "zones")
-    x0, y0, x1, y1, q = F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"), F.col("side") / 4
-    shell = geo.box_polygon(x0, y0, x1, y1)["rings"]
-    hole = geo.box_polygon(x0 + q, y0 + q, x1 - q, y1 - q)["rings"]
-    return z.select("id", geo.geometry(F.lit("Polygon"), F.concat(shell, hole)).alias("geometry"))
+    hole = geo.box_ring("xmin + side / 4", "ymin + side / 4", "xmax - side / 4", "ymax - side / 4")
+    shape = geo.polygon(geo.box_ring("xmin", "ymin", "xmax", "ymax"), hole)
+    return load(spark, sf_dir, "zones").select("id", F.expr(shape).alias("geometry"))
 
 
 def streets(spark, sf_dir) -> DataFrame:
     """Street segments: line geometry in degrees, end points in feet, padded text attributes."""
     s = load(spark, sf_dir, "streets")
-    shape = geo.line(geo.point(F.col("xfrom"), F.col("yfrom")), geo.point(F.col("xto"), F.col("yto")))
+    shape = F.expr(geo.line(("xfrom", "yfrom"), ("xto", "yto")))
     return s.withColumn("geometry", shape).drop("xfrom", "yfrom", "xto", "yto").withColumnsRenamed(
         {"id": "OBJECTID", "feet_x": "XFrom", "feet_y": "YFrom"}
     ).withColumns({"XTo": F.col("XFrom") + F.col("feet_dx"), "YTo": F.col("YFrom") + F.col("feet_dy")}).drop(

@@ -418,7 +418,7 @@ _PX, _PY = plane_sql("lon", "lat")
 @query("to_state_plane", with_inputs("points") + f"""
     SELECT point_id, round({_PX}, 4) AS x, round({_PY}, 4) AS y FROM points""")
 def to_state_plane(spark, sf_dir):
-    p = load(spark, sf_dir, "points").withColumn("p", crs.to_state_plane(F.col("lon"), F.col("lat")))
+    p = load(spark, sf_dir, "points").withColumn("p", F.expr(crs.to_state_plane("lon", "lat")))
     return p.select("point_id", F.round("p.x", 4).alias("x"), F.round("p.y", 4).alias("y"))
 
 
@@ -426,8 +426,8 @@ def to_state_plane(spark, sf_dir):
     feet AS (SELECT point_id, {_PX} AS x, {_PY} AS y, lon, lat FROM points)
     SELECT point_id, round(lon, 8) AS lon, round(lat, 8) AS lat FROM feet WHERE x > 0""")
 def from_state_plane(spark, sf_dir):
-    p = load(spark, sf_dir, "points").withColumn("p", crs.to_state_plane(F.col("lon"), F.col("lat")))
-    back = p.select("point_id", crs.from_state_plane(F.col("p.x"), F.col("p.y")).alias("d"))
+    p = load(spark, sf_dir, "points").withColumn("p", F.expr(crs.to_state_plane("lon", "lat")))
+    back = p.select("point_id", F.expr(crs.from_state_plane("p.x", "p.y")).alias("d"))
     return back.select("point_id", F.round("d.lon", 8).alias("lon"), F.round("d.lat", 8).alias("lat"))
 
 
@@ -435,8 +435,8 @@ def from_state_plane(spark, sf_dir):
     SELECT point_id, round(6378137 * radians(lon), 4) AS x, round(6378137 * asinh(tan(radians(lat))), 4) AS y,
            round(lon, 8) AS lon, round(lat, 8) AS lat FROM points""")
 def web_mercator(spark, sf_dir):
-    p = load(spark, sf_dir, "points").withColumn("m", crs.to_web_mercator(F.col("lon"), F.col("lat")))
-    p = p.withColumn("d", crs.from_web_mercator(F.col("m.x"), F.col("m.y")))
+    p = load(spark, sf_dir, "points").withColumn("m", F.expr(crs.to_web_mercator("lon", "lat")))
+    p = p.withColumn("d", F.expr(crs.from_web_mercator("m.x", "m.y")))
     return p.select(
         "point_id", F.round("m.x", 4).alias("x"), F.round("m.y", 4).alias("y"),
         F.round("d.lon", 8).alias("lon"), F.round("d.lat", 8).alias("lat"),

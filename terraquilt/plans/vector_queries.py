@@ -57,13 +57,11 @@ def json_records_scan(spark, sf_dir):
     SELECT id, ZONEDIST, size, round(xmin, 9) AS west, round(ymax, 9) AS north, 5 AS n_vertices FROM zones""")
 def geojson_features(spark, sf_dir):
     path = writers.write_features(zones(spark, sf_dir).select("id", "ZONEDIST", "size", "geometry"), fresh_path(spark, "zones"))
-    back = readers.read_features(spark, path, "id BIGINT, ZONEDIST STRING, size INT", multiline=False).drop("id")
-    # the property called id is flattened next to the feature's own id
     raw = spark.read.schema(readers.feature_schema("id BIGINT, ZONEDIST STRING, size INT")).json(path)
     features = readers.parse_geometry(raw.select("properties.*", "geometry"))
-    env = geo.envelope(F.col("geometry"))
+    features = ft.with_envelope(features)
     return features.select(
-        "id", "ZONEDIST", "size", F.round(env["xmin"], 9).alias("west"), F.round(env["ymax"], 9).alias("north"),
+        "id", "ZONEDIST", "size", F.round("xmin", 9).alias("west"), F.round("ymax", 9).alias("north"),
         F.size(F.flatten("geometry.rings")).alias("n_vertices"),
     )
 
@@ -73,7 +71,7 @@ def geojson_features(spark, sf_dir):
         || '"},"geometry":{"type":"Point","coordinates":[' || p_size || '.0,' || (p_partkey % 90) || '.0]}}' AS value
     FROM part""")
 def geojson_sink(spark, sf_dir):
-    place = geo.geometry(F.lit("Point"), F.array(F.array(geo.point(F.col("p_size"), F.col("p_partkey") % 90))))
+    place = F.expr(geo.point_geometry("p_size", "p_partkey % 90"))
     shapes = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), place.alias("geometry")
     )
@@ -97,9 +95,11 @@ def wkt_bbox_polygon(spark, sf_dir):
 @query("geometry_from_geojson", with_inputs("zones") + """
     SELECT id, 'Polygon' AS type, xmin, ymin, xmax, ymax FROM zones""")
 def geometry_from_geojson(spark, sf_dir):
-    text = zones(spark, sf_dir).select("id", geo.geometry_to_geojson(F.col("geometry")).alias("j"))
-    parsed = text.select("id", geo.geometry_from_geojson(F.from_json("j", "type STRING, coordinates STRING")).alias("g"))
-    return parsed.withColumn("e", geo.envelope(F.col("g"))).select("id", "g.type", "e.*")
+    text = zones(spark, sf_dir).select("id", F.expr(geo.geometry_to_geojson("geometry")).alias("j"))
+    parsed = text.withColumn("s", F.from_json("j", "type STRING, coordinates STRING")).select(
+        "id", F.expr(geo.geometry_from_geojson("s")).alias("g")
+    )
+    return ft.with_envelope(parsed, "g").select("id", "g.type", *ft.ENVELOPE)
 
 
 @query("envelope", with_inputs("streets") + """
@@ -119,14 +119,14 @@ def envelope(spark, sf_dir):
     SELECT id, round(sum(CASE part WHEN 0 THEN area ELSE -area END), 0) AS shape_area FROM areas GROUP BY id""")
 def polygon_area(spark, sf_dir):
     d = donuts(spark, sf_dir)
-    return d.select("id", F.round(ft.polygon_area_sqft(F.col("geometry")), 0).alias("shape_area"))
+    return d.select("id", F.round(ft.polygon_area_sqft(), 0).alias("shape_area"))
 
 
 @query("area_threshold", with_inputs("buildings") + ",\n" + ring_area_sql(rect_vertices_sql("buildings")) + """
     SELECT id, round(area, 2) AS shape_area FROM areas WHERE area >= 400""")
 def area_threshold(spark, sf_dir):
     b = buildings(spark, sf_dir).select("id", "geometry")
-    measured = b.withColumn("shape_area", ft.polygon_area_sqft(F.col("geometry")))
+    measured = b.withColumn("shape_area", ft.polygon_area_sqft())
     return rounded(ft.area_threshold(measured, 400).select("id", "shape_area"), 2)
 
 
@@ -135,9 +135,9 @@ _BX, _BY = plane_sql("xto", "yto")
 
 
 @query("line_length", with_inputs("streets") + f""",
-    ends AS (SELECT id, {_AX} AS ax, {_AY} AS ay, {_BX} AS bx, {_BY} AS by FROM streets)
-    SELECT id AS OBJECTID, round(sqrt(pow(bx - ax, 2) + pow(by - ay, 2)), 4) AS length_ft,
-           round(sqrt(pow(bx - ax, 2) + pow(by - ay, 2)) * 1200 / 3937, 4) AS length_m FROM ends""")
+    ends AS (SELECT id, {_AX} AS ax, {_AY} AS ay, {_BX} AS bx, {_BY} AS b_y FROM streets)
+    SELECT id AS OBJECTID, round(sqrt(pow(bx - ax, 2) + pow(b_y - ay, 2)), 4) AS length_ft,
+           round(sqrt(pow(bx - ax, 2) + pow(b_y - ay, 2)) * 1200 / 3937, 4) AS length_m FROM ends""")
 def line_length(spark, sf_dir):
     s = streets(spark, sf_dir).select("OBJECTID", "geometry")
     return rounded(ft.with_line_length(s).drop("geometry"), 4)
@@ -148,13 +148,11 @@ def line_length(spark, sf_dir):
 def orient_ring(spark, sf_dir):
     d = donuts(spark, sf_dir)
     # the hole of the input is counter-clockwise, and every second shell is turned round first
-    mixed = F.transform(
-        "geometry.rings", lambda r, i: F.when((i == 0) & (F.col("id") % 2 == 0), F.reverse(r)).otherwise(r)
-    )
-    rings = d.select("id", geo.orient_rings(mixed).alias("rings"))
+    mixed = "transform(geometry.rings, (g_, n_) -> IF(n_ = 0 AND id % 2 = 0, reverse(g_), g_))"
+    rings = d.select("id", F.expr(geo.orient_rings(mixed)).alias("rings"))
     return rings.select(
-        "id", (geo.signed_ring_area(F.col("rings")[0]) > 0).alias("shell_ccw"),
-        (geo.signed_ring_area(F.col("rings")[1]) < 0).alias("hole_cw"),
+        "id", F.expr(f"{geo.signed_ring_area('rings[0]')} > 0").alias("shell_ccw"),
+        F.expr(f"{geo.signed_ring_area('rings[1]')} < 0").alias("hole_cw"),
     )
 
 
@@ -215,9 +213,9 @@ def filter_buildings(spark, sf_dir):
 
 
 @query("filter_streets", with_inputs("streets") + f""",
-    ends AS (SELECT *, {_AX} AS ax, {_AY} AS ay, {_BX} AS bx, {_BY} AS by FROM streets WHERE {STREET_FILTER_SQL})
+    ends AS (SELECT *, {_AX} AS ax, {_AY} AS ay, {_BX} AS bx, {_BY} AS b_y FROM streets WHERE {STREET_FILTER_SQL})
     SELECT id AS OBJECTID, trim(RW_TYPE) AS RW_TYPE, StreetWidth_Min,
-           round(sqrt(pow(bx - ax, 2) + pow(by - ay, 2)), 4) AS length_ft
+           round(sqrt(pow(bx - ax, 2) + pow(b_y - ay, 2)), 4) AS length_ft
     FROM ends WHERE least(xfrom, xto) >= {X0} AND greatest(xfrom, xto) <= {X1}
       AND least(yfrom, yto) >= {Y0} AND greatest(yfrom, yto) <= {Y1}""")
 def filter_streets(spark, sf_dir):
@@ -279,9 +277,9 @@ AOI = """aoi AS (SELECT CAST(c_custkey AS INT) AS tile, lon - w AS ax0, lat - w
 
 def aoi_boxes(spark, sf_dir):
     p = load(spark, sf_dir, "points")
-    w = F.expr("CAST(100 + point_id % 300 AS DOUBLE) / CAST('100000.0' AS DOUBLE)")
-    box = geo.box_polygon(F.col("lon") - w, F.col("lat") - w, F.col("lon") + w, F.col("lat") + w)
-    return p.select(F.col("point_id").cast("int").alias("tile"), box.alias("aoi"))
+    wide = p.withColumn("w", F.expr("CAST(100 + point_id % 300 AS DOUBLE) / 100000.0D"))
+    box = F.expr(geo.box_polygon("lon - w", "lat - w", "lon + w", "lat + w"))
+    return wide.select(F.col("point_id").cast("int").alias("tile"), box.alias("aoi"))
 
 
 @query("tile_aoi_join", with_inputs("buildings", "points") + f""", {AOI}
@@ -302,7 +300,7 @@ OVERLAY_CTE = f"""{AOI},
     SELECT building AS id, tile, round(area, 2) AS area FROM pieces JOIN areas USING (id)""")
 def overlay_intersection(spark, sf_dir):
     pieces = cv.overlay_intersection(buildings(spark, sf_dir).select("id", "geometry"), aoi_boxes(spark, sf_dir))
-    return pieces.select("id", "tile", F.round(ft.polygon_area_sqft(F.col("geometry")), 2).alias("area"))
+    return pieces.select("id", "tile", F.round(ft.polygon_area_sqft(), 2).alias("area"))
 
 
 # ---------------------------------------------------------------- statistics per cell
@@ -373,15 +371,13 @@ CLIPPED = f"""
     SELECT row, col, round(coalesce(v, 0), 0) AS area FROM cells LEFT JOIN agg USING (row, col)""")
 def cell_sum_area(spark, sf_dir):
     cover = zone_cover(spark, sf_dir)
-    area = cv.clip_area_sqft(F.col("geometry"), G.edges(F.col("row"), F.col("col")))
-    return rounded(cv.cell_statistics(cover, {"area": ("sum_area", area)}, G), 0)
+    return rounded(cv.cell_statistics(cover, {"area": ("sum_area", cv.clip_area_sqft(G))}, G), 0)
 
 
 @query("box_clip_area", with_inputs("zones") + f""", {COVER}, {CLIPPED}
     SELECT id // 10000 AS id, row, col, round(area, 1) AS area FROM clipped JOIN areas USING (id)""")
 def box_clip_area(spark, sf_dir):
-    area = cv.clip_area_sqft(F.col("geometry"), G.edges(F.col("row"), F.col("col")))
-    return zone_cover(spark, sf_dir).select("id", "row", "col", F.round(area, 1).alias("area"))
+    return zone_cover(spark, sf_dir).select("id", "row", "col", F.round(cv.clip_area_sqft(G), 1).alias("area"))
 
 
 @query("cell_entropy", with_inputs("zones") + f""", {COVER},
@@ -423,8 +419,9 @@ def mode_sql(column: str, source: str = "hits") -> str:
     FROM cells LEFT JOIN agg USING (row, col) LEFT JOIN built USING (row, col)""")
 def rasterize_buildings(spark, sf_dir):
     typed = ft.cast_columns(buildings(spark, sf_dir), ft.BUILDING_TYPES)
-    bands = rounded(rz.rasterize_buildings(typed, G), 3)
-    return bands.withColumn("building_area", F.round("building_area", 1))
+    digits = {"building_height": 3, "building_height_std": 3, "building_year": 3, "building_area": 1}
+    bands = rz.rasterize_buildings(typed, G)
+    return bands.select("row", "col", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
 
 STREET_LAYER_SQL = with_inputs("streets") + f""", {CELLS}, {LINE_COVER},

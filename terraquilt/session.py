@@ -19,6 +19,8 @@ def build_session(app: str = "terraquilt", master: str | None = None, **conf) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # call-site capture costs a JVM round trip per column operation
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

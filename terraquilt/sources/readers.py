@@ -66,8 +66,8 @@ def flatten_features(df: DataFrame) -> DataFrame:
 
 def parse_geometry(features: DataFrame, column: str = "geometry") -> DataFrame:
     """GeoJSON struct column to the normal form, one row per part; NULL geometry is kept."""
-    parts = geo.geometry_parts(F.col(column))
-    return features.withColumn("_part", F.explode_outer(parts)).withColumn(column, F.col("_part")).drop("_part")
+    parts = F.explode_outer(F.expr(geo.geometry_parts(column)))
+    return features.withColumn("_part", parts).withColumn(column, F.col("_part")).drop("_part")
 
 
 def read_features(spark: SparkSession, path: str, properties, multiline: bool = True) -> DataFrame:

@@ -20,7 +20,7 @@ def write_csv(df: DataFrame, path: str) -> str:
 def to_feature_lines(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """One GeoJSON feature per row, as text; all other columns become properties."""
     properties = F.struct(*[F.col(c) for c in df.columns if c != geometry])
-    shape = F.coalesce(geo.geometry_to_geojson(F.col(geometry)), F.lit("null"))
+    shape = F.coalesce(F.expr(geo.geometry_to_geojson(geometry)), F.lit("null"))
     return df.select(
         F.concat(
             F.lit('{"type":"Feature","properties":'),
