@@ -56,9 +56,14 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         *keys, "_v", "_n", F.explode("_wanted").alias("w")
     )
 
-    below = F.sum(F.when(F.col("_v") < F.col("w.lo"), F.col("_n")).otherwise(0))
+    under, over = F.col("_v") < F.col("w.lo"), F.col("_v") > F.col("w.hi")
     outside = ranked.groupBy(*keys, F.col("w.name").alias("_name")).agg(
-        F.first("w.at").alias("_at"), below.alias("_below")
+        F.first("w.at").alias("_at"),
+        F.sum(F.when(under, F.col("_n")).otherwise(0)).alias("_below"),
+        F.sum(F.when(under | over, 0).otherwise(F.col("_n"))).alias("_within"),
+        # rounding may leave the wanted rank one place outside the bracket
+        F.max(F.when(under, F.col("_v"))).alias("_before"),
+        F.min(F.when(over, F.col("_v"))).alias("_after"),
     )
     running = Window.partitionBy(*keys, "w.name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     inside = ranked.where((F.col("_v") >= F.col("w.lo")) & (F.col("_v") <= F.col("w.hi"))).select(
@@ -72,7 +77,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     first = last - F.col("_n") + 1
 
     def value_at(name: str, rank):
-        return F.max(F.when((F.col("_name") == name) & (first <= rank) & (last >= rank), F.col("_v")))
+        value = (
+            F.when((first <= rank) & (last >= rank), F.col("_v"))
+            .when(rank < F.col("_below"), F.col("_before"))
+            .when(rank >= F.col("_below") + F.col("_within"), F.col("_after"))
+        )
+        return F.max(F.when(F.col("_name") == name, value))
 
     at = F.col("_at")
     placed = outside.join(inside, _same(outside, keys, inside) & (F.col("_name") == F.col("_in")), "left")

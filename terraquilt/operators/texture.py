@@ -9,6 +9,8 @@ values per pixel, because the sum of squared counts is not separable.
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -80,7 +82,7 @@ def glcm_texture(pixels: DataFrame, size: int, levels: int = LEVELS, tile: int =
     )
     extent = tile + 2 * size
 
-    def texture(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def texture(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         top, left = key[2] * tile - size, key[3] * tile - size
         r, c = rows["row"].to_numpy() - top, rows["col"].to_numpy() - left
         grid = np.full((extent, extent), -1, dtype=np.int16)

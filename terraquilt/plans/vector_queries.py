@@ -54,14 +54,13 @@ def json_records_scan(spark, sf_dir):
 
 
 @query("geojson_features", with_inputs("zones") + """
-    SELECT id, ZONEDIST, size, round(xmin, 9) AS west, round(ymax, 9) AS north, 5 AS n_vertices FROM zones""")
+    SELECT id AS OBJECTID, ZONEDIST, size, round(xmin, 9) AS west, round(ymax, 9) AS north, 5 AS n_vertices FROM zones""")
 def geojson_features(spark, sf_dir):
-    path = writers.write_features(zones(spark, sf_dir).select("id", "ZONEDIST", "size", "geometry"), fresh_path(spark, "zones"))
-    raw = spark.read.schema(readers.feature_schema("id BIGINT, ZONEDIST STRING, size INT")).json(path)
-    features = readers.parse_geometry(raw.select("properties.*", "geometry"))
-    features = ft.with_envelope(features)
-    return features.select(
-        "id", "ZONEDIST", "size", F.round("xmin", 9).alias("west"), F.round("ymax", 9).alias("north"),
+    shapes = zones(spark, sf_dir).select(F.col("id").alias("OBJECTID"), "ZONEDIST", "size", "geometry")
+    path = writers.write_features(shapes, fresh_path(spark, "zones"))
+    features = readers.read_features(spark, path, "OBJECTID BIGINT, ZONEDIST STRING, size INT", multiline=False)
+    return ft.with_envelope(features).select(
+        "OBJECTID", "ZONEDIST", "size", F.round("xmin", 9).alias("west"), F.round("ymax", 9).alias("north"),
         F.size(F.flatten("geometry.rings")).alias("n_vertices"),
     )
 
