@@ -97,7 +97,8 @@ def focal_statistics(
     if "mean" in operations:
         results["mean"] = F.col("_base") + offset
     if "std_dev" in operations:
-        results["std_dev"] = F.sqrt(F.greatest(F.try_divide(F.col("_ss"), n) - offset * offset, F.lit(0.0)))
+        variance = F.col("_ss") / n - offset * offset
+        results["std_dev"] = F.when(n > 0, F.sqrt(F.greatest(variance, F.lit(0.0))))
     if "median" in operations:
         k = F.size("_list")
         upper = F.get("_list", F.expr("CAST(size(_list) div 2 AS INT)"))

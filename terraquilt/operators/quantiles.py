@@ -60,7 +60,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     outside = ranked.groupBy(*keys, F.col("w.name").alias("_name")).agg(
         F.first("w.at").alias("_at"),
         F.sum(F.when(under, F.col("_n")).otherwise(0)).alias("_below"),
-        F.sum(F.when(under | over, 0).otherwise(F.col("_n"))).alias("_within"),
+        F.sum(F.when(~under & ~over, F.col("_n")).otherwise(0)).alias("_within"),
         # rounding may leave the wanted rank one place outside the bracket
         F.max(F.when(under, F.col("_v"))).alias("_before"),
         F.min(F.when(over, F.col("_v"))).alias("_after"),

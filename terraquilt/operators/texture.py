@@ -88,8 +88,6 @@ def glcm_texture(pixels: DataFrame, size: int, levels: int = LEVELS, tile: int =
         grid = np.full((extent, extent), -1, dtype=np.int16)
         grid[r, c] = rows["level"].fillna(-1).to_numpy()
         own = (r >= size) & (r < size + tile) & (c >= size) & (c < size + tile)
-        if not own.any():
-            return pd.DataFrame({name: [] for name in ("raster_id", "band", "row", "col", *PROPERTIES)})
         out = rows.loc[own, ["raster_id", "band", "row", "col"]].copy()
         for name, values in _tile_texture(grid, size, levels).items():
             out[name] = values[r[own] - size, c[own] - size]

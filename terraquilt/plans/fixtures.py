@@ -46,7 +46,7 @@ TEMPLATES = {
     "holes": """
         SELECT 'grid' AS raster_id, 1 AS band, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col, value
-        FROM {events} WHERE event_id % 17 <> 0""",
+        FROM {events} WHERE event_type <> 'error'""",
     "spectral": """
         SELECT 'landsat_8' AS raster_id, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col,
@@ -60,15 +60,15 @@ TEMPLATES = {
     "sources": """
         SELECT 'grid' AS raster_id, 1 AS band, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col,
-               CASE WHEN event_type = 'purchase' AND event_id % 50 = 0 THEN CAST(1 AS DOUBLE)
+               CASE WHEN event_type = 'purchase' AND value > 150 THEN CAST(1 AS DOUBLE)
                     ELSE CAST(0 AS DOUBLE) END AS value
         FROM {events}""",
     "zone_counts": """
         SELECT CAST(event_id {div} 100 AS INT) AS row, CAST(event_id % 100 AS INT) AS col,
-               CASE WHEN event_id % 60 = 28 AND event_type IN ('click', 'view') THEN 2 ELSE 0 END AS has_residence,
-               CASE WHEN event_id % 60 = 35 AND event_type IN ('click', 'view') THEN 1 ELSE 0 END AS has_manufacture,
-               CASE WHEN event_id % 60 = 42 AND event_type = 'purchase' THEN 1 ELSE 0 END AS has_commercial,
-               CASE WHEN event_id % 60 = 49 AND event_type = 'signup' THEN 3 ELSE 0 END AS has_park
+               CASE WHEN event_type = 'view' AND value > 140 THEN 2 ELSE 0 END AS has_residence,
+               CASE WHEN event_type = 'click' AND value > 160 THEN 1 ELSE 0 END AS has_manufacture,
+               CASE WHEN event_type = 'purchase' AND value > 150 THEN 1 ELSE 0 END AS has_commercial,
+               CASE WHEN event_type = 'signup' AND value > 170 THEN 3 ELSE 0 END AS has_park
         FROM {events}""",
     "buildings": _rect(
         """
