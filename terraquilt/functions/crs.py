@@ -40,18 +40,38 @@ SCALE_FT = SEMI_MAJOR_M / US_FOOT_M * _cone_m(PARALLEL_1) / (CONE * _isometric_t
 RHO_ORIGIN_FT = SCALE_FT * _isometric_t(ORIGIN_LAT) ** CONE
 
 
-def to_state_plane(lon: str, lat: str) -> str:
-    """EPSG:4326 degrees to EPSG:2263 feet, ``struct<x, y>``."""
+def _cone_radius(lat: str) -> str:
     phi = f"radians({lat})"
     t = f"tan(pi() / 4 - {phi} / 2) * exp({ECC!r}D * atanh({ECC!r}D * sin({phi})))"
-    rho = f"({SCALE_FT!r}D * power({t}, {CONE!r}D))"
-    theta = f"({CONE!r}D * (radians({lon}) - ({ORIGIN_LON!r}D)))"
+    return f"({SCALE_FT!r}D * power({t}, {CONE!r}D))"
+
+
+def _cone_angle(lon: str) -> str:
+    return f"({CONE!r}D * (radians({lon}) - ({ORIGIN_LON!r}D)))"
+
+
+def _from_cone(radius: str, angle: str) -> str:
     return (
-        f"named_struct('x', {FALSE_EASTING_FT!r}D + {rho} * sin({theta}), "
-        f"'y', {FALSE_NORTHING_FT + RHO_ORIGIN_FT!r}D - {rho} * cos({theta}))"
+        f"named_struct('x', {FALSE_EASTING_FT!r}D + {radius} * sin({angle}), "
+        f"'y', {FALSE_NORTHING_FT + RHO_ORIGIN_FT!r}D - {radius} * cos({angle}))"
     )
 
 
+def to_state_plane(lon: str, lat: str) -> str:
+    """EPSG:4326 degrees to EPSG:2263 feet, ``struct<x, y>``."""
+    return _from_cone(_cone_radius(lat), _cone_angle(lon))
+
+
+def vertices_to_state_plane(vertices: str) -> str:
+    """The same for an array of ``struct<x, y>``.
+
+    Lambda bodies are interpreted without common-subexpression elimination, so the cone
+    coordinates of a vertex are taken in a step of their own instead of twice.
+    """
+    cone = f"named_struct('r', {_cone_radius('p_.y')}, 'a', {_cone_angle('p_.x')})"
+    return f"transform(transform({vertices}, p_ -> {cone}), k_ -> {_from_cone('k_.r', 'k_.a')})"
+
+
 def from_state_plane(x: str, y: str) -> str:
     """EPSG:2263 feet to EPSG:4326 degrees, ``struct<lon, lat>``; NULL in, NULL out."""
     east = f"({x} - {FALSE_EASTING_FT!r}D)"

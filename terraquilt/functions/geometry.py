@@ -138,9 +138,9 @@ def rings_area(rings: str) -> str:
     return f"aggregate({areas}, 0D, (sum_, a_) -> sum_ + a_)"
 
 
-def transform_rings(rings: str, to_xy) -> str:
-    """Apply ``to_xy(x, y) -> struct<x, y>`` to every vertex."""
-    return f"transform({rings}, r_ -> transform(r_, p_ -> {to_xy('p_.x', 'p_.y')}))"
+def transform_rings(rings: str, vertices) -> str:
+    """Apply ``vertices(array of struct<x, y>) -> the same`` to every ring."""
+    return f"transform({rings}, r_ -> {vertices('r_')})"
 
 
 def rings_length(rings: str) -> str:
@@ -167,15 +167,18 @@ def point_in_edges(x: str, y: str, edges: str) -> str:
 
 def edge_meets_box(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
     """Closed edge ``e_`` against closed box, by separating axes: x, y and the edge's normal."""
-    sides = ", ".join(
-        f"(e_.x2 - e_.x1) * ({y} - e_.y1) - (e_.y2 - e_.y1) * ({x} - e_.x1)"
-        for x in (xmin, xmax)
-        for y in (ymin, ymax)
+    dx, dy = "(e_.x2 - e_.x1)", "(e_.y2 - e_.y1)"
+
+    def side(x: str, y: str) -> str:
+        return f"({dx} * ({y} - e_.y1) - {dy} * ({x} - e_.x1))"
+
+    # the two corners farthest apart across the edge lie on a diagonal that depends on its slope
+    across = (
+        f"IF({dx} * {dy} >= 0, {side(xmin, ymax)} * {side(xmax, ymin)}, {side(xmin, ymin)} * {side(xmax, ymax)})"
     )
     return (
         f"least(e_.x1, e_.x2) <= {xmax} AND greatest(e_.x1, e_.x2) >= {xmin} "
-        f"AND least(e_.y1, e_.y2) <= {ymax} AND greatest(e_.y1, e_.y2) >= {ymin} "
-        f"AND least({sides}) <= 0 AND greatest({sides}) >= 0"
+        f"AND least(e_.y1, e_.y2) <= {ymax} AND greatest(e_.y1, e_.y2) >= {ymin} AND {across} <= 0"
     )
 
 
@@ -218,6 +221,13 @@ def clip_ring_to_box(ring: str, xmin: str, ymin: str, xmax: str, ymax: str) -> s
 
 
 def clip_rings_to_box(rings: str, box: tuple[str, str, str, str]) -> str:
-    """Each ring cut to the rectangle; an emptied shell takes its holes with it."""
+    """Each ring cut to the rectangle; a shape already inside it is passed on as it is.
+
+    A shell with nothing left takes its holes with it, so the remaining order still holds.
+    """
+    xmin, ymin, xmax, ymax = box
+    inside = f"p_.x >= {xmin} AND p_.x <= {xmax} AND p_.y >= {ymin} AND p_.y <= {ymax}"
     clipped = f"transform({rings}, r_ -> {clip_ring_to_box('r_', *box)})"
-    return f"filter({clipped}, k_ -> size(k_) >= 4)"
+    return (
+        f"IF(forall(flatten({rings}), p_ -> {inside}), {rings}, filter({clipped}, k_ -> size(k_) >= 4))"
+    )

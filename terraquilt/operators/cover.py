@@ -10,19 +10,21 @@ from terraquilt.grid import GridSpec
 BLOCK = 64
 
 
-def cover_cells(features: DataFrame, grid: GridSpec, geometry: str = "geometry", block: int = BLOCK) -> DataFrame:
+def cover_cells(
+    features: DataFrame, grid: GridSpec, geometry: str = "geometry", block: int = BLOCK, spread: bool = True
+) -> DataFrame:
     """One row per feature and grid cell that share at least a point; adds ``row``, ``col``.
 
     Candidates come from the envelope, first as blocks of cells and then as cells. Blocks
     that miss the shape are dropped whole and cells of blocks inside it need no test, so
     a large shape pays for its border only. Touching counts.
+
+    With ``spread`` the blocks are dealt out evenly before the exact tests. Moving a row costs
+    far less than testing it, and no task is left with one huge shape or a file full of them.
     """
     kind = f"{geometry}.type"
-    prepared = features.withColumns({
-        "_env": F.expr(geo.envelope(geometry)), "_edges": F.expr(geo.geometry_edges(geometry)),
-    })
     # one cell of margin on either side covers shapes that end on a cell border
-    local = prepared.withColumns({
+    local = features.withColumn("_env", F.expr(geo.envelope(geometry))).withColumns({
         "_c0": F.expr(f"greatest({grid.col_of('_env.xmin')} - 1, 0)"),
         "_c1": F.expr(f"least({grid.col_of('_env.xmax')} + 1, {grid.width - 1})"),
         "_r0": F.expr(f"greatest({grid.row_of('_env.ymax')} - 1, 0)"),
@@ -32,28 +34,38 @@ def cover_cells(features: DataFrame, grid: GridSpec, geometry: str = "geometry",
     def blocks(axis: str) -> Column:
         return F.expr(f"explode(sequence(_{axis}0 div {block}, _{axis}1 div {block}))")
 
-    def cells(axis: str) -> Column:
-        first, last = f"_b{axis} * {block}", f"_b{axis} * {block} + {block - 1}"
-        return F.expr(
-            f"explode(sequence(greatest(_{axis}0, CAST({first} AS INT)), least(_{axis}1, CAST({last} AS INT))))"
+    def cells(axis: str, low: str, high: str, overlap: str) -> Column:
+        """Indices of a block's lines that the envelope reaches, with their edges."""
+        span = (
+            f"sequence(greatest(_{axis}0, CAST(_b{axis} * {block} AS INT)), "
+            f"least(_{axis}1, CAST(_b{axis} * {block} + {block - 1} AS INT)))"
         )
+        lines = f"transform({span}, i_ -> named_struct('i', i_, 'low', {low}, 'high', {high}))"
+        return F.expr(f"explode(filter({lines}, k_ -> {overlap}))")
 
+    split = local.withColumn("_br", blocks("r")).withColumn("_bc", blocks("c"))
+    if spread:
+        split = split.repartition(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     box = grid.box(f"(_br * {block})", f"(_bc * {block})", block, block)
     near = (
-        local.withColumn("_br", blocks("r"))
-        .withColumn("_bc", blocks("c"))
+        split.withColumn("_edges", F.expr(geo.geometry_edges(geometry)))
         .withColumn("_border", F.expr(geo.any_edge_meets_box("_edges", box)))
         .where(f"_border OR {geo.box_in_area(kind, '_edges', box)}")
     )
-    candidates = near.withColumn("row", cells("r")).withColumn("col", cells("c"))
-    exact = geo.box_intersects(kind, "_edges", grid.box("row", "col"))
-    return candidates.where(f"NOT _border OR {exact}").select(*features.columns, "row", "col")
+    x_low, y_low, x_high, y_high = grid.box("i_", "i_")
+    candidates = near.withColumn(
+        "_r", cells("r", y_low, y_high, "k_.low <= _env.ymax AND k_.high >= _env.ymin")
+    ).withColumn("_c", cells("c", x_low, x_high, "k_.low <= _env.xmax AND k_.high >= _env.xmin"))
+    exact = geo.box_intersects(kind, "_edges", ("_c.low", "_r.low", "_c.high", "_r.high"))
+    return candidates.where(f"NOT _border OR {exact}").select(
+        *features.columns, F.col("_r.i").alias("row"), F.col("_c.i").alias("col")
+    )
 
 
 def clip_area_sqft(grid: GridSpec, geometry: str = "geometry") -> Column:
     """Area of a shape within its cell, in square feet of EPSG:2263; cut in degrees, then projected."""
     pieces = geo.clip_rings_to_box(f"{geometry}.rings", grid.box("row", "col"))
-    return F.expr(geo.rings_area(geo.transform_rings(pieces, crs.to_state_plane)))
+    return F.expr(geo.rings_area(geo.transform_rings(pieces, crs.vertices_to_state_plane)))
 
 
 ENTROPY_BIN = 3

@@ -97,12 +97,12 @@ BBOX_PREDICATES = {"contains": bbox_contains, "intersects": bbox_intersects, "mi
 
 def polygon_area_sqft(geometry: str = "geometry") -> Column:
     """Planar area in square feet of EPSG:2263."""
-    return F.expr(geo.rings_area(geo.transform_rings(f"{geometry}.rings", crs.to_state_plane)))
+    return F.expr(geo.rings_area(geo.transform_rings(f"{geometry}.rings", crs.vertices_to_state_plane)))
 
 
 def line_length_ft(geometry: str = "geometry") -> Column:
     """Planar length in US survey feet of EPSG:2263."""
-    return F.expr(geo.rings_length(geo.transform_rings(f"{geometry}.rings", crs.to_state_plane)))
+    return F.expr(geo.rings_length(geo.transform_rings(f"{geometry}.rings", crs.vertices_to_state_plane)))
 
 
 def with_line_length(df: DataFrame, geometry: str = "geometry") -> DataFrame:
