@@ -1,7 +1,8 @@
-"""Planar geometry over the normal form ``struct<type, rings array<array<struct<x,y>>>>``.
+"""Planar geometry over the normal form ``struct<type, parts array<array<array<struct<x,y>>>>>``.
 
-Polygon: ring 0 is the shell, the others are holes, each closed. LineString: one open
-ring. Point: one ring of one vertex. Multi-part shapes are exploded to one row per part.
+Polygon: each part is a closed shell followed by its closed holes. LineString: each part is
+one open run of vertices. Point: one part of one run of one vertex. Multi-part shapes stay one
+row, so a feature counts once in every cell however many parts it has there.
 
 Like the transforms in :mod:`terraquilt.functions.crs`, functions take and return Spark SQL
 expression text; wrap the outermost one in ``F.expr``. Lambda variables end in an underscore.
@@ -9,7 +10,7 @@ expression text; wrap the outermost one in ``F.expr``. Lambda variables end in a
 
 from __future__ import annotations
 
-GEOMETRY_DDL = "struct<type:string,rings:array<array<struct<x:double,y:double>>>>"
+GEOMETRY_DDL = "struct<type:string,parts:array<array<array<struct<x:double,y:double>>>>>"
 
 
 def number(value: float) -> str:
@@ -23,23 +24,23 @@ def point(x: str, y: str) -> str:
     return f"named_struct('x', CAST({x} AS DOUBLE), 'y', CAST({y} AS DOUBLE))"
 
 
-def geometry(kind: str, rings: str) -> str:
+def geometry(kind: str, parts: str) -> str:
     """``kind`` is a plain name such as Polygon."""
-    return f"named_struct('type', '{kind}', 'rings', {rings})"
+    return f"named_struct('type', '{kind}', 'parts', {parts})"
 
 
 def polygon(*rings: list[tuple[str, str]]) -> str:
-    """Rings given as lists of (x, y) texts; each must already be closed."""
+    """One part; rings given as lists of (x, y) texts, each already closed."""
     arrays = ", ".join("array(" + ", ".join(point(x, y) for x, y in ring) + ")" for ring in rings)
-    return geometry("Polygon", f"array({arrays})")
+    return geometry("Polygon", f"array(array({arrays}))")
 
 
 def line(*vertices: tuple[str, str]) -> str:
-    return geometry("LineString", "array(array(" + ", ".join(point(x, y) for x, y in vertices) + "))")
+    return geometry("LineString", "array(array(array(" + ", ".join(point(x, y) for x, y in vertices) + ")))")
 
 
 def point_geometry(x: str, y: str) -> str:
-    return geometry("Point", f"array(array({point(x, y)}))")
+    return geometry("Point", f"array(array(array({point(x, y)})))")
 
 
 def box_ring(xmin: str, ymin: str, xmax: str, ymax: str) -> list[tuple[str, str]]:
@@ -61,39 +62,39 @@ def _vertex(pair: str) -> str:
     return f"named_struct('x', {pair}[0], 'y', {pair}[1])"
 
 
-def _ring(pairs: str) -> str:
+def _run(pairs: str) -> str:
     return f"transform({pairs}, v_ -> {_vertex('v_')})"
 
 
-def geometry_parts(geojson: str) -> str:
-    """GeoJSON struct with its coordinates as text to an array of normal-form geometries."""
+def geometry_from_geojson(geojson: str) -> str:
+    """GeoJSON struct with its coordinates as text to the normal form; NULL for other types."""
     def parsed(depth: int) -> str:
         return f"from_json({geojson}.coordinates, '{'array<' * depth}double{'>' * depth}')"
 
     def rings(value: str) -> str:
-        return f"transform({value}, r_ -> {_ring('r_')})"
+        return f"transform({value}, r_ -> {_run('r_')})"
 
     return f"""CASE {geojson}.type
-        WHEN 'Polygon' THEN array({geometry("Polygon", rings(parsed(3)))})
-        WHEN 'LineString' THEN array({geometry("LineString", f"array({_ring(parsed(2))})")})
-        WHEN 'Point' THEN array({geometry("Point", f"array(array({_vertex(parsed(1))}))")})
-        WHEN 'MultiPolygon' THEN transform({parsed(4)}, g_ -> {geometry("Polygon", rings("g_"))})
-        WHEN 'MultiLineString' THEN transform({parsed(3)}, g_ -> {geometry("LineString", f"array({_ring('g_')})")})
+        WHEN 'Polygon' THEN {geometry("Polygon", f"array({rings(parsed(3))})")}
+        WHEN 'MultiPolygon' THEN {geometry("Polygon", f"transform({parsed(4)}, g_ -> {rings('g_')})")}
+        WHEN 'LineString' THEN {geometry("LineString", f"array(array({_run(parsed(2))}))")}
+        WHEN 'MultiLineString' THEN {geometry("LineString", f"transform({parsed(3)}, g_ -> array({_run('g_')}))")}
+        WHEN 'Point' THEN {geometry("Point", f"array(array(array({_vertex(parsed(1))})))")}
         END"""
 
 
-def geometry_from_geojson(geojson: str) -> str:
-    """Single-part GeoJSON struct to the normal form (first part of a multi-part shape)."""
-    return f"get({geometry_parts(geojson)}, 0)"
-
-
 def geometry_to_geojson(geom: str) -> str:
     """Normal form back to GeoJSON text."""
-    pairs = f"transform({geom}.rings, r_ -> transform(r_, p_ -> array(p_.x, p_.y)))"
-    return f"""concat('{{"type":"', {geom}.type, '","coordinates":', CASE {geom}.type
-        WHEN 'Polygon' THEN to_json({pairs})
-        WHEN 'LineString' THEN to_json(get({pairs}, 0))
-        ELSE to_json(get(flatten({pairs}), 0)) END, '}}')"""
+    pairs = f"transform({geom}.parts, g_ -> transform(g_, r_ -> transform(r_, p_ -> array(p_.x, p_.y))))"
+    several = f"size({geom}.parts) > 1"
+    body = f"""CASE WHEN {geom}.type = 'Polygon' AND {several} THEN to_json({pairs})
+        WHEN {geom}.type = 'Polygon' THEN to_json(get({pairs}, 0))
+        WHEN {geom}.type = 'LineString' AND {several} THEN to_json(flatten({pairs}))
+        WHEN {geom}.type = 'LineString' THEN to_json(get(flatten({pairs}), 0))
+        ELSE to_json(get(flatten(flatten({pairs})), 0)) END"""
+    return (
+        f"""concat('{{"type":"', IF({several}, 'Multi', ''), {geom}.type, '","coordinates":', {body}, '}}')"""
+    )
 
 
 # ---------------------------------------------------------------- measures
@@ -107,18 +108,22 @@ def ring_edges(ring: str) -> str:
     )
 
 
-def edges_of_rings(rings: str) -> str:
-    return f"flatten(transform({rings}, r_ -> {ring_edges('r_')}))"
+def edges_of_parts(parts: str) -> str:
+    return f"flatten(transform(flatten({parts}), r_ -> {ring_edges('r_')}))"
 
 
 def geometry_edges(geom: str) -> str:
-    return edges_of_rings(f"{geom}.rings")
+    return edges_of_parts(f"{geom}.parts")
+
+
+def vertices(parts: str) -> str:
+    return f"flatten(flatten({parts}))"
 
 
 def envelope(geom: str) -> str:
     """Bounding box ``struct<xmin, ymin, xmax, ymax>``."""
-    xs = f"transform(flatten({geom}.rings), p_ -> p_.x)"
-    ys = f"transform(flatten({geom}.rings), p_ -> p_.y)"
+    xs = f"transform({vertices(f'{geom}.parts')}, p_ -> p_.x)"
+    ys = f"transform({vertices(f'{geom}.parts')}, p_ -> p_.y)"
     return (
         f"named_struct('xmin', array_min({xs}), 'ymin', array_min({ys}), "
         f"'xmax', array_max({xs}), 'ymax', array_max({ys}))"
@@ -132,26 +137,27 @@ def signed_ring_area(ring: str) -> str:
     return f"(aggregate({ring_edges(ring)}, 0D, (acc_, e_) -> acc_ + ({term})) / 2)"
 
 
-def rings_area(rings: str) -> str:
-    """Shell area minus the holes; 0 without rings."""
-    areas = f"transform({rings}, (r_, i_) -> abs({signed_ring_area('r_')}) * IF(i_ = 0, 1, -1))"
-    return f"aggregate({areas}, 0D, (sum_, a_) -> sum_ + a_)"
+def parts_area(parts: str) -> str:
+    """Shell areas minus the holes; 0 without parts."""
+    areas = f"transform({parts}, g_ -> transform(g_, (r_, i_) -> abs({signed_ring_area('r_')}) * IF(i_ = 0, 1, -1)))"
+    return f"aggregate(flatten({areas}), 0D, (sum_, a_) -> sum_ + a_)"
 
 
-def transform_rings(rings: str, vertices) -> str:
-    """Apply ``vertices(array of struct<x, y>) -> the same`` to every ring."""
-    return f"transform({rings}, r_ -> {vertices('r_')})"
+def transform_parts(parts: str, project) -> str:
+    """Apply ``project(array of struct<x, y>) -> the same`` to every ring or run."""
+    return f"transform({parts}, g_ -> transform(g_, r_ -> {project('r_')}))"
 
 
-def rings_length(rings: str) -> str:
+def parts_length(parts: str) -> str:
     length = "sqrt(power(e_.x2 - e_.x1, 2) + power(e_.y2 - e_.y1, 2))"
-    return f"aggregate({edges_of_rings(rings)}, 0D, (acc_, e_) -> acc_ + {length})"
+    return f"aggregate({edges_of_parts(parts)}, 0D, (acc_, e_) -> acc_ + {length})"
 
 
-def orient_rings(rings: str) -> str:
-    """Shell counter-clockwise, holes clockwise."""
+def orient_parts(parts: str) -> str:
+    """Shells counter-clockwise, holes clockwise."""
     area = signed_ring_area("r_")
-    return f"transform({rings}, (r_, i_) -> IF(({area} > 0) = (i_ = 0), r_, reverse(r_)))"
+    turned = f"transform(g_, (r_, i_) -> IF(({area} > 0) = (i_ = 0), r_, reverse(r_)))"
+    return f"transform({parts}, g_ -> {turned})"
 
 
 # ---------------------------------------------------------------- predicates
@@ -220,14 +226,13 @@ def clip_ring_to_box(ring: str, xmin: str, ymin: str, xmax: str, ymax: str) -> s
     return f"aggregate(array({sides}), {ring}, (acc_, s_) -> {closed})"
 
 
-def clip_rings_to_box(rings: str, box: tuple[str, str, str, str]) -> str:
-    """Each ring cut to the rectangle; a shape already inside it is passed on as it is.
+def clip_parts_to_box(parts: str, box: tuple[str, str, str, str]) -> str:
+    """Every ring cut to the rectangle; a shape already inside it is passed on as it is.
 
     A shell with nothing left takes its holes with it, so the remaining order still holds.
     """
     xmin, ymin, xmax, ymax = box
     inside = f"p_.x >= {xmin} AND p_.x <= {xmax} AND p_.y >= {ymin} AND p_.y <= {ymax}"
-    clipped = f"transform({rings}, r_ -> {clip_ring_to_box('r_', *box)})"
-    return (
-        f"IF(forall(flatten({rings}), p_ -> {inside}), {rings}, filter({clipped}, k_ -> size(k_) >= 4))"
-    )
+    rings = f"filter(transform(g_, r_ -> {clip_ring_to_box('r_', *box)}), k_ -> size(k_) >= 4)"
+    clipped = f"filter(transform({parts}, g_ -> {rings}), k_ -> size(k_) > 0)"
+    return f"IF(forall({vertices(parts)}, p_ -> {inside}), {parts}, {clipped})"

@@ -64,8 +64,8 @@ def cover_cells(
 
 def clip_area_sqft(grid: GridSpec, geometry: str = "geometry") -> Column:
     """Area of a shape within its cell, in square feet of EPSG:2263; cut in degrees, then projected."""
-    pieces = geo.clip_rings_to_box(f"{geometry}.rings", grid.box("row", "col"))
-    return F.expr(geo.rings_area(geo.transform_rings(pieces, crs.vertices_to_state_plane)))
+    pieces = geo.clip_parts_to_box(f"{geometry}.parts", grid.box("row", "col"))
+    return F.expr(geo.parts_area(geo.transform_parts(pieces, crs.vertices_to_state_plane)))
 
 
 ENTROPY_BIN = 3
@@ -186,8 +186,8 @@ def overlay_intersection(
 ) -> DataFrame:
     """Pairwise intersection of polygons and rectangles; pairs without common area are left out."""
     pairs = envelope_join(shapes, boxes, cell, geometry, box)
-    clipped = pairs.withColumn("_rings", F.expr(geo.clip_rings_to_box(f"{geometry}.rings", _RIGHT_BOX)))
-    shared = clipped.where(f"{geo.rings_area('_rings')} > 0")
-    return shared.withColumn(geometry, F.expr(geo.geometry("Polygon", "_rings"))).select(
+    clipped = pairs.withColumn("_parts", F.expr(geo.clip_parts_to_box(f"{geometry}.parts", _RIGHT_BOX)))
+    shared = clipped.where(f"{geo.parts_area('_parts')} > 0")
+    return shared.withColumn(geometry, F.expr(geo.geometry("Polygon", "_parts"))).select(
         *shapes.columns, *[c for c in boxes.columns if c != box]
     )

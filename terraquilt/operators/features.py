@@ -83,7 +83,7 @@ def bbox_intersects(df: DataFrame, bbox, geometry: str = "geometry") -> DataFram
 def bbox_midpoint(df: DataFrame, bbox, geometry: str = "geometry") -> DataFrame:
     """Polygons whose midpoint of shell vertices 0 and 2 lies strictly inside the rectangle."""
     x0, y0, x1, y1 = (geo.number(v) for v in bbox)
-    shell = f"get({geometry}.rings, 0)"
+    shell = f"get(get({geometry}.parts, 0), 0)"
     x, y = (f"(get({shell}, 0).{axis} + get({shell}, 2).{axis}) / 2" for axis in "xy")
     return df.where(
         f"{geometry}.type = 'Polygon' AND {x} > {x0} AND {x} < {x1} AND {y} > {y0} AND {y} < {y1}"
@@ -97,12 +97,12 @@ BBOX_PREDICATES = {"contains": bbox_contains, "intersects": bbox_intersects, "mi
 
 def polygon_area_sqft(geometry: str = "geometry") -> Column:
     """Planar area in square feet of EPSG:2263."""
-    return F.expr(geo.rings_area(geo.transform_rings(f"{geometry}.rings", crs.vertices_to_state_plane)))
+    return F.expr(geo.parts_area(geo.transform_parts(f"{geometry}.parts", crs.vertices_to_state_plane)))
 
 
 def line_length_ft(geometry: str = "geometry") -> Column:
     """Planar length in US survey feet of EPSG:2263."""
-    return F.expr(geo.rings_length(geo.transform_rings(f"{geometry}.rings", crs.vertices_to_state_plane)))
+    return F.expr(geo.parts_length(geo.transform_parts(f"{geometry}.parts", crs.vertices_to_state_plane)))
 
 
 def with_line_length(df: DataFrame, geometry: str = "geometry") -> DataFrame:

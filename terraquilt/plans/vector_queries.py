@@ -61,7 +61,7 @@ def geojson_features(spark, sf_dir):
     features = readers.read_features(spark, path, "OBJECTID BIGINT, ZONEDIST STRING, size INT", multiline=False)
     return ft.with_envelope(features).select(
         "OBJECTID", "ZONEDIST", "size", F.round("xmin", 9).alias("west"), F.round("ymax", 9).alias("north"),
-        F.size(F.flatten("geometry.rings")).alias("n_vertices"),
+        F.expr(f"size({geo.vertices('geometry.parts')})").alias("n_vertices"),
     )
 
 
@@ -84,7 +84,7 @@ def geojson_sink(spark, sf_dir):
 @query("wkt_bbox_polygon", with_inputs("zones") + """
     SELECT id, xmin AS a, ymin AS b, xmax AS c, ymax AS d, 5 AS n FROM zones""")
 def wkt_bbox_polygon(spark, sf_dir):
-    shell = F.element_at("geometry.rings", 1)
+    shell = F.col("geometry.parts")[0][0]
     return zones(spark, sf_dir).select(
         "id", shell[0]["x"].alias("a"), shell[0]["y"].alias("b"), shell[2]["x"].alias("c"), shell[2]["y"].alias("d"),
         F.size(shell).alias("n"),
@@ -147,8 +147,8 @@ def line_length(spark, sf_dir):
 def orient_ring(spark, sf_dir):
     d = donuts(spark, sf_dir)
     # the hole of the input is counter-clockwise, and every second shell is turned round first
-    mixed = "transform(geometry.rings, (g_, n_) -> IF(n_ = 0 AND id % 2 = 0, reverse(g_), g_))"
-    rings = d.select("id", F.expr(geo.orient_rings(mixed)).alias("rings"))
+    mixed = "array(transform(geometry.parts[0], (m_, n_) -> IF(n_ = 0 AND id % 2 = 0, reverse(m_), m_)))"
+    rings = d.select("id", F.expr(f"{geo.orient_parts(mixed)}[0]").alias("rings"))
     return rings.select(
         "id", F.expr(f"{geo.signed_ring_area('rings[0]')} > 0").alias("shell_ccw"),
         F.expr(f"{geo.signed_ring_area('rings[1]')} < 0").alias("hole_cw"),

@@ -65,9 +65,8 @@ def flatten_features(df: DataFrame) -> DataFrame:
 
 
 def parse_geometry(features: DataFrame, column: str = "geometry") -> DataFrame:
-    """GeoJSON struct column to the normal form, one row per part; NULL geometry is kept."""
-    parts = F.explode_outer(F.expr(geo.geometry_parts(column)))
-    return features.withColumn("_part", parts).withColumn(column, F.col("_part")).drop("_part")
+    """GeoJSON struct column to the normal form; NULL geometry is kept."""
+    return features.withColumn(column, F.expr(geo.geometry_from_geojson(column)))
 
 
 def read_features(spark: SparkSession, path: str, properties, multiline: bool = True) -> DataFrame:

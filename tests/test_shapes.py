@@ -19,7 +19,7 @@ GRID = GridSpec(0.0, 10.0, 1.0, 1.0, 10, 10)
 
 def shapes(spark, rows):
     """(id, type, rings) with rings as lists of (x, y)."""
-    data = [(i, (kind, [[tuple(map(float, p)) for p in ring] for ring in rings])) for i, kind, rings in rows]
+    data = [(i, (kind, [[[tuple(map(float, p)) for p in ring] for ring in rings]])) for i, kind, rings in rows]
     return spark.createDataFrame(data, f"id int, geometry {geo.GEOMETRY_DDL}")
 
 
@@ -138,8 +138,8 @@ def test_ring_orientation_and_area(spark):
     hole = [(0.5, 0.5), (1, 0.5), (1, 1), (0.5, 1), (0.5, 0.5)]
     df = shapes(spark, [(0, "Polygon", [square, hole])])
     r = df.select(
-        F.expr(geo.rings_area("geometry.rings")).alias("area"),
-        F.expr(f"transform({geo.orient_rings('geometry.rings')}, r_ -> {geo.signed_ring_area('r_')})").alias("signed"),
+        F.expr(geo.parts_area("geometry.parts")).alias("area"),
+        F.expr(f"transform({geo.orient_parts('geometry.parts')}[0], r_ -> {geo.signed_ring_area('r_')})").alias("signed"),
     ).first()
     assert r.area == pytest.approx(3.75)
     assert r.signed == pytest.approx([4.0, -0.25])
@@ -218,12 +218,15 @@ def test_geojson_round_trip_and_parts(spark, tmp_path):
     path.write_text(json.dumps(collection, indent=1))
     parts = readers.read_features(spark, str(path), "name STRING, n INT")
     rows = parts.orderBy("name").collect()
-    assert [r.name for r in rows] == ["a", "b", "b", "c", "d"]
-    assert rows[3].geometry is None and rows[4].geometry.rings[0][0].y == 0.25
+    assert [r.name for r in rows] == ["a", "b", "c", "d"]
+    assert [len(r.geometry.parts) for r in rows[:2]] == [1, 2]
+    assert rows[2].geometry is None and rows[3].geometry.parts[0][0][0].y == 0.25
     out = str(tmp_path / "lines")
     writers.write_features(parts, out)
     back = readers.read_features(spark, out, "id STRING, name STRING, n INT", multiline=False)
-    assert back.count() == 5
+    assert back.count() == 4
+    again = {r.name: r.geometry for r in back.collect()}
+    assert again == {r.name: r.geometry for r in rows}
     line = spark.read.text(out).where(F.col("value").contains('"name":"d"')).first().value
     assert json.loads(line) == {
         "type": "Feature", "properties": {"id": "4", "name": "d", "n": 4},
@@ -231,6 +234,17 @@ def test_geojson_round_trip_and_parts(spark, tmp_path):
     }
 
 
+def test_a_shape_of_two_parts_counts_once_per_cell(spark):
+    left = [(1.1, 1.1), (1.4, 1.1), (1.4, 1.4), (1.1, 1.1)]
+    right = [(1.6, 1.6), (2.5, 1.6), (2.5, 1.9), (1.6, 1.6)]
+    parts = [[[tuple(p) for p in left]], [[tuple(p) for p in right]]]
+    shape = spark.createDataFrame([(0, ("Polygon", parts))], f"id int, geometry {geo.GEOMETRY_DDL}")
+    got = cover.cover_cells(shape, GRID).select("row", "col").collect()
+    assert sorted(map(tuple, got)) == [(8, 1), (8, 2)]
+    area = shape.select(F.expr(geo.parts_area("geometry.parts")).alias("a")).first().a
+    assert area == pytest.approx(0.045 + 0.135)
+
+
 def test_overlay_intersection_clips_to_the_tile(spark):
     triangle = shapes(spark, [(0, "Polygon", [[(0, 0), (4, 0), (0, 4), (0, 0)]])])
     tiles = spark.range(1).select(
@@ -239,5 +253,5 @@ def test_overlay_intersection_clips_to_the_tile(spark):
         )])).alias("t")
     ).select("t.*")
     pieces = cover.overlay_intersection(triangle, tiles, cell=1.0)
-    got = {r.tile: r.a for r in pieces.select("tile", F.expr(geo.rings_area("geometry.rings")).alias("a")).collect()}
+    got = {r.tile: r.a for r in pieces.select("tile", F.expr(geo.parts_area("geometry.parts")).alias("a")).collect()}
     assert got == pytest.approx({1: 1.0, 2: 0.5, 4: 8.0})
