@@ -63,9 +63,11 @@ def group_median_fill(
     """Replace NULL by the median of the row's group; a group without values keeps NULL.
 
     All columns share one percentile job. ``medians_from`` may name a cheaper table with
-    the same groups and columns to take the medians from.
+    the same groups and columns to take the medians from. The medians are broadcast if a
+    first look finds few groups, because a join on a handful of groups would pile them up.
     """
     source = df if medians_from is None else medians_from
+    groups = source.agg(F.approx_count_distinct(group)).first()[0]
     long = source.select(
         F.col(group).alias("_group"),
         F.inline(F.array(*[
@@ -76,6 +78,8 @@ def group_median_fill(
     wide = medians.groupBy("_group").agg(*[
         F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"_m{i}") for i, c in enumerate(columns)
     ])
+    if groups <= MAX_BROADCAST_LABELS:
+        wide = F.broadcast(wide)
     filled = df.join(wide, df[group].eqNullSafe(wide["_group"]), "left").withColumns({
         c: F.coalesce(F.col(c), F.col(f"_m{i}")) for i, c in enumerate(columns)
     })

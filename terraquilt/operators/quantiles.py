@@ -66,7 +66,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         F.min(F.when(over, F.col("_v"))).alias("_after"),
     )
     running = Window.partitionBy(*keys, "w.name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = ranked.where((F.col("_v") >= F.col("w.lo")) & (F.col("_v") <= F.col("w.hi"))).select(
+    # coalesced, so that no NULL filter is derived and both branches read one shuffle of counts
+    bracketed = F.coalesce((F.col("_v") >= F.col("w.lo")) & (F.col("_v") <= F.col("w.hi")), F.lit(False))
+    inside = ranked.where(bracketed).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("w.name").alias("_in"),
         "_v",

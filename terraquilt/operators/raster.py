@@ -332,7 +332,10 @@ def raster_summary(pixels: DataFrame) -> DataFrame:
         F.stddev_pop(value).alias("std"),
     )
     percentiles = exact_percentiles(pixels, keys, "value", {"p05": 0.05, "p95": 0.95, "p995": 0.995})
-    return moments.join(percentiles, keys)
+    # NULL-safe, so that no key filter reaches only one of the two uses of the counted values
+    right = percentiles.withColumnsRenamed({"raster_id": "_r", "band": "_b"})
+    same = moments["raster_id"].eqNullSafe(right["_r"]) & moments["band"].eqNullSafe(right["_b"])
+    return moments.join(right, same).drop("_r", "_b")
 
 
 def raster_histogram(pixels: DataFrame, edges: int = 40) -> DataFrame:

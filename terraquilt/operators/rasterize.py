@@ -72,12 +72,12 @@ def rasterize_zoning(zones: DataFrame, grid: GridSpec) -> DataFrame:
 def bands_to_pixels(wide: DataFrame, raster_id: str, bands: list[str]) -> DataFrame:
     """Wide cell table to pixel rows; band numbers follow the given order."""
     entries = F.array(*[
-        F.struct(F.lit(i).alias("band"), F.col(b).cast("double").alias("value"))
+        F.struct(
+            F.lit(raster_id).alias("raster_id"), F.lit(i).alias("band"), F.col(b).cast("double").alias("value")
+        )
         for i, b in enumerate(bands, start=1)
     ])
-    return wide.select(F.lit(raster_id).alias("raster_id"), "row", "col", F.inline(entries)).select(
-        "raster_id", "band", "row", "col", "value"
-    )
+    return wide.select("row", "col", F.inline(entries)).select("raster_id", "band", "row", "col", "value")
 
 
 def band_table(spark, raster_id: str, bands: list[str], suffix: str = "") -> DataFrame:

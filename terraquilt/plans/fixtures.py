@@ -40,15 +40,15 @@ TEMPLATES = {
                min(o_totalprice) AS deseasonalized
         FROM {orders} GROUP BY 1, 2, 3""",
     "pixels": """
-        SELECT 'grid' AS raster_id, 1 AS band, CAST(event_id {div} 100 AS INT) AS row,
+        SELECT {grid_id} AS raster_id, {band_1} AS band, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col, value
         FROM {events}""",
     "holes": """
-        SELECT 'grid' AS raster_id, 1 AS band, CAST(event_id {div} 100 AS INT) AS row,
+        SELECT {grid_id} AS raster_id, {band_1} AS band, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col, value
         FROM {events} WHERE event_type <> 'error'""",
     "spectral": """
-        SELECT 'landsat_8' AS raster_id, CAST(event_id {div} 100 AS INT) AS row,
+        SELECT {scene_id} AS raster_id, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col,
                CAST(200 + event_id * 37 % 3001 AS DOUBLE) AS red,
                CAST(150 + event_id * 53 % 2503 AS DOUBLE) AS blue,
@@ -58,7 +58,7 @@ TEMPLATES = {
                CAST(220 + event_id * 131 % 3203 AS DOUBLE) AS swir22
         FROM {events}""",
     "sources": """
-        SELECT 'grid' AS raster_id, 1 AS band, CAST(event_id {div} 100 AS INT) AS row,
+        SELECT {grid_id} AS raster_id, {band_1} AS band, CAST(event_id {div} 100 AS INT) AS row,
                CAST(event_id % 100 AS INT) AS col,
                CASE WHEN event_type = 'purchase' AND value > 150 THEN CAST(1 AS DOUBLE)
                     ELSE CAST(0 AS DOUBLE) END AS value
@@ -127,6 +127,14 @@ TEMPLATES = {
         FROM {customer}""",
 }
 
+# Raster keys depend on a column, as in a stored pixel table. Plain literals would be folded
+# away and turn equi-joins on them into nested loops.
+RASTER_KEYS = {
+    "grid_id": "CASE WHEN event_id >= 0 THEN 'grid' END",
+    "band_1": "CASE WHEN event_id >= 0 THEN 1 END",
+    "scene_id": "CASE WHEN event_id >= 0 THEN 'landsat_8' END",
+}
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -135,7 +143,7 @@ TABLES = (
 
 def checking_sql(name: str) -> str:
     """The input as SQL over the registered views."""
-    return TEMPLATES[name].format(div="//", **{t: t for t in TABLES})
+    return TEMPLATES[name].format(div="//", **RASTER_KEYS, **{t: t for t in TABLES})
 
 
 def with_inputs(*names: str) -> str:
@@ -146,7 +154,7 @@ def with_inputs(*names: str) -> str:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The input as a DataFrame over the Parquet tables of a directory."""
     paths = {t: f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`" for t in TABLES}
-    return spark.sql(TEMPLATES[name].format(div="div", **paths))
+    return spark.sql(TEMPLATES[name].format(div="div", **RASTER_KEYS, **paths))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -214,7 +214,7 @@ def glcm_texture(spark, sf_dir):
                 FROM t JOIN f USING (row, col))
        ON contrast, dissimilarity, homogeneity, energy, correlation, "ASM", mean, std_dev INTO NAME op VALUE v)""")
 def neighbourhood_features(spark, sf_dir):
-    pixels = load(spark, sf_dir, "pixels").withColumn("raster_id", F.lit("landsat_8"))
+    pixels = load(spark, sf_dir, "pixels").withColumn("raster_id", F.replace("raster_id", F.lit("grid"), F.lit("landsat_8")))
     features = fc.neighbourhood_features(pixels, bands(spark, "landsat_8", "value"), 1, dense=True)
     return rounded(features.select("name", "row", "col", "value"), 9)
 
@@ -232,7 +232,8 @@ def octile_sql(cells: str, sources: str) -> str:
 @query("distance_transform", with_inputs("sources") + """,
     marked AS (SELECT row, col FROM sources WHERE value > 0) """ + octile_sql("sources", "marked"))
 def distance_transform(spark, sf_dir):
-    distances = ds.distance_transform(load(spark, sf_dir, "sources"))
+    side = max(100, pixel_height(spark, sf_dir))
+    distances = ds.distance_transform(load(spark, sf_dir, "sources"), longest_side=side)
     return rounded(distances.select("row", "col", "distance"))
 
 
@@ -246,7 +247,8 @@ ZONE_BANDS = tuple(rz.ZONE_COUNT_BANDS)
     f" SELECT '{b}_distance' AS name, row, col, distance AS value FROM {b} " for i, b in enumerate(ZONE_BANDS)))
 def zoning_distance(spark, sf_dir):
     pixels = rz.bands_to_pixels(load(spark, sf_dir, "zone_counts"), "nyzd", list(ZONE_BANDS))
-    distances, meta = ds.zoning_distance(pixels, bands(spark, "nyzd", *ZONE_BANDS))
+    side = max(100, pixel_height(spark, sf_dir))
+    distances, meta = ds.zoning_distance(pixels, bands(spark, "nyzd", *ZONE_BANDS), side)
     return rounded(distances.join(meta, ["raster_id", "band"]).select("name", "row", "col", "value"))
 
 

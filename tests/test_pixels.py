@@ -97,12 +97,12 @@ def test_texture_matches_matrix(spark, size, holes):
         assert r.ASM == pytest.approx(r.energy**2)
 
 
-@pytest.mark.parametrize("block", [4096, 5])
-def test_distance_matches_all_sources(spark, block):
+@pytest.mark.parametrize("block, side", [(4096, None), (5, None), (4096, 33)])
+def test_distance_matches_all_sources(spark, block, side):
     rng = np.random.default_rng(3)
     grid = (rng.random((20, 33)) < 0.02).astype(float)
     sources = np.argwhere(grid > 0)
-    got = distance.distance_transform(pixel_table(spark, grid), block).collect()
+    got = distance.distance_transform(pixel_table(spark, grid), block, side).collect()
     assert len(got) == grid.size
     for r in got:
         gaps = np.abs(sources - (r.row, r.col))
@@ -116,11 +116,22 @@ def test_distance_without_source_is_infinite(spark):
     assert {r.distance for r in got} == {math.inf}
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
 def test_distance_shuffles_once_per_sweep(spark):
-    result = distance.distance_transform(pixel_table(spark, np.eye(6)))
-    result.collect()
-    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("ReusedExchange") == 4
+    pixels = pixel_table(spark, np.eye(6))
+    blocked = final_plan(distance.distance_transform(pixels))
+    assert blocked.count("ReusedExchange") == 4 and blocked.count("REPARTITION_BY_COL") == 8
+    short = final_plan(distance.distance_transform(pixels, longest_side=6))
+    assert short.count("Exchange hashpartitioning") == 4
+
+
+def test_focal_needs_one_shuffle(spark):
+    plan = final_plan(focal.focal_statistics(pixel_table(spark, np.eye(6)), 1, ("mean", "std_dev", "median")))
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_octile_known_answer(spark):
