@@ -23,30 +23,16 @@ def mean_of_two(a: Column, b: Column) -> Column:
     return (a + b) / F.lit(2.0)
 
 
-def bearing_degrees(dx: Column, dy: Column) -> Column:
-    """Direction of a vector in ``[0, 360)``, counter-clockwise from east."""
-    angle = F.degrees(F.atan2(dy, dx))
-    return F.when(angle < 0, angle + 360).otherwise(angle)
-
-
-# Half-open compass sectors [from, to) in degrees; everything else is E-W.
-BEARING_SECTORS = (
-    (22.5, 67.5, "NE-SW"),
-    (67.5, 112.5, "N-S"),
-    (112.5, 157.5, "NW-SE"),
-    (157.5, 202.5, "NE-SW"),
-    (247.5, 292.5, "N-S"),
-    (292.5, 337.5, "NW-SE"),
-)
+# Compass classes of the eight 45-degree sectors that start at 22.5 degrees,
+# counter-clockwise from east; each sector includes its lower edge.
+BEARING_SECTORS = ("NE-SW", "N-S", "NW-SE", "NE-SW", "E-W", "N-S", "NW-SE", "E-W")
 
 
 def bearing_class(dx: Column, dy: Column) -> Column:
     """Compass class of a segment; NULL ends fall into E-W."""
-    angle = bearing_degrees(dx, dy)
-    label = F.lit(None).cast("string")
-    for low, high, name in BEARING_SECTORS:
-        label = F.coalesce(label, F.when((angle >= low) & (angle < high), F.lit(name)))
-    return F.coalesce(label, F.lit("E-W"))
+    turned = F.pmod(F.degrees(F.atan2(dy, dx)) - F.lit(22.5), F.lit(360.0))
+    sectors = F.array(*[F.lit(name) for name in BEARING_SECTORS])
+    return F.coalesce(F.get(sectors, F.floor(turned / 45).cast("int")), F.lit("E-W"))
 
 
 def quantise(value: Column, low: Column, high: Column, levels: int = 16) -> Column:

@@ -10,6 +10,16 @@ from terraquilt.grid import GridSpec
 BLOCK = 64
 
 
+def once(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add columns that are computed once per row and not again at each place they are used.
+
+    A projected expression may be copied into filters below it; the output of a generator
+    is not.
+    """
+    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
+    return df.select("*", F.expr(f"inline(array(named_struct({fields})))"))
+
+
 def cover_cells(
     features: DataFrame, grid: GridSpec, geometry: str = "geometry", block: int = BLOCK, spread: bool = True
 ) -> DataFrame:
@@ -24,15 +34,18 @@ def cover_cells(
     """
     kind = f"{geometry}.type"
     # one cell of margin on either side covers shapes that end on a cell border
-    local = features.withColumn("_env", F.expr(geo.envelope(geometry))).withColumns({
+    local = once(features, {"_env": geo.envelope(geometry)}).withColumns({
         "_c0": F.expr(f"greatest({grid.col_of('_env.xmin')} - 1, 0)"),
         "_c1": F.expr(f"least({grid.col_of('_env.xmax')} + 1, {grid.width - 1})"),
         "_r0": F.expr(f"greatest({grid.row_of('_env.ymax')} - 1, 0)"),
         "_r1": F.expr(f"least({grid.row_of('_env.ymin')} + 1, {grid.height - 1})"),
-    }).where("_c0 <= _c1 AND _r0 <= _r1")
+    })
 
     def blocks(axis: str) -> Column:
-        return F.expr(f"explode(sequence(_{axis}0 div {block}, _{axis}1 div {block}))")
+        """Blocks the envelope reaches; none if it misses the grid."""
+        low, high = f"_{axis}0", f"_{axis}1"
+        span = f"sequence({low} div {block}, {high} div {block})"
+        return F.expr(f"explode(IF({low} <= {high}, {span}, slice(sequence(0L, 0L), 1, 0)))")
 
     def cells(axis: str, low: str, high: str, overlap: str) -> Column:
         """Indices of a block's lines that the envelope reaches, with their edges."""
@@ -48,7 +61,7 @@ def cover_cells(
         split = split.repartition(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     box = grid.box(f"(_br * {block})", f"(_bc * {block})", block, block)
     near = (
-        split.withColumn("_edges", F.expr(geo.geometry_edges(geometry)))
+        once(split, {"_edges": geo.geometry_edges(geometry)})
         .withColumn("_border", F.expr(geo.any_edge_meets_box("_edges", box)))
         .where(f"_border OR {geo.box_in_area(kind, '_edges', box)}")
     )
@@ -153,7 +166,7 @@ def envelope_join(
     holding the larger of the two lower-left corners, so nothing has to be made distinct.
     """
     def binned(df: DataFrame, geometry: str, side: str) -> DataFrame:
-        placed = df.withColumn(f"_{side}", F.expr(geo.envelope(geometry)))
+        placed = once(df, {f"_{side}": geo.envelope(geometry)})
         for axis in "xy":
             low, high = f"_{side}.{axis}min", f"_{side}.{axis}max"
             bins = f"explode(sequence(floor({low} / {cell}D), floor({high} / {cell}D)))"
@@ -186,7 +199,7 @@ def overlay_intersection(
 ) -> DataFrame:
     """Pairwise intersection of polygons and rectangles; pairs without common area are left out."""
     pairs = envelope_join(shapes, boxes, cell, geometry, box)
-    clipped = pairs.withColumn("_parts", F.expr(geo.clip_parts_to_box(f"{geometry}.parts", _RIGHT_BOX)))
+    clipped = once(pairs, {"_parts": geo.clip_parts_to_box(f"{geometry}.parts", _RIGHT_BOX)})
     shared = clipped.where(f"{geo.parts_area('_parts')} > 0")
     return shared.withColumn(geometry, F.expr(geo.geometry("Polygon", "_parts"))).select(
         *shapes.columns, *[c for c in boxes.columns if c != box]

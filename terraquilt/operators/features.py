@@ -49,9 +49,8 @@ def before_timestamp(value: Column, limit: str) -> Column:
 
 def with_envelope(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Bounding box as four columns; stored in Parquet they let a scan skip row groups."""
-    return df.withColumn("_env", F.expr(geo.envelope(geometry))).select(
-        *[c for c in df.columns if c not in ENVELOPE], *[F.col(f"_env.{n}").alias(n) for n in ENVELOPE]
-    )
+    kept = [c for c in df.columns if c not in ENVELOPE]
+    return df.select(*kept, F.expr(f"inline(array({geo.envelope(geometry)}))"))
 
 
 def _enveloped(df: DataFrame, geometry: str) -> DataFrame:
@@ -142,7 +141,8 @@ def filter_buildings(raw: DataFrame, cfg: JobConfig = JobConfig(), predicate: st
         "lstmoddate", F.try_to_timestamp("lstmoddate")
     )
     local = BBOX_PREDICATES[predicate](building_attr_filter(typed, cfg), cfg.bbox)
-    return area_threshold(local.withColumn("shape_area", polygon_area_sqft()), cfg.min_area_sqft)
+    area = F.inline(F.array(F.struct(polygon_area_sqft().alias("shape_area"))))
+    return area_threshold(local.select("*", area), cfg.min_area_sqft)
 
 
 def building_features(buildings: DataFrame) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from terraquilt.functions.maths import null_if_nan
 from terraquilt.operators.quantiles import exact_percentiles
-from terraquilt.session import cut_lineage
+from terraquilt.session import MAX_BROADCAST_ROWS, cut_lineage
 
-MAX_BROADCAST_LABELS = 100_000
+# The built-in exact percentile keeps every distinct value of a group in memory.
+MAX_PERCENTILE_ROWS = 1_000_000
 
 
 def _few_labels(labels: DataFrame, column: str) -> DataFrame:
@@ -38,7 +40,7 @@ def _many_labels(labels: DataFrame, column: str) -> DataFrame:
     return placed.join(shifts, "_part").select("_label", (F.col("_shift") + F.col("_row")).alias("_code"))
 
 
-def label_encode(df: DataFrame, columns: list[str], max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+def label_encode(df: DataFrame, columns: list[str], max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Replace each category by its 0-based position among the sorted distinct values.
 
     Byte order, as in ``'MX-9' < 'MiD'``; NULL stays NULL. One pass estimates the sizes of
@@ -57,17 +59,8 @@ def label_encode(df: DataFrame, columns: list[str], max_broadcast: int = MAX_BRO
     return encoded.select(*df.columns)
 
 
-def group_median_fill(
-    df: DataFrame, group: str, columns: list[str], medians_from: DataFrame | None = None
-) -> DataFrame:
-    """Replace NULL by the median of the row's group; a group without values keeps NULL.
-
-    All columns share one percentile job. ``medians_from`` may name a cheaper table with
-    the same groups and columns to take the medians from. The medians are broadcast if a
-    first look finds few groups, because a join on a handful of groups would pile them up.
-    """
-    source = df if medians_from is None else medians_from
-    groups = source.agg(F.approx_count_distinct(group)).first()[0]
+def _medians(source: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    """Medians of any number of rows, all columns in one percentile job."""
     long = source.select(
         F.col(group).alias("_group"),
         F.inline(F.array(*[
@@ -75,10 +68,34 @@ def group_median_fill(
         ])),
     )
     medians = exact_percentiles(long, ["_group", "_column"], "_x", {"_median": 0.5})
-    wide = medians.groupBy("_group").agg(*[
+    return medians.groupBy("_group").agg(*[
         F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"_m{i}") for i, c in enumerate(columns)
     ])
-    if groups <= MAX_BROADCAST_LABELS:
+
+
+def group_median_fill(
+    df: DataFrame,
+    group: str,
+    columns: list[str],
+    medians_from: DataFrame | None = None,
+    small: int = MAX_PERCENTILE_ROWS,
+) -> DataFrame:
+    """Replace NULL by the median of the row's group; a group without values keeps NULL.
+
+    ``medians_from`` may name a cheaper table with the same groups and columns to take the
+    medians from. A first look counts rows and groups: up to ``small`` rows the built-in exact
+    percentile is bounded and quick, beyond that the bracketing one is used. The medians are
+    broadcast if the groups are few, because a join on a handful of groups would pile them up.
+    """
+    source = df if medians_from is None else medians_from
+    groups, rows = source.agg(F.approx_count_distinct(group), F.count(F.lit(1))).first()
+    if rows <= small:
+        wide = source.groupBy(F.col(group).alias("_group")).agg(*[
+            F.percentile(null_if_nan(F.col(c).cast("double")), 0.5).alias(f"_m{i}") for i, c in enumerate(columns)
+        ])
+    else:
+        wide = _medians(source, group, columns)
+    if groups <= MAX_BROADCAST_ROWS:
         wide = F.broadcast(wide)
     filled = df.join(wide, df[group].eqNullSafe(wide["_group"]), "left").withColumns({
         c: F.coalesce(F.col(c), F.col(f"_m{i}")) for i, c in enumerate(columns)

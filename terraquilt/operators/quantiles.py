@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from terraquilt.session import broadcast_if_small
+
 # The sketch is off by at most n / ACCURACY ranks; the bracket is twice that wide on either side.
 ACCURACY = 50000
 MARGIN = 2.0 / ACCURACY
@@ -49,7 +51,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         )
         for i, name in enumerate(names)
     ])
-    brackets = sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], wanted.alias("_wanted"))
+    brackets = broadcast_if_small(
+        sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], wanted.alias("_wanted"))
+    )
 
     counted = numbers.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = counted.join(brackets, _same(counted, keys, brackets)).select(

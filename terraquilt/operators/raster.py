@@ -13,6 +13,7 @@ from terraquilt.functions.maths import null_if_nan, safe_ratio
 from terraquilt.grid import GridSpec
 from terraquilt.operators.cover import cover_cells
 from terraquilt.operators.quantiles import exact_percentiles
+from terraquilt.session import broadcast_if_small, cut_lineage
 
 PIXEL_COLUMNS = ("raster_id", "band", "row", "col", "value")
 
@@ -222,7 +223,9 @@ def block_mean(pixels: DataFrame, sizes: DataFrame) -> DataFrame:
     ``sizes`` holds ``raster_id, height, width, out_height, out_width``. Where a target
     cell border cuts a pixel, the pixel counts with the exact share on either side.
     """
-    sized = pixels.where(F.col("value").isNotNull()).join(sizes, "raster_id").withColumn("_w", F.lit(1).cast("bigint"))
+    sized = pixels.where(F.col("value").isNotNull()).join(broadcast_if_small(sizes), "raster_id").withColumn(
+        "_w", F.lit(1).cast("bigint")
+    )
     split = _resample_axis(sized, "row", F.col("height"), F.col("out_height"))
     split = _resample_axis(split, "col", F.col("width"), F.col("out_width"))
     return split.groupBy("raster_id", "band", "row", "col").agg(
@@ -252,7 +255,7 @@ def block_positive_count(pixels: DataFrame, extents: DataFrame, block: int, mode
     def samples(size: str) -> Column:
         return F.expr(f"({size} + {block - 1}) div {block}")
 
-    keyed = pixels.join(extents, "raster_id").select(
+    keyed = pixels.join(broadcast_if_small(extents), "raster_id").select(
         "raster_id", sample("row").alias("row"), sample("col").alias("col"), "value",
         samples("height").alias("_h"), samples("width").alias("_w"),
     )
@@ -262,6 +265,8 @@ def block_positive_count(pixels: DataFrame, extents: DataFrame, block: int, mode
 
 def resample_canopy(pixels: DataFrame, extents: DataFrame, block: int, mode: str = "centred") -> DataFrame:
     """Average height and number of canopy pixels on the coarser grid."""
+    extents = cut_lineage(extents)
+
     def reduced(size: str) -> Column:
         return F.expr(f"CAST(({size} + {block - 1}) div {block} AS INT)")
 

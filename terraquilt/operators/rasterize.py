@@ -9,6 +9,7 @@ from terraquilt.operators.cover import (
     EMPTY, cell_statistics, clip_area_sqft, cover_cells, on_grid, statistic,
 )
 from terraquilt.operators.labels import group_median_fill, label_encode
+from terraquilt.session import small_table
 
 # Category-count bands and the zone letter each one counts.
 ZONE_COUNT_BANDS = {"has_residence": "R", "has_manufacture": "M", "has_commercial": "C", "has_park": "P"}
@@ -83,4 +84,4 @@ def bands_to_pixels(wide: DataFrame, raster_id: str, bands: list[str]) -> DataFr
 def band_table(spark, raster_id: str, bands: list[str], suffix: str = "") -> DataFrame:
     """Names of a raster's bands, numbered from 1."""
     rows = [(raster_id, i, f"{b}{suffix}") for i, b in enumerate(bands, start=1)]
-    return spark.createDataFrame(rows, "raster_id string, band int, name string")
+    return small_table(spark, rows, "raster_id string, band int, name string")

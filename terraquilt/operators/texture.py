@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terraquilt.functions.maths import null_if_nan, quantise
 from terraquilt.operators.tiling import TILE, TILE_KEYS, halo_tiles
+from terraquilt.session import broadcast_if_small
 
 # Property names.
 PROPERTIES = ("contrast", "dissimilarity", "homogeneity", "energy", "correlation", "ASM")
@@ -28,7 +29,7 @@ def quantise_16(pixels: DataFrame, levels: int = LEVELS) -> DataFrame:
     value = null_if_nan(F.col("value").cast("double"))
     ranges = pixels.groupBy("raster_id", "band").agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     return (
-        pixels.join(ranges, ["raster_id", "band"])
+        pixels.join(broadcast_if_small(ranges), ["raster_id", "band"])
         .withColumn("level", quantise(value, F.col("_lo"), F.col("_hi"), levels))
         .drop("_lo", "_hi")
     )

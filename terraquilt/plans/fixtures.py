@@ -161,10 +161,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _shaped(df: DataFrame, shape: str, geometry: str = "geometry") -> DataFrame:
+    """Add a geometry as a value of the row, as if it had been stored."""
+    return df.select("*", F.expr(f"inline(array(named_struct('{geometry}', {shape})))"))
+
+
 def rectangles(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Replace the four rectangle columns by a geometry."""
-    box = F.expr(geo.box_polygon("xmin", "ymin", "xmax", "ymax"))
-    return df.withColumn(geometry, box).drop("xmin", "ymin", "xmax", "ymax", "side")
+    shaped = _shaped(df, geo.box_polygon("xmin", "ymin", "xmax", "ymax"), geometry)
+    return shaped.drop("xmin", "ymin", "xmax", "ymax", "side")
 
 
 def buildings(spark, sf_dir) -> DataFrame:
@@ -179,21 +184,21 @@ def zones(spark, sf_dir) -> DataFrame:
 def triangles(spark, sf_dir) -> DataFrame:
     """Lower-left triangle of every zone rectangle."""
     shape = geo.polygon([("xmin", "ymin"), ("xmax", "ymin"), ("xmin", "ymax"), ("xmin", "ymin")])
-    return load(spark, sf_dir, "zones").select("id", F.expr(shape).alias("geometry"))
+    return _shaped(load(spark, sf_dir, "zones"), shape).select("id", "geometry")
 
 
 def donuts(spark, sf_dir) -> DataFrame:
     """Zone rectangles with a hole over their middle half."""
     hole = geo.box_ring("xmin + side / 4", "ymin + side / 4", "xmax - side / 4", "ymax - side / 4")
     shape = geo.polygon(geo.box_ring("xmin", "ymin", "xmax", "ymax"), hole)
-    return load(spark, sf_dir, "zones").select("id", F.expr(shape).alias("geometry"))
+    return _shaped(load(spark, sf_dir, "zones"), shape).select("id", "geometry")
 
 
 def streets(spark, sf_dir) -> DataFrame:
     """Street segments: line geometry in degrees, end points in feet, padded text attributes."""
     s = load(spark, sf_dir, "streets")
-    shape = F.expr(geo.line(("xfrom", "yfrom"), ("xto", "yto")))
-    return s.withColumn("geometry", shape).drop("xfrom", "yfrom", "xto", "yto").withColumnsRenamed(
+    shape = geo.line(("xfrom", "yfrom"), ("xto", "yto"))
+    return _shaped(s, shape).drop("xfrom", "yfrom", "xto", "yto").withColumnsRenamed(
         {"id": "OBJECTID", "feet_x": "XFrom", "feet_y": "YFrom"}
     ).withColumns({"XTo": F.col("XFrom") + F.col("feet_dx"), "YTo": F.col("YFrom") + F.col("feet_dy")}).drop(
         "feet_dx", "feet_dy"

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terraquilt.config import JobConfig
 from terraquilt.grid import GridSpec
 from terraquilt.operators import distance, features as ft, focal, raster as rs, rasterize as rz, sampling
+from terraquilt.session import small_table
 from terraquilt.sources import readers, writers
 from terraquilt.streaming import skip_existing
 
@@ -114,7 +115,7 @@ def layer_band_table(spark: SparkSession, grids: dict[str, GridSpec]) -> DataFra
     for raster_id in grids:
         layer, resolution = raster_id.rsplit("_res", 1)
         rows += [(raster_id, i, f"{b}_res{resolution}") for i, b in enumerate(LAYER_BANDS[layer], start=1)]
-    return spark.createDataFrame(rows, "raster_id string, band int, name string")
+    return small_table(spark, rows, "raster_id string, band int, name string")
 
 
 def _wide(pixels: DataFrame, raster_id: str, names: dict[int, str]) -> DataFrame:

@@ -10,7 +10,7 @@ from terraquilt.operators import cover as cv, distance as ds, focal as fc, raste
 from terraquilt.operators import sampling as sm, texture as tx
 from terraquilt.plans.fixtures import BBOX, load, num, pixel_height, with_inputs, zones
 from terraquilt.plans.registry import query, rounded
-from terraquilt.session import fresh_path
+from terraquilt.session import fresh_path, small_table
 from terraquilt.sources import readers, writers
 
 KEYS = ("raster_id", "band", "row", "col")
@@ -324,7 +324,8 @@ def raster_mosaic(spark, sf_dir):
         for name, (_, _, order) in MOSAIC_PARTS.items()
     ])
     pixels = holes.select("*", F.inline(parts)).withColumn("value", F.col("value") + F.col("lift")).drop("lift")
-    meta = spark.createDataFrame(
+    meta = small_table(
+        spark,
         [(n, -74.0 + c * 0.25, 40.0 - r * 0.5, 0.25, 0.5, o) for n, (r, c, o) in MOSAIC_PARTS.items()],
         "raster_id string, x0 double, y1 double, px double, py double, file_order int",
     )

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+MAX_BROADCAST_ROWS = 100_000
 
 
 def build_session(app: str = "terraquilt", master: str | None = None, **conf) -> SparkSession:
@@ -52,3 +54,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def broadcast_if_small(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Settle a narrow aggregate and broadcast it if its counted rows allow.
+
+    Spark estimates an aggregate by the size of its input, so a join with one row per raster
+    would be planned as a shuffle of all pixels. The aggregate is checkpointed, hence computed
+    once, and then counted; beyond the limit the join stays an ordinary one.
+    """
+    settled = cut_lineage(table)
+    return F.broadcast(settled) if settled.count() <= limit else settled
+
+
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few literal rows as a local relation, whose size the planner knows."""
+    names = ", ".join(part.strip().split(" ")[0] for part in ddl.split(","))
+    values = ", ".join(
+        "(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else repr(v) for v in row) + ")"
+        for row in rows
+    )
+    casts = [f"CAST({p.strip().split(' ')[0]} AS {p.strip().split(' ')[1]})" for p in ddl.split(",")]
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})").selectExpr(
+        *[f"{cast} AS {name}" for cast, name in zip(casts, names.split(", "))]
+    )

@@ -95,10 +95,11 @@ def test_many_labels_are_dense(spark):
     assert all(r.c == expected[r.text] for r in rows)
 
 
-def test_group_median_fill(spark):
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_group_median_fill(spark, small):
     rows = [("a", 1.0, None), ("a", 2.0, 5.0), ("a", None, 7.0), ("b", None, None), (None, 4.0, 1.0), (None, None, 1.0)]
     df = spark.createDataFrame(rows, "g string, x double, y double")
-    got = sorted(labels.group_median_fill(df, "g", ["x", "y"]).collect(), key=str)
+    got = sorted(labels.group_median_fill(df, "g", ["x", "y"], small=small).collect(), key=str)
     assert sorted([("a", 1.0, 6.0), ("a", 2.0, 5.0), ("a", 1.5, 7.0), ("b", None, None), (None, 4.0, 1.0), (None, 4.0, 1.0)], key=str) == sorted(
         [tuple(r) for r in got], key=str
     )
