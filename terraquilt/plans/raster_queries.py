@@ -138,7 +138,7 @@ def neighbours_sql(source: str, size: int, aggregates: str) -> str:
 def focal_query(source: str, size: int, operation: str, dense: bool):
     def run(spark, sf_dir):
         df = fc.focal_statistics(load(spark, sf_dir, source), size, (operation,), dense=dense)
-        return rounded(df.select("row", "col", operation))
+        return rounded(df.select("row", "col", operation), 9)
 
     return run
 
@@ -149,7 +149,7 @@ for _name, _source, _size, _op, _sql in (
     ("focal_median", "holes", 1, "median", "median(value)"),
     ("focal_mean_15x15", "pixels", 7, "mean", "avg(value)"),
 ):
-    query(_name, with_inputs(_source) + "," + neighbours_sql(_source, _size, f"round({_sql}, 6) AS {_op}"))(
+    query(_name, with_inputs(_source) + "," + neighbours_sql(_source, _size, f"round({_sql}, 9) AS {_op}"))(
         focal_query(_source, _size, _op, _source == "pixels")
     )
 
@@ -159,7 +159,7 @@ FOCAL_BANDS_SQL = with_inputs("spectral") + """,
              UNION ALL SELECT row, col, 'nir', nir FROM spectral),
     offsets AS (SELECT a.i AS dr, b.i AS dc FROM range(-1, 2) AS a(i), range(-1, 2) AS b(i)),
     wanted AS (SELECT b, row, col, row + dr AS r, col + dc AS c FROM long, offsets)
-    SELECT w.b || '_mean_3x3' AS name, w.row, w.col, round(avg(q.value), 6) AS value
+    SELECT w.b || '_mean_3x3' AS name, w.row, w.col, round(avg(q.value), 9) AS value
     FROM wanted AS w JOIN long AS q ON q.row = w.r AND q.col = w.c AND q.b = w.b GROUP BY ALL"""
 
 
@@ -167,7 +167,7 @@ FOCAL_BANDS_SQL = with_inputs("spectral") + """,
 def focal_bands(spark, sf_dir):
     pixels = rz.bands_to_pixels(load(spark, sf_dir, "spectral"), "landsat_8", ["red", "nir"])
     smoothed, meta = fc.focal_bands(pixels, bands(spark, "landsat_8", "red", "nir"), "mean", 1, dense=True)
-    return rounded(smoothed.join(meta, ["raster_id", "band"]).select("name", "row", "col", "value"))
+    return rounded(smoothed.join(meta, ["raster_id", "band"]).select("name", "row", "col", "value"), 9)
 
 
 def texture_sql(source: str, size: int) -> str:
@@ -283,11 +283,11 @@ def mean_sql(block: int) -> str:
 
 
 @query("block_mean", with_inputs("holes") + "," + mean_sql(6) + """
-    SELECT row, col, round(mean, 4) AS value FROM means""")
+    SELECT row, col, round(mean, 9) AS value FROM means""")
 def block_mean(spark, sf_dir):
     holes = load(spark, sf_dir, "holes")
     sizes = rs.raster_extents(holes).select("*", F.expr("(height + 5) div 6").alias("out_height"), F.expr("(width + 5) div 6").alias("out_width"))
-    return rounded(rs.block_mean(holes, sizes).select("row", "col", "value"), 4)
+    return rounded(rs.block_mean(holes, sizes).select("row", "col", "value"), 9)
 
 
 @query("block_positive_count", with_inputs("holes") + "," + COUNT_SQL + """
@@ -299,12 +299,12 @@ def block_positive_count(spark, sf_dir):
 
 
 @query("resample_canopy", with_inputs("holes") + "," + COUNT_SQL.replace("p.value > 20", "p.value > 0") + "," + mean_sql(BLOCK) + """
-    SELECT m.row, m.col, round(mean, 4) AS average, coalesce(n, 0) AS count
+    SELECT m.row, m.col, round(mean, 9) AS average, coalesce(n, 0) AS count
     FROM means AS m LEFT JOIN inside USING (row, col)""")
 def resample_canopy(spark, sf_dir):
     holes = load(spark, sf_dir, "holes")
     canopy = rs.resample_canopy(holes, rs.raster_extents(holes), BLOCK)
-    return rounded(canopy.select("row", "col", "average", "count"), 4)
+    return rounded(canopy.select("row", "col", "average", "count"), 9)
 
 
 # ---------------------------------------------------------------- mosaics, masks and crops

@@ -318,14 +318,14 @@ def grid_left(aggregates: str, coalesced: str) -> str:
     SELECT row, col, {coalesced} FROM cells LEFT JOIN agg USING (row, col)"""
 
 
-@query("cell_mean", grid_left("avg(size) AS v", "round(coalesce(v, 0), 6) AS mean_size"))
+@query("cell_mean", grid_left("avg(size) AS v", "round(coalesce(v, 0), 9) AS mean_size"))
 def cell_mean(spark, sf_dir):
-    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), {"mean_size": ("mean", F.col("size"))}, G))
+    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), {"mean_size": ("mean", F.col("size"))}, G), 9)
 
 
-@query("cell_std", grid_left("stddev_pop(size) AS v", "round(coalesce(v, -1), 6) AS std_size"))
+@query("cell_std", grid_left("stddev_pop(size) AS v", "round(coalesce(v, -1), 9) AS std_size"))
 def cell_std(spark, sf_dir):
-    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), {"std_size": ("std_dev", F.col("size"))}, G))
+    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), {"std_size": ("std_dev", F.col("size"))}, G), 9)
 
 
 @query("cell_mode", with_inputs("zones") + f""", {COVER},
@@ -392,12 +392,12 @@ def cell_entropy(spark, sf_dir):
 
 @query("cell_stat_dispatch", grid_left(
     "avg(size) AS m, stddev_pop(size) AS s, mode(size ORDER BY size) AS o, count(*) AS n",
-    "round(coalesce(m, 0), 6) AS mean_size, round(coalesce(s, -1), 6) AS std_size, coalesce(n, 0) AS n_zones"))
+    "round(coalesce(m, 0), 9) AS mean_size, round(coalesce(s, -1), 9) AS std_size, coalesce(n, 0) AS n_zones"))
 def cell_stat_dispatch(spark, sf_dir):
     requests = {
         "mean_size": ("mean", F.col("size")), "std_size": ("std_dev", F.col("size")), "n_zones": ("count", F.col("size")),
     }
-    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), requests, G))
+    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), requests, G), 9)
 
 
 # ---------------------------------------------------------------- rasterised layers
@@ -413,12 +413,12 @@ def mode_sql(column: str, source: str = "hits") -> str:
     agg AS (SELECT row, col, avg(CAST(heightroof AS DOUBLE)) AS h, stddev_pop(CAST(heightroof AS DOUBLE)) AS s,
                    avg(CAST(cnstrct_yr AS INT)) AS y FROM hits GROUP BY row, col),
     built AS (SELECT row, col, sum(area) AS a FROM clipped JOIN areas USING (id) GROUP BY row, col)
-    SELECT row, col, round(coalesce(h, 0), 3) AS building_height, round(coalesce(s, -1), 3) AS building_height_std,
-           round(coalesce(y, 0), 3) AS building_year, round(coalesce(a, 0), 1) AS building_area
+    SELECT row, col, round(coalesce(h, 0), 9) AS building_height, round(coalesce(s, -1), 9) AS building_height_std,
+           round(coalesce(y, 0), 9) AS building_year, round(coalesce(a, 0), 1) AS building_area
     FROM cells LEFT JOIN agg USING (row, col) LEFT JOIN built USING (row, col)""")
 def rasterize_buildings(spark, sf_dir):
     typed = ft.cast_columns(buildings(spark, sf_dir), ft.BUILDING_TYPES)
-    digits = {"building_height": 3, "building_height_std": 3, "building_year": 3, "building_area": 1}
+    digits = {"building_height": 9, "building_height_std": 9, "building_year": 9, "building_area": 1}
     bands = rz.rasterize_buildings(typed, G)
     return bands.select("row", "col", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
@@ -433,8 +433,8 @@ STREET_LAYER_SQL = with_inputs("streets") + f""", {CELLS}, {LINE_COVER},
     hits AS (SELECT row, col, f.* FROM line_cover JOIN f USING (id)),
     agg AS (SELECT row, col, avg(w) AS w, avg(l) AS l, least(count(*) FILTER (rw = 2), 1) AS hw
             FROM hits GROUP BY row, col)
-    SELECT row, col, round(coalesce(agg.w, 0), 6) AS street_width, CAST(coalesce(t.t, -1) AS INT) AS street_traffic,
-           round(coalesce(agg.l, 0), 6) AS street_lanes, CAST(coalesce(o.o, -1) AS INT) AS street_orientation,
+    SELECT row, col, round(coalesce(agg.w, 0), 9) AS street_width, CAST(coalesce(t.t, -1) AS INT) AS street_traffic,
+           round(coalesce(agg.l, 0), 9) AS street_lanes, CAST(coalesce(o.o, -1) AS INT) AS street_orientation,
            coalesce(rw.rw, -1) AS street_type, coalesce(hw, 0) AS high_way
     FROM cells LEFT JOIN agg USING (row, col) LEFT JOIN {mode_sql("t")} AS t USING (row, col)
     LEFT JOIN {mode_sql("o")} AS o USING (row, col) LEFT JOIN {mode_sql("rw")} AS rw USING (row, col)"""
@@ -443,7 +443,7 @@ STREET_LAYER_SQL = with_inputs("streets") + f""", {CELLS}, {LINE_COVER},
 @query("rasterize_streets", STREET_LAYER_SQL)
 def rasterize_streets(spark, sf_dir):
     derived = ft.street_features(streets(spark, sf_dir)).withColumn("direction", F.col("SegmentTyp"))
-    return rounded(rz.rasterize_streets(derived, G))
+    return rounded(rz.rasterize_streets(derived, G), 9)
 
 
 ZONE_LEVELS = """ranked AS (SELECT *, CAST(dense_rank() OVER (ORDER BY {a}) - 1 AS INT) AS a,
