@@ -102,9 +102,9 @@ INDEX_SQL = {
 
 
 @query("spectral_indices", with_inputs("spectral") + " SELECT row, col, "
-       + ", ".join(f"round({e}, 6) + 0.0 AS {n}" for n, e in INDEX_SQL.items()) + " FROM spectral")
+       + ", ".join(f"round({e}, 9) + 0.0 AS {n}" for n, e in INDEX_SQL.items()) + " FROM spectral")
 def spectral_indices(spark, sf_dir):
-    return rounded(rs.index_bands(load(spark, sf_dir, "spectral")).select("row", "col", *INDEX_NAMES))
+    return rounded(rs.index_bands(load(spark, sf_dir, "spectral")).select("row", "col", *INDEX_NAMES), 9)
 
 
 @query("height_width_ratio", with_inputs("spectral") + """
