@@ -9,16 +9,21 @@ values per pixel, because the sum of squared counts is not separable.
 
 from __future__ import annotations
 
+import sys
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from terraquilt.functions.maths import null_if_nan, quantise
 from terraquilt.operators.tiling import TILE, TILE_KEYS, halo_tiles
 from terraquilt.session import broadcast_if_small
 
+# The kernel travels with the task, so workers need NumPy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Property names.
 PROPERTIES = ("contrast", "dissimilarity", "homogeneity", "energy", "correlation", "ASM")
 LEVELS = 16
