@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraquilt.llm import minhash, mixing, packing, quality_rules
+from terraquilt.llm import byte_cnn, minhash, mixing, packing, quality_rules
 from terraquilt.llm.common import settle, table
 from terraquilt.llm.queries import MIX, tokenizer_path
 
@@ -22,6 +22,15 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte network finds good, fitted on the labelled ones among them.
+
+    It rejects below 0.5, where the labels' own two kinds divide.
+    """
+    net = byte_cnn.fit_quality(docs, table(spark, sf_dir, "labels"), byte_cnn.training_fold("doc_id", 3, 1))
+    return byte_cnn.keep_quality(docs, net, 0.5)
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
     return minhash.drop_near_duplicates(docs)
@@ -39,6 +48,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", rules_stage),
+    ("quality classifier", classifier_stage),
     ("near duplicates", dedup_stage),
     ("mixing", mix_stage),
     ("packing", packing_stage),

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraquilt.llm import host_reputation, minhash, mixing, order_minhash, packing, quality_rules, sharding
+from terraquilt.llm import (
+    byte_cnn, host_reputation, html_blocks, minhash, mixing, order_minhash, packing, quality_rules, sharding, toxicity,
+)
 from terraquilt.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +73,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     outcomes = host_reputation.outcomes_from_labels(pages, table(spark, sf_dir, "labels"))
     return host_reputation.judge_urls(pages, outcomes, URL_RULES)
+
+
+@_query("op1_html_main_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@_query("op8_byte_cnn_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = byte_cnn.training_fold("doc_id", 3, 1)
+    net = byte_cnn.fit_quality(docs, labels, learn)
+    return byte_cnn.add_quality(docs, net).select(
+        "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@_query("op9_boosted_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = byte_cnn.training_fold("doc_id", 4, 2)
+    model = toxicity.fit_toxicity(docs, labels, learn)
+    return toxicity.add_toxicity(docs, model).select(
+        "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
