@@ -74,8 +74,16 @@ EXAMPLES: list[tuple[str, set[str]]] = [
         {f"{_MORE}.", "Others had asked for the same thing three years ago.", "Twice.", f"{_LONG}."},
     ),
     (
-        f"""<body><div class="menu">Weather</div><main><p>Rain.</p><p>More rain, and then some sun.</p><p><a href="/r">All of it in numbers</a></p><div class="related">Snow</div></main>
+        f"""<body><div class="menu">Weather</div><main><p>Rain.</p><p>More rain, and then some sun.</p><p><a href="/r">All of it in numbers</a></p><p>And sun again.</p><div class="related">Snow</div></main>
         <div class="side">{_LONG}</div><div>About us and what we do</div></body>""",
-        {"Rain.", "More rain, and then some sun.", "All of it in numbers"},
+        {"Rain.", "More rain, and then some sun.", "All of it in numbers", "And sun again."},
+    ),
+    (
+        f"<body><article><h1>Sun</h1><p>{_LONG}.</p><p>The end.</p></article></body>",
+        {"Sun", f"{_LONG}.", "The end."},
+    ),
+    (
+        "<body><article><h2>Moon</h2><p><a href='/m'>Moon</a></p><p>Full.</p></article></body>",
+        {"Moon", "Full."},
     ),
 ]
