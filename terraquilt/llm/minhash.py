@@ -172,6 +172,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
+def _in_common(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and common: how many of its shingles some other of the nodes has too.
+
+    Shingles are counted before they meet, so one that a third of all sets hold is one row a task.
+    """
+    chosen = sets.join(nodes, "node", "left_semi").select(F.xxhash64("node").alias("id"), "node", "shingles")
+    alone = chosen.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("id").alias("id")
+    ).where(F.col("holders") == 1).groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = chosen.select("id", "node", F.size("shingles").alias("n"))
+    return sizes.join(alone, "id", "left").select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("long").alias("common"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """key, n_shingles, component_id (least key reachable over links, itself included), kept.
@@ -184,10 +197,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     Equal sets form one node, so a third of all rows being copies is one node. Nodes that share a
     band's minima meet in a bucket. A bucket never emits all its pairs: each node is tested against
     its least bucket mate; the confirmed links are joined to components; then each bucket that
-    still has several components chooses centers outside its largest, 8 at first and four
-    times as many each time, and tests them against the members of other components only. A
-    tested center leaves the bucket. It ends when each bucket's remaining members are
-    connected, so every pair in a bucket was tested or is connected anyway: no link is lost to stars.
+    still has several components chooses centers, at first the member that has most shingles in common with
+    any others, then 4 outside its largest component and four times as many each time, and tests
+    them against the members of other components only. A tested center leaves the bucket. A pair is left out
+    only if sizes, or the shingles that either shares with anyone, rule a link out. It ends when each
+    bucket's remaining members are connected, so every pair in a bucket was tested, can't be a
+    link, or is connected anyway: no link is lost to stars.
     Two sets at 0.85 share no band of 32 with a chance of 6e-11 (long texts).
     """
     signed = settle(add_classes(docs, width, bands, rows, key, text), "minhash-signed")
@@ -213,7 +228,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     sets = settle(_sets(docs, in_buckets, width, key, text), "minhash-sets")
     tested, links = pairs, _confirmed(pairs, sets, percent)
     active = active.drop("star")
-    centers_per_bucket = 8
+    rivals, common = None, None
     while True:
         links = settle(links, "minhash-links")
         roots = connect(links)
@@ -225,22 +240,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         active = settle(placed.join(mixed.select("bucket", "main"), "bucket"), "minhash-active")
         if active.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("node", F.lit(centers_per_bucket)), F.lit(centers_per_bucket))
+        if rivals is None:
+            # a star first, of the member that has the most in common with others
+            rivals, common = 1, settle(_in_common(sets, active.select("node").distinct()), "minhash-common")
+            active = active.join(common, "node")
+        slot = F.pmod(F.xxhash64("node", F.lit(rivals)), F.lit(rivals))
+        chosen = active if rivals == 1 else active.where(F.col("root") != F.col("main"))
+        best = F.struct((F.col("common") / F.col("n")).alias("share"), F.col("node"), F.col("n"), F.col("common"), F.col("root"))
         centers = settle(
-            active.where(F.col("root") != F.col("main")).groupBy("bucket", slot.alias("slot")).agg(
-                F.min(F.struct("node", "n", "root")).alias("c")
-            ).select("bucket", F.col("c.node").alias("center"), F.col("c.n").alias("m"), F.col("c.root").alias("center_root")),
+            chosen.groupBy("bucket", slot.alias("slot")).agg(F.max(best).alias("c")).select(
+                "bucket", F.col("c.node").alias("center"), F.col("c.n").alias("m"), F.col("c.common").alias("center_common"),
+                F.col("c.root").alias("center_root"),
+            ),
             "minhash-centers",
         )
-        met = active.join(centers, "bucket").where((F.col("root") != F.col("center_root")) & near)
+        # no more can be shared than either has in common with any other
+        possible = (100 + percent) * F.least("common", "center_common") >= percent * (F.col("n") + F.col("m"))
+        met = active.join(centers, "bucket").where((F.col("root") != F.col("center_root")) & near & possible)
         new = met.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         new = settle(new.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         tested = tested.union(new)
         links = links.union(_confirmed(new, sets, percent))
         active = active.join(
             centers.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti"
-        ).select("bucket", "node", "n")
-        centers_per_bucket *= 4
+        ).select("bucket", "node", "n", "common")
+        rivals *= 4
 
     named = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
