@@ -20,21 +20,33 @@ def once(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select("*", F.expr(f"inline(array(named_struct({fields})))"))
 
 
+def _narrowed(where: str) -> Column:
+    """The edges left to look at, fewer at each step down."""
+    return F.expr(f"filter(_edges, e_ -> {where})")
+
+
 def cover_cells(
     features: DataFrame, grid: GridSpec, geometry: str = "geometry", block: int = BLOCK, spread: bool = True
 ) -> DataFrame:
     """One row per feature and grid cell that share at least a point; adds ``row``, ``col``.
 
-    Candidates come from the envelope, first as blocks of cells and then as cells. Blocks
-    that miss the shape are dropped whole and cells of blocks inside it need no test, so
-    a large shape pays for its border only. Touching counts.
+    Candidates come from the envelope: rows of blocks, blocks, rows of cells, cells. Each step
+    keeps only the edges that can still matter: those that reach its rows and don't lie wholly
+    west of it (edges to the east count for the inside test). Blocks that miss the shape are
+    dropped whole and cells of blocks inside it need no test, so a large shape pays for its
+    border only, and a cell looks at the few edges of its row. Touching counts. Rows without
+    geometry, or with an empty one, cover nothing.
+
+    The geometry of an area in the result is its part within the cell's block, which is all that a clip to the
+    cell needs; lines stay whole. Where nobody reads it, it isn't computed.
 
     With ``spread`` the blocks are dealt out evenly before the exact tests. Moving a row costs
     far less than testing it, and no task is left with one huge shape or a file full of them.
     """
     kind = f"{geometry}.type"
     # one cell of margin on either side covers shapes that end on a cell border
-    local = once(features, {"_env": geo.envelope(geometry)}).withColumns({
+    shaped = features.where(f"{geometry} IS NOT NULL AND size({geo.vertices(f'{geometry}.parts')}) > 0")
+    local = once(shaped, {"_env": geo.envelope(geometry), "_edges": geo.geometry_edges(geometry)}).withColumns({
         "_c0": F.expr(f"greatest({grid.col_of('_env.xmin')} - 1, 0)"),
         "_c1": F.expr(f"least({grid.col_of('_env.xmax')} + 1, {grid.width - 1})"),
         "_r0": F.expr(f"greatest({grid.row_of('_env.ymax')} - 1, 0)"),
@@ -47,29 +59,42 @@ def cover_cells(
         span = f"sequence({low} div {block}, {high} div {block})"
         return F.expr(f"explode(IF({low} <= {high}, {span}, slice(sequence(0L, 0L), 1, 0)))")
 
-    def cells(axis: str, low: str, high: str, overlap: str) -> Column:
+    def cells(axis: str, low: str, high: str, overlap: str, more: str = "") -> Column:
         """Indices of a block's lines that the envelope reaches, with their edges."""
         span = (
             f"sequence(greatest(_{axis}0, CAST(_b{axis} * {block} AS INT)), "
             f"least(_{axis}1, CAST(_b{axis} * {block} + {block - 1} AS INT)))"
         )
-        lines = f"transform({span}, i_ -> named_struct('i', i_, 'low', {low}, 'high', {high}))"
+        lines = f"transform({span}, i_ -> named_struct('i', i_, 'low', {low}, 'high', {high}{more}))"
         return F.expr(f"explode(filter({lines}, k_ -> {overlap}))")
 
-    split = local.withColumn("_br", blocks("r")).withColumn("_bc", blocks("c"))
+    def reaches(low: str, high: str) -> str:
+        return f"least(e_.y1, e_.y2) <= {high} AND greatest(e_.y1, e_.y2) >= {low}"
+
+    def part(box: tuple[str, str, str, str]) -> Column:
+        clipped = geo.geometry("Polygon", geo.clip_parts_to_box(f"{geometry}.parts", box))
+        return F.expr(f"IF({kind} = 'Polygon', {clipped}, {geometry})")
+
+    _, south, _, north = grid.box(f"(_br * {block})", "0", block)
+    west, _, east, _ = grid.box("0", f"(_bc * {block})", 1, block)
+    box = (west, south, east, north)
+    strips = local.withColumn("_br", blocks("r"))
+    strips = strips.withColumns({
+        "_edges": _narrowed(reaches(south, north)), geometry: part(("_env.xmin", south, "_env.xmax", north)),
+    })
+    split = strips.withColumn("_bc", blocks("c")).withColumn("_edges", _narrowed(f"greatest(e_.x1, e_.x2) >= {west}"))
     if spread:
         split = split.repartition(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    box = grid.box(f"(_br * {block})", f"(_bc * {block})", block, block)
-    near = (
-        once(split, {"_edges": geo.geometry_edges(geometry)})
-        .withColumn("_border", F.expr(geo.any_edge_meets_box("_edges", box)))
-        .where(f"_border OR {geo.box_in_area(kind, '_edges', box)}")
-    )
+    near = split.withColumn("_border", F.expr(geo.any_edge_meets_box("_edges", box))).where(
+        f"_border OR {geo.box_in_area(kind, '_edges', box)}"
+    ).withColumn(geometry, part(box))
     x_low, y_low, x_high, y_high = grid.box("i_", "i_")
-    candidates = near.withColumn(
-        "_r", cells("r", y_low, y_high, "k_.low <= _env.ymax AND k_.high >= _env.ymin")
-    ).withColumn("_c", cells("c", x_low, x_high, "k_.low <= _env.xmax AND k_.high >= _env.xmin"))
-    exact = geo.box_intersects(kind, "_edges", ("_c.low", "_r.low", "_c.high", "_r.high"))
+    own = f"IF(_border, filter(_edges, e_ -> {reaches(y_low, y_high)}), slice(_edges, 1, 0))"
+    lines = near.withColumn("_r", cells(
+        "r", y_low, y_high, "k_.low <= _env.ymax AND k_.high >= _env.ymin", f", 'edges', {own}"
+    ))
+    candidates = lines.withColumn("_c", cells("c", x_low, x_high, "k_.low <= _env.xmax AND k_.high >= _env.xmin"))
+    exact = geo.box_intersects(kind, "_r.edges", ("_c.low", "_r.low", "_c.high", "_r.high"))
     return candidates.where(f"NOT _border OR {exact}").select(
         *features.columns, F.col("_r.i").alias("row"), F.col("_c.i").alias("col")
     )
@@ -99,11 +124,26 @@ def statistic(name: str, value: Column) -> Column:
         return F.least(F.count(value), F.lit(1))
     if name == "sum_area":
         return F.sum(value)
-    raise ValueError(f"unknown statistic {name!r}; known: {sorted(EMPTY)} and entropy")
+    if name == "entropy":
+        return _entropy_of_bins(value)
+    raise ValueError(f"unknown statistic {name!r}; known: {sorted(EMPTY)}")
+
+
+def _entropy_of_bins(value: Column) -> Column:
+    """Shannon entropy (nats) of the bins ``[0,3) .. [177,180)`` from one counter per bin; NULL without any."""
+    counts = F.array(*[
+        F.count_if((value >= low) & (value < low + ENTROPY_BIN)) for low in range(0, ENTROPY_LIMIT, ENTROPY_BIN)
+    ])
+    terms = F.transform(F.filter(counts, lambda n: n > 0), lambda n: F.struct(
+        n.cast("double").alias("n"), (n * F.ln(n)).alias("nlogn")
+    ))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, t: a + t["n"])
+    weighted = F.aggregate(terms, F.lit(0.0), lambda a, t: a + t["nlogn"])
+    return F.when(total > 0, F.greatest(F.ln(total) - weighted / total, F.lit(0.0)))
 
 
 # What a cell without members holds.
-EMPTY = {"mean": 0.0, "std_dev": -1.0, "mode": -1, "count": 0, "presence": 0, "sum_area": 0.0}
+EMPTY = {"mean": 0.0, "std_dev": -1.0, "mode": -1, "count": 0, "presence": 0, "sum_area": 0.0, "entropy": None}
 
 
 def on_grid(stats: DataFrame, grid: GridSpec, defaults: dict) -> DataFrame:

@@ -4,58 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from terraquilt.functions.maths import null_if_nan
 from terraquilt.operators.quantiles import exact_percentiles
-from terraquilt.session import MAX_BROADCAST_ROWS, cut_lineage
+from terraquilt.session import broadcast_if_small, cut_lineage
 
-# The built-in exact percentile keeps every distinct value of a group in memory.
-MAX_PERCENTILE_ROWS = 1_000_000
+def label_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(_column, _label, _code)``: 0-based positions among the sorted distinct values of each column.
 
-
-def _few_labels(labels: DataFrame, column: str) -> DataFrame:
-    """Codes of a label set whose size was checked: sorted in one small array."""
-    ordered = labels.agg(F.array_sort(F.collect_set(column)).alias("_all"))
-    codes = ordered.select(F.posexplode("_all").alias("_code", "_label"))
-    return F.broadcast(codes)
-
-
-def _many_labels(labels: DataFrame, column: str) -> DataFrame:
-    """Codes of a label set of any size: range-sorted, numbered per partition, shifted by partition.
-
-    The numbered set is checkpointed because its partition numbers are read twice.
+    One pass over ``df`` for all columns. The label set may be of any size: it is range-sorted, numbered
+    within each partition, and shifted by the counts of a column's earlier partitions. It
+    is checkpointed because its partition numbers are read twice.
     """
-    row_bits = 2**33  # monotonically_increasing_id holds the partition above, the row number below
-    spread = labels.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = labels.repartitionByRange(int(spread), column).sortWithinPartitions(column)
-    ids = cut_lineage(
-        ranged.select(F.col(column).alias("_label"), F.monotonically_increasing_id().alias("_id"))
-    )
-    placed = ids.select(
-        "_label", F.floor(F.col("_id") / row_bits).alias("_part"), (F.col("_id") % row_bits).alias("_row")
+    entries = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_label")) for c in columns])
+    labels = df.select(F.inline(entries)).where(F.col("_label").isNotNull()).distinct()
+    ids = cut_lineage(labels.repartitionByRange("_column", "_label").select("*", F.spark_partition_id().alias("_part")))
+    sizes = ids.groupBy("_column", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per column and partition of the label set
+    before = Window.partitionBy("_column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_column", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    within = F.row_number().over(Window.partitionBy("_column", "_part").orderBy("_label")) - 1
+    return ids.withColumn("_row", within).join(shifts, ["_column", "_part"]).select(
+        "_column", "_label", (F.col("_shift") + F.col("_row")).cast("int").alias("_code")
     )
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition of the label set
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    return placed.join(shifts, "_part").select("_label", (F.col("_shift") + F.col("_row")).alias("_code"))
 
 
-def label_encode(df: DataFrame, columns: list[str], max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Replace each category by its 0-based position among the sorted distinct values.
+def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Replace each category (text) by its 0-based position among the sorted distinct values.
 
-    Byte order, as in ``'MX-9' < 'MiD'``; NULL stays NULL. One pass estimates the sizes of
-    all label sets and decides per column whether the code table is broadcast.
+    Byte order, as in ``'MX-9' < 'MiD'``; NULL stays NULL. The codes are broadcast if their
+    counted rows allow, and joined like any table otherwise.
     """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    codes = broadcast_if_small(label_codes(df, columns))
     encoded = df
     for c in columns:
-        labels = df.select(c).where(F.col(c).isNotNull()).distinct()
-        codes = _few_labels(labels, c) if sizes[c] <= max_broadcast else _many_labels(labels, c)
-        encoded = (
-            encoded.join(codes, encoded[c] == codes["_label"], "left")
-            .withColumn(c, F.col("_code").cast("int"))
-            .drop("_code", "_label")
-        )
+        of_column = codes.where(F.col("_column") == c).select(F.col("_label").alias(f"_l_{c}"), "_code")
+        encoded = encoded.join(of_column, encoded[c] == F.col(f"_l_{c}"), "left").withColumn(c, F.col("_code")).drop("_code", f"_l_{c}")
     return encoded.select(*df.columns)
 
 
@@ -74,29 +56,15 @@ def _medians(source: DataFrame, group: str, columns: list[str]) -> DataFrame:
 
 
 def group_median_fill(
-    df: DataFrame,
-    group: str,
-    columns: list[str],
-    medians_from: DataFrame | None = None,
-    small: int = MAX_PERCENTILE_ROWS,
+    df: DataFrame, group: str, columns: list[str], medians_from: DataFrame | None = None
 ) -> DataFrame:
     """Replace NULL by the median of the row's group; a group without values keeps NULL.
 
     ``medians_from`` may name a cheaper table with the same groups and columns to take the
-    medians from. A first look counts rows and groups: up to ``small`` rows the built-in exact
-    percentile is bounded and quick, beyond that the bracketing one is used. The medians are
-    broadcast if the groups are few, because a join on a handful of groups would pile them up.
+    medians from. The medians are broadcast if the groups are few, because a join on a handful
+    of groups would pile them up.
     """
-    source = df if medians_from is None else medians_from
-    groups, rows = source.agg(F.approx_count_distinct(group), F.count(F.lit(1))).first()
-    if rows <= small:
-        wide = source.groupBy(F.col(group).alias("_group")).agg(*[
-            F.percentile(null_if_nan(F.col(c).cast("double")), 0.5).alias(f"_m{i}") for i, c in enumerate(columns)
-        ])
-    else:
-        wide = _medians(source, group, columns)
-    if groups <= MAX_BROADCAST_ROWS:
-        wide = F.broadcast(wide)
+    wide = broadcast_if_small(_medians(df if medians_from is None else medians_from, group, columns))
     filled = df.join(wide, df[group].eqNullSafe(wide["_group"]), "left").withColumns({
         c: F.coalesce(F.col(c), F.col(f"_m{i}")) for i, c in enumerate(columns)
     })

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terraquilt.functions import crs
 from terraquilt.functions.geometry import number
@@ -139,9 +139,36 @@ def clip_window(grid: GridSpec, bbox) -> tuple[tuple[int, int], tuple[int, int],
 
 
 def clip_bbox(pixels: DataFrame, grid: GridSpec, bbox) -> tuple[DataFrame, GridSpec]:
-    """Crop to a box in EPSG:4326 by the pixel-centre rule; filters reach the scan."""
-    rows, cols, cropped = clip_window(grid, transform_bbox(bbox, 4326, grid.srid))
-    return raster_subset(pixels, rows, cols), cropped
+    """Crop to a box in EPSG:4326 by the pixel-centre rule; filters reach the scan.
+
+    In another system the box is a shape with bent sides: the window is the envelope of its
+    outline, and pixels whose centre lies outside the box become NULL. They are tested by
+    taking the centre back to degrees, so the bent sides need no approximation.
+    """
+    rows, cols, cropped = clip_window(grid, outline_envelope(bbox, 4326, grid.srid))
+    cut = raster_subset(pixels, rows, cols)
+    if grid.srid == 4326:
+        return cut, cropped
+    x = f"({number(cropped.x0)} + (col + 0.5D) * {number(cropped.px)})"
+    y = f"({number(cropped.y1)} - (row + 0.5D) * {number(cropped.py)})"
+    west, south, east, north = map(float, bbox)
+    centre = F.expr(crs.transform_xy(x, y, grid.srid, 4326))
+    inside = centre["x"].between(west, east) & centre["y"].between(south, north)
+    return cut.withColumn("value", F.when(inside, F.col("value"))), cropped
+
+
+def outline_envelope(bbox, source: int, target: int, steps: int = 64):
+    """Envelope of a box's outline in another system, its sides cut into ``steps`` (driver-side job parameter)."""
+    if source == target:
+        return tuple(bbox)
+    from pyspark.sql import SparkSession
+
+    x0, y0, x1, y1 = map(float, bbox)
+    parts = [i / steps for i in range(steps + 1)]
+    outline = [(x0 + (x1 - x0) * t, y) for t in parts for y in (y0, y1)] + [(x, y0 + (y1 - y0) * t) for t in parts for x in (x0, x1)]
+    spark = SparkSession.getActiveSession()
+    points = spark.createDataFrame(outline, "x double, y double").select(F.expr(crs.transform_xy("x", "y", source, target)).alias("p"))
+    return tuple(points.agg(F.min("p.x"), F.min("p.y"), F.max("p.x"), F.max("p.y")).first())
 
 
 def transform_bbox(bbox, source: int, target: int):
@@ -353,7 +380,8 @@ def raster_histogram(pixels: DataFrame, edges: int = 40) -> DataFrame:
     v = F.col("value")
     bin_ = F.when((v >= 0) & (v < top), F.floor(v).cast("int")).when(v == top, F.lit(top - 1))
     counts = pixels.groupBy(*keys, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    return counts.where(F.col("bin").isNotNull()).join(totals, keys).select(
+    # at most ``edges`` rows per band are left
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    return counts.withColumn("_total", total).where(F.col("bin").isNotNull()).select(
         *keys, "bin", (F.col("_n") / F.col("_total")).alias("fraction")
     )

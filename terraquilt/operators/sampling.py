@@ -12,8 +12,11 @@ KERNEL_OPERATIONS = ("mean", "std_dev")
 def point_cells(points: DataFrame, grids: dict[str, GridSpec], point_id: str = "point_id") -> DataFrame:
     """Cell of every raster that holds each point; points outside snap to the edge pixel.
 
-    The grids are job parameters, so this is a projection: no join with a table of rasters.
+    Points without both coordinates (NULL or NaN) have no cell. The grids are job parameters,
+    so this is a projection: no join with a table of rasters.
     """
+    # clamping skips NULL and orders NaN last, so such points must go first
+    placed = points.where("lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)")
     cells = F.array(*[
         F.struct(
             F.lit(raster_id).alias("raster_id"),
@@ -22,7 +25,7 @@ def point_cells(points: DataFrame, grids: dict[str, GridSpec], point_id: str = "
         )
         for raster_id, g in grids.items()
     ])
-    return points.select(point_id, F.inline(cells))
+    return placed.select(point_id, F.inline(cells))
 
 
 def sample_long(

@@ -232,8 +232,10 @@ def octile_sql(cells: str, sources: str) -> str:
 @query("distance_transform", with_inputs("sources") + """,
     marked AS (SELECT row, col FROM sources WHERE value > 0) """ + octile_sql("sources", "marked"))
 def distance_transform(spark, sf_dir):
-    side = max(100, pixel_height(spark, sf_dir))
-    distances = ds.distance_transform(load(spark, sf_dir, "sources"), longest_side=side)
+    cells = load(spark, sf_dir, "sources")
+    # a pixel without row is none, and must not become a source at (0, 0)
+    nameless = cells.where("value > 0").withColumn("row", F.lit(None).cast("int"))
+    distances = ds.distance_transform(cells.unionByName(nameless), block=32)
     return rounded(distances.select("row", "col", "distance"))
 
 
@@ -247,8 +249,7 @@ ZONE_BANDS = tuple(rz.ZONE_COUNT_BANDS)
     f" SELECT '{b}_distance' AS name, row, col, distance AS value FROM {b} " for i, b in enumerate(ZONE_BANDS)))
 def zoning_distance(spark, sf_dir):
     pixels = rz.bands_to_pixels(load(spark, sf_dir, "zone_counts"), "nyzd", list(ZONE_BANDS))
-    side = max(100, pixel_height(spark, sf_dir))
-    distances, meta = ds.zoning_distance(pixels, bands(spark, "nyzd", *ZONE_BANDS), side)
+    distances, meta = ds.zoning_distance(pixels, bands(spark, "nyzd", *ZONE_BANDS), block=32)
     return rounded(distances.join(meta, ["raster_id", "band"]).select("name", "row", "col", "value"))
 
 
@@ -492,8 +493,18 @@ def cell_of_sql(x0: float, y1: float, px: float, py: float) -> str:
 
 
 SAMPLE_SQL = with_inputs("points", "pixels", "spectral") + f""",
-    in_grid AS (SELECT point_id, lon, lat, {cell_of_sql(-74.02, 40.89, 0.0018, 0.0015)} FROM points),
-    in_sat AS (SELECT point_id, {cell_of_sql(-73.99, 40.86, 0.001, 0.0012)} FROM points)"""
+    placed AS (SELECT * FROM points WHERE point_id % 19 > 2),
+    in_grid AS (SELECT point_id, lon, lat, {cell_of_sql(-74.02, 40.89, 0.0018, 0.0015)} FROM placed),
+    in_sat AS (SELECT point_id, {cell_of_sql(-73.99, 40.86, 0.001, 0.0012)} FROM placed)"""
+
+
+def sample_sites(spark, sf_dir):
+    """The points, of which some lack a coordinate: NULL or NaN."""
+    k = F.col("point_id") % 19
+    return load(spark, sf_dir, "points").withColumns({
+        "lon": F.when(k == 0, F.lit(None)).when(k == 1, F.lit(float("nan"))).otherwise(F.col("lon")),
+        "lat": F.when(k == 2, F.lit(None)).otherwise(F.col("lat")),
+    })
 
 
 @query("nearest_pixel_join", SAMPLE_SQL + """
@@ -501,7 +512,7 @@ SAMPLE_SQL = with_inputs("points", "pixels", "spectral") + f""",
     UNION ALL SELECT s.point_id, 'red', t.red FROM in_sat AS s JOIN spectral AS t ON t.row = s.r AND t.col = s.c
     UNION ALL SELECT s.point_id, 'nir', t.nir FROM in_sat AS s JOIN spectral AS t ON t.row = s.r AND t.col = s.c""")
 def nearest_pixel_join(spark, sf_dir):
-    return sm.sample_long(load(spark, sf_dir, "points"), *sample_inputs(spark, sf_dir))
+    return sm.sample_long(sample_sites(spark, sf_dir), *sample_inputs(spark, sf_dir))
 
 
 MATRIX_SQL = SAMPLE_SQL + """,
@@ -510,13 +521,16 @@ MATRIX_SQL = SAMPLE_SQL + """,
       JOIN in_sat AS s USING (point_id) JOIN spectral AS t ON t.row = s.r AND t.col = s.c)"""
 
 
-@query("sample_points", MATRIX_SQL + " SELECT point_id, lat, long, nir, red, value FROM m")
+@query("sample_points", MATRIX_SQL + """ SELECT point_id, lat, long, nir, red, value FROM m
+    UNION ALL SELECT point_id, CASE WHEN point_id % 19 < 2 THEN round(lat, 6) END,
+        CASE point_id % 19 WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN round(lon, 6) END, NULL, NULL, NULL
+    FROM points WHERE point_id % 19 < 3""")
 def sample_points(spark, sf_dir):
     names = ["nir", "red", "value"]
-    return rounded(sm.sample_points(load(spark, sf_dir, "points"), *sample_inputs(spark, sf_dir), names))
+    return rounded(sm.sample_points(sample_sites(spark, sf_dir), *sample_inputs(spark, sf_dir), names))
 
 
 @query("feature_matrix_assemble", MATRIX_SQL + """ SELECT point_id, nir, red, value FROM m""")
 def feature_matrix_assemble(spark, sf_dir):
-    samples = sm.sample_long(load(spark, sf_dir, "points"), *sample_inputs(spark, sf_dir))
+    samples = sm.sample_long(sample_sites(spark, sf_dir), *sample_inputs(spark, sf_dir))
     return sm.assemble_matrix(samples, ["nir", "red", "value"])

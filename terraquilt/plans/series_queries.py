@@ -86,17 +86,22 @@ def linear_trend_ml(spark, sf_dir):
 
 
 @query("union_gas_series", with_inputs("monthly") + """
-    SELECT 'co2' AS gas, year, month, average, deseasonalized AS trend
-    FROM monthly WHERE gas = '1-URGENT'
-    UNION ALL
-    SELECT 'ch4', year, month, average, CAST(NULL AS DOUBLE) FROM monthly WHERE gas = '5-LOW'""")
+    SELECT CASE gas WHEN '1-URGENT' THEN 'co2' WHEN '2-HIGH' THEN 'ch4' WHEN '3-MEDIUM' THEN 'n2o'
+                    WHEN '4-NOT SPECIFIED' THEN 'sf6' ELSE 'other' END AS gas, year, month, average,
+           CASE WHEN gas = '1-URGENT' THEN deseasonalized END AS trend
+    FROM monthly""")
 def union_gas_series(spark, sf_dir):
     monthly = load(spark, sf_dir, "monthly")
-    co2 = series.with_gas(
-        monthly.where("gas = '1-URGENT'").drop("gas"), "co2", {"deseasonalized": "trend"}
-    )
-    ch4 = series.with_gas(monthly.where("gas = '5-LOW'").select("year", "month", "average"), "ch4")
-    return readers.union_tables([co2, ch4]).select("gas", "year", "month", "average", "trend")
+    names = {"1-URGENT": "co2", "2-HIGH": "ch4", "3-MEDIUM": "n2o", "4-NOT SPECIFIED": "sf6"}
+    parts = []
+    for priority, gas in names.items():
+        one = monthly.where(F.col("gas") == priority).drop("gas")
+        # the first series alone has a trend column of its own
+        parts.append(series.with_gas(one, gas, {"deseasonalized": "trend"}) if gas == "co2" else series.with_gas(
+            one.select("year", "month", "average"), gas
+        ))
+    rest = monthly.where(~F.col("gas").isin(*names) | F.col("gas").isNull()).select("year", "month", "average")
+    return readers.union_tables([*parts, series.with_gas(rest, "other")]).select("gas", "year", "month", "average", "trend")
 
 
 @query("union_parts", """

@@ -390,14 +390,28 @@ def cell_entropy(spark, sf_dir):
     return rounded(cv.cell_entropy(zone_cover(spark, sf_dir), value, G))
 
 
+_BINS = ", ".join(f"count(*) FILTER (size >= {i} AND size < {i + 3})" for i in range(0, 180, 3))
+
+
 @query("cell_stat_dispatch", grid_left(
-    "avg(size) AS m, stddev_pop(size) AS s, mode(size ORDER BY size) AS o, count(*) AS n",
-    "round(coalesce(m, 0), 9) AS mean_size, round(coalesce(s, -1), 9) AS std_size, coalesce(n, 0) AS n_zones"))
+    "avg(size) AS m, stddev_pop(size) AS s, count(*) AS n, least(count(*), 1) AS p, sum(CAST(size AS DOUBLE)) AS a, "
+    "list_sort(list(size)) AS sizes, "
+    f"list_filter([{_BINS}], lambda x: x > 0) AS bins",
+    "round(coalesce(m, 0), 9) AS mean_size, round(coalesce(s, -1), 9) AS std_size, coalesce(n, 0) AS n_zones, "
+    "coalesce(p, 0) AS any_zone, round(coalesce(a, 0), 9) AS sum_size, "
+    # the least of the sizes that occur most often
+    "coalesce(list_min(list_filter(sizes, lambda x: len(list_filter(sizes, lambda y: y = x)) = "
+    "list_max(list_transform(sizes, lambda z: len(list_filter(sizes, lambda y: y = z)))))), -1) AS mode_size, "
+    "round(CASE WHEN n > 0 THEN -list_sum(list_transform(bins, lambda x: x / list_sum(bins) * ln(x / list_sum(bins)))) END, 6) + 0.0"
+    " AS entropy_size"))
 def cell_stat_dispatch(spark, sf_dir):
+    size = F.col("size")
     requests = {
-        "mean_size": ("mean", F.col("size")), "std_size": ("std_dev", F.col("size")), "n_zones": ("count", F.col("size")),
+        "mean_size": ("mean", size), "std_size": ("std_dev", size), "n_zones": ("count", size), "any_zone": ("presence", size),
+        "sum_size": ("sum_area", size.cast("double")), "mode_size": ("mode", size), "entropy_size": ("entropy", size),
     }
-    return rounded(cv.cell_statistics(zone_cover(spark, sf_dir), requests, G), 9)
+    stats = rounded(cv.cell_statistics(zone_cover(spark, sf_dir), requests, G), 9)
+    return stats.withColumn("entropy_size", F.round("entropy_size", 6) + F.lit(0.0))
 
 
 # ---------------------------------------------------------------- rasterised layers

@@ -97,12 +97,12 @@ def test_texture_matches_matrix(spark, size, holes):
         assert r.ASM == pytest.approx(r.energy**2)
 
 
-@pytest.mark.parametrize("block, side", [(4096, None), (5, None), (4096, 33)])
-def test_distance_matches_all_sources(spark, block, side):
+@pytest.mark.parametrize("block", [4096, 5])
+def test_distance_matches_all_sources(spark, block):
     rng = np.random.default_rng(3)
     grid = (rng.random((20, 33)) < 0.02).astype(float)
     sources = np.argwhere(grid > 0)
-    got = distance.distance_transform(pixel_table(spark, grid), block, side).collect()
+    got = distance.distance_transform(pixel_table(spark, grid), block).collect()
     assert len(got) == grid.size
     for r in got:
         gaps = np.abs(sources - (r.row, r.col))
@@ -111,6 +111,13 @@ def test_distance_matches_all_sources(spark, block, side):
         assert (r.distance == 0) == (grid[r.row, r.col] > 0)
 
 
+def test_distance_ignores_pixels_without_key(spark):
+    pixels = pixel_table(spark, np.zeros((2, 3)))
+    stray = spark.createDataFrame([("r", 1, None, 0, 5.0), (None, 1, 0, 0, 5.0)], pixels.schema)
+    got = distance.distance_transform(pixels.unionByName(stray)).collect()
+    assert len(got) == 6 and {r.distance for r in got} == {math.inf}
+
+
 def test_distance_without_source_is_infinite(spark):
     got = distance.distance_transform(pixel_table(spark, np.zeros((4, 3)))).collect()
     assert {r.distance for r in got} == {math.inf}
@@ -125,8 +132,6 @@ def test_distance_shuffles_once_per_sweep(spark):
     pixels = pixel_table(spark, np.eye(6))
     blocked = final_plan(distance.distance_transform(pixels))
     assert blocked.count("ReusedExchange") == 4 and blocked.count("REPARTITION_BY_COL") == 8
-    short = final_plan(distance.distance_transform(pixels, longest_side=6))
-    assert short.count("Exchange hashpartitioning") == 4
 
 
 def test_focal_needs_one_shuffle(spark):
@@ -238,3 +243,34 @@ def test_neighbourhood_texture_only_for_known_layers(spark):
     assert got == {"pop_mean_3x3", "pop_std_dev_3x3", "zone_mean_3x3", "zone_std_dev_3x3"} | {
         f"pop_{p}_3x3" for p in texture.PROPERTIES
     }
+
+
+def test_points_without_coordinates_have_no_cell(spark):
+    from terraquilt.grid import GridSpec
+    from terraquilt.operators.sampling import point_cells
+
+    nan = float("nan")
+    points = spark.createDataFrame(
+        [(0, 0.5, 9.5), (1, None, 9.5), (2, 0.5, None), (3, nan, 9.5), (4, 0.5, nan), (5, 99.0, -99.0)],
+        "point_id int, lon double, lat double",
+    )
+    got = {r.point_id: (r.row, r.col) for r in point_cells(points, {"r": GridSpec(0.0, 10.0, 1.0, 1.0, 10, 10)}).collect()}
+    assert got == {0: (0, 0), 5: (9, 9)}
+
+
+def test_clip_in_feet_keeps_the_whole_box(spark):
+    from terraquilt.grid import GridSpec
+    from terraquilt.operators.raster import clip_bbox, outline_envelope
+
+    box = (-74.01, 40.75, -73.86, 40.88)
+    corner = outline_envelope((-73.86, 40.75, -73.86, 40.75), 4326, 2263)
+    x0, y0, x1, y1 = outline_envelope(box, 4326, 2263)
+    assert x1 >= corner[2] - 1e-6 and y0 <= corner[1] + 1e-6
+    step = 2000.0
+    width, height = int((x1 - x0) // step) + 3, int((y1 - y0) // step) + 3
+    grid = GridSpec(x0 - step, y1 + step, step, step, width, height, 2263)
+    pixels = pixel_table(spark, np.ones((height, width)))
+    clipped, window = clip_bbox(pixels, grid, box)
+    values = {(r.row, r.col): r.value for r in clipped.collect()}
+    assert len(values) == window.width * window.height
+    assert 0 < sum(v is None for v in values.values()) < len(values) / 10

@@ -84,22 +84,20 @@ def test_label_codes_follow_byte_order(spark):
     values = ["MiD", "MX-9", "125th", "C", None, "MX-9"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, c string")
     few = {r.id: r.c for r in labels.label_encode(df, ["c"]).collect()}
-    many = {r.id: r.c for r in labels.label_encode(df, ["c"], max_broadcast=0).collect()}
-    assert few == many == {0: 3, 1: 2, 2: 0, 3: 1, 4: None, 5: 2}
+    assert few == {0: 3, 1: 2, 2: 0, 3: 1, 4: None, 5: 2}
 
 
 def test_many_labels_are_dense(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 3001).cast("string").alias("c"), "id")
-    rows = labels.label_encode(df, ["c"], max_broadcast=10).join(df.withColumnRenamed("c", "text"), "id").collect()
+    rows = labels.label_encode(df, ["c"]).join(df.withColumnRenamed("c", "text"), "id").collect()
     expected = {v: i for i, v in enumerate(sorted({r.text for r in rows}))}
     assert all(r.c == expected[r.text] for r in rows)
 
 
-@pytest.mark.parametrize("small", [0, 1_000_000])
-def test_group_median_fill(spark, small):
+def test_group_median_fill(spark):
     rows = [("a", 1.0, None), ("a", 2.0, 5.0), ("a", None, 7.0), ("b", None, None), (None, 4.0, 1.0), (None, None, 1.0)]
     df = spark.createDataFrame(rows, "g string, x double, y double")
-    got = sorted(labels.group_median_fill(df, "g", ["x", "y"], small=small).collect(), key=str)
+    got = sorted(labels.group_median_fill(df, "g", ["x", "y"]).collect(), key=str)
     assert sorted([("a", 1.0, 6.0), ("a", 2.0, 5.0), ("a", 1.5, 7.0), ("b", None, None), (None, 4.0, 1.0), (None, 4.0, 1.0)], key=str) == sorted(
         [tuple(r) for r in got], key=str
     )
