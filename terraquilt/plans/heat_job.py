@@ -152,7 +152,7 @@ def engineer_features(
     zoning = sorted((r for r in grids if r.startswith("nyzd_res")), key=lambda r: int(r.removeprefix("nyzd_res")))
     if zoning:
         counts = pixels.where((F.col("raster_id") == zoning[0]) & (F.col("band") >= 4))
-        distances, names = distance.zoning_distance(counts, meta, max(grids[zoning[0]].width, grids[zoning[0]].height))
+        distances, names = distance.zoning_distance(counts, meta)
         named = named.unionByName(distances.join(names, ["raster_id", "band"]).select(*long))
 
     for size in cfg.window_sizes if sizes is None else sizes:
