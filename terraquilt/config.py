@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from terraquilt.grid import GridSpec
+
 # Street columns kept after filtering, where present.
 STREET_COLUMNS = (
     "OBJECTID", "SegmentID", "Join_ID", "StreetCode", "Street", "TrafDir",
@@ -51,7 +53,7 @@ SERIES_DDL = {
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Study area, thresholds and input catalogue of one feature job."""
+    """Study area, thresholds and input catalogue of one feature job. The thresholds are fixed values."""
 
     bbox: tuple[float, float, float, float] = (-74.01, 40.75, -73.86, 40.88)
     max_year: int = 2021
@@ -68,6 +70,8 @@ class JobConfig:
     highway_type: int = 2
     window_sizes: tuple[int, ...] = (1, 2, 4, 7)
     catalogue: dict[str, str] = field(default_factory=dict)
+    # raster inputs of the catalogue (pixel tables) and the grid each refers to
+    grids: dict[str, GridSpec] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         """URI of a named input; any filesystem Spark can resolve."""

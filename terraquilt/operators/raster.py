@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terraquilt.functions import crs
 from terraquilt.functions.geometry import number
-from terraquilt.functions.indices import INDEX_NAMES, spectral_indices
+from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES, spectral_indices
 from terraquilt.functions.maths import null_if_nan, safe_ratio
 from terraquilt.grid import GridSpec
 from terraquilt.operators.cover import cover_cells
@@ -60,6 +60,22 @@ def height_width_ratio(
     return both.select("row", "col", ratio.alias("var"), per_pixel.alias("building_area_per_pixel"))
 
 
+def sensor_indices(pixels: DataFrame, sensor: str) -> DataFrame:
+    """All 16 indices of a sensor's multi-band pixel table, as a pixel table with one band per index.
+
+    The six inputs are found by the sensor's band numbers; other bands are left out.
+    """
+    if sensor not in BAND_MAPS:
+        raise ValueError(f"unknown sensor {sensor!r}; known: {sorted(BAND_MAPS)}")
+    names = {number: name for name, number in BAND_MAPS[sensor].items()}
+    wide = bands_to_columns(pixels.where(F.col("band").isin(*names)), names)
+    expressions = spectral_indices({n: F.col(n) for n in names.values()})
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("band"), expressions[name].alias("value")) for i, name in enumerate(INDEX_NAMES, start=1)
+    ])
+    return wide.select("raster_id", "row", "col", F.inline(entries)).select(*PIXEL_COLUMNS)
+
+
 # ---------------------------------------------------------------- extent and metadata
 
 def raster_extents(pixels: DataFrame) -> DataFrame:

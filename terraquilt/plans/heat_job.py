@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraquilt.config import JobConfig
+from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES
 from terraquilt.grid import GridSpec
 from terraquilt.operators import distance, features as ft, focal, raster as rs, rasterize as rz, sampling
 from terraquilt.session import small_table
@@ -79,12 +80,24 @@ RASTERIZERS = {
 }
 
 
+MANIFEST = "raster_id STRING, made_from STRING"
+
+
 def _finished(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest of rasters whose write was completed."""
+    """Manifest of rasters whose write was completed, with what each was made from."""
     try:
-        return spark.read.schema("raster_id STRING").parquet(path)
+        return spark.read.schema(MANIFEST).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], "raster_id STRING")
+        return spark.createDataFrame([], MANIFEST)
+
+
+def _made_from(table: DataFrame, grid: GridSpec) -> str:
+    """Grid and contents a raster depends on: other inputs or another box make another raster."""
+    entries = F.xxhash64(*[F.to_json(F.struct(c)) for c in sorted(table.columns)])
+    rows, one, two = table.select(entries.alias("h")).agg(
+        F.count(F.lit(1)), F.bit_xor("h"), F.bit_xor(F.xxhash64("h"))
+    ).first()
+    return f"{grid} rows {rows} {one} {two}"
 
 
 def _write_raster(pixels: DataFrame, path: str) -> None:
@@ -93,26 +106,81 @@ def _write_raster(pixels: DataFrame, path: str) -> None:
 
 
 def rasterize_layers(spark: SparkSession, cfg: JobConfig, target: str, resolutions=None) -> dict[str, GridSpec]:
-    """Every layer at each of its resolutions, into ``rasters``; returns the grids by raster name."""
+    """Every layer at each of its resolutions, into ``rasters``; returns the grids by raster name.
+
+    A raster is left as it is if it was made from the same features on the same grid.
+    """
     manifest = f"{target}/rasters_done"
     wanted = [(layer, r) for layer, sizes in (resolutions or LAYER_RESOLUTIONS).items() for r in sizes]
     grids = {f"{layer}_res{r}": GridSpec.from_bbox(cfg.bbox, r) for layer, r in wanted}
-    names = spark.createDataFrame([(n,) for n in grids], "raster_id STRING")
-    todo = {r.raster_id for r in skip_existing(names, _finished(spark, manifest), ["raster_id"]).collect()}
+    features = {layer: spark.read.parquet(f"{target}/features/{layer}") for layer, _ in wanted}
+    names = spark.createDataFrame(
+        [(f"{layer}_res{r}", _made_from(features[layer], grids[f"{layer}_res{r}"])) for layer, r in wanted], MANIFEST
+    )
+    todo = {r.raster_id for r in skip_existing(names, _finished(spark, manifest), ["raster_id", "made_from"]).collect()}
     for layer, resolution in wanted:
         raster_id = f"{layer}_res{resolution}"
         if raster_id in todo:
-            shapes = spark.read.parquet(f"{target}/features/{layer}")
-            cells = RASTERIZERS[layer](shapes, grids[raster_id])
+            cells = RASTERIZERS[layer](features[layer], grids[raster_id])
             _write_raster(rz.bands_to_pixels(cells, raster_id, LAYER_BANDS[layer]), f"{target}/rasters")
             names.where(F.col("raster_id") == raster_id).write.mode("append").parquet(manifest)
     return grids
 
 
-def layer_band_table(spark: SparkSession, grids: dict[str, GridSpec]) -> DataFrame:
-    """Band names ``<band>_res<N>`` of the rasterised layers."""
-    rows = []
+# Resolutions (metres) the canopy heights are resampled at.
+CANOPY_RESOLUTIONS = (5, 10, 30)
+
+
+def prepare_rasters(spark: SparkSession, cfg: JobConfig, target: str) -> tuple[dict[str, GridSpec], list[tuple]]:
+    """The raster inputs of ``cfg.grids``, into ``rasters``; returns grids and (raster, band, name) rows.
+
+    Sensors are copied with their first band named and give 16 indices, gases and aerosols are
+    copied likewise, the population is clipped to the study area, and canopy heights are
+    resampled to average and count.
+    """
+    grids: dict[str, GridSpec] = {}
+    bands: list[tuple] = []
+
+    def put(pixels: DataFrame, raster_id: str, grid: GridSpec, names: list[str]) -> None:
+        _write_raster(pixels.withColumn("raster_id", F.lit(raster_id)).select(*rs.PIXEL_COLUMNS), f"{target}/rasters")
+        grids[raster_id] = grid
+        bands.extend((raster_id, i, name) for i, name in enumerate(names, start=1))
+
+    for name, grid in cfg.grids.items():
+        pixels = spark.read.parquet(cfg.path(name)).select(*rs.PIXEL_COLUMNS)
+        kind = name.split("_")[0]
+        if kind == "canopy":
+            extent = small_table(spark, [(name, grid.height, grid.width)], "raster_id string, height int, width int")
+            heights = pixels.withColumn("raster_id", F.when(F.col("row").isNotNull(), F.lit(name)))
+            for resolution in CANOPY_RESOLUTIONS:
+                block = rs.canopy_block(resolution, grid.px)
+                wide = rs.resample_canopy(heights, extent, block)
+                raster_id = f"canopy_res{resolution}"
+                coarse = GridSpec(
+                    grid.x0, grid.y1, grid.px * block, grid.py * block, -(-grid.width // block), -(-grid.height // block), grid.srid
+                )
+                names = [f"canopy_average_res{resolution}", f"canopy_count_res{resolution}"]
+                put(rz.bands_to_pixels(wide, raster_id, ["average", "count"]), raster_id, coarse, names)
+            continue
+        if kind == "population":
+            clipped, window = rs.clip_bbox(pixels, grid, cfg.bbox)
+            put(clipped, name, window, [name])
+            continue
+        count = pixels.agg(F.max("band")).first()[0] or 0
+        meta = spark.createDataFrame([(name, i, f"{name}_band_{i}") for i in range(1, count + 1)], "raster_id string, band int, name string")
+        copied, described = rs.copy_described(pixels, meta, kind)
+        put(copied, name, grid, [r["name"] for r in described.orderBy("band").collect()])  # a band a row
+        if name in BAND_MAPS:
+            put(rs.sensor_indices(pixels, name), f"{name}_indices", grid, [f"{i}_{name}" for i in INDEX_NAMES])
+    return grids, bands
+
+
+def layer_band_table(spark: SparkSession, grids: dict[str, GridSpec], more: list[tuple] = ()) -> DataFrame:
+    """Band names ``<band>_res<N>`` of the rasterised layers, and the given ones of other rasters."""
+    rows = list(more)
     for raster_id in grids:
+        if raster_id in {r for r, _, _ in more}:
+            continue
         layer, resolution = raster_id.rsplit("_res", 1)
         rows += [(raster_id, i, f"{b}_res{resolution}") for i, b in enumerate(LAYER_BANDS[layer], start=1)]
     return small_table(spark, rows, "raster_id string, band int, name string")
@@ -123,14 +191,15 @@ def _wide(pixels: DataFrame, raster_id: str, names: dict[int, str]) -> DataFrame
 
 
 def engineer_features(
-    spark: SparkSession, cfg: JobConfig, target: str, grids: dict[str, GridSpec], sizes: tuple[int, ...] | None = None
+    spark: SparkSession, cfg: JobConfig, target: str, grids: dict[str, GridSpec], sizes: tuple[int, ...] | None = None,
+    bands: list[tuple] = (),
 ) -> DataFrame:
     """Ratios, zoning distances and neighbourhood features; one long table of named pixels.
 
     Distances are taken of the finest zoning raster. Columns: ``raster_id, name, row, col, value``.
     """
     pixels = spark.read.parquet(f"{target}/rasters")
-    meta = layer_band_table(spark, grids)
+    meta = layer_band_table(spark, grids, bands)
     long = ("raster_id", "name", "row", "col", "value")
     named = pixels.join(meta, ["raster_id", "band"]).select(*long)
 
@@ -166,11 +235,14 @@ def run(
 ) -> DataFrame:
     """All stages; returns the site table with one column per feature and writes it as CSV."""
     extract_features(spark, cfg, target, multiline=multiline)
-    grids = rasterize_layers(spark, cfg, target, resolutions)
-    writers.write_parquet(engineer_features(spark, cfg, target, grids, sizes), f"{target}/features_long", ("raster_id",))
+    more, bands = prepare_rasters(spark, cfg, target)
+    grids = rasterize_layers(spark, cfg, target, resolutions) | more
+    writers.write_parquet(
+        engineer_features(spark, cfg, target, grids, sizes, bands), f"{target}/features_long", ("raster_id",)
+    )
     pixels = spark.read.parquet(f"{target}/features_long")
     sites = spark.read.csv(cfg.path("sites"), header=True, schema="Latitude DOUBLE, Longitude DOUBLE").select(
-        F.xxhash64("Latitude", "Longitude").alias("point_id"),
+        F.struct("Latitude", "Longitude").alias("point_id"),  # the coordinates themselves, not a hash of them
         F.col("Latitude").alias("lat"),
         F.col("Longitude").alias("lon"),
     )
@@ -178,7 +250,10 @@ def run(
         "point_id", F.col("name").alias("feature"), "value"
     )
     # the set of names is fixed by bands, resolutions and windows; it does not grow with the data
-    names = sorted(r["name"] for r in pixels.select("name").distinct().collect())
+    named = pixels.select("raster_id", "name").distinct().collect()
+    names = sorted({r["name"] for r in named})
+    if len(named) > len(names):
+        raise ValueError("two rasters have a band of the same name")
     matrix = sites.select("point_id", "lat", F.col("lon").alias("long")).join(
         sampling.assemble_matrix(samples, names), "point_id", "left"
     )

@@ -14,8 +14,10 @@ def run(spark: SparkSession, source: str, target: str, gas: str = "co2") -> Data
 
     The file is scanned once; everything after the clean table reads that.
     """
+    rows = readers.read_series(spark, source, SERIES_DDL[gas])
+    unsure = [c for c in rows.columns if c.endswith("unc")]
     clean_path = writers.write_parquet(
-        series.series_clean(readers.read_series(spark, source, SERIES_DDL[gas])), f"{target}/clean_{gas}.parquet"
+        series.series_clean(readers.missing_uncertainty_to_null(rows, unsure)), f"{target}/clean_{gas}.parquet"
     )
     clean = spark.read.parquet(clean_path)
     smooth = "deseasonalized" if gas == "co2" else "trend"

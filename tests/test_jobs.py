@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terraquilt.config import JobConfig
+from terraquilt.grid import GridSpec
+from terraquilt.operators import rasterize as rz
 from terraquilt.functions import geometry as geo
 from terraquilt.plans import fixtures as fx, heat_job, trend_job
 from terraquilt.sources import writers
@@ -50,7 +52,18 @@ def inputs(spark, tmp_path_factory):
 
 
 def test_heat_job(spark, inputs, tmp_path):
-    cfg = JobConfig(catalogue=inputs)
+    grid = GridSpec(-74.02, 40.89, 0.0018, 0.0015, 100, 10)
+    spectral = rz.bands_to_pixels(
+        fx.load(spark, SF_DIR, "spectral"), "landsat_8", ["red", "blue", "green", "nir", "swir16", "swir22"]
+    )
+    spectral.write.parquet(f"{tmp_path}/landsat_8")
+    for name in ("no2", "population", "canopy"):
+        fx.load(spark, SF_DIR, "pixels").write.parquet(f"{tmp_path}/{name}")
+    rasters = ("landsat_8", "no2", "population", "canopy")
+    fine = GridSpec(-74.02, 40.89, 5 / 111035 / 2, 5 / 111035 / 2, 100, 10)
+    cfg = JobConfig(
+        catalogue=inputs | {n: f"{tmp_path}/{n}" for n in rasters}, grids={n: fine if n == "canopy" else grid for n in rasters}
+    )
     target = str(tmp_path / "out")
     resolutions = {"building": (1000,), "street": (1000,), "nyco": (1000,), "nysp": (1000,), "nyzd": (1000, 500)}
     matrix = heat_job.run(spark, cfg, target, resolutions, sizes=(1,), multiline=False)
@@ -59,6 +72,8 @@ def test_heat_job(spark, inputs, tmp_path):
         "building_height_res1000", "building_area_res1000_mean_3x3", "building_height_std_res1000_contrast_3x3",
         "street_width_res1000_std_dev_3x3", "var_res1000", "building_area_per_pixel_res1000",
         "has_park_res500_distance", "zonedist_level1_res1000", "sd_level2_res1000", "overlay_level1_res1000_mean_3x3",
+        "ndvi_landsat_8", "albedo_landsat_8_mean_3x3", "landsat", "landsat_8_band_2", "no2", "no2_std_dev_3x3", "population",
+        "canopy_average_res5", "canopy_count_res30",
     } <= columns
     assert not any(c.startswith("zonedist") and "contrast" in c for c in columns)
     assert matrix.count() == fx.load(spark, SF_DIR, "points").count()
