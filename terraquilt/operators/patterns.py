@@ -22,7 +22,9 @@ def pattern_counts(df: DataFrame, column: str, examples: int = 3) -> DataFrame:
         tagged.withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") <= examples)
         .groupBy("pattern")
-        .agg(F.array_sort(F.collect_list("_value")).alias("examples"))
+        # the count comes along unused, so that both branches read one shuffle of counted values
+        .agg(F.array_sort(F.collect_list(F.struct("_value", "_n"))).alias("_found"))
+        .select("pattern", F.transform("_found", lambda e: e["_value"]).alias("examples"))
     )
     return counts.join(samples, "pattern")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terraquilt.functions.indices import INDEX_NAMES
+from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES
 from terraquilt.grid import GridSpec
 from terraquilt.operators import cover as cv, distance as ds, focal as fc, raster as rs, rasterize as rz
 from terraquilt.operators import sampling as sm, texture as tx
@@ -107,6 +107,25 @@ def spectral_indices(spark, sf_dir):
     return rounded(rs.index_bands(load(spark, sf_dir, "spectral")).select("row", "col", *INDEX_NAMES), 9)
 
 
+_INDICES = ", ".join(f"round({e}, 9) + 0.0 AS {n}" for n, e in INDEX_SQL.items())
+
+
+@query("sensor_indices", with_inputs("spectral") + f"""
+    SELECT 'landsat_8' AS sensor, row, col, {_INDICES} FROM spectral
+    UNION ALL SELECT 'sentinel_2', row, col, {_INDICES} FROM spectral""")
+def sensor_indices(spark, sf_dir):
+    """From a multi-band pixel table of each sensor, through its band numbers; bands of no use are there too."""
+    scene = load(spark, sf_dir, "spectral")
+    parts = []
+    for sensor, numbers in BAND_MAPS.items():
+        entries = [F.struct(F.lit(b).alias("band"), F.col(n).alias("value")) for n, b in numbers.items()]
+        entries += [F.struct(F.lit(b).alias("band"), F.lit(-1.0).alias("value")) for b in (7, 9, 10)]
+        pixels = scene.select("raster_id", "row", "col", F.inline(F.array(*entries))).select(*rs.PIXEL_COLUMNS)
+        wide = rs.bands_to_columns(rs.sensor_indices(pixels, sensor), dict(enumerate(INDEX_NAMES, start=1)))
+        parts.append(wide.select(F.lit(sensor).alias("sensor"), "row", "col", *INDEX_NAMES))
+    return rounded(parts[0].unionByName(parts[1]), 9)
+
+
 @query("height_width_ratio", with_inputs("spectral") + """
     SELECT row, col, round(CASE WHEN blue % 3 = 0 THEN -1 ELSE red / (blue % 3 * 10) END, 6) AS var,
            round(green / (900 * 10.764), 6) AS building_area_per_pixel FROM spectral""")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 * 2**20
 
 
 def build_session(app: str = "terraquilt", master: str | None = None, **conf) -> SparkSession:
@@ -33,7 +36,7 @@ def build_session(app: str = "terraquilt", master: str | None = None, **conf) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a local master may fall back to a temporary folder of this machine, which is removed at the end.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
@@ -41,6 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="terraquilt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir()
 
@@ -57,14 +61,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Settle a narrow aggregate and broadcast it if its counted rows allow.
+    """Settle a narrow aggregate and broadcast it if its counted rows and the bytes of its texts allow.
 
     Spark estimates an aggregate by the size of its input, so a join with one row per raster
     would be planned as a shuffle of all pixels. The aggregate is checkpointed, hence computed
     once, and then counted; beyond the limit the join stays an ordinary one.
     """
     settled = cut_lineage(table)
-    return F.broadcast(settled) if settled.count() <= limit else settled
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in settled.dtypes if kind in ("string", "binary")]
+    width = sum(texts, F.lit(16 * len(settled.columns)))
+    rows, size = settled.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return F.broadcast(settled) if rows <= limit and size <= MAX_BROADCAST_BYTES else settled
 
 
 def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
