@@ -227,7 +227,7 @@ class DecisionTree:
     high: DecisionTree | None = field(default=None, repr=False)
 
     @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, depth: int = 6) -> DecisionTree:
+    def fit(x: np.ndarray, y: np.ndarray, depth: int = 8) -> DecisionTree:
         """Splits at the middle of two values; of equally good ones the first feature's. Stops at pure nodes."""
         node = DecisionTree(bool(y.mean() >= 0.5))
         if depth == 0 or y.min() == y.max():

@@ -44,6 +44,7 @@ EXAMPLES: list[tuple[str, set[str]]] = [
         <div>Page 1 of 9</div></body>""",
         set(),
     ),
+    ("<body>Moved.</body>", {"Moved."}),
     (  # one short text is all there is
         "<body><p>The shop is closed on Monday.</p></body>",
         {"The shop is closed on Monday."},
