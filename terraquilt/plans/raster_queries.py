@@ -443,13 +443,19 @@ TARGET_SQL = f"""
            ({num(4993000.0)} - {num(R)} * asinh(tan(radians(lat)))) / 140 AS v FROM target)"""
 
 
+# cuts columns on both sides and the first rows
+REPROJECT_BOX = (-73.99, 40.0, -73.91, 40.8735)
+
+
 @query("raster_clip_reproject", with_inputs("pixels") + f""", {TARGET_SQL}
     SELECT CAST(uv.row AS INT) AS row, CAST(uv.col AS INT) AS col, value FROM uv JOIN pixels AS p
-      ON p.row = CAST(floor(v) AS INT) AND p.col = CAST(floor(u) AS INT)""")
+      ON p.row = CAST(floor(v) AS INT) AND p.col = CAST(floor(u) AS INT)
+    WHERE {num(-8239000.0)} + (p.col + 0.5) * 160 BETWEEN {num(R)} * radians({num(REPROJECT_BOX[0])}) AND {num(R)} * radians({num(REPROJECT_BOX[2])})
+      AND {num(4993000.0)} - (p.row + 0.5) * 140 BETWEEN {num(R)} * asinh(tan(radians({num(REPROJECT_BOX[1])})))
+      AND {num(R)} * asinh(tan(radians({num(REPROJECT_BOX[3])})))""")
 def raster_clip_reproject(spark, sf_dir):
     source, target = mercator_grid(spark, sf_dir), degree_grid(spark, sf_dir)
-    wide_box = (-76.0, -60.0, -70.0, 41.5)
-    moved = rs.clip_reproject(load(spark, sf_dir, "pixels"), source, wide_box, target)
+    moved = rs.clip_reproject(load(spark, sf_dir, "pixels"), source, REPROJECT_BOX, target)
     return moved.select("row", "col", "value")
 
 

@@ -142,17 +142,29 @@ def line_length(spark, sf_dir):
     return rounded(ft.with_line_length(s).drop("geometry"), 4)
 
 
-@query("orient_ring", with_inputs("zones") + """
-    SELECT id, true AS shell_ccw, true AS hole_cw FROM zones""")
+def _box_corners(x0: str, y0: str, x1: str, y1: str, clockwise: bool) -> list[tuple[str, str]]:
+    ring = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    return ring[::-1] if clockwise else ring
+
+
+_RINGS = {
+    "shell": _box_corners("xmin", "ymin", "xmax", "ymax", False),
+    "hole": _box_corners("xmin + side / 4", "ymin + side / 4", "xmax - side / 4", "ymax - side / 4", True),
+}
+
+
+@query("orient_ring", with_inputs("zones") + " SELECT id, " + ", ".join(
+    f"round({v}, 9) AS {ring}_{axis}{i}" for ring, corners in _RINGS.items() for i, c in enumerate(corners) for axis, v in zip("xy", c)
+) + " FROM zones")
 def orient_ring(spark, sf_dir):
     d = donuts(spark, sf_dir)
     # the hole of the input is counter-clockwise, and every second shell is turned round first
     mixed = "array(transform(geometry.parts[0], (m_, n_) -> IF(n_ = 0 AND id % 2 = 0, reverse(m_), m_)))"
     rings = d.select("id", F.expr(f"{geo.orient_parts(mixed)}[0]").alias("rings"))
-    return rings.select(
-        "id", F.expr(f"{geo.signed_ring_area('rings[0]')} > 0").alias("shell_ccw"),
-        F.expr(f"{geo.signed_ring_area('rings[1]')} < 0").alias("hole_cw"),
-    )
+    return rings.select("id", *[
+        F.expr(f"round(rings[{r}][{i}].{axis}, 9)").alias(f"{ring}_{axis}{i}")
+        for r, ring in enumerate(_RINGS) for i in range(5) for axis in "xy"
+    ])
 
 
 @query("grid_spec", with_inputs("points") + """,
