@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     band's minima meet in a bucket. A bucket never emits all its pairs: each node is tested against
     its least bucket mate; the confirmed links are joined to components; then each bucket that
     still has several components chooses centers, at first the member that has most shingles in common with
-    any others, then 4 outside its largest component and four times as many each time, and tests
+    any others, then 16 outside its largest component and 16 times as many each time, and tests
     them against the members of other components only. A tested center leaves the bucket. A pair is left out
     only if sizes, or the shingles that either shares with anyone, rule a link out. It ends when each
     bucket's remaining members are connected, so every pair in a bucket was tested, can't be a
@@ -226,12 +226,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     pairs = settle(stars.join(sizes, "star").where(near).select(F.col("star").alias("a"), F.col("node").alias("b")), "minhash-pairs")
     in_buckets = active.select("node").distinct().join(nodes.select("node", "rep"), "node")
     sets = settle(_sets(docs, in_buckets, width, key, text), "minhash-sets")
-    tested, links = pairs, _confirmed(pairs, sets, percent)
+    tested, roots = pairs, connect(_confirmed(pairs, sets, percent))
     active = active.drop("star")
     rivals, common = None, None
     while True:
-        links = settle(links, "minhash-links")
-        roots = connect(links)
         placed = active.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         groups = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("count"))
         mixed = groups.groupBy("bucket").agg(
@@ -260,11 +258,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         new = met.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         new = settle(new.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         tested = tested.union(new)
-        links = links.union(_confirmed(new, sets, percent))
+        links = settle(_confirmed(new, sets, percent), "minhash-links")
+        if not links.isEmpty():
+            roots = connect(links.union(roots.select("node", "root")))
         active = active.join(
             centers.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti"
         ).select("bucket", "node", "n", "common")
-        rivals *= 4
+        rivals *= 16
 
     named = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
