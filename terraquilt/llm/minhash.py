@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     its least bucket mate; the confirmed links are joined to components; then each bucket that
     still has several components chooses centers, at first the member that has most shingles in common with
     any others, then 16 outside its largest component and 16 times as many each time, and tests
-    them against the members of other components only. A tested center leaves the bucket. A pair is left out
+    them against the members of other components only. A tested center leaves all its buckets. A pair is left out
     only if sizes, or the shingles that either shares with anyone, rule a link out. It ends when each
     bucket's remaining members are connected, so every pair in a bucket was tested, can't be a
     link, or is connected anyway: no link is lost to stars.
@@ -231,39 +231,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     rivals, common = None, None
     while True:
         placed = active.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        groups = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("count"))
+        groups = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("count"), F.min("n").alias("least"))
         mixed = groups.groupBy("bucket").agg(
-            F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("groups")
+            F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("groups"), F.min("least").alias("least")
         ).where(F.col("groups") > 1)
-        active = settle(placed.join(mixed.select("bucket", "main"), "bucket"), "minhash-active")
+        active = settle(placed.join(mixed.select("bucket", "main", "least"), "bucket"), "minhash-active")
         if active.isEmpty():
             break
         if rivals is None:
             # a star first, of the member that has the most in common with others
             rivals, common = 1, settle(_in_common(sets, active.select("node").distinct()), "minhash-common")
             active = active.join(common, "node")
+        # not even a bucket's smallest member has enough in common with these
+        active = active.where((100 + percent) * F.col("common") >= percent * (F.col("n") + F.col("least")))
         slot = F.pmod(F.xxhash64("node", F.lit(rivals)), F.lit(rivals))
         chosen = active if rivals == 1 else active.where(F.col("root") != F.col("main"))
-        best = F.struct((F.col("common") / F.col("n")).alias("share"), F.col("node"), F.col("n"), F.col("common"), F.col("root"))
+        best = F.struct((F.col("common") / F.col("n")).alias("share"), F.col("node"))
         centers = settle(
-            chosen.groupBy("bucket", slot.alias("slot")).agg(F.max(best).alias("c")).select(
-                "bucket", F.col("c.node").alias("center"), F.col("c.n").alias("m"), F.col("c.common").alias("center_common"),
-                F.col("c.root").alias("center_root"),
-            ),
-            "minhash-centers",
+            chosen.groupBy("bucket", slot.alias("slot")).agg(F.max(best).alias("c")).select("c.node").distinct(), "minhash-centers"
         )
+        # a center is one in all its buckets; a pair meets in the least bucket that both are in
+        lists = active.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))  # one for each band at most
+        active = settle(active.select("bucket", "node", "n", "common", "root").join(lists, "node"), "minhash-active")
+        central = active.join(centers, "node", "left_semi").select(
+            "bucket", F.col("node").alias("center"), F.col("n").alias("m"), F.col("common").alias("center_common"),
+            F.col("root").alias("center_root"), F.col("buckets").alias("center_buckets"),
+        )
+        once = F.array_min(F.array_intersect("buckets", "center_buckets")) == F.col("bucket")
         # no more can be shared than either has in common with any other
         possible = (100 + percent) * F.least("common", "center_common") >= percent * (F.col("n") + F.col("m"))
-        met = active.join(centers, "bucket").where((F.col("root") != F.col("center_root")) & near & possible)
+        met = active.join(central, "bucket").where((F.col("root") != F.col("center_root")) & near & possible & once)
         new = met.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         new = settle(new.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         tested = tested.union(new)
         links = settle(_confirmed(new, sets, percent), "minhash-links")
         if not links.isEmpty():
             roots = connect(links.union(roots.select("node", "root")))
-        active = active.join(
-            centers.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti"
-        ).select("bucket", "node", "n", "common")
+        active = active.join(centers, "node", "left_anti").select("bucket", "node", "n", "common")
         rivals *= 16
 
     named = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
