@@ -16,6 +16,8 @@ from terraquilt.llm.common import settle, text_of
 #: Low bits of a packed number: a k-mer's place in its text; the bits above: its hash.
 _PLACE_BITS = 28
 _PLACE = (1 << _PLACE_BITS) - 1
+#: Orders whose hashed k-mers a row holds at the same time.
+_AT_ONCE = 8
 
 
 def _packed(value: Column, place: Column) -> Column:
@@ -40,18 +42,17 @@ def _same(ordered: Column, x: Column, j: Column) -> Column:
     return F.shiftright(F.get(ordered, j).bitwiseXOR(x), _PLACE_BITS) == 0
 
 
-def add_signature(df: DataFrame, text: str, name: str, k: int = 3, size: int = 32, sample: int = 64, seed: int = 11) -> DataFrame:
+def add_signature(df: DataFrame, text: str, name: str, k: int = 3, size: int = 32, seed: int = 11) -> DataFrame:
     """Add ``name``, an array of ``size`` tuple hashes, for the column ``text``.
 
     The k-mers are of k words; a text of fewer words is one k-mer, one without words none (its
-    signature is all 0). Equal k-mers are told apart by their number of occurrence. The
-    ``sample`` k-mers of least hash stand for the text; each of ``size`` orders picks its two
-    least among them, puts them in text order and hashes the pair. An order is that of the hashes
-    under a random mask, that is by nearness to a random point. Texts of up to ``sample`` k-mers
-    are thus compared by all of them. Swapping passages changes pairs but not k-mers, so
-    signatures follow edit distance where plain MinHash doesn't.
+    signature is all 0). Equal k-mers are told apart by their number of occurrence. Each of
+    ``size`` orders, that of the k-mers hashed with a number of its own, picks the two least of all
+    k-mers of the text, whatever its length, puts them in text order and hashes the pair. Swapping passages
+    changes pairs but not k-mers, so signatures follow edit distance where plain MinHash doesn't.
     """
-    words, ordered, steps, chosen, pairs = (f"_{name}_{part}" for part in ("words", "ordered", "steps", "sample", "pairs"))
+    words, ordered, steps, labels = (f"_{name}_{part}" for part in ("words", "ordered", "steps", "labels"))
+    kept = [F.col(f"`{c}`") for c in df.columns]
     df = df.withColumn(words, F.array_remove(F.split(F.col(text), "[\\x20\\x09-\\x0D]+"), ""))
     w = F.col(words)
     starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1)))
@@ -62,26 +63,40 @@ def add_signature(df: DataFrame, text: str, name: str, k: int = 3, size: int = 3
     o = F.col(ordered)
     powers = F.array(*[F.lit(1 << b) for b in range(_PLACE_BITS - 1, -1, -1)])
     df = df.withColumn(steps, F.filter(powers, lambda step: step < F.size(o)))
+    # in the order of ``ordered``, which has their places
     labelled = F.transform(o, lambda x, i: F.when(
-        _same(o, x, i - 1), _packed(F.xxhash64(_hash_of(x), _occurrence(o, F.col(steps), x, i)), _place_of(x))
-    ).otherwise(x))
-    df = df.withColumn(chosen, F.slice(F.sort_array(labelled), 1, sample))
-    s = F.col(chosen)
-    masks = random.Random(seed)
-    least = [
-        F.slice(F.sort_array(F.transform(s, lambda x: x.bitwiseXOR(F.lit(masks.getrandbits(63) & ~_PLACE)))), 1, 2)
-        for _ in range(size)
-    ]
-    df = df.withColumn(pairs, F.array(*least))
-
-    def tuple_hash(t: Column) -> Column:
-        a, b = F.get(t, F.lit(0)), F.get(t, F.lit(1))
-        hashed = F.when(_place_of(a) > _place_of(b), F.xxhash64(_hash_of(b), _hash_of(a))).otherwise(
-            F.xxhash64(_hash_of(a), _hash_of(b))
-        )
-        return F.when(a.isNull(), F.lit(0).cast("long")).otherwise(hashed.bitwiseAND(F.lit(0xFFFFFFFF)))
-
-    return df.withColumn(name, F.transform(F.col(pairs), tuple_hash)).drop(words, ordered, steps, chosen, pairs)
+        _same(o, x, i - 1), F.xxhash64(_hash_of(x), _occurrence(o, F.col(steps), x, i))
+    ).otherwise(_hash_of(x)))
+    df = df.select(*kept, ordered, labelled.alias(labels))
+    numbers = random.Random(seed)
+
+    def place(values: Column, value: Column) -> Column:
+        return _place_of(F.get(o, (F.array_position(values, value) - 1).cast("int")))
+
+    # a few orders at a time, so that a long text's hashed k-mers are not all held at once
+    done: list[str] = []
+    for first in range(0, size, _AT_ONCE):
+        now = range(first, min(size, first + _AT_ONCE))
+        values, least, second, pairs = ([f"_{name}_{part}{j}" for j in now] for part in ("values", "least", "second", "pair"))
+        base = [*kept, ordered, labels, *done]
+        df = df.select(*base, *[
+            F.transform(F.col(labels), lambda y: F.xxhash64(y, F.lit(numbers.getrandbits(63)))).alias(v) for v in values
+        ])
+        df = df.select(*base, *values, *[F.array_min(v).alias(a) for v, a in zip(values, least)])
+        df = df.select(*base, *values, *least, *[
+            F.array_min(F.array_remove(v, F.col(a))).alias(b) for v, a, b in zip(values, least, second)
+        ])
+        df = df.select(*base, *[_pair_hash(
+            F.col(a), F.col(b), place(F.col(v), F.col(a)) > place(F.col(v), F.col(b))
+        ).alias(p) for v, a, b, p in zip(values, least, second, pairs)])
+        done += pairs
+    return df.select(*kept, F.array(*done).alias(name))
+
+
+def _pair_hash(a: Column, b: Column, turned: Column) -> Column:
+    """32 bits for a pair of hashed k-mers in text order; ``b`` is NULL for a lone one, ``a`` too for none (0)."""
+    hashed = F.when(turned, F.xxhash64(b, a)).otherwise(F.xxhash64(a, b))
+    return F.when(a.isNull(), F.lit(0).cast("long")).otherwise(hashed.bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def as_text(signature: Column) -> Column:
@@ -123,8 +138,7 @@ def next_keys(docs: DataFrame, key: str = "doc_id", ranges: int = 256) -> DataFr
     )
 
 
-def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, size: int = 32,
-                      sample: int = 64) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, size: int = 32) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likenesses.
 
     The edited text is the text with its last floor(n_chars / 2) code points replaced by the first as
@@ -139,7 +153,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     def signed(rows: DataFrame) -> DataFrame:
         whole = rows.select(F.col(key).alias("id"), text_of(text).alias("own")).withColumn("n_chars", F.char_length("own").cast("long"))
-        return add_signature(whole, "own", "signature", k, size, sample)
+        return add_signature(whole, "own", "signature", k, size)
 
     half = F.floor(F.col("n_chars") / 2).cast("int")
     follows = settle(next_keys(docs, key), "next-keys")
@@ -159,9 +173,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     )
     paired = own.join(sent, "id", "left").unionByName(nameless)
     edited = F.concat(F.left("own", F.col("n_chars").cast("int") - half), F.left("start", half))
-    paired = add_signature(
-        paired.withColumn("edited", edited).drop("own", "start"), "edited", "edited_signature", k, size, sample
-    )
+    paired = add_signature(paired.withColumn("edited", edited).drop("own", "start"), "edited", "edited_signature", k, size)
     return paired.select(
         F.col("id").alias(key), "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         as_text(F.col("signature")).alias("fingerprint"), as_text(F.col("edited_signature")).alias("edited_fingerprint"),

@@ -269,6 +269,20 @@ def test_fingerprints_feel_order_where_sets_do_not(spark):
     assert sig[3] != sig[4] and all(len(s) == 32 for s in sig.values())
 
 
+def test_fingerprints_of_long_texts_pick_from_all_kmers(spark):
+    """A text of 2,400 words and its first half or two thirds: as many places are equal as the whole sets of k-mers say."""
+    rng = random.Random(8)
+    texts = []
+    for i in range(20):
+        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(2400)]
+        texts += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(words[:1200])), (3 * i + 2, " ".join(words[:1600]))]
+    df = order_minhash.add_signature(spark.createDataFrame(texts, "id int, text string"), "text", "sig")
+    sig = {r.id: r.sig for r in df.collect()}
+    for part, jaccard in ((1, 1 / 2), (2, 2 / 3)):
+        equal = np.mean([a == b for i in range(20) for a, b in zip(sig[3 * i], sig[3 * i + part])])
+        assert abs(equal - jaccard ** 2) < 0.08
+
+
 def test_fingerprints_of_awkward_rows(spark):
     rows = order_minhash.fingerprint_edits(awkward(spark)).collect()
     assert len(rows) == 13
