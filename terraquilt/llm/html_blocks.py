@@ -38,6 +38,9 @@ _MARKUP = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)")
 _TAG_END = re.compile(r"""[^"'>]*(?:"[^"]*"[^"'>]*|'[^']*'[^"'>]*)*>""")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
+#: In a class such as has-sidebar, no-comments or ad-free, words that say what the others are not.
+_LAYS_OUT = frozenset("has have with no not non without".split())
+_LACKS = frozenset("free less".split())
 
 #: Parts of a page that an element stands for, by its name or by the words of its class, id and role.
 PARTS = ("menu", "header", "footer", "side", "notice", "advert", "form", "comment", "hidden")
@@ -67,6 +70,9 @@ class Block:
     inside: bool  # an article or main element is open
     heading: bool
     listed: bool  # in a list or table
+    marks: tuple[tuple[int, frozenset[str]], ...] = ()  # the open elements with parts, by number
+    main: int = -1  # the number of the innermost open main element
+    around: int = 0  # how many of the marks are of that element or contain it
 
 
 @dataclass
@@ -74,6 +80,22 @@ class _Open:
     tag: str
     parts: frozenset[str]
     inside: bool
+    marks: tuple[tuple[int, frozenset[str]], ...] = ()
+    main: int = -1
+    around: int = 0
+
+
+def _marking(value: str) -> list[str]:
+    """The words of a class, id or role that name what the element is; those of has-sidebar, no-comments or ad-free don't."""
+    out = []
+    for name in value.split():
+        words = [w for w in _SPLIT.split(name) if w]
+        for i, word in enumerate(words):
+            if word in _LAYS_OUT:
+                break
+            if i + 1 == len(words) or words[i + 1] not in _LACKS:
+                out.append(word)
+    return out
 
 
 def _parts(tag: str, attributes: str, inside: bool) -> tuple[set[str], bool]:
@@ -88,7 +110,7 @@ def _parts(tag: str, attributes: str, inside: bool) -> tuple[set[str], bool]:
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
                 parts.add("hidden")
             elif name in ("class", "id", "role"):
-                words = [w for w in _SPLIT.split(value) if w]
+                words = _marking(value)
                 found = {_PART_OF[w] for w in words if w in _PART_OF}
                 if inside:
                     found.discard("header")
@@ -110,6 +132,7 @@ def blocks_of(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = 0
     total = 0
+    opened = 0
     lower = None
 
     def flush() -> None:
@@ -120,7 +143,7 @@ def blocks_of(page: str) -> list[Block]:
             out.append(Block(
                 text, len(text.split()), min(1.0, linked / total) if total else 0.0, top.parts if top else frozenset(),
                 top.inside if top else False, any(count.get(f"h{i}") for i in range(1, 7)),
-                bool(count.get("li") or count.get("td") or count.get("dd")),
+                bool(count.get("li") or count.get("td") or count.get("dd")), *((top.marks, top.main, top.around) if top else ()),
             ))
         pieces.clear()
         linked = total = 0
@@ -193,12 +216,42 @@ def blocks_of(page: str) -> list[Block]:
             continue
         above = stack[-1] if stack else _Open("", frozenset(), False)
         parts, main = _parts(tag, attributes, above.inside)
-        stack.append(_Open(tag, above.parts | parts if parts else above.parts, above.inside or main))
+        opened += 1
+        marks = (*above.marks, (opened, frozenset(parts))) if parts else above.marks
+        stack.append(_Open(
+            tag, above.parts | parts if parts else above.parts, above.inside or main, marks,
+            *((opened, len(marks)) if main else (above.main, above.around)),
+        ))
         count[tag] = count.get(tag, 0) + 1
     flush()
+    _unmark_main(out)
     return out
 
 
+def _unmark_main(blocks: list[Block]) -> None:
+    """Take back the marks of elements that are or contain the page's main element, as of <article class="review">.
+
+    It is the one with most words that nothing within it marks, if it has more than all unmarked
+    blocks in main elements or, on a page without those, than all unmarked text outside. Where there are
+    some, a comment is no candidate. What is hidden stays so.
+    """
+    clean = sum(b.words for b in blocks if b.inside and not b.parts)
+    words: dict[int, int] = {}
+    around: dict[int, tuple[tuple[int, frozenset[str]], ...]] = {}
+    for b in blocks:
+        if b.inside and b.parts and len(b.marks) == b.around and "hidden" not in b.parts and not (clean and "comment" in b.parts):
+            words[b.main] = words.get(b.main, 0) + b.words
+            around[b.main] = b.marks
+    if not words:
+        return
+    largest = max(words, key=words.__getitem__)
+    if words[largest] <= (clean or sum(b.words for b in blocks if not b.inside and not b.parts and b.link_share < 0.5)):
+        return
+    taken = {number for number, _ in around[largest]}
+    for b in blocks:
+        b.parts = frozenset().union(*(parts for number, parts in b.marks if number not in taken))
+
+
 #: place: 2 inside a main element, 0 outside of those that the page has, 1 on a page without one.
 FEATURES = ("in_part", "place", "words", "link_share", "words_before", "link_share_before", "words_after", "link_share_after",
             "heading", "listed")

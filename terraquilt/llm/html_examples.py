@@ -87,4 +87,14 @@ EXAMPLES: list[tuple[str, set[str]]] = [
         "<body><article><h2>Moon</h2><p><a href='/m'>Moon</a></p><p>Full.</p></article></body>",
         {"Moon", "Full."},
     ),
+    (  # marks on what is or contains the main element
+        f"""<body><div class="menu">Start</div><div class="layout widget-area"><article class="review"><h1>Lamps</h1><p>{_LONG}.</p><p>Fine.</p></article>
+        <section class="comments"><article><p>I have one and like it.</p></article></section></div></body>""",
+        {"Lamps", f"{_LONG}.", "Fine."},
+    ),
+    (
+        f"""<body><div class="layout has-sidebar"><article class="post no-comments"><h1>Boats</h1><p>{_MORE}.</p></article>
+        <div class="sidebar"><p>{_LAST}</p></div></div></body>""",
+        {"Boats", f"{_MORE}."},
+    ),
 ]

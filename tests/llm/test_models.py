@@ -48,6 +48,20 @@ def test_main_text(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("opens, closes", [
+    ('<div class="layout has-sidebar"><article>', "</article></div>"), ('<main id="search-results">', "</main>"),
+    ('<div class="ad-free"><article>', "</article></div>"), ('<article class="review">', "</article>"),
+    ('<article class="post no-comments">', "</article>"), ('<form id="aspnet"><article>', "</article></form>"),
+    ('<main><h1>Bridge</h1><div class="widget-popup"><article>', "</article></div></main>"),
+])
+def test_marks_around_the_main_element_do_not_lose_it(opens, closes):
+    prose = "The river had been rising since the early morning and by noon the road was closed."
+    page = f"""<body><nav>Start</nav>{opens}<p>{prose}</p><div class="ad">Shoes</div><p>So it was.</p>{closes}
+        <section class="comments"><article><p>I say so too.</p></article></section></body>"""
+    assert text_of(page).split("\n")[-2:] == [prose, "So it was."]
+    assert "Shoes" not in text_of(page) and "I say" not in text_of(page)
+
+
 def test_pages_are_extracted_whole(spark):
     pages, = tables(spark, "pages")
     source = {r.page_id: r.html for r in pages.collect()}
