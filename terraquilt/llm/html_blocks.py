@@ -257,13 +257,18 @@ FEATURES = ("in_part", "place", "words", "link_share", "words_before", "link_sha
             "heading", "listed")
 
 
+def _has_main(blocks: Sequence[Block]) -> bool:
+    """Whether some block is of a main element that isn't a part, as reader comments in articles are."""
+    return any(b.inside and not b.parts for b in blocks)
+
+
 def features_of(blocks: Sequence[Block]) -> np.ndarray:
     """One row a block, in the order of FEATURES; a missing neighbour has no words and no links."""
     n = len(blocks)
     own = np.array([(b.words, b.link_share) for b in blocks], float).reshape(n, 2)
     none = np.zeros((1, 2))
     before, after = np.vstack([none, own[:-1]])[:n], np.vstack([own[1:], none])[:n]
-    outside = 0 if any(b.inside for b in blocks) else 1
+    outside = 0 if _has_main(blocks) else 1
     where = np.array([(bool(b.parts), 2 if b.inside else outside) for b in blocks], float).reshape(n, 2)
     form = np.array([(b.heading, b.listed) for b in blocks], float).reshape(n, 2)
     return np.hstack([where, own, before, after, form])
@@ -321,7 +326,7 @@ def trained_tree() -> DecisionTree:
     x, y = [], []
     for page, kept in EXAMPLES:
         blocks = blocks_of(page)
-        times = 5 if any(block.inside for block in blocks) else 1
+        times = 5 if _has_main(blocks) else 1
         x += [features_of(blocks)] * times
         y += [block.text in kept for block in blocks] * times
     return DecisionTree.fit(np.vstack(x), np.array(y, float))

@@ -97,4 +97,10 @@ EXAMPLES: list[tuple[str, set[str]]] = [
         <div class="sidebar"><p>{_LAST}</p></div></div></body>""",
         {"Boats", f"{_MORE}."},
     ),
+    (  # the only articles are comments and cards
+        f"""<body><div class="menu">Start</div><h1>Harvest</h1><div>{_LONG}.</div><p>So it was.</p><div>{_MORE}.</div><p>{_LAST}.</p>
+        <section class="comments"><article><p>We had a poor one here, and nobody came to help us.</p></article></section>
+        <div class="related"><article><a href="/1">Ten more stories</a></article></div></body>""",
+        {"Harvest", f"{_LONG}.", "So it was.", f"{_MORE}.", f"{_LAST}."},
+    ),
 ]

@@ -62,6 +62,14 @@ def test_marks_around_the_main_element_do_not_lose_it(opens, closes):
     assert "Shoes" not in text_of(page) and "I say" not in text_of(page)
 
 
+@pytest.mark.parametrize("part", ["comments", "related"])
+def test_comments_and_cards_in_articles_are_no_main_element(part):
+    prose = [f"On day {i} the river had been rising since the early morning and by noon the road was closed." for i in range(3)]
+    page = f"""<body><nav>Start</nav><p>{prose[0]}</p><div>{prose[1]}</div><p>{prose[2]}</p>
+        <section class="{part}"><article><p>I say so too, and have said so for years.</p></article></section></body>"""
+    assert text_of(page).split("\n") == prose
+
+
 def test_pages_are_extracted_whole(spark):
     pages, = tables(spark, "pages")
     source = {r.page_id: r.html for r in pages.collect()}
