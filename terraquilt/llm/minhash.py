@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from terraquilt.llm.common import settle, text_of
 
@@ -185,26 +186,8 @@ def _in_common(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     return sizes.join(alone, "id", "left").select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("long").alias("common"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, key: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """key, n_shingles, component_id (least key reachable over links, itself included), kept.
-
-    Documents are linked if 100 * intersection >= percent * union of their sets of word shingles;
-    a text with fewer words than ``width`` is one shingle, one without words (or NULL) has none
-    and is linked with nothing. A row without key has no name to be linked by: component_id is
-    NULL and kept is true. Rows that share key and text are one document. Other columns are left out.
-
-    Equal sets form one node, so a third of all rows being copies is one node. Nodes that share a
-    band's minima meet in a bucket. A bucket never emits all its pairs: each node is tested against
-    its least bucket mate; the confirmed links are joined to components; then each bucket that
-    still has several components chooses centers, at first the member that has most shingles in common with
-    any others, then 16 outside its largest component and 16 times as many each time, and tests
-    them against the members of other components only. A tested center leaves all its buckets. A pair is left out
-    only if sizes, or the shingles that either shares with anyone, rule a link out. It ends when each
-    bucket's remaining members are connected, so every pair in a bucket was tested, can't be a
-    link, or is connected anyway: no link is lost to stars.
-    Two sets at 0.85 share no band of 32 with a chance of 6e-11 (long texts).
-    """
+def _judged(docs: DataFrame, width: int, percent: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
+    """key, n_shingles, node, component_id, root (the least node of the component; NULL without key or shingles)."""
     signed = settle(add_classes(docs, width, bands, rows, key, text), "minhash-signed")
     nodes = signed.where(F.col("node").isNotNull() & F.col("key").isNotNull()).groupBy("node").agg(
         F.min("key").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")
@@ -272,20 +255,78 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
     named = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = named.join(smallest, "root").select("node", "component_id")
+    classes = named.join(smallest, "root").select("node", "component_id", "root")
     joined = signed.join(classes, "node", "left")
-    component = F.when(F.col("key").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "key"))
-    return joined.withColumn("component_id", component).select(
+    nameless = F.col("key").isNull()
+    component = F.when(nameless, F.lit(None)).otherwise(F.coalesce("component_id", "key"))
+    return joined.withColumn("component_id", component).withColumn("root", F.when(~nameless, F.col("root")))
+
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, key: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """key, n_shingles, component_id (least key reachable over links, itself included), kept.
+
+    Documents are linked if 100 * intersection >= percent * union of their sets of word shingles;
+    a text with fewer words than ``width`` is one shingle, one without words (or NULL) has none
+    and is linked with nothing. A row without key has no name to be linked by: component_id is
+    NULL and kept is true. Rows that share key and text are one document. Other columns are left out.
+
+    Equal sets form one node, so a third of all rows being copies is one node. Nodes that share a
+    band's minima meet in a bucket. A bucket never emits all its pairs: each node is tested against
+    its least bucket mate; the confirmed links are joined to components; then each bucket that
+    still has several components chooses centers, at first the member that has most shingles in common with
+    any others, then 16 outside its largest component and 16 times as many each time, and tests
+    them against the members of other components only. A tested center leaves all its buckets. A pair is left out
+    only if sizes, or the shingles that either shares with anyone, rule a link out. It ends when each
+    bucket's remaining members are connected, so every pair in a bucket was tested, can't be a
+    link, or is connected anyway: no link is lost to stars.
+    Two sets at 0.85 share no band of 32 with a chance of 6e-11 (long texts).
+    """
+    return _judged(docs, width, percent, bands, rows, key, text).select(
         F.col("key").alias(key), "n_shingles", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept")
     )
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group, the one of least key, and one row of that key; columns as they were.
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 32,
+                         rows: int = 4) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates; columns as they were.
 
-    Rows without key stay.
+    The row is one of the group's least key and, of its texts, that of the least digest. Rows that share
+    a key but whose texts aren't linked are of different groups, and all stay; of rows that share key and
+    set of shingles one stays, the one of least text hash. Texts without shingles are one group for each key. Rows without
+    key stay.
     """
-    found = near_duplicates(docs, key=key, text=text, **options)
-    gone = settle(found.where(~F.col("kept")).select(key).distinct(), "minhash-gone")
-    named = docs.where(F.col(key).isNotNull()).join(gone, key, "left_anti").dropDuplicates([key])
-    return named.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    found = _judged(docs, width, percent, bands, rows, key, text).where(F.col("key").isNotNull())
+    # each group's least key, and its least digest under that key
+    chosen = found.groupBy(F.col("root"), F.when(F.col("root").isNull(), F.col("key")).alias("alone")).agg(
+        F.min(F.struct("key", "node")).alias("first")
+    ).select(F.col("first.key").alias("_key"), F.col("first.node").alias("_node"))
+    chosen = settle(chosen, "minhash-chosen")
+    named = docs.where(F.col(key).isNotNull())
+    return _of_nodes(named, chosen, width, key, text).unionByName(docs.where(F.col(key).isNull()))
+
+
+def _of_nodes(docs: DataFrame, chosen: DataFrame, width: int, key: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each chosen (_key, _node), that of least text hash."""
+    digest = "_node"
+    columns = docs.columns
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        for batch in batches:
+            sets = [shingler.shingles(value or "") for value in batch.column(text).to_pylist()]
+            nodes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, digest])
+
+    schema = StructType([*docs.schema.fields, StructField(digest, BinaryType())])
+    # only rows of a chosen key are signed again and moved
+    signed = docs.join(chosen.select(F.col("_key").alias(key)).distinct(), key, "left_semi").select(*columns).mapInArrow(sign, schema)
+    rows = signed.alias("d").join(chosen.alias("c"), (F.col(f"d.`{key}`") == F.col("c._key")) & F.col("d._node").eqNullSafe(F.col("c._node")))
+    order = [F.xxhash64(F.col(f"d.`{text}`")), F.xxhash64(*[F.col(f"d.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])]
+    hashed = rows.select("d.*", F.struct(*order).alias("_order"))
+    # copies of one key and set can be a third of all rows: the least hash is found by sums, then one row of equal ones is taken
+    least = hashed.groupBy(key, digest).agg(F.min("_order").alias("_order"))
+    kept = hashed.alias("h").join(least.alias("l"), (F.col(f"h.`{key}`") == F.col(f"l.`{key}`"))
+                                  & F.col("h._node").eqNullSafe(F.col("l._node")) & (F.col("h._order") == F.col("l._order")))
+    return kept.select("h.*").dropDuplicates([key, digest]).select(*columns)

@@ -87,6 +87,17 @@ def test_near_duplicates_on_awkward_rows(spark):
     assert minhash.near_duplicates(awkward(spark).limit(0)).count() == 0
 
 
+def test_rows_of_one_key_with_unlinked_texts_all_stay(spark):
+    rng = random.Random(2)
+    texts = [" ".join(f"k{rng.randrange(10**6)}" for _ in range(40)) for _ in range(12)]
+    rows = [(7, t) for t in texts] + [(7, texts[0])] * 3 + [(3, texts[1]), (9, texts[2]), (8, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in minhash.drop_near_duplicates(docs).collect()]
+    assert Counter(left) - Counter([(8, None), (8, "")]) == Counter([(7, t) for t in texts if t != texts[1]] + [(3, texts[1])])
+    assert len(left) == 13
+    assert sorted(left, key=str) == sorted((tuple(r) for r in minhash.drop_near_duplicates(docs.repartition(5)).collect()), key=str)
+
+
 def filled(sizes, weights, total, cap):
     """Clamp, reshare, repeat."""
     target, open_, left = {}, set(sizes), total
