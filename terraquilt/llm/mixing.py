@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terraquilt.llm.common import count_words, settle
+from terraquilt.llm.common import count_words, number_rows, settle, text_of
 from terraquilt.session import broadcast_if_small
 
 
@@ -36,13 +36,30 @@ def water_fill(sources: DataFrame, total: Column, max_epochs: float = 2.0) -> Da
     return filled.withColumn("target", target).select(*sources.columns, "target")
 
 
+def _draw(key: Column, text: Column, seed: int) -> Column:
+    """63 bits from key and text, so only rows that repeat both share a draw."""
+    return F.shiftrightunsigned(F.xxhash64(key, text_of(text), F.lit(seed)), 1)
+
+
 def _sizes(docs: DataFrame, key: str, text: str, source: str, seed: int) -> DataFrame:
-    draw = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 1)
-    return docs.select(F.col(key).alias("key"), F.col(source).alias("source"), count_words(text).alias("size"), draw.alias("draw"))
+    return docs.select(
+        F.col(key).alias("key"), F.col(source).alias("source"), count_words(text).alias("size"),
+        _draw(F.col(key), F.col(text), seed).alias("draw"), F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def _edge_rows(rows: DataFrame, group: str, row: str, taken: str) -> DataFrame:
+    """``rows``, all repeats of the edge draw of their source, with ``_in``: whether a row is of the ``taken`` first ones.
+
+    Numbered by blocks of the hash of their row numbers, so that no task gets all repeats of one text.
+    """
+    named = rows.withColumn("_group", F.coalesce(F.xxhash64(F.col(group), F.col(group).isNull()), F.lit(0)))
+    return number_rows(named, ["_group"], [row], "_nth").withColumn("_in", F.col("_nth") < F.col(taken)).drop("_group", "_nth")
 
 
 def mix_rates(sized: DataFrame, weights: Sequence[float], share: float, max_epochs: float) -> DataFrame:
-    """Per source: source_size, target, whole repetitions, and the draw up to which documents enter once more.
+    """Per source: source_size, target, whole repetitions, the draw up to which documents enter once more, and the
+    edge draw of which only edge_taken repeats do (NULL if no repeats are divided).
 
     ``sized`` has source, size and draw. Words are summed by range of draws first; only the one
     range that a target falls into is put in order, so no task gets a whole source.
@@ -70,15 +87,24 @@ def mix_rates(sized: DataFrame, weights: Sequence[float], share: float, max_epoc
     )
     inside = sized.withColumn("block", block).alias("d").join(
         edges.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d.block") == F.col("e.block"))
-    ).select(F.col("d.source").alias("source"), "size", "draw", "before", "rest", F.col("d.block").alias("block"))
-    running = Window.partitionBy("source", "block").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.col("before") + F.sum("size").over(running) - F.col("size") / F.lit(2.0)
+    ).groupBy(F.col("d.source").alias("source"), F.col("d.block").alias("block"), "draw").agg(
+        F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"), F.min("before").alias("before"), F.min("rest").alias("rest")
+    )
+    # repeats are one row here, so that a text that many rows hold is one
+    running = Window.partitionBy("source", "block").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.col("rest") - (F.col("before") + F.sum("words").over(running) - F.col("words"))
+    whole = F.when(left >= 0, F.col("rows")).otherwise(F.lit(0))
+    fit = F.floor(left * F.col("rows") / F.when(F.col("words") > 0, F.col("words")) + F.lit(0.5))
+    taken = F.greatest(F.lit(0), F.least(F.col("rows"), F.coalesce(fit, whole))).cast("long")
     start = F.shiftleft(F.col("block").cast("long"), 51) - 1
-    cuts = inside.withColumn("taken", middle <= F.col("rest")).groupBy("source").agg(
-        F.coalesce(F.max(F.when(F.col("taken"), F.col("draw"))), F.max(start)).alias("cut")
+    divided = (F.col("taken") > 0) & (F.col("taken") < F.col("rows"))
+    cuts = inside.withColumn("taken", taken).groupBy("source").agg(
+        F.coalesce(F.max(F.when(F.col("taken") == F.col("rows"), F.col("draw"))), F.max(start)).alias("cut"),
+        F.max(F.when(divided, F.col("draw"))).alias("edge"), F.max(F.when(divided, F.col("taken"))).alias("edge_taken"),
     )
     return targets.alias("t").join(cuts.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")), "left").select(
-        F.col("t.source").alias("source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(-1).cast("long")).alias("cut")
+        F.col("t.source").alias("source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(-1).cast("long")).alias("cut"),
+        "edge", "edge_taken",
     )
 
 
@@ -96,27 +122,40 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share:
     size counts the words of the text (NULL: 0). Sources in code point order, NULL last as a
     source of its own, take the weights in turn. A source enters target / source_size times: all
     its documents the whole number of times, and once more those that come first in the order of
-    a seeded hash of the key, until the words come nearest the target (the document at the edge
+    a seeded hash of key and text, until the words come nearest the target (the document at the edge
     is in if that brings them nearer). So a source misses its target by at most half a document
-    (of rows that repeat a key, all or none enter once more), and no document enters more than
+    (of rows that repeat key and text, as many as needed enter once more), and no document enters more than
     max_epochs times, rounded up. A source without words has target 0; its documents enter once, as they
     cost nothing. Columns other than the three named are left out; an empty table gives one.
     """
     sized = settle(_sizes(docs, key, text, source, seed), "mix-sizes")
     rates = mix_rates(sized, weights, share, max_epochs)
-    repeats = F.col("whole") + (F.col("draw") <= F.col("cut")).cast("long")
-    return _with_rates(sized, rates, "source", [
-        F.col("key").alias(key), F.col("d.source").alias(source), "size", "source_size", "target",
+    rated = _with_rates(sized, rates, "source", ["d.*", "source_size", "target", "whole", "cut", "edge", "edge_taken"])
+    at_edge = F.coalesce(F.col("draw") == F.col("edge"), F.lit(False))
+    rest = rated.where(~at_edge).withColumn("_in", F.col("draw") <= F.col("cut"))
+    repeats = F.col("whole") + F.col("_in").cast("long")
+    return rest.unionByName(_edge_rows(rated.where(at_edge), "source", "row", "edge_taken")).select(
+        F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target",
         repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"),
-    ])
+    )
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5, max_epochs: float = 2.0,
                   seed: int = 23, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The documents of the mix, each as often as ``mix_plan`` says, with the columns of ``docs``; texts aren't shuffled."""
+    """The documents of the mix, each as often as ``mix_plan`` says, with the columns of ``docs``.
+
+    Texts aren't shuffled, but for the repeats of which some enter once more and some don't.
+    """
     sized = settle(_sizes(docs, key, text, source, seed), "mix-sizes")
     rates = mix_rates(sized, weights, share, max_epochs)
-    draw = F.shiftrightunsigned(F.xxhash64(F.col(f"d.`{key}`"), F.lit(seed)), 1)
-    times = (F.col("whole") + (draw <= F.col("cut")).cast("long")).cast("int")
-    mixed = _with_rates(docs, rates, source, ["d.*", F.explode(F.array_repeat(F.lit(0), times)).alias("_copy")])
-    return mixed.drop("_copy")
+    rates = settle(rates, "mix-rates")
+    draw = _draw(F.col(f"d.`{key}`"), F.col(f"d.`{text}`"), seed)
+    rated = _with_rates(docs, rates, source, [
+        "d.*", draw.alias("_draw"), *[F.col(f"r.{c}").alias(f"_{c}") for c in ("whole", "cut", "edge", "edge_taken")]
+    ])
+    at_edge = F.coalesce(F.col("_draw") == F.col("_edge"), F.lit(False))
+    rest = rated.where(~at_edge).withColumn("_in", F.col("_draw") <= F.col("_cut"))
+    edge = settle(rated.where(at_edge).withColumn("_row", F.monotonically_increasing_id()), "mix-edge")
+    mixed = rest.unionByName(_edge_rows(edge, source, "_row", "_edge_taken").drop("_row"))
+    times = (F.col("_whole") + F.col("_in").cast("long")).cast("int")
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -143,6 +143,21 @@ def test_mix_matches_repeated_clamping(spark):
     assert copies == Counter({r.doc_id: r.repeats for r in got if r.repeats})
 
 
+def test_repeated_keys_do_not_move_a_source_off_its_target(spark):
+    rows = [(5, f"t{i} w w w", "a") for i in range(300)] + [(None, "n w w w", "a")] * 300 + [(i + 10, "u w w w", "b") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for weights in ((5.0, 2.0), (2.0, 5.0), (3.0, 4.0)):
+        got = mixing.mix_plan(docs, weights, 1.2).collect()
+        for s in "ab":
+            own = [r for r in got if r.source == s]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 2 + 1e-6
+        copies = Counter((r.doc_id, r.source) for r in mixing.mix_documents(docs, weights, 1.2).collect())
+        want = Counter()
+        for r in got:
+            want[r.doc_id, r.source] += r.repeats
+        assert copies == +want
+
+
 def test_mix_on_awkward_rows(spark):
     got = mixing.mix_plan(awkward(spark)).collect()
     assert len(got) == 13 and all(r.taken == r.repeats * r.size for r in got)
