@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraquilt.llm import (
     byte_cnn, host_reputation, html_blocks, minhash, mixing, order_minhash, packing, quality_rules, sharding, toxicity,
+    whitening,
 )
 from terraquilt.llm.common import table
 
@@ -158,3 +159,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.add_toxicity(docs, model).select(
         "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@_query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = whitening.whiten(vectors, whitening.fit_whitening(vectors))
+    # a deviation beyond a long is NULL there, and whole in the column beside it
+    return rows.select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained",
+        "identity_error", F.col("deviation").alias("deviation_digits"),
+    )
