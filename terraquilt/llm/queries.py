@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraquilt.llm import (
-    byte_cnn, host_reputation, html_blocks, minhash, mixing, order_minhash, packing, quality_rules, sharding, toxicity,
+    byte_cnn, conversation_repair, host_reputation, html_blocks, minhash, mixing, order_minhash, packing, quality_rules, sharding, toxicity,
     whitening,
 )
 from terraquilt.llm.common import table
@@ -170,3 +170,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained",
         "identity_error", F.col("deviation").alias("deviation_digits"),
     )
+
+
+@_query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_report(damaged, copies="copies")
