@@ -46,6 +46,7 @@ class UnitTokenizer:
         byte_of = _byte_of()
         ranks = {bytes(byte_of[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in special}
         self._encode = tiktoken.Encoding("units", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.encode = self._encode  # ids of a whole text as a list, nothing remembered
         self._spaced: dict[str, bytes] = {}
 
     def _packed(self, text: str) -> bytes:

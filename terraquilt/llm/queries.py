@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraquilt.llm import (
-    byte_cnn, conversation_repair, host_reputation, html_blocks, minhash, mixing, order_minhash, packing, quality_rules, sharding, toxicity,
-    whitening,
+    byte_cnn, conversation_repair, direct_codes, host_reputation, html_blocks, minhash, mixing, order_minhash, packing, quality_rules,
+    sharding, toxicity, whitening,
 )
 from terraquilt.llm.common import table
+from terraquilt.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -176,3 +177,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
     return conversation_repair.repair_report(damaged, copies="copies")
+
+
+@_query("op13_direct_token_codes")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-codes")
+    direct_codes.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return direct_codes.read_documents(spark, path)
