@@ -13,3 +13,16 @@ def awkward(spark):
         (None, "no key here at all", "en", "x"), (2**60 + 1, "far key", None, None),
     ]
     return spark.createDataFrame([(*r, None, "s", 1, "n", "h", 5) for r in rows], SCHEMA)
+
+
+#: Names that operators give to columns of their own, or gave once.
+HELPERS = """key text row node rep rows order first bands root stays alone center reference parts linked bucket score top leader ref count
+    _key _node _order _text _label _draw _cut _edge _whole _edge_taken _row _group _nth _block _rank _before _n _page
+    draw cut edge whole taken repeats target source_size hashed size part place number""".split()
+
+
+def renamed(df):
+    """``df`` with a column of every helper's name that it hasn't."""
+    from pyspark.sql import functions as F
+
+    return df.select("*", *[F.lit(f"x{i}").alias(name) for i, name in enumerate(HELPERS) if name not in df.columns])
