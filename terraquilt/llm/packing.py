@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from terraquilt.llm.common import number_rows, settle, text_of
+from terraquilt.llm.common import number_equal_rows, settle, text_of
 
 #: Units whose ids one worker remembers; beyond it, it starts anew.
 _REMEMBERED = 300_000
@@ -157,7 +157,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, key: str = "doc_id") ->
     over, a few thousand in all at any size of input, share sequences by first fit. Offsets are
     gapless from 0 in each sequence; sequence_id is gapless too.
     """
-    numbered = settle(number_rows(pieces, ["class"], [key, "start"], "number"), "pack-numbers")
+    numbered = settle(number_equal_rows(pieces, ["class"], [key, "start"], "number"), "pack-numbers")
     counts = settle(numbered.groupBy("class").agg(F.count(F.lit(1)).alias("pieces")), "pack-classes")
     full = F.floor(F.col("pieces") / F.col("class")).cast("long")
     bases = counts.select(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terraquilt.llm.common import number_rows, settle, text_of
+from terraquilt.llm.common import number_equal_rows, settle, text_of
 
 _UNIT = float(2**52)
 
@@ -46,7 +46,7 @@ def shard_layout(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: st
 
     size is the UTF-8 bytes of the text plus 1, text_crc32 the unsigned CRC of those bytes; a
     NULL text has no bytes (size 1, CRC 0). Slots are gapless from 0 in each shard, by hash
-    block and key; repeated rows get slots of their own. Other columns are left out.
+    block and key; repeated rows get slots of their own, and are counted before they are numbered. Other columns are left out.
     """
     narrow = docs.select(
         F.col(key),
@@ -54,4 +54,4 @@ def shard_layout(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: st
         F.crc32(F.encode(text_of(text), "UTF-8")).alias("text_crc32"),
     )
     placed = settle(assign_shards(narrow, key, (1.0,) * shards, (1.0,) * (shards + 1)), "shards")
-    return number_rows(placed, ["shard"], [key, "text_crc32"], "slot")
+    return number_equal_rows(placed, ["shard"], [key, "text_crc32"], "slot")
