@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terraquilt.llm.common import text_of
 
@@ -152,14 +152,25 @@ def training_fold(key: str, folds: int, held_out: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_rows: int, key: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """text and label (0 or 1) of at most ``max_rows`` labelled documents that ``learn`` admits, those of least hash.
+                    text: str = "text", max_bytes: int = 64 * 2**20) -> DataFrame:
+    """key, _text and _label (0 or 1) of at most ``max_rows`` labelled documents that ``learn`` admits, those of least hash.
 
-    The sample of keys is bounded, so it is broadcast to the documents, whose texts stay where they are.
+    Labels meet the keys of ``docs`` first, so those of absent documents don't count. A key is one
+    row, whatever it repeats: its least label with its text of least hash. Texts are taken in that order while they are of
+    ``max_bytes`` together. Only hashes and lengths move until then; the bounded sample of keys is
+    broadcast to the documents, whose texts stay where they are but for the sample's.
     """
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & learn).groupBy(key).agg(F.min(label).alias("_label"))
-    chosen = known.orderBy(F.xxhash64(key), key).limit(max_rows)
-    return docs.select(key, text_of(text).alias("_text")).join(F.broadcast(chosen), key).select(key, "_text", "_label")
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & learn).groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_label"))
+    narrow = docs.select(F.col(key).alias("_key"), F.xxhash64(text_of(text)).alias("_hash"), F.octet_length(text_of(text)).alias("_bytes"))
+    met = narrow.join(known, "_key").groupBy("_key").agg(F.min(F.struct("_hash", "_bytes")).alias("_of"), F.any_value("_label").alias("_label"))
+    first = met.select("_key", "_of.*", "_label").orderBy(F.xxhash64("_key"), "_key").limit(max_rows)
+    so_far = Window.orderBy(F.xxhash64("_key"), "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = first.withColumn("_so_far", F.sum(F.col("_bytes").cast("long")).over(so_far)).where(F.col("_so_far") <= max_bytes)  # max_rows at most
+    texts = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"), F.xxhash64(text_of(text)).alias("_hash"))
+    # rows that repeat a key and a text are one before they leave their task
+    return texts.join(F.broadcast(chosen.select("_key", "_hash", "_label")), ["_key", "_hash"]).groupBy("_key").agg(
+        F.min("_text").alias("_text"), F.any_value("_label").alias("_label")
+    ).withColumnRenamed("_key", key)
 
 
 def fit_in_task(sample: DataFrame, fit, key: str = "doc_id"):
@@ -178,7 +189,7 @@ def fit_in_task(sample: DataFrame, fit, key: str = "doc_id"):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_rows: int = 6000, key: str = "doc_id",
                 text: str = "text", label: str = "quality", steps: int = 1500) -> ByteNet | None:
-    """Network fitted on at most ``max_rows`` labelled documents; None if there are none, or all have one label."""
+    """Network fitted on at most ``max_rows`` labelled documents (see ``labelled_sample``); None if there are none, or all have one label."""
     def fit(texts: list[str], marks: np.ndarray) -> ByteNet | None:
         return ByteNet.fit(texts, marks, steps) if len(set(marks.tolist())) == 2 else None
 

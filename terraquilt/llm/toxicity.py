@@ -270,7 +270,7 @@ class ToxicityModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_rows: int = 8000, key: str = "doc_id",
                  text: str = "text", label: str = "toxic") -> ToxicityModel | None:
-    """Model fitted on at most ``max_rows`` labelled documents; None if there are none, or all have one label."""
+    """Model fitted on at most ``max_rows`` labelled documents (see ``labelled_sample``); None if there are none, or all have one label."""
     def fit(texts: list[str], marks: np.ndarray) -> ToxicityModel | None:
         return ToxicityModel.fit(texts, marks) if len(set(marks.tolist())) == 2 else None
 
