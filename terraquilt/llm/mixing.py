@@ -144,18 +144,20 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), s
                   seed: int = 23, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents of the mix, each as often as ``mix_plan`` says, with the columns of ``docs``.
 
-    Texts aren't shuffled, but for the repeats of which some enter once more and some don't.
+    Texts aren't shuffled, but for the repeats of which some enter once more and some don't. A
+    document is one struct beside the columns needed, so its own may have any name.
     """
     sized = settle(_sizes(docs, key, text, source, seed), "mix-sizes")
     rates = mix_rates(sized, weights, share, max_epochs)
     rates = settle(rates, "mix-rates")
-    draw = _draw(F.col(f"d.`{key}`"), F.col(f"d.`{text}`"), seed)
-    rated = _with_rates(docs, rates, source, [
-        "d.*", draw.alias("_draw"), *[F.col(f"r.{c}").alias(f"_{c}") for c in ("whole", "cut", "edge", "edge_taken")]
-    ])
-    at_edge = F.coalesce(F.col("_draw") == F.col("_edge"), F.lit(False))
-    rest = rated.where(~at_edge).withColumn("_in", F.col("_draw") <= F.col("_cut"))
-    edge = settle(rated.where(at_edge).withColumn("_row", F.monotonically_increasing_id()), "mix-edge")
-    mixed = rest.unionByName(_edge_rows(edge, source, "_row", "_edge_taken").drop("_row"))
-    times = (F.col("_whole") + F.col("_in").cast("long")).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(
+        F.col(source).alias("source"), _draw(F.col(key), F.col(text), seed).alias("draw"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
+    )
+    rated = _with_rates(whole, rates, "source", ["d.*", "whole", "cut", "edge", "edge_taken"])
+    at_edge = F.coalesce(F.col("draw") == F.col("edge"), F.lit(False))
+    rest = rated.where(~at_edge).withColumn("_in", F.col("draw") <= F.col("cut"))
+    edge = settle(rated.where(at_edge).withColumn("row", F.monotonically_increasing_id()), "mix-edge")
+    mixed = rest.unionByName(_edge_rows(edge, "source", "row", "edge_taken").drop("row"))
+    times = (F.col("whole") + F.col("_in").cast("long")).cast("int")
+    return mixed.select("document", F.explode(F.array_repeat(F.lit(0), times))).select("document.*")

@@ -226,7 +226,9 @@ def fit_rules(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_l
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias("_label"))
     usable = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).join(known, key).select(key, "_label", *FEATURES)
     usable = settle(usable, "rules-labelled")
-    sample = usable.where(F.col("_label") == 1).orderBy(F.xxhash64(key), key).limit(max_rows).select(*FEATURES).toPandas()
+    # a key is one row, that of least features, whatever it repeats
+    good = usable.where(F.col("_label") == 1).groupBy(key).agg(F.min(F.struct(*FEATURES)).alias("_least"))
+    sample = good.orderBy(F.xxhash64(key), key).limit(max_rows).select("_least.*").toPandas()
     if not len(sample):
         return QualityRules(None, 1.0)
     rules = QualityRules(IsolationForest.fit(sample.to_numpy(float)), 1.0)
