@@ -8,8 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from terraquilt.session import broadcast_if_small
 
-#: Suffixes of two labels under which names are registered; others have one label.
-TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.tr", "gov.uk", "org.uk")
+#: Some suffixes of two labels under which anybody registers names, registries' and hosting services'; others have one
+#: label. A fixed, partial list: give ``suffixes`` for more.
+MORE_LABEL_SUFFIXES = (
+    "ac.jp", "ac.nz", "ac.uk", "ac.za", "asn.au", "blogspot.com", "cloudfront.net", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr",
+    "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.eg", "com.hk", "com.mx", "com.my", "com.ng",
+    "com.pe", "com.ph", "com.pk", "com.pl", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.ve", "com.vn", "edu.au", "edu.cn",
+    "firebaseapp.com", "github.io", "gitlab.io", "go.jp", "gov.au", "gov.br", "gov.cn", "gov.in", "gov.uk", "herokuapp.com", "me.uk",
+    "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "netlify.app", "nhs.uk", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.nz",
+    "org.uk", "pages.dev", "sch.uk", "vercel.app", "web.app", "wordpress.com",
+)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PARTS = "://([^/?#]*)([^?#]*)"
 
@@ -24,15 +32,41 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 2)
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES) & (host != two), two).otherwise(F.substring_index(host, ".", -1))
+def site_of(host: Column) -> Column:
+    """The host without user part and port, as its groups have it; it stays what it is in results."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
 
 
-def domain_of(host: Column) -> Column:
-    """The suffix and one label before it; a host without more labels is its own domain."""
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES) & (host != two), F.substring_index(host, ".", -3)).otherwise(two)
+def _is_address(site: Column) -> Column:
+    return site.rlike("^[0-9]{1,3}([.][0-9]{1,3}){3}$") | site.startswith("[")
+
+
+def _labels_of_suffix(site: Column, suffixes: Sequence[str]) -> Column:
+    """How many labels the longest known suffix has that is not all of the site; 1 without one."""
+    by_labels: dict[int, list[str]] = {}
+    for suffix in suffixes:
+        by_labels.setdefault(suffix.count(".") + 1, []).append(suffix)
+    found = F.lit(1)
+    for labels in sorted(by_labels):
+        tail = F.substring_index(site, ".", -labels)
+        found = F.when(tail.isin(*by_labels[labels]) & (site != tail), labels).otherwise(found)
+    return found
+
+
+def _last(site: Column, labels: Column) -> Column:
+    return F.array_join(F.slice(F.split(site, "[.]"), -F.least(labels, F.size(F.split(site, "[.]"))), labels), ".")
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = MORE_LABEL_SUFFIXES) -> Column:
+    """The suffix of a host without its port and user; an address is its own."""
+    site = site_of(host)
+    return F.when(_is_address(site), site).otherwise(_last(site, _labels_of_suffix(site, suffixes)))
+
+
+def domain_of(host: Column, suffixes: Sequence[str] = MORE_LABEL_SUFFIXES) -> Column:
+    """The suffix and one label before it; a host without more labels, and an address, is its own domain."""
+    site = site_of(host)
+    return F.when(_is_address(site), site).otherwise(_last(site, _labels_of_suffix(site, suffixes) + 1))
 
 
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -69,7 +103,7 @@ def _concentration(counts: DataFrame, group: str) -> DataFrame:
     return spread.select((F.lit(1.0) / rho - F.lit(1.0)).alias("strength"))
 
 
-def host_posteriors(pages: DataFrame, z: float = 1.645) -> DataFrame:
+def host_posteriors(pages: DataFrame, z: float = 1.645, suffixes: Sequence[str] = MORE_LABEL_SUFFIXES) -> DataFrame:
     """Per host of ``pages`` (host, bad: 1, 0 or NULL without a label): n, bad, mean, lower.
 
     A level's groups are taken as draws from a beta distribution around the posterior mean of the
@@ -79,7 +113,9 @@ def host_posteriors(pages: DataFrame, z: float = 1.645) -> DataFrame:
     host before anything else, so no host meets in one task.
     """
     hosts = pages.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn(
+        "suffix", suffix_of(F.col("host"), suffixes)
+    )
     hosts = hosts.checkpoint()
     everything = hosts.agg(((F.sum("bad") + F.lit(0.5)) / (F.sum("n") + F.lit(1.0))).alias("prior"))
     level = hosts.crossJoin(F.broadcast(everything))
@@ -98,12 +134,14 @@ def host_posteriors(pages: DataFrame, z: float = 1.645) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = (), limit: float = 0.5,
-               z: float = 1.645, key: str = "page_id", url: str = "url") -> DataFrame:
+               z: float = 1.645, key: str = "page_id", url: str = "url", suffixes: Sequence[str] = MORE_LABEL_SUFFIXES) -> DataFrame:
     """Verdict for every page: its longest rule's, else block where the host's bad rate is surely over ``limit``.
 
     ``outcomes`` has ``key`` and bad (0 or 1), for some pages; keys there must be unique. A page
     whose key is NULL has no outcome. A NULL url, or one without ``://``, has an empty host and path,
-    which is judged as a host like any other. Only the named columns are read and returned.
+    which is judged as a host like any other. For the groups above it a host counts without user part
+    and port, an address is a domain of its own, and ``suffixes`` are those of more than one label. Only the named columns are
+    read and returned.
     """
     parsed = pages.select(
         F.col(key).alias("page_id"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path")
@@ -111,7 +149,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str,
     marked = parsed.select("page_id", "host").join(
         outcomes.select(F.col(key).alias("page_id"), F.col("bad").cast("long").alias("bad")), "page_id", "left"
     )
-    hosts = broadcast_if_small(host_posteriors(marked, z).select("host", "mean", "lower"))
+    hosts = broadcast_if_small(host_posteriors(marked, z, suffixes).select("host", "mean", "lower"))
     judged = parsed.join(hosts, "host").withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("lower") > F.lit(limit), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(

@@ -100,7 +100,7 @@ def _level_sql(level: str, above: str) -> str:
     {level}_q AS (SELECT host, a / (a + b) AS prior FROM {level}_p)"""
 
 
-_TWO = ", ".join(f"'{x}'" for x in host_reputation.TWO_LABEL_SUFFIXES)
+_TWO = ", ".join(f"'{x}'" for x in host_reputation.MORE_LABEL_SUFFIXES if x.count(".") == 1)
 _RULES_BY_LENGTH = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
 
 
@@ -118,9 +118,12 @@ URL_SQL = f"""WITH
     o AS (SELECT page_id, max(bad) AS bad FROM u JOIN known
           ON known.doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})(?:[.]html|/)?$', 1) AS BIGINT) GROUP BY 1),
     c AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM u LEFT JOIN o USING (page_id) GROUP BY 1),
-    l AS (SELECT *, string_split(host, '.') AS w, array_to_string(string_split(host, '.')[-2:], '.') AS two FROM c),
-    h AS (SELECT host, n, bad, CASE WHEN two IN ({_TWO}) AND host <> two THEN two ELSE w[-1] END AS suffix,
-                 CASE WHEN two IN ({_TWO}) AND host <> two THEN array_to_string(w[-3:], '.') ELSE two END AS domain FROM l),
+    l AS (SELECT *, string_split(site, '.') AS w, array_to_string(string_split(site, '.')[-2:], '.') AS two,
+                 regexp_matches(site, '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$') OR starts_with(site, '[') AS address
+          FROM (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS site FROM c)),
+    h AS (SELECT host, n, bad,
+                 CASE WHEN address THEN site WHEN two IN ({_TWO}) AND site <> two THEN two ELSE w[-1] END AS suffix,
+                 CASE WHEN address THEN site WHEN two IN ({_TWO}) AND site <> two THEN array_to_string(w[-3:], '.') ELSE two END AS domain FROM l),
     all_q AS (SELECT host, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM h) AS prior FROM h),
     {_level_sql("suffix", "all")}, {_level_sql("domain", "suffix")}, {_level_sql("host", "domain")}
     SELECT page_id, host, path, {_rule_sql({h + p: h + p for h, p, _ in URL_RULES})} AS rule,
