@@ -204,14 +204,26 @@ def box_intersects(kind: str, edges: str, box: tuple[str, str, str, str]) -> str
 
 # ---------------------------------------------------------------- clipping
 
-def clip_ring_to_box(ring: str, xmin: str, ymin: str, xmax: str, ymax: str) -> str:
-    """Closed ring cut to a rectangle: one half-plane cut per side (Sutherland-Hodgman)."""
+def box_sides(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    """The four half-planes ``nx x + ny y + c >= 0`` of a rectangle, as an array."""
     def side(nx: int, ny: int, c: str) -> str:
         return f"named_struct('nx', {nx}D, 'ny', {ny}D, 'c', CAST({c} AS DOUBLE))"
 
-    sides = ", ".join([
+    return "array(" + ", ".join([
         side(1, 0, f"-({xmin})"), side(-1, 0, xmax), side(0, 1, f"-({ymin})"), side(0, -1, ymax),
-    ])
+    ]) + ")"
+
+
+def half_planes(ring: str) -> str:
+    """The half-planes whose intersection is a convex closed ring, whichever way it turns."""
+    turn = f"IF({signed_ring_area(ring)} >= 0, 1D, -1D)"
+    nx, ny = f"(h_.y1 - h_.y2) * {turn}", f"(h_.x2 - h_.x1) * {turn}"
+    plane = f"named_struct('nx', {nx}, 'ny', {ny}, 'c', -({nx}) * h_.x1 - ({ny}) * h_.y1)"
+    return f"transform(filter({ring_edges(ring)}, f_ -> f_.x1 <> f_.x2 OR f_.y1 <> f_.y2), h_ -> {plane})"
+
+
+def clip_ring_to_sides(ring: str, sides: str) -> str:
+    """Closed ring cut to the intersection of half-planes: one cut per side (Sutherland-Hodgman)."""
     a = "(s_.nx * e_.x1 + s_.ny * e_.y1 + s_.c)"
     b = "(s_.nx * e_.x2 + s_.ny * e_.y2 + s_.c)"
     t = f"{a} / ({a} - {b})"
@@ -223,7 +235,17 @@ def clip_ring_to_box(ring: str, xmin: str, ymin: str, xmax: str, ymax: str) -> s
         ELSE slice(array({end}), 1, 0) END"""
     cut = f"flatten(transform({ring_edges('acc_')}, e_ -> {pieces}))"
     closed = f"transform(array({cut}), q_ -> concat(q_, slice(q_, 1, 1)))[0]"
-    return f"aggregate(array({sides}), {ring}, (acc_, s_) -> {closed})"
+    return f"aggregate({sides}, {ring}, (acc_, s_) -> {closed})"
+
+
+def clip_ring_to_box(ring: str, xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    return clip_ring_to_sides(ring, box_sides(xmin, ymin, xmax, ymax))
+
+
+def clip_parts_to_sides(parts: str, sides: str) -> str:
+    """Every ring cut to the half-planes; a shell with nothing left takes its holes with it."""
+    rings = f"filter(transform(g_, r_ -> {clip_ring_to_sides('r_', sides)}), k_ -> size(k_) >= 4)"
+    return f"filter(transform({parts}, g_ -> {rings}), k_ -> size(k_) > 0)"
 
 
 def clip_parts_to_box(parts: str, box: tuple[str, str, str, str]) -> str:

@@ -197,29 +197,46 @@ def cell_category_counts(cover: DataFrame, code: Column, names: dict[str, int |
 
 # ---------------------------------------------------------------- shape joins
 
+def _leveled(df: DataFrame, geometry: str, side: str, cell: float) -> DataFrame:
+    """Envelope ``_l`` or ``_r`` and its level: the cells of side ``cell * 2 ** level`` are the first as wide as it is."""
+    placed = once(df, {f"_{side}": geo.envelope(geometry)})
+    span = f"greatest(_{side}.xmax - _{side}.xmin, _{side}.ymax - _{side}.ymin)"
+    level = f"CAST(IF({span} <= {cell}D, 0, ceil(log2({span} / {cell}D))) AS INT)"
+    return placed.where(f"{span} < double('infinity')").withColumn(f"_{side}l", F.expr(level))
+
+
+def _binned(placed: DataFrame, side: str, cell: float, levels: list[int]) -> DataFrame:
+    """A row for each bin a shape reaches at its own level and at the coarser ones in ``levels``, four a level or so."""
+    coarser = "array(" + ", ".join(map(str, levels)) + ")" if levels else "CAST(array() AS array<int>)"
+    own = placed.withColumn("_level", F.expr(f"explode(array_union(array(_{side}l), filter({coarser}, l_ -> l_ > _{side}l)))"))
+    for axis in "xy":
+        size = f"({cell}D * power(2D, _level))"
+        bins = f"explode(sequence(floor(_{side}.{axis}min / {size}), floor(_{side}.{axis}max / {size})))"
+        own = own.withColumn(f"_b{axis}", F.expr(bins))
+    return own
+
+
 def envelope_join(
     left: DataFrame, right: DataFrame, cell: float, left_geometry: str = "geometry", right_geometry: str = "aoi"
 ) -> DataFrame:
-    """Pairs whose envelopes share a point, by equi-join on coarse bins.
+    """Pairs whose envelopes share a point, by equi-join on bins of several levels.
 
-    Either side may be of any size. A pair that meets in several bins is kept in the one
-    holding the larger of the two lower-left corners, so nothing has to be made distinct.
+    A shape lies in bins of its own size, and stands in their ancestors for the larger shapes of the
+    other side, so its rows don't grow with its extent: at most about four for each level there is. ``cell`` is the
+    side of the finest bins, those of shapes up to that size. Either side may be of any size. A pair meets at the
+    level of its larger shape, in the one bin holding the larger of the two lower-left corners, so nothing has to
+    be made distinct. Shapes without envelope meet nothing.
     """
-    def binned(df: DataFrame, geometry: str, side: str) -> DataFrame:
-        placed = once(df, {f"_{side}": geo.envelope(geometry)})
-        for axis in "xy":
-            low, high = f"_{side}.{axis}min", f"_{side}.{axis}max"
-            bins = f"explode(sequence(floor({low} / {cell}D), floor({high} / {cell}D)))"
-            placed = placed.withColumn(f"_{side}b{axis}", F.expr(bins))
-        return placed
-
-    a, b = binned(left, left_geometry, "l"), binned(right, right_geometry, "r")
-    pairs = a.join(b, (F.col("_lbx") == F.col("_rbx")) & (F.col("_lby") == F.col("_rby")))
+    a, b = _leveled(left, left_geometry, "l", cell), _leveled(right, right_geometry, "r", cell)
+    # a few dozen numbers
+    levels = {side: sorted(r[0] for r in df.select(f"_{side}l").distinct().collect()) for side, df in (("l", a), ("r", b))}
+    pairs = _binned(a, "l", cell, levels["r"]).join(_binned(b, "r", cell, levels["l"]), ["_level", "_bx", "_by"])
+    size = f"({cell}D * power(2D, _level))"
     return pairs.where(
-        f"floor(greatest(_l.xmin, _r.xmin) / {cell}D) = _lbx "
-        f"AND floor(greatest(_l.ymin, _r.ymin) / {cell}D) = _lby "
+        f"greatest(_ll, _rl) = _level AND floor(greatest(_l.xmin, _r.xmin) / {size}) = _bx "
+        f"AND floor(greatest(_l.ymin, _r.ymin) / {size}) = _by "
         "AND _l.xmin <= _r.xmax AND _l.xmax >= _r.xmin AND _l.ymin <= _r.ymax AND _l.ymax >= _r.ymin"
-    ).drop("_lbx", "_lby", "_rbx", "_rby")
+    ).drop("_level", "_bx", "_by", "_ll", "_rl")
 
 
 _RIGHT_BOX = ("_r.xmin", "_r.ymin", "_r.xmax", "_r.ymax")
@@ -244,3 +261,19 @@ def overlay_intersection(
     return shared.withColumn(geometry, F.expr(geo.geometry("Polygon", "_parts"))).select(
         *shapes.columns, *[c for c in boxes.columns if c != box]
     )
+
+
+def overlay_convex(
+    shapes: DataFrame, tiles: DataFrame, cell: float = 0.01, geometry: str = "geometry", tile: str = "tile_geometry"
+) -> DataFrame:
+    """Pairwise intersection of polygons and convex tiles of any orientation; pairs without common area are left out.
+
+    A tile is a polygon of one ring without holes, in either direction; a rectangle taken to another system is one.
+    """
+    pairs = envelope_join(shapes, tiles, cell, geometry, tile)
+    sides = once(pairs, {"_sides": geo.half_planes(f"{tile}.parts[0][0]")})
+    clipped = once(sides, {"_parts": geo.clip_parts_to_sides(f"{geometry}.parts", "_sides")})
+    shared = clipped.where(f"{geo.parts_area('_parts')} > 0")
+    return shared.withColumn(geometry, F.expr(geo.geometry("Polygon", "_parts"))).select(
+        *shapes.columns, *[c for c in tiles.columns if c != tile]
+    )

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import sys
+from typing import Any
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from terraquilt.config import TEXTURE_PREFIXES
 from terraquilt.functions.maths import null_if_nan
 from terraquilt.operators.tiling import TILE, TILE_KEYS, halo_tiles, in_tile
 
+# The kernel travels with the task, so workers need NumPy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OPERATIONS = ("mean", "std_dev", "median")
+#: Side of the tiles that medians are taken in: a tile's counters are its lines times its distinct values.
+MEDIAN_TILE = 64
 
 
 def focal_name(band: str, operation: str, size: int) -> str:
@@ -42,6 +53,81 @@ def _fill_row_gaps(tiled: DataFrame, size: int, tile: int) -> DataFrame:
     )
 
 
+def window_medians(grid: np.ndarray, size: int) -> np.ndarray:
+    """Medians of all full squares ``2 * size + 1`` wide, NaN left out; NaN where nothing is left.
+
+    Values are ranked once. Each line keeps a count for every rank, and one for every run of ranks about as
+    many as the square root of their number, while its window moves along: a step adds one column and
+    takes one away, and a median is found among the runs and then inside one. So neither time nor memory of
+    a step grows with the area of the window.
+    """
+    side = 2 * size + 1
+    height, width = grid.shape[0] - 2 * size, grid.shape[1] - 2 * size
+    known = ~np.isnan(grid)
+    out = np.full((height, width), np.nan)
+    if not known.any():
+        return out
+    values, found = np.unique(grid[known], return_inverse=True)
+    ranks = np.full(grid.shape, -1, np.int64)
+    ranks[known] = found
+    fine = 1 << max(1, (len(values) - 1).bit_length() // 2)
+    coarse = -(-len(values) // fine)
+    counts, runs = np.zeros(height * coarse * fine, np.int32), np.zeros(height * coarse, np.int32)
+    total = np.zeros(height, np.int64)
+    lines = np.arange(height)
+
+    def turn(column: int, by: int) -> None:
+        windows = np.lib.stride_tricks.sliding_window_view(ranks[:, column], side)
+        line, place = np.nonzero(windows >= 0)
+        rank = windows[line, place]
+        np.add.at(counts, line * (coarse * fine) + rank, by)
+        np.add.at(runs, line * coarse + rank // fine, by)
+        np.add.at(total, line, by)
+
+    def ranked(k: np.ndarray) -> np.ndarray:
+        """The value of rank k in each line's window."""
+        sums = np.cumsum(runs.reshape(height, coarse), axis=1)
+        run = np.minimum((sums <= k[:, None]).sum(axis=1), coarse - 1)
+        left = k - np.where(run > 0, sums[lines, run - 1], 0)
+        inner = np.cumsum(counts.reshape(height, coarse, fine)[lines, run], axis=1)
+        place = (inner <= left[:, None]).sum(axis=1)
+        return values[np.minimum(run * fine + place, len(values) - 1)]
+
+    for column in range(2 * size):
+        turn(column, 1)
+    for column in range(width):
+        turn(column + 2 * size, 1)
+        low = ranked(np.maximum(total - 1, 0) // 2)
+        even = (total % 2 == 0) & (total > 0)
+        high = ranked(total // 2) if even.any() else low
+        out[:, column] = np.where(total > 0, np.where(even, (low + high) / 2, low), np.nan)
+        turn(column, -1)
+    return out
+
+
+def focal_median(pixels: DataFrame, size: int, tile: int = MEDIAN_TILE) -> DataFrame:
+    """Add ``median`` to a pixel table: exact, for windows of any width, one shuffle of halo tiles.
+
+    NULL and NaN are left out; a neighbourhood without values gives NULL.
+    """
+    narrow = pixels.select("raster_id", "band", "row", "col", null_if_nan(F.col("value").cast("double")).alias("value"))
+    extent = tile + 2 * size
+
+    def medians(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        top, left = key[2] * tile - size, key[3] * tile - size
+        r, c = rows["row"].to_numpy() - top, rows["col"].to_numpy() - left
+        grid = np.full((extent, extent), np.nan)
+        grid[r, c] = rows["value"].to_numpy(float, na_value=np.nan)
+        own = (r >= size) & (r < size + tile) & (c >= size) & (c < size + tile)
+        out = rows.loc[own, ["raster_id", "band", "row", "col", "value"]].copy()
+        out["median"] = window_medians(grid, size)[r[own] - size, c[own] - size] if own.any() else np.zeros(0)
+        return out
+
+    schema = "raster_id string, band int, row int, col int, value double, median double"
+    found = halo_tiles(narrow, size, tile).groupBy(*TILE_KEYS).applyInPandas(medians, schema)
+    return found.withColumns({c: null_if_nan(F.col(c)) for c in ("value", "median")})
+
+
 def focal_statistics(
     pixels: DataFrame,
     size: int,
@@ -53,11 +139,18 @@ def focal_statistics(
 
     NULL and NaN are left out of every statistic; a neighbourhood without values gives
     NULL. Pass ``dense=True`` when every cell of every raster has a row, which saves
-    the gap filling. One shuffle in all, whatever the number of operations.
+    the gap filling. One shuffle in all, whatever the number of operations, and one more for medians.
     """
     unknown = set(operations) - set(OPERATIONS)
     if unknown:
         raise ValueError(f"unknown focal operation: {sorted(unknown)}; known: {OPERATIONS}")
+    if "median" in operations:
+        medians = focal_median(pixels, size)
+        others = tuple(op for op in operations if op != "median")
+        if others:
+            keys = ["raster_id", "band", "row", "col"]
+            medians = focal_statistics(pixels, size, others, tile, dense).join(medians.drop("value"), keys)
+        return medians.select("raster_id", "band", "row", "col", "value", *operations)
     narrow = pixels.select(
         "raster_id", "band", "row", "col", null_if_nan(F.col("value").cast("double")).alias("value")
     )
@@ -72,23 +165,14 @@ def focal_statistics(
     along_row = Window.partitionBy(*TILE_KEYS, "row").orderBy("col").rangeBetween(-size, size)
     along_col = Window.partitionBy(*TILE_KEYS, "col").orderBy("row").rangeBetween(-size, size)
     shifted = F.col("value") - F.col("_base")
-    moments = {"mean", "std_dev"} & set(operations)
-    row_pass = {}
-    if moments:
-        row_pass |= {"_n": F.count("value").over(along_row), "_s": F.sum(shifted).over(along_row)}
+    row_pass = {"_n": F.count("value").over(along_row), "_s": F.sum(shifted).over(along_row)}
     if "std_dev" in operations:
         row_pass["_ss"] = F.sum(shifted * shifted).over(along_row)
-    if "median" in operations:
-        row_pass["_list"] = F.collect_list("value").over(along_row)
     rows = tiled.withColumns(row_pass).where(in_tile("col", "tile_col", tile))
 
-    col_pass = {}
-    if moments:
-        col_pass |= {"_n": F.sum("_n").over(along_col), "_s": F.sum("_s").over(along_col)}
+    col_pass = {"_n": F.sum("_n").over(along_col), "_s": F.sum("_s").over(along_col)}
     if "std_dev" in operations:
         col_pass["_ss"] = F.sum("_ss").over(along_col)
-    if "median" in operations:
-        col_pass["_list"] = F.array_sort(F.flatten(F.collect_list("_list").over(along_col)))
     both = rows.withColumns(col_pass).where(in_tile("row", "tile_row", tile) & F.col("_present"))
 
     n = F.col("_n")
@@ -99,11 +183,6 @@ def focal_statistics(
     if "std_dev" in operations:
         variance = F.col("_ss") / n - offset * offset
         results["std_dev"] = F.when(n > 0, F.sqrt(F.greatest(variance, F.lit(0.0))))
-    if "median" in operations:
-        k = F.size("_list")
-        upper = F.get("_list", F.expr("CAST(size(_list) div 2 AS INT)"))
-        lower = F.get("_list", F.expr("CAST((size(_list) - 1) div 2 AS INT)"))
-        results["median"] = F.when(k > 0, (lower + upper) / 2)
     return both.select(
         "raster_id", "band", "row", "col", "value", *[results[op].alias(op) for op in operations]
     )

@@ -6,14 +6,15 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terraquilt.functions import crs
+from terraquilt.functions import crs, geometry as geo
 from terraquilt.functions.geometry import number
 from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES, spectral_indices
 from terraquilt.functions.maths import null_if_nan, safe_ratio
 from terraquilt.grid import GridSpec
-from terraquilt.operators.cover import cover_cells
+from terraquilt.operators.cover import cover_cells, envelope_join
 from terraquilt.operators.quantiles import exact_percentiles
 from terraquilt.session import broadcast_if_small, cut_lineage
+from terraquilt.sources.readers import tiles_in_window, tiles_to_pixels
 
 PIXEL_COLUMNS = ("raster_id", "band", "row", "col", "value")
 
@@ -140,13 +141,19 @@ def apply_mask(pixels: DataFrame, mask: DataFrame, nodata: float = 255.0, masked
     )
 
 
-def clip_window(grid: GridSpec, bbox) -> tuple[tuple[int, int], tuple[int, int], GridSpec]:
-    """Rows and columns whose pixel centres lie in a box given in the grid's own system."""
+def clip_tiles(tiles: DataFrame, tile_size: int, grid: GridSpec, bbox) -> tuple[DataFrame, GridSpec]:
+    """``clip_bbox`` of a tile table: only tiles that reach into the window are read and opened."""
+    rows, cols, _ = clip_window(grid, outline_envelope(bbox, 4326, grid.srid))
+    return clip_bbox(tiles_to_pixels(tiles_in_window(tiles, tile_size, rows, cols), tile_size), grid, bbox)
+
+
+def clip_window(grid: GridSpec, bbox, margin: int = 0) -> tuple[tuple[int, int], tuple[int, int], GridSpec]:
+    """Rows and columns whose pixel centres lie in a box given in the grid's own system, and ``margin`` more around them."""
     x0, y0, x1, y1 = bbox
-    c0 = max(math.ceil((x0 - grid.x0) / grid.px - 0.5), 0)
-    c1 = min(math.floor((x1 - grid.x0) / grid.px - 0.5) + 1, grid.width)
-    r0 = max(math.ceil((grid.y1 - y1) / grid.py - 0.5), 0)
-    r1 = min(math.floor((grid.y1 - y0) / grid.py - 0.5) + 1, grid.height)
+    c0 = max(math.ceil((x0 - grid.x0) / grid.px - 0.5) - margin, 0)
+    c1 = min(math.floor((x1 - grid.x0) / grid.px - 0.5) + 1 + margin, grid.width)
+    r0 = max(math.ceil((grid.y1 - y1) / grid.py - 0.5) - margin, 0)
+    r1 = min(math.floor((grid.y1 - y0) / grid.py - 0.5) + 1 + margin, grid.height)
     cropped = GridSpec(
         grid.x0 + c0 * grid.px, grid.y1 - r0 * grid.py, grid.px, grid.py,
         max(c1 - c0, 0), max(r1 - r0, 0), grid.srid,
@@ -187,19 +194,6 @@ def outline_envelope(bbox, source: int, target: int, steps: int = 64):
     return tuple(points.agg(F.min("p.x"), F.min("p.y"), F.max("p.x"), F.max("p.y")).first())
 
 
-def transform_bbox(bbox, source: int, target: int):
-    """Corners of a box in another system (driver-side job parameter, four numbers)."""
-    if source == target:
-        return tuple(bbox)
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    x0, y0, x1, y1 = bbox
-    corners = [F.expr(crs.transform_xy(number(x), number(y), source, target)) for x, y in ((x0, y0), (x1, y1))]
-    low, high = spark.range(1).select(*corners).first()
-    return low["x"], low["y"], high["x"], high["y"]
-
-
 def crop_all_touched(pixels: DataFrame, grid: GridSpec, aoi: DataFrame, nodata: float = 255.0) -> DataFrame:
     """Crop to the envelope of an area of interest; pixels its polygon does not touch become nodata.
 
@@ -218,10 +212,40 @@ def crop_all_touched(pixels: DataFrame, grid: GridSpec, aoi: DataFrame, nodata:
 
 # ---------------------------------------------------------------- mosaic and resampling
 
+def overlap_boxes(meta: DataFrame) -> DataFrame:
+    """raster_id and ``boxes``: the parts of each raster (rows and columns of its own, half-open) that another one reaches too.
+
+    ``meta`` holds ``raster_id, x0, y1, px, py, width, height``; rasters meet through ``envelope_join``, not pair by pair.
+    """
+    shapes = meta.select(
+        "raster_id", "x0", "y1", "px", "py", "width", "height",
+        F.expr(geo.box_polygon("x0", "y1 - height * py", "x0 + width * px", "y1")).alias("geometry"),
+    )
+    others = shapes.select(
+        F.col("raster_id").alias("other"), F.col("x0").alias("ox0"), F.col("y1").alias("oy1"),
+        (F.col("x0") + F.col("width") * F.col("px")).alias("ox1"), (F.col("y1") - F.col("height") * F.col("py")).alias("oy0"),
+        F.col("geometry").alias("aoi"),
+    )
+    least = meta.agg(F.min(F.least(F.col("width") * F.col("px"), F.col("height") * F.col("py")))).first()[0]
+    if not least:
+        return meta.select("raster_id", F.array().cast("array<struct<r0:int,r1:int,c0:int,c1:int>>").alias("boxes")).where(F.lit(False))
+    pairs = envelope_join(shapes, others, float(least)).where("raster_id <> other")
+
+    def clamp(value: str, size: str) -> str:
+        return f"CAST(greatest(0, least({size}, rint({value}))) AS INT)"
+
+    boxed = pairs.select("raster_id", F.expr(f"""named_struct(
+        'r0', {clamp("(y1 - oy1) / py", "height")}, 'r1', {clamp("(y1 - oy0) / py", "height")},
+        'c0', {clamp("(ox0 - x0) / px", "width")}, 'c1', {clamp("(ox1 - x0) / px", "width")})""").alias("box"))
+    return boxed.where("box.r0 < box.r1 AND box.c0 < box.c1").groupBy("raster_id").agg(F.collect_set("box").alias("boxes"))
+
+
 def mosaic(pixels: DataFrame, meta: DataFrame, raster_id: str = "mosaic") -> DataFrame:
     """Merge rasters of equal resolution; where they overlap, the one first in ``file_order`` wins.
 
-    ``meta`` holds ``raster_id, x0, y1, px, py, file_order``. NULL pixels never win.
+    ``meta`` holds ``raster_id, x0, y1, px, py, file_order``. NULL pixels never win. With ``width`` and
+    ``height`` too, the overlaps are found among the rasters first, and only pixels in one are
+    shuffled; the others pass as they are.
     """
     union = meta.agg(F.min("x0").alias("_west"), F.max("y1").alias("_north")).first()
     west, north = F.lit(union["_west"]), F.lit(union["_north"])
@@ -231,18 +255,26 @@ def mosaic(pixels: DataFrame, meta: DataFrame, raster_id: str = "mosaic") -> Dat
         F.rint((north - F.col("y1")) / F.col("py")).cast("int").alias("_dr"),
         F.rint((F.col("x0") - west) / F.col("px")).cast("int").alias("_dc"),
     )
-    moved = pixels.where(F.col("value").isNotNull()).join(shifts, "raster_id").select(
+    indexed = {"width", "height"} <= set(meta.columns)
+    if indexed:
+        shifts = shifts.join(overlap_boxes(meta), "raster_id", "left")
+    shared = F.exists(F.coalesce("boxes", F.array().cast("array<struct<r0:int,r1:int,c0:int,c1:int>>")), lambda b: (
+        (F.col("row") >= b["r0"]) & (F.col("row") < b["r1"]) & (F.col("col") >= b["c0"]) & (F.col("col") < b["c1"])
+    )) if indexed else F.lit(True)
+    placed = pixels.where(F.col("value").isNotNull()).join(broadcast_if_small(shifts) if indexed else shifts, "raster_id")
+    # before the pixels move, as the boxes count from their raster's corner
+    moved = placed.withColumn("_shared", shared).select(
         "band",
         (F.col("row") + F.col("_dr")).alias("row"),
         (F.col("col") + F.col("_dc")).alias("col"),
         "value",
         "file_order",
+        "_shared",
     )
-    return (
-        moved.groupBy("band", "row", "col")
-        .agg(F.min_by("value", "file_order").alias("value"))
-        .select(F.lit(raster_id).alias("raster_id"), *PIXEL_COLUMNS[1:])
-    )
+    merged = moved.where("_shared").groupBy("band", "row", "col").agg(F.min_by("value", "file_order").alias("value"))
+    if indexed:
+        merged = merged.unionByName(moved.where("NOT _shared").select("band", "row", "col", "value"))
+    return merged.select(F.lit(raster_id).alias("raster_id"), *PIXEL_COLUMNS[1:])
 
 
 def _resample_axis(df: DataFrame, axis: str, size: Column, target: Column) -> DataFrame:
@@ -363,9 +395,13 @@ def reproject(pixels: DataFrame, source: GridSpec, target: GridSpec, method: str
 def clip_reproject(
     pixels: DataFrame, source: GridSpec, bbox, target: GridSpec, method: str = "nearest"
 ) -> DataFrame:
-    """Clip in the source system to a box given in the target system, then reproject."""
-    corners = transform_bbox(bbox, target.srid, source.srid)
-    rows, cols, cropped = clip_window(source, corners)
+    """Clip in the source system to a box given in the target system, then reproject.
+
+    The window is the envelope of the box's outline, as its sides may lean or bend there; where neighbours
+    are weighed it is a pixel wider on each side.
+    """
+    envelope = outline_envelope(bbox, target.srid, source.srid)
+    rows, cols, cropped = clip_window(source, envelope, margin=int(method == "bilinear"))
     return reproject(raster_subset(pixels, rows, cols), cropped, target, method)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from terraquilt.grid import GridSpec
+from terraquilt.operators.skew import salted_join
 
 KERNEL_OPERATIONS = ("mean", "std_dev")
 
@@ -31,8 +32,11 @@ def point_cells(points: DataFrame, grids: dict[str, GridSpec], point_id: str = "
 def sample_long(
     points: DataFrame, pixels: DataFrame, band_meta: DataFrame, grids: dict[str, GridSpec], point_id: str = "point_id"
 ) -> DataFrame:
-    """Value of every band of every raster at every point: ``(point_id, feature, value)``."""
-    hits = point_cells(points, grids, point_id).join(pixels, ["raster_id", "row", "col"])
+    """Value of every band of every raster at every point: ``(point_id, feature, value)``.
+
+    Points outside a raster all snap to its edge, so its corner cells may hold any share of them: heavy cells are dealt out.
+    """
+    hits = salted_join(point_cells(points, grids, point_id), pixels, ["raster_id", "row", "col"])
     return hits.join(band_meta, ["raster_id", "band"]).select(point_id, F.col("name").alias("feature"), "value")
 
 

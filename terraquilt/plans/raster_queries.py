@@ -10,6 +10,7 @@ from terraquilt.operators import cover as cv, distance as ds, focal as fc, raste
 from terraquilt.operators import sampling as sm, texture as tx
 from terraquilt.plans.fixtures import BBOX, load, num, pixel_height, with_inputs, zones
 from terraquilt.plans.registry import query, rounded
+from terraquilt.plans.series_queries import plane_sql
 from terraquilt.session import fresh_path, small_table
 from terraquilt.sources import readers, writers
 
@@ -518,18 +519,20 @@ def cell_of_sql(x0: float, y1: float, px: float, py: float) -> str:
 
 
 SAMPLE_SQL = with_inputs("points", "pixels", "spectral") + f""",
-    placed AS (SELECT * FROM points WHERE point_id % 19 > 2),
-    in_grid AS (SELECT point_id, lon, lat, {cell_of_sql(-74.02, 40.89, 0.0018, 0.0015)} FROM placed),
-    in_sat AS (SELECT point_id, {cell_of_sql(-73.99, 40.86, 0.001, 0.0012)} FROM placed)"""
+    in_grid AS (SELECT point_id, lon, lat, {cell_of_sql(-74.02, 40.89, 0.0018, 0.0015)} FROM points),
+    in_sat AS (SELECT point_id, {cell_of_sql(-73.99, 40.86, 0.001, 0.0012)} FROM points)"""
 
 
 def sample_sites(spark, sf_dir):
-    """The points, of which some lack a coordinate: NULL or NaN."""
+    """The points, and as many more as every 19th that lack a coordinate: NULL or NaN."""
+    points = load(spark, sf_dir, "points")
     k = F.col("point_id") % 19
-    return load(spark, sf_dir, "points").withColumns({
+    lacking = points.where(k < 3).withColumns({
         "lon": F.when(k == 0, F.lit(None)).when(k == 1, F.lit(float("nan"))).otherwise(F.col("lon")),
         "lat": F.when(k == 2, F.lit(None)).otherwise(F.col("lat")),
+        "point_id": -F.col("point_id") - 1,
     })
+    return points.unionByName(lacking)
 
 
 @query("nearest_pixel_join", SAMPLE_SQL + """
@@ -547,7 +550,7 @@ MATRIX_SQL = SAMPLE_SQL + """,
 
 
 @query("sample_points", MATRIX_SQL + """ SELECT point_id, lat, long, nir, red, value FROM m
-    UNION ALL SELECT point_id, CASE WHEN point_id % 19 < 2 THEN round(lat, 6) END,
+    UNION ALL SELECT -point_id - 1, CASE WHEN point_id % 19 < 2 THEN round(lat, 6) END,
         CASE point_id % 19 WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN round(lon, 6) END, NULL, NULL, NULL
     FROM points WHERE point_id % 19 < 3""")
 def sample_points(spark, sf_dir):
@@ -559,3 +562,67 @@ def sample_points(spark, sf_dir):
 def feature_matrix_assemble(spark, sf_dir):
     samples = sm.sample_long(sample_sites(spark, sf_dir), *sample_inputs(spark, sf_dir))
     return sm.assemble_matrix(samples, ["nir", "red", "value"])
+
+
+# ---------------------------------------------------------------- feet, tiles in a window, wide medians, rasters side by side
+
+def feet_grid(spark, sf_dir) -> GridSpec:
+    """Source grid in EPSG:2263, whose lines lean against degrees by a third of a degree here."""
+    return GridSpec(1_005_000.0, 266_000.0, 120.0, 100.0, 100, pixel_height(spark, sf_dir), 2263)
+
+
+FEET_BOX = (-73.93, 40.70, -73.87, 40.885)
+FEET_TARGET = (-73.955, 40.90, 0.0009, 0.0011, 120)
+_FEET_X, _FEET_Y = plane_sql("lon", "lat")
+FEET_SQL = f"""
+    target AS (SELECT r.i AS row, c.i AS col, {num(FEET_TARGET[0])} + (c.i + 0.5) * {num(FEET_TARGET[2])} AS lon,
+               {num(FEET_TARGET[1])} - (r.i + 0.5) * {num(FEET_TARGET[3])} AS lat
+               FROM range(0, (SELECT max(row) + 1 FROM pixels)) AS r(i), range(0, {FEET_TARGET[4]}) AS c(i)),
+    uv AS (SELECT row, col, lon, lat, ({_FEET_X} - 1005000) / 120 AS u, (266000 - {_FEET_Y}) / 100 AS v FROM target)"""
+
+
+@query("raster_clip_reproject_feet", with_inputs("pixels") + f""", {FEET_SQL}
+    SELECT CAST(uv.row AS INT) AS row, CAST(uv.col AS INT) AS col, value FROM uv JOIN pixels AS p
+      ON p.row = CAST(floor(v) AS INT) AND p.col = CAST(floor(u) AS INT)
+    WHERE lon BETWEEN {num(FEET_BOX[0])} AND {num(FEET_BOX[2])} AND lat BETWEEN {num(FEET_BOX[1])} AND {num(FEET_BOX[3])}""")
+def raster_clip_reproject_feet(spark, sf_dir):
+    """All target cells within the box, whose sides lean in feet: the clip loses none."""
+    x0, y1, px, py, width = FEET_TARGET
+    target = GridSpec(x0, y1, px, py, width, pixel_height(spark, sf_dir), 4326)
+    moved = rs.clip_reproject(load(spark, sf_dir, "pixels"), feet_grid(spark, sf_dir), FEET_BOX, target)
+    lon, lat = F.expr(target.centre_x("col")), F.expr(target.centre_y("row"))
+    return moved.where(lon.between(FEET_BOX[0], FEET_BOX[2]) & lat.between(FEET_BOX[1], FEET_BOX[3])).select("row", "col", "value")
+
+
+@query("raster_clip_tiles", with_inputs("pixels") + f"""
+    SELECT row - min(row) OVER () AS row, col - min(col) OVER () AS col, value FROM (
+      SELECT *, {num(-74.02)} + (col + 0.5) * {num(0.0018)} AS x, {num(40.89)} - (row + 0.5) * {num(0.0015)} AS y
+      FROM pixels)
+    WHERE x BETWEEN {num(CLIP_BOX[0])} AND {num(CLIP_BOX[2])} AND y BETWEEN {num(CLIP_BOX[1])} AND {num(CLIP_BOX[3])}""")
+def raster_clip_tiles(spark, sf_dir):
+    path = writers.write_raster(load(spark, sf_dir, "pixels"), fresh_path(spark, "tiles"), 16)
+    clipped, _ = rs.clip_tiles(spark.read.parquet(path), 16, pixel_grid(spark, sf_dir), CLIP_BOX)
+    return clipped.select("row", "col", "value")
+
+
+query("focal_median_51x51", with_inputs("holes") + "," + neighbours_sql("holes", 25, "round(median(value), 9) AS median"))(
+    focal_query("holes", 25, "median", False)
+)
+
+
+@query("raster_mosaic_side_by_side", with_inputs("holes") + """,
+    parts AS (SELECT * FROM (VALUES (0, 0, 2), (0, 90, 1), (0, 300, 3)) AS v(dr, dc, o)),
+    moved AS (SELECT row + dr AS row, col + dc AS col, value + o * 1000 AS value, o FROM holes, parts),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY row, col ORDER BY o) AS k FROM moved)
+    SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, round(value, 6) AS value FROM ranked WHERE k = 1""")
+def raster_mosaic_side_by_side(spark, sf_dir):
+    """Two rasters that share ten columns and one beside them: only the shared columns are shuffled."""
+    parts = {"b": (0, 2), "a": (90, 1), "c": (300, 3)}
+    lifted = F.array(*[F.struct(F.lit(n).alias("raster_id"), F.lit(float(o * 1000)).alias("lift")) for n, (_, o) in parts.items()])
+    pixels = load(spark, sf_dir, "holes").drop("raster_id").select("*", F.inline(lifted)).withColumn("value", F.col("value") + F.col("lift"))
+    height = pixel_height(spark, sf_dir)
+    meta = small_table(
+        spark, [(n, -74.0 + c * 0.25, 40.0, 0.25, 0.5, 100, height, o) for n, (c, o) in parts.items()],
+        "raster_id string, x0 double, y1 double, px double, py double, width int, height int, file_order int",
+    )
+    return rounded(rs.mosaic(pixels.drop("lift"), meta).select("row", "col", "value"))

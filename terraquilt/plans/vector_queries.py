@@ -14,6 +14,7 @@ from terraquilt.plans.registry import query, rounded
 from terraquilt.plans.series_queries import BUILDING_FILTER_SQL, STREET_FILTER_SQL, plane_sql
 from terraquilt.session import fresh_path
 from terraquilt.sources import readers, writers
+from terraquilt.streaming import cell_states as cs
 
 X0, Y0, X1, Y1 = (num(v) for v in BBOX)
 G = grid(500)
@@ -508,3 +509,103 @@ def rasterize_special(spark, sf_dir):
     LEFT JOIN {mode_sql("l2")} AS l2 USING (row, col) LEFT JOIN {mode_sql("l3")} AS l3 USING (row, col)""")
 def rasterize_zoning(spark, sf_dir):
     return rz.rasterize_zoning(ft.zoning_levels(zones(spark, sf_dir)), G)
+
+
+# ---------------------------------------------------------------- large files, shapes of all sizes, convex tiles
+
+def one_array(rows, path: str, head: str = "[", tail: str = "]") -> str:
+    """Write texts (column ``value``) as elements of one JSON array a file, over several lines."""
+    placed = rows.repartition(3).withColumn("at", F.monotonically_increasing_id())
+    ends = placed.groupBy(F.shiftright("at", 33).alias("file")).agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    lines = placed.withColumn("file", F.shiftright("at", 33)).join(F.broadcast(ends), "file").select(F.concat(  # a row a file
+        F.when(F.col("at") == F.col("low"), head).otherwise(",\n  "), "value", F.when(F.col("at") == F.col("high"), tail).otherwise("")
+    ))
+    lines.write.text(path)
+    return path
+
+
+@query("json_records_split_scan", with_inputs("buildings") + """
+    SELECT id, bin, cnstrct_yr, 'a "}" ] \\' || base_bbl || ' [ {' AS note, xmin FROM buildings""")
+def json_records_split_scan(spark, sf_dir):
+    records = load(spark, sf_dir, "buildings").select(
+        "id", "bin", "cnstrct_yr", F.concat(F.lit('a "}" ] \\'), "base_bbl", F.lit(" [ {")).alias("note"), "xmin"
+    )
+    path = one_array(records.select(F.to_json(F.struct("*")).alias("value")), fresh_path(spark, "records"))
+    return readers.read_records(spark, path, records.schema, split=True)
+
+
+@query("geojson_split_features", with_inputs("zones") + """
+    SELECT id AS OBJECTID, ZONEDIST, size, round(xmin, 9) AS west, round(ymax, 9) AS north, 5 AS n_vertices FROM zones""")
+def geojson_split_features(spark, sf_dir):
+    shapes = zones(spark, sf_dir).select(F.col("id").alias("OBJECTID"), "ZONEDIST", "size", "geometry")
+    head = '{"type": "FeatureCollection", "crs": {"properties": {"features": [{"name": "}"}]}},\n "features": [\n'
+    path = one_array(writers.to_feature_lines(shapes), fresh_path(spark, "zones"), head, '], "more": [{"type": "Feature"}]}')
+    features = readers.read_features(spark, path, "OBJECTID BIGINT, ZONEDIST STRING, size INT", split=True)
+    return ft.with_envelope(features).select(
+        "OBJECTID", "ZONEDIST", "size", F.round("xmin", 9).alias("west"), F.round("ymax", 9).alias("north"),
+        F.expr(f"size({geo.vertices('geometry.parts')})").alias("n_vertices"),
+    )
+
+
+#: Boxes from a metre or so to the whole world.
+ANY_SIZE = """boxes AS (SELECT point_id AS tile, lon - w AS ax0, lat - h AS ay0, lon + w AS ax1, lat + h AS ay1
+    FROM (SELECT *, CASE WHEN point_id % 500 = 0 THEN {world} ELSE {small} * power({two}, point_id % 9) END AS w,
+                 CASE WHEN point_id % 500 = 0 THEN {world} / 2 ELSE {small} * power({two}, point_id % 7) END AS h FROM points) AS p)"""
+
+
+@query("any_size_join", with_inputs("buildings", "points") + ", " + ANY_SIZE.format(world=num(180.0), small=num(0.00001), two=num(2.0)) + """
+    SELECT b.id, tile FROM buildings AS b JOIN boxes ON b.xmin <= ax1 AND b.xmax >= ax0 AND b.ymin <= ay1 AND b.ymax >= ay0""")
+def any_size_join(spark, sf_dir):
+    p = load(spark, sf_dir, "points")
+    whole = "point_id % 500 = 0"
+    sized = p.selectExpr(
+        "*", f"CASE WHEN {whole} THEN 180D ELSE 0.00001D * power(2D, point_id % 9) END AS w",
+        f"CASE WHEN {whole} THEN 90D ELSE 0.00001D * power(2D, point_id % 7) END AS h",
+    )
+    box = F.expr(geo.box_polygon("lon - w", "lat - h", "lon + w", "lat + h"))
+    boxes = sized.select(F.col("point_id").alias("tile"), box.alias("aoi"))
+    return cv.aoi_join(buildings(spark, sf_dir).select("id", "geometry"), boxes, cell=0.00001).select("id", "tile")
+
+
+@query("overlay_convex", with_inputs("buildings", "points") + f""", {AOI}
+    SELECT b.id, tile, round((least(b.xmax, ax1) - greatest(b.xmin, ax0)) * (least(b.ymax, ay1) - greatest(b.ymin, ay0)) * 1e8, 3) AS area
+    FROM buildings AS b JOIN aoi ON b.xmin < ax1 AND b.xmax > ax0 AND b.ymin < ay1 AND b.ymax > ay0""")
+def overlay_convex(spark, sf_dir):
+    """Each box cut into three convex tiles by two slanting lines, in either direction: areas add up to those of the box."""
+    p = load(spark, sf_dir, "points").withColumn("w", F.expr("CAST(100 + point_id % 300 AS DOUBLE) / 100000.0D"))
+    west, south, east, north = "(lon - w)", "(lat - w)", "(lon + w)", "(lat + w)"
+    low, high = (f"({south} + {a} * w)" for a in ("0.3D", "1.2D"))
+    pieces = [
+        [(west, south), (east, south), (east, low), (west, high), (west, south)],
+        [(west, high), (west, north), (east, low), (west, high)],
+        [(east, low), (east, north), (west, north), (east, low)],
+    ]
+    shapes = ", ".join(geo.polygon(piece) for piece in pieces)
+    tiles = p.select(F.col("point_id").cast("int").alias("tile"), F.expr(f"explode(array({shapes}))").alias("tile_geometry"))
+    cut = cv.overlay_convex(buildings(spark, sf_dir).select("id", "geometry"), tiles)
+    return cut.groupBy("id", "tile").agg(F.round(F.sum(F.expr(geo.parts_area("geometry.parts"))) * 1e8, 3).alias("area"))
+
+
+# ---------------------------------------------------------------- states of cells
+
+STATE_SQL = f""", {COVER}, kept AS (SELECT *, size AS v FROM hits WHERE id % 5 <> 1),
+    binned AS (SELECT row, col, floor(size / 3) AS bin, count(*) AS k FROM kept GROUP BY ALL),
+    shares AS (SELECT row, col, greatest(ln(sum(k)) - sum(k * ln(k)) / sum(k), 0) AS entropy FROM binned GROUP BY row, col),
+    coded AS (SELECT row, col, size % 4 AS code, count(*) AS k FROM kept GROUP BY ALL),
+    modes AS (SELECT row, col, arg_min(code, -k * 10 + code) AS mode FROM coded GROUP BY row, col),
+    agg AS (SELECT row, col, avg(v) AS mean, stddev_pop(v) AS std_dev, count(*) AS count FROM kept GROUP BY row, col)
+    SELECT row, col, round(coalesce(mean, 0), 6) AS mean, round(coalesce(std_dev, -1), 6) AS std_dev, coalesce(count, 0) AS count,
+           least(coalesce(count, 0), 1) AS presence, CAST(coalesce(mode, -1) AS INT) AS mode, round(entropy, 6) AS entropy
+    FROM cells LEFT JOIN agg USING (row, col) LEFT JOIN modes USING (row, col) LEFT JOIN shares USING (row, col)"""
+
+
+@query("cell_states_merged", with_inputs("zones") + STATE_SQL)
+def cell_states_merged(spark, sf_dir):
+    """A stored state, later features and taken ones: as if all that is left had been run at once."""
+    cover = zone_cover(spark, sf_dir)
+    value, code = F.col("size"), F.expr("size % 4")
+    path = fresh_path(spark, "cell-states")
+    writers.write_parquet(cs.cell_states(cover.where("id % 5 <= 2"), value, code), path)
+    added = cs.cell_states(cover.where("id % 5 > 2"), value, code)
+    taken = cs.cell_states(cover.where("id % 5 = 1"), value, code, sign=-1)
+    return rounded(cs.state_on_grid(cs.merge_states(spark.read.parquet(path), added, taken), G))

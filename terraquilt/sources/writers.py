@@ -83,5 +83,13 @@ def pixels_to_tiles(pixels: DataFrame, tile_size: int = 256) -> DataFrame:
     )
 
 
+def index_tiles(tiles: DataFrame) -> DataFrame:
+    """Tiles with ``low`` and ``high``, the range of their values without NULL and NaN (NULL without any)."""
+    known = F.filter("data", lambda v: v.isNotNull() & ~F.isnan(v))
+    return tiles.withColumns({"low": F.array_min(known), "high": F.array_max(known)})
+
+
 def write_raster(pixels: DataFrame, path: str, tile_size: int = 256) -> str:
-    return write_parquet(pixels_to_tiles(pixels, tile_size), path, ("raster_id",))
+    """Tiles by raster with their value ranges, in order of place, so that a scan can skip by both."""
+    tiles = index_tiles(pixels_to_tiles(pixels, tile_size))
+    return write_parquet(tiles.sortWithinPartitions("raster_id", "band", "tile_row", "tile_col"), path, ("raster_id",))
