@@ -1,8 +1,8 @@
 """Order MinHash fingerprints: minimal occurrence-numbered k-mers of words, kept in text order, hashed as tuples.
 
-SQL functions only. Arrays that a lambda reads are columns of an earlier projection that is
-referenced more than once, so that Spark keeps them as columns and doesn't evaluate them again
-for each element.
+SQL functions only. The k-mers of a text are an array of packed numbers; they are exploded and every
+order is a minimum over them, so hashing runs in generated code. Arrays that a lambda reads are
+columns of an earlier projection that is referenced more than once, so that Spark keeps them as columns.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from terraquilt.llm.common import settle, text_of
 #: Low bits of a packed number: a k-mer's place in its text; the bits above: its hash.
 _PLACE_BITS = 28
 _PLACE = (1 << _PLACE_BITS) - 1
-#: Orders whose hashed k-mers a row holds at the same time.
-_AT_ONCE = 8
 
 
 def _packed(value: Column, place: Column) -> Column:
@@ -42,60 +40,60 @@ def _same(ordered: Column, x: Column, j: Column) -> Column:
     return F.shiftright(F.get(ordered, j).bitwiseXOR(x), _PLACE_BITS) == 0
 
 
-def add_signature(df: DataFrame, text: str, name: str, k: int = 3, size: int = 32, seed: int = 11) -> DataFrame:
-    """Add ``name``, an array of ``size`` tuple hashes, for the column ``text``.
+def _numbered_kmers(df: DataFrame, text: str, k: int) -> DataFrame:
+    """``df`` without ``text`` and with ``kmers``: one packed number each, of the hash of its words and occurrence, and its place.
 
-    The k-mers are of k words; a text of fewer words is one k-mer, one without words none (its
-    signature is all 0). Equal k-mers are told apart by their number of occurrence. Each of
-    ``size`` orders, that of the k-mers hashed with a number of its own, picks the two least of all
-    k-mers of the text, whatever its length, puts them in text order and hashes the pair. Swapping passages
-    changes pairs but not k-mers, so signatures follow edit distance where plain MinHash doesn't.
+    The k-mers are of k words; a text of fewer words is one k-mer, one without words none. Equal
+    k-mers are told apart by their number of occurrence.
     """
-    words, ordered, steps, labels = (f"_{name}_{part}" for part in ("words", "ordered", "steps", "labels"))
-    kept = [F.col(f"`{c}`") for c in df.columns]
-    df = df.withColumn(words, F.array_remove(F.split(F.col(text), "[\\x20\\x09-\\x0D]+"), ""))
-    w = F.col(words)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != text]
+    df = df.withColumn("_words", F.array_remove(F.split(F.col(text), "[\\x20\\x09-\\x0D]+"), "")).select(*kept, "_words")
+    w = F.col("_words")
     starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1)))
     kmers = F.transform(starts, lambda x, i: _packed(
         F.xxhash64(x, *[F.get(w, i + step) for step in range(1, k)]), i.cast("long")
     ))
-    df = df.withColumn(ordered, F.sort_array(kmers))
-    o = F.col(ordered)
+    df = df.select(*kept, F.sort_array(kmers).alias("_ordered"))
+    o = F.col("_ordered")
     powers = F.array(*[F.lit(1 << b) for b in range(_PLACE_BITS - 1, -1, -1)])
-    df = df.withColumn(steps, F.filter(powers, lambda step: step < F.size(o)))
-    # in the order of ``ordered``, which has their places
-    labelled = F.transform(o, lambda x, i: F.when(
-        _same(o, x, i - 1), F.xxhash64(_hash_of(x), _occurrence(o, F.col(steps), x, i))
-    ).otherwise(_hash_of(x)))
-    df = df.select(*kept, ordered, labelled.alias(labels))
+    df = df.withColumn("_steps", F.filter(powers, lambda step: step < F.size(o)))
+    return df.select(*kept, F.transform(o, lambda x, i: F.when(
+        _same(o, x, i - 1), _packed(F.xxhash64(_hash_of(x), _occurrence(o, F.col("_steps"), x, i)), _place_of(x))
+    ).otherwise(x)).alias("kmers"))
+
+
+def signatures(texts: DataFrame, text: str, name: str = "signature", k: int = 3, size: int = 32, seed: int = 11) -> DataFrame:
+    """One row for each distinct value of the other columns of ``texts``, which decide ``text``: ``name`` and ``rows``.
+
+    ``name`` is an array of ``size`` tuple hashes, ``rows`` how many rows there were. Each of ``size`` orders, that of the
+    k-mers hashed with a number of its own, parts all k-mers of the text, whatever its length, in two
+    halves by the sign of their hash and picks the least of each; the two are put in text order and hashed
+    as a pair (a half without k-mers gives none; without any k-mer it is 0). Swapping passages changes pairs but not k-mers, so
+    signatures follow edit distance where plain MinHash doesn't. Minima are found in one pass over the exploded k-mers and pre-aggregated;
+    where ``texts`` is partitioned by one of its columns, nothing is shuffled.
+    """
+    names = [c for c in texts.columns if c != text]
+    others = [f"o{i}" for i in range(len(names))]
     numbers = random.Random(seed)
+    x = F.col("x")
+    renamed = texts.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(names, others)], F.col(f"`{text}`").alias("text"))
+    exploded = _numbered_kmers(renamed, "text", k).select(*others, F.explode_outer("kmers").alias("x"))
+    values = exploded.select(*others, x, *[
+        _packed(F.xxhash64(_hash_of(x), F.lit(numbers.getrandbits(63))), _place_of(x)).alias(f"v{j}") for j in range(size)
+    ])
+    found = values.groupBy(*others).agg(
+        F.sum(F.when(x.isNull() | (_place_of(x) == 0), 1).otherwise(0)).alias("rows"),
+        *[F.min(f"v{j}").alias(f"a{j}") for j in range(size)],
+        *[F.min(F.when(F.col(f"v{j}") >= 0, F.col(f"v{j}"))).alias(f"b{j}") for j in range(size)],
+    )
+    pairs = [_pair_hash(F.col(f"a{j}"), F.when(F.col(f"a{j}") < 0, F.col(f"b{j}"))) for j in range(size)]
+    return found.select(*[F.col(o).alias(c) for c, o in zip(names, others)], "rows", F.array(*pairs).alias(name))
 
-    def place(values: Column, value: Column) -> Column:
-        return _place_of(F.get(o, (F.array_position(values, value) - 1).cast("int")))
-
-    # a few orders at a time, so that a long text's hashed k-mers are not all held at once
-    done: list[str] = []
-    for first in range(0, size, _AT_ONCE):
-        now = range(first, min(size, first + _AT_ONCE))
-        values, least, second, pairs = ([f"_{name}_{part}{j}" for j in now] for part in ("values", "least", "second", "pair"))
-        base = [*kept, ordered, labels, *done]
-        df = df.select(*base, *[
-            F.transform(F.col(labels), lambda y: F.xxhash64(y, F.lit(numbers.getrandbits(63)))).alias(v) for v in values
-        ])
-        df = df.select(*base, *values, *[F.array_min(v).alias(a) for v, a in zip(values, least)])
-        df = df.select(*base, *values, *least, *[
-            F.array_min(F.array_remove(v, F.col(a))).alias(b) for v, a, b in zip(values, least, second)
-        ])
-        df = df.select(*base, *[_pair_hash(
-            F.col(a), F.col(b), place(F.col(v), F.col(a)) > place(F.col(v), F.col(b))
-        ).alias(p) for v, a, b, p in zip(values, least, second, pairs)])
-        done += pairs
-    return df.select(*kept, F.array(*done).alias(name))
-
-
-def _pair_hash(a: Column, b: Column, turned: Column) -> Column:
-    """32 bits for a pair of hashed k-mers in text order; ``b`` is NULL for a lone one, ``a`` too for none (0)."""
-    hashed = F.when(turned, F.xxhash64(b, a)).otherwise(F.xxhash64(a, b))
+
+def _pair_hash(a: Column, b: Column) -> Column:
+    """32 bits for two packed minima in text order; ``b`` is NULL for a lone one, ``a`` too for none (0)."""
+    first, second = _hash_of(a), _hash_of(b)
+    hashed = F.when(_place_of(a) > _place_of(b), F.xxhash64(second, first)).otherwise(F.xxhash64(first, second))
     return F.when(a.isNull(), F.lit(0).cast("long")).otherwise(hashed.bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
@@ -149,33 +147,47 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     A row without key has no next document: nothing replaces its end, and near_next is 0.
 
     Whole texts are shuffled once, by key; the part of the next text that an edit needs follows
-    to the document that needs it. Other columns are left out.
+    to the document that needs it. Rows that repeat key and text are one until the end. Other columns are left out.
     """
-    def signed(rows: DataFrame) -> DataFrame:
-        whole = rows.select(F.col(key).alias("id"), text_of(text).alias("own")).withColumn("n_chars", F.char_length("own").cast("long"))
-        return add_signature(whole, "own", "signature", k, size)
-
     half = F.floor(F.col("n_chars") / 2).cast("int")
     follows = settle(next_keys(docs, key), "next-keys")
     needs = docs.select(F.col(key).alias("id"), F.char_length(text_of(text)).alias("n_chars")).groupBy("id").agg(
         F.floor(F.max("n_chars") / 2).cast("int").alias("part")
     )
     wanted = follows.join(needs, "id").select(F.col("id").alias("for_id"), F.col("next").alias("id"), "part")
-    # both sides below read this one exchange
-    own = signed(docs.where(F.col(key).isNotNull())).repartition("id")
-    heads = own.groupBy("id").agg(F.min_by(F.struct("own", "n_chars", "signature"), "own").alias("head"))
+    digest = F.md5(F.encode("own", "UTF-8"))
+    texts = docs.select(F.col(key).alias("id"), text_of(text).alias("own"))
+    # minima of own texts are sent, not the texts
+    signed = settle(signatures(texts.select("id", digest.alias("digest"), "own"), "own", "signature", k, size), "signed")
+    # all that reads texts below reads this one exchange, and stays where it put them
+    own = texts.where(F.col("id").isNotNull()).repartition("id")
+    heads = own.groupBy("id").agg(F.min("own").alias("head"))
     sent = wanted.join(heads, "id").select(
-        F.col("for_id").alias("id"), F.left(F.col("head.own"), F.least("part", F.col("head.n_chars").cast("int"))).alias("start"),
-        F.col("head.signature").alias("next_signature"),
+        F.col("for_id").alias("id"), F.left("head", F.least("part", F.char_length("head"))).alias("start"),
+        F.col("id").alias("next"), F.md5(F.encode("head", "UTF-8")).alias("next_digest"),
+    )
+
+    def edits(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """The edited texts' lengths, hashes and signatures, for own, start and digest."""
+        counted = rows.withColumn("n_chars", F.char_length("own").cast("long"))
+        edited = F.concat(F.left("own", F.col("n_chars").cast("int") - half), F.left("start", half))
+        made = counted.select(*keys, "digest", "n_chars", edited.alias("edited")).withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
+        return signatures(made, "edited", "edited_signature", k, size).drop("rows")
+
+    paired = edits(own.withColumn("digest", digest).join(sent, "id", "left"), ["id", "next", "next_digest"])
+    mine = (F.col("p.id") == F.col("s.id")) & (F.col("p.digest") == F.col("s.digest"))
+    after = (F.col("p.next") == F.col("n.id")) & (F.col("p.next_digest") == F.col("n.digest"))
+    named = paired.alias("p").join(signed.alias("s"), mine).join(signed.alias("n"), after, "left").select(
+        "p.id", "p.n_chars", "p.edited_sha256", "p.edited_signature", "s.rows", "s.signature", F.col("n.signature").alias("next_signature")
     )
-    nameless = signed(docs.where(F.col(key).isNull())).withColumn("start", F.lit("")).withColumn(
-        "next_signature", F.lit(None).cast("array<bigint>")
+    nameless = texts.where(F.col("id").isNull()).withColumn("digest", digest).withColumn("start", F.lit(""))
+    alone = edits(nameless, ["id"]).alias("p").join(signed.where(F.col("id").isNull()).alias("s"), "digest").select(
+        "p.id", "p.n_chars", "p.edited_sha256", "p.edited_signature", "s.rows", "s.signature",
+        F.lit(None).cast("array<bigint>").alias("next_signature"),
     )
-    paired = own.join(sent, "id", "left").unionByName(nameless)
-    edited = F.concat(F.left("own", F.col("n_chars").cast("int") - half), F.left("start", half))
-    paired = add_signature(paired.withColumn("edited", edited).drop("own", "start"), "edited", "edited_signature", k, size)
-    return paired.select(
-        F.col("id").alias(key), "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+    both = named.unionByName(alone).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    return both.select(
+        F.col("id").alias(key), "n_chars", "edited_sha256",
         as_text(F.col("signature")).alias("fingerprint"), as_text(F.col("edited_signature")).alias("edited_fingerprint"),
         likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
         F.coalesce(likeness(F.col("signature"), F.col("next_signature")), F.lit(0.0)).alias("near_next"),

@@ -9,6 +9,7 @@ import pytest
 from awkward_rows import awkward
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from terraquilt.llm import byte_cnn, host_reputation, html_blocks, quality_rules, toxicity
 from terraquilt.llm.html_examples import EXAMPLES
 from terraquilt.llm.queries import URL_RULES
@@ -211,12 +212,20 @@ def test_urls_and_rules(spark, url, host, path, rule, verdict):
 
 def posteriors(pages):
     """host -> posterior mean and lower bound, level by level."""
-    def suffix(h):
+    def site(h):
+        return re.sub(":[0-9]*$", "", h.rsplit("@", 1)[-1])
+
+    def address(h):
+        return h.startswith("[") or re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", h)
+
+    def suffix(host):
+        h = site(host)
         two = ".".join(h.split(".")[-2:])
-        return two if two in host_reputation.TWO_LABEL_SUFFIXES and h != two else h.split(".")[-1]
+        return h if address(h) else two if two in host_reputation.MORE_LABEL_SUFFIXES and h != two else h.split(".")[-1]
 
-    def domain(h):
-        return ".".join(h.split(".")[-(len(suffix(h).split(".")) + 1):])
+    def domain(host):
+        h = site(host)
+        return h if address(h) else ".".join(h.split(".")[-(len(suffix(h).split(".")) + 1):])
 
     prior = defaultdict(lambda: (sum(b for _, b in pages if b is not None) + 0.5) / (sum(b is not None for _, b in pages) + 1.0))
     above = lambda h: ""
@@ -246,7 +255,9 @@ def test_posteriors_match_level_by_level(spark):
         [("good.com", 0.05)] * 6 + [("bad.org", 0.9)] * 6 + [("some.co.uk", 0.5)] * 4 + [("other.org", 0.2)] * 5
     )}
     pages = [(h, int(rng.random() < q)) for h, q in hosts.items() for _ in range(int(rng.integers(1, 60)))]
-    pages += [(h, None) for h in list(hosts)[:5]] + [("new.bad.org", None)]
+    pages += [(h, None) for h in list(hosts)[:5]] + [("new.bad.org", None), ("co.uk", 1), ("", 0), ("localhost", 0)]
+    for h in ("1.2.3.4", "9.9.3.4", "1.2.3.4:80", "www.good.com:8080", "me@x.bad.org", "a.github.io", "b.github.io", "c.d.com.mx", "[::1]:80"):
+        pages += [(h, int(rng.random() < 0.5)) for _ in range(9)]
     df = spark.createDataFrame(pages, "host string, bad int")
     got = {r.host: (r["mean"], r.lower) for r in host_reputation.host_posteriors(df).collect()}
     want = posteriors(pages)
@@ -256,6 +267,32 @@ def test_posteriors_match_level_by_level(spark):
     assert got["h6.bad.org"][1] > 0.5 > got["h0.good.com"][1]
 
 
+def test_groups_of_ports_addresses_and_services(spark):
+    hosts = ["www.example.com:8080", "u:p@www.example.com", "1.2.3.4:80", "a.b.github.io", "github.io", "x.com.mx", "co.uk", "", "[::1]:8"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = df.select("host", host_reputation.domain_of(F.col("host")).alias("d"), host_reputation.suffix_of(F.col("host")).alias("s")).collect()
+    assert [(r.d, r.s) for r in got] == [
+        ("example.com", "com"), ("example.com", "com"), ("1.2.3.4", "1.2.3.4"), ("b.github.io", "github.io"), ("github.io", "io"),
+        ("x.com.mx", "com.mx"), ("co.uk", "uk"), ("", ""), ("[::1]", "[::1]"),
+    ]
+    own = host_reputation.domain_of(F.col("host"), ("a.b.c",))
+    assert [r[0] for r in spark.createDataFrame([("x.y.a.b.c",), ("a.b.c",), ("z.b.c",)], "host string").select(own).collect()] == ["y.a.b.c", "b.c", "b.c"]
+
+
+def test_sample_of_a_hot_labelled_key_is_bounded(spark):
+    rows = [(7, f"text {i} {'x' * i}") for i in range(900)] + [(7, "same")] * 900 + [(i, f"d{i}") for i in range(100, 200)] + [(None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(7, 1)] * 3 + [(i, i % 2) for i in range(100, 200)] + [(i, 1) for i in range(10_000, 12_000)], "doc_id long, quality int")
+    found = byte_cnn.labelled_sample(docs, labels, "quality", F.lit(True), 60).collect()
+    assert len(found) == 60 and len({r.doc_id for r in found}) == 60  # absent documents take no place
+    whole = byte_cnn.labelled_sample(docs, labels, "quality", F.lit(True), 1000).collect()
+    assert len(whole) == 101 and sum(r.doc_id == 7 for r in whole) == 1
+    again = byte_cnn.labelled_sample(docs.repartition(3), labels, "quality", F.lit(True), 1000).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, again))
+    small = byte_cnn.labelled_sample(docs, labels, "quality", F.lit(True), 1000, max_bytes=50).collect()
+    assert 0 < sum(len(r["_text"]) for r in small) <= 50
+
+
 def test_awkward_urls(spark):
     rows = [(1, "http://a.com/en/1", 7), (1, "http://a.com/en/1", 7), (None, "http://b.com/en/99999999999999999999", 8), (3, None, None), (4, "", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, host int")

@@ -3,15 +3,18 @@
 import hashlib
 import math
 import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from awkward_rows import awkward
+import xxhash
+from awkward_rows import awkward, renamed
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from terraquilt.llm import minhash, mixing, order_minhash, packing, sharding
+from terraquilt.llm import common, minhash, mixing, order_minhash, packing, sharding
 from terraquilt.llm.queries import tokenizer_path
 
 def words_of(text):
@@ -87,6 +90,49 @@ def test_near_duplicates_on_awkward_rows(spark):
     assert minhash.near_duplicates(awkward(spark).limit(0)).count() == 0
 
 
+def worn(count, seed):
+    """Copies of one text with up to 17 words replaced, many by common words, and copies of some of these."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(count):
+        text = (texts[rng.randrange(len(texts))].split() if texts and rng.random() < 0.1 else base)[:]
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 8, 11, 17])):
+            at = rng.randrange(len(text))
+            text[at:at + rng.choice([1, 1, 1, 0, 2])] = [rng.choice(["the", "and", "of", f"n{rng.randrange(9999)}"])]
+        texts.append(" ".join(text))
+    return texts
+
+
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80)])
+def test_components_of_a_large_group_of_copies_match_all_pairs(spark, width, percent):
+    texts = worn(3000, width)
+    sets = [shingles(t, width) for t in texts]
+    number = {}
+    rows, columns = zip(*[(i, number.setdefault(x, len(number))) for i, s in enumerate(sets) for x in s])
+    held = np.zeros((len(sets), len(number)), np.float32)
+    held[rows, columns] = 1
+    sizes = held.sum(axis=1)
+    common = held @ held.T
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    root = np.arange(len(sets))
+    while True:
+        least = np.where(linked, root[None, :], len(sets)).min(axis=1)
+        if (least == root).all():
+            break
+        root = least
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, width, percent).collect()}
+    assert got == dict(enumerate(root.tolist())) and 10 < len(set(got.values())) < 2900
+
+
+def test_dropping_keeps_columns_of_any_name(spark):
+    docs = renamed(awkward(spark))
+    left = minhash.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert Counter(r.doc_id for r in left.collect()) == Counter([1, 4, 5, 6, 7, 8, 10, None, 2**60 + 1])
+
+
 def test_rows_of_one_key_with_unlinked_texts_all_stay(spark):
     rng = random.Random(2)
     texts = [" ".join(f"k{rng.randrange(10**6)}" for _ in range(40)) for _ in range(12)]
@@ -182,6 +228,48 @@ def test_shards_grow_only_into_the_new_one_and_slots_are_gapless(spark):
     assert abs(sum(r.grown_shard == 8 for r in rows) - 20_000 / 9) < 250
 
 
+def test_numbers_of_equal_rows_are_spread_and_gapless(spark, monkeypatch):
+    monkeypatch.setattr(common, "_REPEATS", 50)
+    rows = [(7, "a")] * 1000 + [(None, "b")] * 500 + [(i, "c") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sharding.shard_layout(docs).collect()
+    slots = defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert len(found) == 2400 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert Counter((r.doc_id, r.text_crc32) for r in found) == Counter((i, zlib.crc32(t.encode())) for i, t in rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = sharding.shard_layout(docs).groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in tasks) < 900
+    assert sorted(map(str, sharding.shard_layout(docs.repartition(3)).collect())) == sorted(map(str, found))
+    assert sorted(map(str, sharding.shard_layout(docs.limit(0)).collect())) == []
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    docs = renamed(awkward(spark))
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    want = Counter({(r.doc_id, r.source): 0 for r in docs.collect()})
+    for r in mixing.mix_plan(docs).collect():
+        want[r.doc_id, r.source] += r.repeats
+    assert Counter((r.doc_id, r.source) for r in out.collect()) == +want
+
+
+def test_shards_score_by_weight_over_exponential_draws(spark):
+    """Rendezvous scores recomputed from plain hashes."""
+    weights = (1.0, 2.0, 0.5)
+    docs = spark.range(300).withColumnRenamed("id", "doc_id")
+    def score(key, shard):
+        h = 17
+        state = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        state = xxhash.xxh64_intdigest(struct.pack("<i", shard), state)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", h), state)
+        return weights[shard] / -math.log(((h >> 12) + 0.5) / 2**52)
+    for r in sharding.assign_shards(docs, weights=weights).collect():
+        assert r.shard == max(range(3), key=lambda s: score(r.doc_id, s))
+
+
 def test_shards_follow_weights_and_take_awkward_rows(spark):
     docs = spark.range(20_000).withColumnRenamed("id", "doc_id")
     counts = Counter(r.shard for r in sharding.assign_shards(docs, weights=(1.0, 0.0, 3.0)).collect())
@@ -284,11 +372,61 @@ def test_fingerprints_of_edits(spark):
     assert np.mean([got[i].near_edited for i in long]) > np.mean([got[i].near_next for i in long if texts[i] != texts[following[i]]]) + 0.2
 
 
+def order_minhash_of(text, k=3, size=32, seed=11):
+    """The signature in plain Python, from the same hashes."""
+    def mixed(*values):
+        state = 42
+        for v in values:
+            if v is not None:
+                raw = v.encode() if isinstance(v, str) else struct.pack("<i" if isinstance(v, np.int32) else "<q", v)
+                state = xxhash.xxh64_intdigest(raw, state)
+        return state - 2**64 if state >= 2**63 else state
+
+    words = [w.decode() for w in words_of(text)]
+    kmers = [words[i:i + k] for i in range(max(1, len(words) - k + 1))] if words else []
+    seen, labels = Counter(), []
+    for kmer in kmers:
+        label = mixed(*kmer) >> 28
+        n = seen[label]
+        seen[label] += 1
+        labels.append(mixed(label, np.int32(n)) >> 28 if n else label)
+    numbers, out = random.Random(seed), []
+    for _ in range(size):
+        number = numbers.getrandbits(63)
+        values = sorted((mixed(label, number) >> 28, place) for place, label in enumerate(labels))
+        halves = [[v for v in values if v[0] < 0][:1], [v for v in values if v[0] >= 0][:1]]
+        pair = sorted(halves[0] + halves[1], key=lambda v: v[1])
+        out.append(mixed(*[v for v, _ in pair]) & 0xFFFFFFFF if pair else 0)
+    return out
+
+
+def test_signatures_match_plain_python(spark):
+    rng = random.Random(6)
+    texts = ["", " ", "x", "x y", "a b c d", "x x x x x x x", "é 漢 😀 ü"] + [
+        " ".join(rng.choice(["the", "of", f"w{rng.randrange(50)}"]) for _ in range(rng.randrange(1, 400))) for _ in range(60)
+    ]
+    df = spark.createDataFrame([(i, t, "v0") for i, t in enumerate(texts)] + [(2, "x", "v0")] * 2, "id int, text string, a0 string")
+    found = order_minhash.signatures(df, "text").collect()
+    assert {r.id: r.signature for r in found} == {i: order_minhash_of(t) for i, t in enumerate(texts)}
+    assert {r.id: r.rows for r in found} == {i: 3 if i == 2 else 1 for i in range(len(texts))}
+    docs = df.select(F.col("id").cast("long").alias("doc_id"), "text").where("doc_id <> 2")
+    order = sorted((i for i in range(len(texts)) if i != 2), reverse=True)
+    next_of = dict(zip(order, order[1:] + order[:1]))
+    for r in order_minhash.fingerprint_edits(docs).collect():
+        text, other = texts[r.doc_id], texts[next_of[r.doc_id]]
+        half = len(text) // 2
+        own, edited = order_minhash_of(text), order_minhash_of(text[:len(text) - half] + other[:half])
+        assert r.fingerprint == "".join(f"{x:08x}" for x in own) and r.edited_fingerprint == "".join(f"{x:08x}" for x in edited)
+        for near, sig in ((r.near_edited, edited), (r.near_next, order_minhash_of(other))):
+            j = math.sqrt(sum(a == b for a, b in zip(own, sig)) / 32)
+            assert near == pytest.approx(2 * j / (1 + j))
+
+
 def test_fingerprints_feel_order_where_sets_do_not(spark):
     words = [f"w{i}" for i in range(60)]
     swapped = " ".join(words[30:] + words[:30])
     rows = [(0, " ".join(words)), (1, swapped), (2, " ".join(words)), (3, "x x x x x x"), (4, "x x x x x x x"), (5, "x"), (6, "")]
-    df = order_minhash.add_signature(spark.createDataFrame(rows, "id int, text string"), "text", "sig")
+    df = order_minhash.signatures(spark.createDataFrame(rows, "id int, text string"), "text", "sig")
     sig = {r.id: r.sig for r in df.collect()}
     assert sig[0] == sig[2] and set(sig[6]) == {0}
     assert sum(a == b for a, b in zip(sig[0], sig[1])) < 28
@@ -302,7 +440,7 @@ def test_fingerprints_of_long_texts_pick_from_all_kmers(spark):
     for i in range(20):
         words = [f"{i}w{rng.randrange(10**9)}" for _ in range(2400)]
         texts += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(words[:1200])), (3 * i + 2, " ".join(words[:1600]))]
-    df = order_minhash.add_signature(spark.createDataFrame(texts, "id int, text string"), "text", "sig")
+    df = order_minhash.signatures(spark.createDataFrame(texts, "id int, text string"), "text", "sig")
     sig = {r.id: r.sig for r in df.collect()}
     for part, jaccard in ((1, 1 / 2), (2, 2 / 3)):
         equal = np.mean([a == b for i in range(20) for a, b in zip(sig[3 * i], sig[3 * i + part])])
