@@ -155,7 +155,8 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.floor(F.max("n_chars") / 2).cast("int").alias("part")
     )
     wanted = follows.join(needs, "id").select(F.col("id").alias("for_id"), F.col("next").alias("id"), "part")
-    digest = F.md5(F.encode("own", "UTF-8"))
+    # never NULL, so that no join adds a filter on it to one of the two uses of the exchange of texts
+    digest = F.coalesce(F.md5(F.encode("own", "UTF-8")), F.lit(""))
     texts = docs.select(F.col(key).alias("id"), text_of(text).alias("own"))
     # minima of own texts are sent, not the texts
     signed = settle(signatures(texts.select("id", digest.alias("digest"), "own"), "own", "signature", k, size), "signed")
