@@ -568,17 +568,17 @@ def feature_matrix_assemble(spark, sf_dir):
 
 def feet_grid(spark, sf_dir) -> GridSpec:
     """Source grid in EPSG:2263, whose lines lean against degrees by a third of a degree here."""
-    return GridSpec(1_005_000.0, 266_000.0, 120.0, 100.0, 100, pixel_height(spark, sf_dir), 2263)
+    return GridSpec(1_005_000.0, 262_000.0, 120.0, 100.0, 100, pixel_height(spark, sf_dir), 2263)
 
 
 FEET_BOX = (-73.93, 40.70, -73.87, 40.885)
-FEET_TARGET = (-73.955, 40.90, 0.0009, 0.0011, 120)
+FEET_TARGET = (-73.955, 40.886, 0.0009, 0.0011, 120)
 _FEET_X, _FEET_Y = plane_sql("lon", "lat")
 FEET_SQL = f"""
     target AS (SELECT r.i AS row, c.i AS col, {num(FEET_TARGET[0])} + (c.i + 0.5) * {num(FEET_TARGET[2])} AS lon,
                {num(FEET_TARGET[1])} - (r.i + 0.5) * {num(FEET_TARGET[3])} AS lat
                FROM range(0, (SELECT max(row) + 1 FROM pixels)) AS r(i), range(0, {FEET_TARGET[4]}) AS c(i)),
-    uv AS (SELECT row, col, lon, lat, ({_FEET_X} - 1005000) / 120 AS u, (266000 - {_FEET_Y}) / 100 AS v FROM target)"""
+    uv AS (SELECT row, col, lon, lat, ({_FEET_X} - 1005000) / 120 AS u, (262000 - {_FEET_Y}) / 100 AS v FROM target)"""
 
 
 @query("raster_clip_reproject_feet", with_inputs("pixels") + f""", {FEET_SQL}
