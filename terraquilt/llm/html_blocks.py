@@ -21,8 +21,11 @@ _BLOCKS = frozenset("""
     th thead tr ul
 """.split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is never text of the page.
-_RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object canvas select button".split())
+#: Elements whose content is never text of the page: up to the next end tag, or to the one that belongs to them.
+_RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
+_NESTED_RAW = frozenset("svg object canvas select button noscript template".split())
+#: Of these an element that nothing ends is no more than its tag; others take the rest of the page.
+_MAY_STAY_OPEN = frozenset("title button object noscript".split())
 #: Which open elements a start tag closes, up to the nearest of the boundaries.
 _CLOSES = {
     **{t: (frozenset("p".split()), frozenset("body article aside section div li td th blockquote main form nav header footer".split()))
@@ -34,10 +37,18 @@ _CLOSES = {
     "td": (frozenset("td th".split()), frozenset("tr table".split())),
     "th": (frozenset("td th".split()), frozenset("tr table".split())),
 }
-_MARKUP = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)")
-_TAG_END = re.compile(r"""[^"'>]*(?:"[^"]*"[^"'>]*|'[^']*'[^"'>]*)*>""")
+_MARKUP = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[\"'>]")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
+#: Words that say nothing of what a class such as share-buttons or ad-container marks; any other one makes it a weak mark.
+_HOLDERS = frozenset("""
+    area bar block bottom box btn button buttons card cards cell center col column container content footer group head heading holder icon
+    icons inner item items left line link links list message outer page panel post posts right row section site slot space story stories
+    strip title top unit wrap wrapper zone
+""".split())
+#: Elements that are text themselves: a class of several words on one is a weak mark.
+_TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: In a class such as has-sidebar, no-comments or ad-free, words that say what the others are not.
 _LAYS_OUT = frozenset("has have with no not non without".split())
 _LACKS = frozenset("free less".split())
@@ -61,6 +72,14 @@ _MAIN_TAGS = frozenset(("article", "main"))
 _MAIN_WORDS = frozenset("article articlebody post story entry main content maincontent".split())
 
 
+@dataclass(frozen=True, eq=False)
+class Mark:
+    """Parts that an open element stands for, and the mark around it."""
+
+    parts: frozenset[str]
+    above: Mark | None
+
+
 @dataclass
 class Block:
     text: str
@@ -70,9 +89,10 @@ class Block:
     inside: bool  # an article or main element is open
     heading: bool
     listed: bool  # in a list or table
-    marks: tuple[tuple[int, frozenset[str]], ...] = ()  # the open elements with parts, by number
+    weak: bool = False  # a class names a part among other things
+    mark: Mark | None = None  # the innermost one
     main: int = -1  # the number of the innermost open main element
-    around: int = 0  # how many of the marks are of that element or contain it
+    around: Mark | None = None  # the innermost mark of that element or of what contains it
 
 
 @dataclass
@@ -80,9 +100,10 @@ class _Open:
     tag: str
     parts: frozenset[str]
     inside: bool
-    marks: tuple[tuple[int, frozenset[str]], ...] = ()
+    weak: bool = False
+    mark: Mark | None = None
     main: int = -1
-    around: int = 0
+    around: Mark | None = None
 
 
 def _marking(value: str) -> list[str]:
@@ -98,9 +119,14 @@ def _marking(value: str) -> list[str]:
     return out
 
 
-def _parts(tag: str, attributes: str, inside: bool) -> tuple[set[str], bool]:
-    """Parts that an element opens, and whether it is a main one."""
+def _parts(tag: str, attributes: str, inside: bool) -> tuple[set[str], bool, bool]:
+    """Parts that an element opens, whether a class marks it weakly, and whether it is a main one.
+
+    A class marks weakly if it has other words than parts and holders (form-factor, review-body), or several words on an
+    element that is text itself (a paragraph tags-intro): it may as well say what the text is about.
+    """
     parts: set[str] = set()
+    weak = False
     main = tag in _MAIN_TAGS
     if tag in _BY_TAG and not (tag == "header" and inside):  # the header of an article is its own
         parts.add(_BY_TAG[tag])
@@ -110,21 +136,85 @@ def _parts(tag: str, attributes: str, inside: bool) -> tuple[set[str], bool]:
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
                 parts.add("hidden")
             elif name in ("class", "id", "role"):
+                for one in value.split():
+                    words = _marking(one)
+                    found = {_PART_OF[w] for w in words if w in _PART_OF}
+                    if inside:
+                        found.discard("header")
+                    others = [w for w in words if w not in _PART_OF and w not in _HOLDERS and len(w) > 2]
+                    if found and (others or tag in _TEXTS and len(words) > 1):
+                        weak = True
+                    else:
+                        parts |= found
                 words = _marking(value)
-                found = {_PART_OF[w] for w in words if w in _PART_OF}
-                if inside:
-                    found.discard("header")
-                parts |= found
-                main = main or not found and any(w in _MAIN_WORDS for w in words) and tag in ("div", "section", "td")
-    return parts, main
+                main = main or not parts and any(w in _MAIN_WORDS for w in words) and tag in ("div", "section", "td")
+    return parts, weak, main
+
+
+class _TagEnds:
+    """Where tags end: at the first ``>`` outside quotes, or where quotes don't close, at the first one.
+
+    A quote from which no end was found is remembered, so that no part of a page is looked through for
+    every tag in it.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.dead: set[int] = set()
+
+    def after(self, at: int) -> int:
+        """The place after the tag whose name ends at ``at``; 0 without any."""
+        seen, i = [], at
+        while found := _STOP.search(self.page, i):
+            j, quote = found.start(), found.group()
+            if quote == ">":
+                return j + 1
+            if j in self.dead or j >= self.last[quote]:
+                break
+            seen.append(j)
+            i = self.page.find(quote, j + 1) + 1
+        self.dead.update(seen)
+        return self.page.find(">", at) + 1
+
+
+class _RawEnds:
+    """Where raw elements end."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.pairs: dict[str, dict[int, int]] = {}
+        self.open_ended: set[str] = set()
+
+    def close(self, tag: str, start: int, at: int) -> int:
+        """The place of the end tag of the element whose tag starts at ``start`` and ends at ``at``; -1 without one."""
+        if tag in _NESTED_RAW:
+            if tag not in self.pairs:
+                self.pairs[tag] = self._paired(tag)
+            return self.pairs[tag].get(start, -1)
+        if tag in self.open_ended:
+            return -1
+        found = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(self.page, at)
+        if not found:
+            self.open_ended.add(tag)
+        return found.start() if found else -1
+
+    def _paired(self, tag: str) -> dict[int, int]:
+        pairs, opened = {}, []
+        for found in re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).finditer(self.page):
+            if not found.group(1):
+                opened.append(found.start())
+            elif opened:
+                pairs[opened.pop()] = found.start()
+        return pairs
 
 
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page in page order, without empty ones.
 
     Broken markup is read as far as it goes: an end tag closes what is open inside its element, or
-    nothing if the element isn't open; unclosed elements end with the page; a comment or raw element without
-    an end takes the rest.
+    nothing if the element isn't open; unclosed elements end with the page; a comment, declaration or raw element
+    without an end takes the rest. The time grows with the length of the page, whatever is in it.
     """
     out: list[Block] = []
     stack: list[_Open] = []
@@ -133,7 +223,7 @@ def blocks_of(page: str) -> list[Block]:
     linked = 0
     total = 0
     opened = 0
-    lower = None
+    tags, raws = _TagEnds(page), _RawEnds(page)
 
     def flush() -> None:
         nonlocal linked, total
@@ -143,7 +233,7 @@ def blocks_of(page: str) -> list[Block]:
             out.append(Block(
                 text, len(text.split()), min(1.0, linked / total) if total else 0.0, top.parts if top else frozenset(),
                 top.inside if top else False, any(count.get(f"h{i}") for i in range(1, 7)),
-                bool(count.get("li") or count.get("td") or count.get("dd")), *((top.marks, top.main, top.around) if top else ()),
+                bool(count.get("li") or count.get("td") or count.get("dd")), *((top.weak, top.mark, top.main, top.around) if top else ()),
             ))
         pieces.clear()
         linked = total = 0
@@ -168,15 +258,14 @@ def blocks_of(page: str) -> list[Block]:
             add(page[at:found.start()])
         at = found.end()
         if found.group(2) is None:
-            if found.group() == "<!--":
-                end = page.find("-->", at)
-                if end < 0:
-                    break
-                at = end + 3
+            closing = "-->" if found.group() == "<!--" else ">"
+            end = page.find(closing, at)
+            if end < 0:
+                break
+            at = end + len(closing)
             continue
         tag = found.group(2).lower()
-        ended = _TAG_END.match(page, at)
-        end = ended.end() if ended else page.find(">", at) + 1
+        end = tags.after(at)
         if not end:
             break
         attributes = page[at:end - 1]
@@ -190,10 +279,9 @@ def blocks_of(page: str) -> list[Block]:
                     pop()
                 pop()
             continue
-        if tag in _RAW and not attributes.endswith("/"):
-            lower = page.lower() if lower is None else lower
-            close = lower.find(f"</{tag}", at)
-            if close < 0 and tag not in ("title", "button", "object", "noscript"):
+        if tag in _RAW or tag in _NESTED_RAW and not attributes.endswith("/"):
+            close = raws.close(tag, found.start(), at)
+            if close < 0 and tag not in _MAY_STAY_OPEN:
                 break
             if close >= 0:
                 at = page.find(">", close) + 1
@@ -215,12 +303,13 @@ def blocks_of(page: str) -> list[Block]:
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCKS:
             continue
         above = stack[-1] if stack else _Open("", frozenset(), False)
-        parts, main = _parts(tag, attributes, above.inside)
+        parts, weak, main = _parts(tag, attributes, above.inside)
         opened += 1
-        marks = (*above.marks, (opened, frozenset(parts))) if parts else above.marks
+        mark = Mark(frozenset(parts), above.mark) if parts else above.mark
         stack.append(_Open(
-            tag, above.parts | parts if parts else above.parts, above.inside or main, marks,
-            *((opened, len(marks)) if main else (above.main, above.around)),
+            tag, above.parts | parts if parts else above.parts, above.inside or main,
+            # what a class around the main element says is of the page, not of a part
+            not main and (weak or above.weak), mark, *((opened, mark) if main else (above.main, above.around)),
         ))
         count[tag] = count.get(tag, 0) + 1
     flush()
@@ -237,23 +326,33 @@ def _unmark_main(blocks: list[Block]) -> None:
     """
     clean = sum(b.words for b in blocks if b.inside and not b.parts)
     words: dict[int, int] = {}
-    around: dict[int, tuple[tuple[int, frozenset[str]], ...]] = {}
+    around: dict[int, Mark] = {}
     for b in blocks:
-        if b.inside and b.parts and len(b.marks) == b.around and "hidden" not in b.parts and not (clean and "comment" in b.parts):
+        if b.inside and b.parts and b.mark is b.around and "hidden" not in b.parts and not (clean and "comment" in b.parts):
             words[b.main] = words.get(b.main, 0) + b.words
-            around[b.main] = b.marks
+            around[b.main] = b.mark
     if not words:
         return
     largest = max(words, key=words.__getitem__)
     if words[largest] <= (clean or sum(b.words for b in blocks if not b.inside and not b.parts and b.link_share < 0.5)):
         return
-    taken = {number for number, _ in around[largest]}
+    left: dict[Mark | None, frozenset[str]] = {None: frozenset()}
+    taken = around[largest]
+    while taken is not None:
+        left[taken], taken = frozenset(), taken.above
     for b in blocks:
-        b.parts = frozenset().union(*(parts for number, parts in b.marks if number not in taken))
+        below, mark = [], b.mark
+        while mark not in left:
+            below.append(mark)
+            mark = mark.above
+        for inner in reversed(below):
+            left[inner] = left[inner.above] | inner.parts
+        b.parts = left[b.mark]
 
 
 #: place: 2 inside a main element, 0 outside of those that the page has, 1 on a page without one.
-FEATURES = ("in_part", "place", "words", "link_share", "words_before", "link_share_before", "words_after", "link_share_after",
+#: weak: a class names a part among other things.
+FEATURES = ("in_part", "weak", "place", "words", "link_share", "words_before", "link_share_before", "words_after", "link_share_after",
             "heading", "listed")
 
 
@@ -269,7 +368,7 @@ def features_of(blocks: Sequence[Block]) -> np.ndarray:
     none = np.zeros((1, 2))
     before, after = np.vstack([none, own[:-1]])[:n], np.vstack([own[1:], none])[:n]
     outside = 0 if _has_main(blocks) else 1
-    where = np.array([(bool(b.parts), 2 if b.inside else outside) for b in blocks], float).reshape(n, 2)
+    where = np.array([(bool(b.parts), b.weak, 2 if b.inside else outside) for b in blocks], float).reshape(n, 3)
     form = np.array([(b.heading, b.listed) for b in blocks], float).reshape(n, 2)
     return np.hstack([where, own, before, after, form])
 

@@ -103,4 +103,30 @@ EXAMPLES: list[tuple[str, set[str]]] = [
         <div class="related"><article><a href="/1">Ten more stories</a></article></div></body>""",
         {"Harvest", f"{_LONG}.", "So it was.", f"{_MORE}.", f"{_LAST}."},
     ),
+    (  # classes that say what a text is about, and some that mark a part, among words of their own
+        f"""<body><nav>Start</nav><article><h1 class="form-title-big">Pumps</h1><p class="tags-intro">{_LONG}.</p><div class="form-factor"><p>{_MORE}.</p>
+        <p>They are small and light.</p></div><div class="review-body">{_LAST}.</div><div class="comment-quote">It works well, he says, and so do the others that were tried.</div>
+        <div class="share-this-now"><a href="/s">Send</a> <a href="/p">Print</a></div><div class="tags-below"><a href="/t">Water</a> and <a href="/u">roads</a></div>
+        <div class="ad-offer-now"><a href="/o">Read on without adverts for one month</a></div></article></body>""",
+        {"Pumps", f"{_LONG}.", f"{_MORE}.", "They are small and light.", f"{_LAST}.", "It works well, he says, and so do the others that were tried."},
+    ),
+    (
+        f"""<body><div class="menu">Start</div><h1>Wells</h1><div class="search-for-water">{_LONG}.</div><p class="notice-of-rights">{_MORE}.</p><div>{_LAST}.</div>
+        <div class="social-follow-us"><a href="/f">Follow</a> <a href="/g">us there</a></div><div class="footer-note-small"><a href="/h">Who we are</a></div></body>""",
+        {"Wells", f"{_LONG}.", f"{_MORE}.", f"{_LAST}."},
+    ),
+    (  # no main element and no marks: what words and links of a block and its neighbours say
+        f"""<body><div><a href="/a">News of the day from all parts of the country</a></div><div>Today</div><div><a href="/b">What else our readers liked to read this week</a></div>
+        <div>Also new</div><div><a href="/c">All stories about water, roads and bridges in one place</a></div>
+        <h1>Dams</h1><p>{_LONG}.</p><p>It did.</p><p>{_MORE}.</p><p>More so now.</p><p>{_LAST}.</p>
+        <div><a href="/d">Ten things you did not know about the river and its banks</a></div><div>Most read</div><div><a href="/e">How to keep a cellar dry when the water comes again</a></div>
+        <div>In short</div><div><a href="/f">Why the bridge will not be built before next year at least</a></div></body>""",
+        {"Dams", f"{_LONG}.", "It did.", f"{_MORE}.", "More so now.", f"{_LAST}."},
+    ),
+    (
+        f"""<body><div><a href="/a">To the first page of the paper and all of its parts</a></div><div>Best of</div><div><a href="/b">One more story about a man and his boat on the river</a></div>
+        <div>{_MORE}.</div><div>Nobody knows.</div><div>{_LAST}.</div><div>So they say.</div><div>{_LONG}.</div>
+        <div><a href="/c">Send this text to a friend who likes to read about rivers</a></div><div>Up next</div><div><a href="/d">The last story of the day is about rain and what it does</a></div></body>""",
+        {f"{_MORE}.", "Nobody knows.", f"{_LAST}.", "So they say.", f"{_LONG}."},
+    ),
 ]

@@ -324,3 +324,71 @@ def test_pipeline_of_nothing(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+_SAID = [
+    "The harbour was closed for two days while divers looked for the missing anchor and its chain of forty metres",
+    "People on the quay said that they had never seen the water so clear at this time of the year before",
+    "It was found in the end under the old ferry where nobody had thought of looking on the first morning",
+    "The owner of the boat thanked all who had helped and asked them to a supper in the hall next Saturday",
+]
+#: Pages and their main text that the tree has not learnt from.
+HELD_OUT = [
+    (f"""<body><div><a href="/1">All the news of the week from the coast and its towns</a></div><div>Pictures</div>
+     <div><a href="/2">How to tie a knot that holds in any wind and weather</a></div><div>{_SAID[0]}.</div><div>It took long.</div><div>{_SAID[1]}.</div>
+     <div>{_SAID[2]}.</div><div>Lucky man.</div><div>{_SAID[3]}.</div><div><a href="/3">More stories about boats and those who love them dearly</a></div>
+     <div>Top ten</div><div><a href="/4">The best fish soups of the coast and where to eat them</a></div></body>""",
+     [f"{_SAID[0]}.", "It took long.", f"{_SAID[1]}.", f"{_SAID[2]}.", "Lucky man.", f"{_SAID[3]}."]),
+    (f"""<body><nav>Home</nav><article class="review"><h1>Anchors</h1><p class="form-of-anchor">{_SAID[0]}.</p><div class="review-text-long">{_SAID[1]}.</div>
+     <div class="notice-the-chain"><p>{_SAID[2]}.</p></div><div class="social-links-here"><a href="/f">Like</a> <a href="/g">it</a></div></article>
+     <section class="comments"><article><p>{_SAID[3]}, as I said before.</p></article></section></body>""",
+     ["Anchors", f"{_SAID[0]}.", f"{_SAID[1]}.", f"{_SAID[2]}."]),
+    (f"""<body><div class="share-buttons">Send it now to all of your friends and to those of your neighbours too</div><h1>Chains</h1><p>{_SAID[1]}.</p>
+     <p class="promo-code-story">{_SAID[2]}.</p><p>{_SAID[0]}.</p><div class="cookie-banner">{_SAID[3]}.</div></body>""",
+     ["Chains", f"{_SAID[1]}.", f"{_SAID[2]}.", f"{_SAID[0]}."]),
+]
+
+
+@pytest.mark.parametrize("page, kept", HELD_OUT)
+def test_main_text_of_held_out_pages(page, kept):
+    assert html_blocks.main_text(page, html_blocks.trained_tree()).split("\n") == kept
+
+
+def test_words_and_links_of_neighbours_decide():
+    tree = html_blocks.trained_tree()
+    around = [i for i, name in enumerate(html_blocks.FEATURES) if name.endswith(("_before", "_after"))]
+    links = [i for i in around if html_blocks.FEATURES[i].startswith("link")]
+    for columns in (around, links):
+        changed = 0
+        for page, _ in HELD_OUT:
+            rows = html_blocks.features_of(html_blocks.blocks_of(page))
+            without = rows.copy()
+            without[:, columns] = 0
+            changed += [tree.predict(r) for r in rows.tolist()] != [tree.predict(r) for r in without.tolist()]
+        assert changed
+
+
+def test_pages_with_dotted_capitals_formulas_and_nested_drawings_are_whole():
+    tree = html_blocks.trained_tree()
+    page = f"""<body><article><h1>{"İstanbul " * 60}</h1><SCRIPT>track("</p>")</SCRIPT ><p>{_SAID[0]}.</p><script>x</script>
+    <p>{_SAID[1]} <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p><svg><g>label<svg><text>inner</text></svg>label</g></svg><p>{_SAID[2]}.</p>
+    <button>Send <b>it</b></button><p>{_SAID[3]}.</p></article></body>"""
+    assert html_blocks.main_text(page, tree).split("\n") == [
+        ("İstanbul " * 60).strip(), f"{_SAID[0]}.", f"{_SAID[1]} x=2.", f"{_SAID[2]}.", f"{_SAID[3]}.",
+    ]
+
+
+@pytest.mark.parametrize("unit", ['<p t=">">', '<p t=">"', "<a x='", "<!x", "<button>", "<svg>", "<title>", '<div class="ad">x', "<ul><li>x", "<b><i>", "</p>"])
+def test_time_grows_with_the_length_of_a_page(unit):
+    import time
+
+    tree = html_blocks.trained_tree()
+
+    def took(n):
+        page = "<body><p>start here</p>" + unit * (n // len(unit))
+        start = time.process_time()
+        html_blocks.main_text(page, tree)
+        return time.process_time() - start
+
+    took(10_000)
+    assert min(took(160_000) for _ in range(2)) < 3.5 * max(took(80_000), 0.02)
