@@ -192,7 +192,7 @@ def _segments(spark: SparkSession, path: str, *columns: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, key: str = "doc_id", ids: bool = False) -> DataFrame:
     """key, start (ids of all documents before), n_tokens, ids_crc32 and, with ``ids``, the ids as bytes, read from the files.
 
-    A document's ids are looked up in its segment; no shuffle. Files of an empty table give no rows.
+    No shuffle. Files of an empty table give no rows. For some documents or tokens see ``tokens_at``.
     """
     rows = _segments(spark, path, "codes", "keys", "lengths")
     kind = rows.schema["keys"].dataType.elementType.simpleString()
@@ -204,7 +204,9 @@ def read_documents(spark: SparkSession, path: str, key: str = "doc_id", ids: boo
                 codes = DirectCodes.from_bytes(batch.column("codes")[i].as_py())
                 lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
                 starts = np.cumsum(lengths) - lengths
-                found = [codes.slice(int(s), int(s + n)).tobytes() for s, n in zip(starts, lengths)]
+                # every document of the segment is asked for, so their ids are one slice
+                whole = codes.slice(0, len(codes)).tobytes()
+                found = [whole[4 * s:4 * (s + n)] for s, n in zip(starts.tolist(), lengths.tolist())]
                 out = {
                     "key": batch.column("keys")[i].values, "start": pa.array(starts + batch.column("start")[i].as_py()),
                     "n_tokens": pa.array(lengths), "ids_crc32": pa.array([zlib.crc32(f) for f in found], pa.int64()),

@@ -392,3 +392,101 @@ def test_time_grows_with_the_length_of_a_page(unit):
 
     took(10_000)
     assert min(took(160_000) for _ in range(2)) < 3.5 * max(took(80_000), 0.02)
+
+
+# ---------------------------------------------------------------- models against plain loops
+
+def test_network_scores_match_a_plain_forward_pass():
+    rng = np.random.default_rng(3)
+    net = byte_cnn.ByteNet(
+        rng.normal(size=(257, 3)), rng.normal(size=(24, 5)), rng.normal(size=5), rng.normal(size=(5, 4)), rng.normal(size=4),
+        rng.normal(size=4), rng.normal(size=4) / 3,
+    )
+
+    def score(text):
+        raw = list(text.encode())
+        halves = max(2, -(-len(raw) // 256))
+        data = raw + [256] * (halves * 256 + 8 - len(raw))
+        logits = []
+        for chunk in range(halves - 1):
+            best = [max(sum(net.embed[data[at + j]][d] * net.filters[j * 3 + d][f] for j in range(8) for d in range(3))
+                        for at in range(chunk * 256, chunk * 256 + 512, 4)) for f in range(5)]
+            pooled = [max(0.0, b + net.bias[f]) for f, b in enumerate(best)]
+            hidden = [max(0.0, sum(pooled[f] * net.hidden[f][h] for f in range(5)) + net.hidden_bias[h]) for h in range(4)]
+            logits.append(sum(hidden[h] * net.out[h] for h in range(4)))
+        z = net.combine[0] * sum(logits) / len(logits) + net.combine[1] * max(logits) + net.combine[2] * min(logits) + net.combine[3]
+        return 1 / (1 + np.exp(-min(30, max(-30, z))))
+
+    texts = ["", "a", "é漢" * 90, "".join(chr(rng.integers(32, 900)) for _ in range(700)), "x" * 512, "y z" * 300]
+    want = [score(t) for t in texts]
+    assert net.scores(texts) == pytest.approx(want, abs=1e-8)
+    assert net.scores(texts, block=512) == pytest.approx(want, abs=1e-8)  # long texts in blocks
+
+
+def test_tree_margins_match_plain_walks_and_boosting_lowers_the_loss():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, len(toxicity.NAMES)))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 3] > 0)).astype(float)
+    trees = toxicity.BoostedTrees.fit(x, y)
+
+    def margin(row):
+        total = trees.start
+        for feature, value, leaf in zip(trees.feature, trees.value, trees.leaf):
+            at = 0
+            for _ in range(trees.depth):
+                at = 2 * at + (2 if row[feature[at]] > value[at] else 1)
+            total += leaf[at - (2 ** trees.depth - 1)]
+        return total
+
+    got = trees.margins(x)
+    assert got == pytest.approx([margin(r) for r in x])
+    assert np.mean((got > 0) == (y > 0.5)) > 0.95
+
+
+def test_toxic_features_match_plain_counting():
+    lexicon = toxicity.Lexicon({"grubby": 3.5}, {"grub": 2.75, "zork": 4.0})
+    reader = toxicity.Reader(lexicon)
+    insult = sorted(toxicity.INSULTS)[0]
+    text = f"You GRUBBY {insult}! zorkling are, b4d 5ome grubbing thing you you {insult.upper()} far away from all of the others here grubby"
+    tokens = text.split()
+    found = dict(zip(toxicity.NAMES, reader.features(text)))
+    bare = [t.lower().strip("!,") for t in tokens]
+    assert found["insults"] == bare.count(insult) == 2 and found["insult_share"] == 2 / len(tokens)
+    assert found["learnt"] == 2 and found["stems"] == sum(w.startswith(("grub", "zork")) and w != "grub" for w in bare)
+    assert found["second_person_share"] == 3 / len(tokens) and found["weight_max"] == 4.0
+    strength = [max(3.5 * (w == "grubby"), 4.0 * w.startswith("zork"), 2.75 * w.startswith("grub"), 3.0 * (w == insult)) for w in bare]
+    assert found["weight_mean"] == pytest.approx(sum(strength) / len(tokens))
+    assert found["exclaimed_share"] == 1 / len(text) and found["log_words"] == pytest.approx(np.log(len(tokens) + 1))
+    assert reader.features("") == [0.0] * len(toxicity.NAMES)
+
+
+def test_forest_scores_match_plain_path_lengths():
+    rng = np.random.default_rng(6)
+    good = rng.normal(size=(300, len(quality_rules.FEATURES)))
+    forest = quality_rules.IsolationForest.fit(good, trees=20, sample=64)
+
+    def score(row):
+        x = [min(10.0, max(-10.0, (v - c) / s)) for v, c, s in zip(row, forest.centre, forest.scale)]
+        paths = []
+        for feature, value, child, length in zip(forest.feature, forest.value, forest.child, forest.length):
+            at = 0
+            while feature[at] >= 0:
+                at = child[at] + int(x[feature[at]] > value[at])
+            paths.append(length[at])
+        return 2 ** -(sum(paths) / len(paths) / forest.expected)
+
+    rows = np.vstack([good[:40], rng.normal(scale=9, size=(20, good.shape[1]))])
+    got = forest.score(rows)
+    assert got == pytest.approx([score(r) for r in rows])
+    assert got[40:].mean() > got[:40].mean() + 0.1
+
+
+def test_forest_is_the_same_for_rows_that_repeat_a_key(spark):
+    rng = np.random.default_rng(9)
+    rows = [(7 if i % 3 == 0 else i, " ".join(rng.choice(["red", "blue", "tall", "sea", f"w{i}"], 30))) for i in range(240)]
+    labels = spark.createDataFrame([(i, 1) for i in range(240)] + [(7, 1)] * 2, "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [
+        sorted(map(str, quality_rules.judge_quality(docs.repartition(n), labels, max_rows=40).collect())) for n in (2, 7)
+    ]
+    assert found[0] == found[1]
