@@ -14,6 +14,7 @@ from terraquilt.config import JobConfig
 from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES
 from terraquilt.grid import GridSpec
 from terraquilt.operators import distance, features as ft, focal, raster as rs, rasterize as rz, sampling
+from terraquilt.operators.skew import salted_join
 from terraquilt.session import small_table
 from terraquilt.sources import readers, writers
 from terraquilt.streaming import skip_existing
@@ -56,17 +57,20 @@ ZONE_LEVELS = {"nyzd": ft.zoning_levels, "nyco": ft.overlay_levels, "nysp": ft.s
 def extract_features(
     spark: SparkSession, cfg: JobConfig, target: str, predicate: str = "intersects", multiline: bool = True
 ) -> None:
-    """Filter the raw layers and derive their attributes, one Parquet table per layer."""
-    records = readers.read_records(spark, cfg.path("building"), BUILDING_SCHEMA, multiline)
+    """Filter the raw layers and derive their attributes, one Parquet table per layer.
+
+    ``multiline`` layers are one array or collection a file, read by many tasks; others are JSON lines.
+    """
+    records = readers.read_records(spark, cfg.path("building"), BUILDING_SCHEMA, multiline, split=multiline)
     buildings = ft.filter_buildings(readers.parse_geometry(records, "the_geom"), cfg, predicate)
     writers.write_parquet(ft.with_envelope(ft.building_features(buildings)), f"{target}/features/building")
 
-    raw = readers.read_features(spark, cfg.path("street"), STREET_PROPERTIES, multiline)
+    raw = readers.read_features(spark, cfg.path("street"), STREET_PROPERTIES, multiline, split=multiline)
     streets = ft.street_features(ft.filter_streets(raw, cfg, predicate))
     writers.write_parquet(ft.with_envelope(streets), f"{target}/features/street")
 
     for layer, code in ZONE_CODES.items():
-        raw = readers.read_features(spark, cfg.path(layer), ZONE_PROPERTIES.format(code=code), multiline)
+        raw = readers.read_features(spark, cfg.path(layer), ZONE_PROPERTIES.format(code=code), multiline, split=multiline)
         zones = ZONE_LEVELS[layer](ft.filter_zoning(raw, cfg, predicate))
         writers.write_parquet(ft.with_envelope(zones), f"{target}/features/{layer}")
 
@@ -91,13 +95,13 @@ def _finished(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST)
 
 
-def _made_from(table: DataFrame, grid: GridSpec) -> str:
-    """Grid and contents a raster depends on: other inputs or another box make another raster."""
+def _contents(table: DataFrame) -> str:
+    """What a layer holds, whatever the order of its rows, in one pass."""
     entries = F.xxhash64(*[F.to_json(F.struct(c)) for c in sorted(table.columns)])
     rows, one, two = table.select(entries.alias("h")).agg(
         F.count(F.lit(1)), F.bit_xor("h"), F.bit_xor(F.xxhash64("h"))
     ).first()
-    return f"{grid} rows {rows} {one} {two}"
+    return f"rows {rows} {one} {two}"
 
 
 def _write_raster(pixels: DataFrame, path: str) -> None:
@@ -114,8 +118,10 @@ def rasterize_layers(spark: SparkSession, cfg: JobConfig, target: str, resolutio
     wanted = [(layer, r) for layer, sizes in (resolutions or LAYER_RESOLUTIONS).items() for r in sizes]
     grids = {f"{layer}_res{r}": GridSpec.from_bbox(cfg.bbox, r) for layer, r in wanted}
     features = {layer: spark.read.parquet(f"{target}/features/{layer}") for layer, _ in wanted}
+    # grid and contents a raster depends on: other inputs or another box make another raster
+    contents = {layer: _contents(table) for layer, table in features.items()}
     names = spark.createDataFrame(
-        [(f"{layer}_res{r}", _made_from(features[layer], grids[f"{layer}_res{r}"])) for layer, r in wanted], MANIFEST
+        [(f"{layer}_res{r}", f"{grids[f'{layer}_res{r}']} {contents[layer]}") for layer, r in wanted], MANIFEST
     )
     todo = {r.raster_id for r in skip_existing(names, _finished(spark, manifest), ["raster_id", "made_from"]).collect()}
     for layer, resolution in wanted:
@@ -246,7 +252,7 @@ def run(
         F.col("Latitude").alias("lat"),
         F.col("Longitude").alias("lon"),
     )
-    samples = sampling.point_cells(sites.distinct(), grids).join(pixels, ["raster_id", "row", "col"]).select(
+    samples = salted_join(sampling.point_cells(sites.distinct(), grids), pixels, ["raster_id", "row", "col"]).select(
         "point_id", F.col("name").alias("feature"), "value"
     )
     # the set of names is fixed by bands, resolutions and windows; it does not grow with the data
@@ -257,5 +263,7 @@ def run(
     matrix = sites.select("point_id", "lat", F.col("lon").alias("long")).join(
         sampling.assemble_matrix(samples, names), "point_id", "left"
     )
-    writers.write_csv(matrix.drop("point_id"), f"{target}/sites.csv")
-    return matrix
+    # sampled once: the CSV is made of the stored table
+    stored = spark.read.parquet(writers.write_parquet(matrix, f"{target}/sites"))
+    writers.write_csv(stored.drop("point_id"), f"{target}/sites.csv")
+    return stored

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES
 from terraquilt.grid import GridSpec
 from terraquilt.operators import cover as cv, distance as ds, focal as fc, raster as rs, rasterize as rz
-from terraquilt.operators import sampling as sm, texture as tx
+from terraquilt.operators import sampling as sm, texture as tx, warp as wp
 from terraquilt.plans.fixtures import BBOX, load, num, pixel_height, with_inputs, zones
-from terraquilt.plans.registry import query, rounded
+from terraquilt.plans.registry import QUERIES, query, rounded
 from terraquilt.plans.series_queries import plane_sql
 from terraquilt.session import fresh_path, small_table
 from terraquilt.sources import readers, writers
@@ -626,3 +626,10 @@ def raster_mosaic_side_by_side(spark, sf_dir):
         "raster_id string, x0 double, y1 double, px double, py double, width int, height int, file_order int",
     )
     return rounded(rs.mosaic(pixels.drop("lift"), meta).select("row", "col", "value"))
+
+
+@query("warp_tiles_bilinear", QUERIES["reproject_bilinear"].sql)
+def warp_tiles_bilinear(spark, sf_dir):
+    path = writers.write_raster(load(spark, sf_dir, "pixels"), fresh_path(spark, "tiles"), 16)
+    moved = wp.warp_tiles(spark.read.parquet(path), 16, mercator_grid(spark, sf_dir), degree_grid(spark, sf_dir), "bilinear", 16)
+    return rounded(moved.select("row", "col", "value"), 4)

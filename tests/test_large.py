@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terraquilt.functions import geometry as geo
 from terraquilt.grid import GridSpec
-from terraquilt.operators import cover, focal, raster, sampling, skew
+from terraquilt.operators import cover, focal, raster, sampling, skew, warp
 from terraquilt.session import fresh_path, small_table
 from terraquilt.sources import json_split, readers, writers
 from terraquilt.streaming import cell_states as states
@@ -286,3 +286,22 @@ def test_base_and_delta_equal_a_full_run(spark):
     assert len(empty) == 16 and all((r["count"], r["mean"], r.mode, r.entropy) == (0, 0.0, -1, None) for r in empty)
     touched = states.touched_cells(states.cell_states(cells.where("row = 1 AND col = 2"), value, code))
     assert [tuple(r) for r in touched.collect()] == [(1, 2)]
+
+
+# ---------------------------------------------------------------- tile to tile
+
+@pytest.mark.parametrize("method", ["nearest", "bilinear"])
+def test_warped_tiles_have_the_values_of_reprojected_pixels(spark, method):
+    rng = np.random.default_rng(2)
+    array = rng.normal(size=(70, 55))
+    array[rng.random(array.shape) < 0.1] = np.nan
+    source = GridSpec(1_005_000.0, 262_000.0, 130.0, 90.0, 55, 70, 2263)
+    target = GridSpec(-73.94, 40.89, 0.0004, 0.0003, 80, 90)
+    pixels = pixel_table(spark, array, keep_nan=False)
+    both = pixels.unionByName(pixels.withColumn("band", F.lit(2)).withColumn("value", -F.col("value")))
+    tiles = writers.pixels_to_tiles(both, 16)
+    got = {(r.band, r.row, r.col): r.value for r in warp.warp_tiles(tiles, 16, source, target, method, 16).collect()}
+    want = {(r.band, r.row, r.col): r.value for r in raster.reproject(both, source, target, method).collect()}
+    assert len(want) > 3000 and set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+    assert warp.warp_tiles(tiles.limit(0), 16, source, target, method).count() == 0
