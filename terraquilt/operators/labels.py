@@ -5,17 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from terraquilt.operators.quantiles import exact_percentiles
-from terraquilt.session import broadcast_if_small, cut_lineage
+from terraquilt.session import broadcast_if_small, cut_lineage, fits_broadcast
+
+def _labels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(_column, _label)``: the distinct values of all columns, in one pass over ``df``."""
+    entries = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_label")) for c in columns])
+    return df.select(F.inline(entries)).where(F.col("_label").isNotNull()).distinct()
+
 
 def label_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(_column, _label, _code)``: 0-based positions among the sorted distinct values of each column.
 
-    One pass over ``df`` for all columns. The label set may be of any size: it is range-sorted, numbered
-    within each partition, and shifted by the counts of a column's earlier partitions. It
-    is checkpointed because its partition numbers are read twice.
+    The label set may be of any size. It is settled and counted; one that may be broadcast is numbered as it
+    is and comes with the hint. A larger one is range-sorted, numbered within each partition, and
+    shifted by the counts of a column's earlier partitions.
     """
-    entries = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_label")) for c in columns])
-    labels = df.select(F.inline(entries)).where(F.col("_label").isNotNull()).distinct()
+    labels = cut_lineage(_labels(df, columns))
+    if fits_broadcast(labels):
+        place = F.row_number().over(Window.partitionBy("_column").orderBy("_label")) - 1  # counted above
+        return F.broadcast(labels.withColumn("_code", place.cast("int")))
+    return _sorted_codes(labels)
+
+
+def _sorted_codes(labels: DataFrame) -> DataFrame:
+    """Codes of a label set of any size. It is checkpointed because its partition numbers are read twice."""
     ids = cut_lineage(labels.repartitionByRange("_column", "_label").select("*", F.spark_partition_id().alias("_part")))
     sizes = ids.groupBy("_column", "_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per column and partition of the label set
@@ -33,7 +46,7 @@ def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     Byte order, as in ``'MX-9' < 'MiD'``; NULL stays NULL. The codes are broadcast if their
     counted rows allow, and joined like any table otherwise.
     """
-    codes = broadcast_if_small(label_codes(df, columns))
+    codes = label_codes(df, columns)
     encoded = df
     for c in columns:
         of_column = codes.where(F.col("_column") == c).select(F.col("_label").alias(f"_l_{c}"), "_code")

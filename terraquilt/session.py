@@ -60,6 +60,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fits_broadcast(settled: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a settled, narrow table's counted rows and the bytes of its texts allow to broadcast it."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in settled.dtypes if kind in ("string", "binary")]
+    width = sum(texts, F.lit(16 * len(settled.columns)))
+    rows, size = settled.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return rows <= limit and size <= MAX_BROADCAST_BYTES
+
+
 def broadcast_if_small(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Settle a narrow aggregate and broadcast it if its counted rows and the bytes of its texts allow.
 
@@ -68,10 +76,7 @@ def broadcast_if_small(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> Dat
     once, and then counted; beyond the limit the join stays an ordinary one.
     """
     settled = cut_lineage(table)
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in settled.dtypes if kind in ("string", "binary")]
-    width = sum(texts, F.lit(16 * len(settled.columns)))
-    rows, size = settled.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
-    return F.broadcast(settled) if rows <= limit and size <= MAX_BROADCAST_BYTES else settled
+    return F.broadcast(settled) if fits_broadcast(settled, limit) else settled
 
 
 def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terraquilt.functions import geometry as geo
 from terraquilt.grid import GridSpec
-from terraquilt.operators import cover, focal, raster, sampling, skew, warp
+from terraquilt.operators import cover, focal, labels, raster, sampling, skew, warp
 from terraquilt.session import fresh_path, small_table
 from terraquilt.sources import json_split, readers, writers
 from terraquilt.streaming import cell_states as states
@@ -305,3 +305,14 @@ def test_warped_tiles_have_the_values_of_reprojected_pixels(spark, method):
     assert len(want) > 3000 and set(got) == set(want)
     assert all(got[k] == pytest.approx(want[k]) for k in want)
     assert warp.warp_tiles(tiles.limit(0), 16, source, target, method).count() == 0
+
+
+def test_codes_of_small_and_large_label_sets_agree(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["MX-9", "MiD", "é", "", None, f"k{rng.randrange(300)}"]), rng.choice(["b", "a", None])) for _ in range(900)]
+    df = spark.createDataFrame(rows, "one string, two string")
+    small = labels.label_codes(df, ["one", "two"])
+    large = labels._sorted_codes(labels._labels(df, ["one", "two"]))
+    want = {("one", x): i for i, x in enumerate(sorted({r[0] for r in rows if r[0] is not None}, key=str.encode))} | {("two", "a"): 0, ("two", "b"): 1}
+    for codes in (small, large):
+        assert {(r["_column"], r["_label"]): r["_code"] for r in codes.collect()} == want
