@@ -4,6 +4,9 @@ import json
 import random
 from collections import Counter
 
+import __spark_entry__ as contract
+import check
+import duckdb
 import numpy as np
 import pytest
 from conftest import pixel_table
@@ -316,3 +319,16 @@ def test_codes_of_small_and_large_label_sets_agree(spark):
     want = {("one", x): i for i, x in enumerate(sorted({r[0] for r in rows if r[0] is not None}, key=str.encode))} | {("two", "a"): 0, ("two", "b"): 1}
     for codes in (small, large):
         assert {(r["_column"], r["_label"]): r["_code"] for r in codes.collect()} == want
+
+
+# ---------------------------------------------------------------- borders on cell borders
+
+def test_a_triangle_reaches_no_farther_than_its_side(spark, tmp_path):
+    # corners that round up onto a cell border, which the triangle itself does not reach, and some that do reach it
+    keys = [6695, 7765, 9075, 10015, 14480, 24780, 34315, 35050, *range(100_000, 100_400)]
+    columns = "1 AS p_size, 'b' AS p_brand, 't' AS p_type"
+    duckdb.sql(f"COPY (SELECT unnest({keys})::BIGINT AS p_partkey, {columns}) TO '{tmp_path}/part.parquet' (FORMAT parquet)")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+    verdict, _ = check.compare(spark, connection, str(tmp_path), "box_intersects", contract.queries(), contract.oracle_sql())
+    assert verdict.startswith("ok"), verdict
