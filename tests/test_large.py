@@ -332,3 +332,36 @@ def test_a_triangle_reaches_no_farther_than_its_side(spark, tmp_path):
     connection.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
     verdict, _ = check.compare(spark, connection, str(tmp_path), "box_intersects", contract.queries(), contract.oracle_sql())
     assert verdict.startswith("ok"), verdict
+
+
+# ---------------------------------------------------------------- few bins with most of the pairs
+
+def in_tasks(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def squares(spark, n, name, side, column):
+    at = spark.range(n).coalesce(1).selectExpr("id", "(id * 7919 % 1000) / 1000D AS x", "(id * 104729 % 1000) / 1000D AS y")
+    return at.select(F.col("id").alias(name), F.expr(geo.box_polygon("x", "y", f"x + {side}D", f"y + {side}D")).alias(column))
+
+
+def test_boxes_of_the_whole_world_are_met_by_many_tasks(spark):
+    shapes = squares(spark, 3000, "a", 0.001, "geometry")
+    world = spark.range(40).coalesce(1).select(
+        F.col("id").alias("b"), F.expr(geo.box_polygon("-180D - id", "-90D", "180D", "90D")).alias("aoi")
+    )
+    met = cover.aoi_join(shapes, world, cell=0.001).select("a", "b")
+    tasks = in_tasks(met)
+    assert sum(tasks) == 120_000 and met.distinct().count() == 120_000
+    assert max(tasks) <= 60_000 and len(tasks) >= 4
+
+
+def test_crossed_join_deals_out_both_sides(spark):
+    left = spark.range(2000).selectExpr("IF(id < 1500, 1L, IF(id < 1600, NULL, id)) AS k", "id AS a")
+    right = spark.range(900).selectExpr("IF(id < 700, 1L, id + 1000) AS k", "id AS b")
+    got = skew.crossed_join(left, right, ["k"])
+    tasks = in_tasks(got)
+    want = left.join(right, "k")
+    assert got.count() == want.count() == 1500 * 700 + 200
+    assert got.exceptAll(want).count() == 0 and max(tasks) <= 3 * 1500 * 700 / 8
+    assert skew.crossed_join(left.limit(0), right, ["k"]).count() == 0
