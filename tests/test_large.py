@@ -365,3 +365,34 @@ def test_crossed_join_deals_out_both_sides(spark):
     assert got.count() == want.count() == 1500 * 700 + 200
     assert got.exceptAll(want).count() == 0 and max(tasks) <= 3 * 1500 * 700 / 8
     assert skew.crossed_join(left.limit(0), right, ["k"]).count() == 0
+
+
+def test_a_small_file_of_shapes_is_work_for_many_tasks(spark):
+    met = cover.aoi_join(squares(spark, 2000, "a", 0.01, "geometry"), squares(spark, 500, "b", 0.05, "aoi"), cell=0.05)
+    tasks = in_tasks(met.select("a", "b"))
+    assert len(tasks) >= 4 and max(tasks) <= sum(tasks) / 2
+
+
+def test_shapes_of_all_kinds_meet_rectangles_as_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(60):
+        points = [tuple(map(float, p)) for p in rng.integers(0, 12, 2) + rng.integers(-3, 4, (4, 2))]
+        away = [(x + 5, y - 5) for x, y in points]
+        ring, far = points + points[:1], away + away[:1]
+        kind, parts = [
+            ("Polygon", [[ring]]), ("Polygon", [[ring], [far]]), ("LineString", [[points]]), ("LineString", [[points], [away]]),
+            ("Polygon", [[[(-9.0, -9.0), (20.0, -9.0), (20.0, 20.0), (-9.0, 20.0), (-9.0, -9.0)], ring]]),
+        ][i % 5]
+        rows.append((i, (kind, parts)))
+    shapes = spark.createDataFrame(rows, f"id int, geometry {geo.GEOMETRY_DDL}")
+    boxes = [(i, *map(float, p), *map(float, p + rng.integers(1, 6, 2))) for i, p in enumerate(rng.integers(-2, 13, (40, 2)))]
+    frame = spark.createDataFrame(boxes, "tile int, x0 double, y0 double, x1 double, y1 double")
+    frame = frame.select("tile", F.expr(geo.box_polygon("x0", "y0", "x1", "y1")).alias("aoi"))
+    exact = geo.box_intersects("geometry.type", geo.geometry_edges("geometry"), tuple(f"aoi.parts[0][0][{k}].{c}" for k, c in ((0, "x"), (0, "y"), (2, "x"), (2, "y"))))
+    want = {tuple(r) for r in shapes.crossJoin(frame).where(exact).select("id", "tile").collect()}
+    got = [tuple(r) for r in cover.aoi_join(shapes, frame, cell=1.0).select("id", "tile").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    points = spark.createDataFrame([(0, ("Point", [[[(3.0, 3.0)]]]))], f"id int, geometry {geo.GEOMETRY_DDL}")
+    inside = {i for i, x0, y0, x1, y1 in boxes if x0 <= 3 <= x1 and y0 <= 3 <= y1}
+    assert inside and {r.tile for r in cover.aoi_join(points, frame, cell=1.0).collect()} == inside
