@@ -396,3 +396,19 @@ def test_shapes_of_all_kinds_meet_rectangles_as_by_brute_force(spark):
     points = spark.createDataFrame([(0, ("Point", [[[(3.0, 3.0)]]]))], f"id int, geometry {geo.GEOMETRY_DDL}")
     inside = {i for i, x0, y0, x1, y1 in boxes if x0 <= 3 <= x1 and y0 <= 3 <= y1}
     assert inside and {r.tile for r in cover.aoi_join(points, frame, cell=1.0).collect()} == inside
+
+
+def test_pieces_have_the_measures_of_their_geometry(spark):
+    shapes = squares(spark, 400, "a", 0.02, "geometry")
+    tiles = squares(spark, 60, "b", 0.07, "aoi")
+    slanted = tiles.select("b", F.expr(
+        "named_struct('type', 'Polygon', 'parts', transform(aoi.parts, g_ -> transform(g_, r_ -> array(r_[0], r_[1], r_[2], r_[0]))))"
+    ).alias("tile_geometry"))
+    measures = {"area": geo.parts_area, "around": geo.parts_length}
+    sizes = set()
+    for cut in (cover.overlay_intersection(shapes, tiles, 0.05, measures=measures), cover.overlay_convex(shapes, slanted, 0.05, measures=measures)):
+        again = cut.select(F.expr(geo.parts_area("geometry.parts")).alias("x"), F.expr(geo.parts_length("geometry.parts")).alias("y"), "area", "around").collect()
+        assert all(r.x == r.area > 0 and r.y == r.around for r in again)
+        assert len(again) > 100 and len(in_tasks(cut.select("a", "b"))) >= 4
+        sizes |= {round(r.area, 9) for r in again}
+    assert max(sizes) == 0.0004 > min(sizes)  # whole ones and cut ones
