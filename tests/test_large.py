@@ -412,3 +412,14 @@ def test_pieces_have_the_measures_of_their_geometry(spark):
         assert len(again) > 100 and len(in_tasks(cut.select("a", "b"))) >= 4
         sizes |= {round(r.area, 9) for r in again}
     assert max(sizes) == 0.0004 > min(sizes)  # whole ones and cut ones
+
+
+def test_a_shape_that_only_touches_a_convex_tile_has_no_piece(spark):
+    # borders that share a coordinate to the last digit, far from the origin
+    at = spark.range(300).selectExpr("id", "-74.01D + id * 7919 % 15000 / 100000D AS x", "40.75D + id * 6101 % 13000 / 100000D AS y")
+    shapes = at.select("id", F.expr(geo.box_polygon("x - 0.0001D", "y", "x", "y + 0.0001D")).alias("geometry"))
+    tile = geo.polygon([("x", "y - 0.003D"), ("x + 0.003D", "y + 0.001D"), ("x", "y + 0.0021D"), ("x", "y - 0.003D")])
+    tiles = at.select(F.col("id").alias("tile"), "x", "y", F.expr(tile).alias("tile_geometry"))
+    pieces = cover.overlay_convex(shapes, tiles)
+    wrong = pieces.join(at.withColumnRenamed("x", "own").drop("y"), "id").where("own <= x")
+    assert wrong.count() == 0
