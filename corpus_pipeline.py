@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from terraquilt.llm import byte_cnn, minhash, mixing, packing, quality_rules
-from terraquilt.llm.common import settle, table
+from terraquilt.llm.common import settle, small_batches, table
 from terraquilt.llm.queries import MIX, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +19,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the isolation forest."""
+    small_batches(spark)
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -27,12 +28,14 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     It rejects below 0.5, where the labels' own two kinds divide.
     """
+    small_batches(spark)
     net = byte_cnn.fit_quality(docs, table(spark, sf_dir, "labels"), byte_cnn.training_fold("doc_id", 3, 1))
     return byte_cnn.keep_quality(docs, net, 0.5)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
+    small_batches(spark)
     return minhash.drop_near_duplicates(docs)
 
 
@@ -43,6 +46,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 

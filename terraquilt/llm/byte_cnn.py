@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terraquilt.llm.common import text_of
+from terraquilt.llm.common import slices, text_of
 
 _PAD = 256
 
@@ -205,7 +205,7 @@ def _scores(net: ByteNet | None, texts: list[str]) -> np.ndarray:
 def add_quality(docs: DataFrame, net: ByteNet | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and score of every whole text (NULL: empty, scored as such); no shuffle, repeated rows alike."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_pydict({
                 "key": batch.column("key"), "score": pa.array(_scores(net, batch.column("text").to_pylist()), pa.float64()),
             })
@@ -218,7 +218,7 @@ def add_quality(docs: DataFrame, net: ByteNet | None, key: str = "doc_id", text:
 def keep_quality(docs: DataFrame, net: ByteNet | None, least: float = 0.5, text: str = "text") -> DataFrame:
     """The documents whose score is ``least`` or more, with the columns of ``docs``; no shuffle."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(_scores(net, texts) >= least, pa.bool_()))
 

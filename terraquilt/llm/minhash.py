@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from terraquilt.llm.common import discard, settle, text_of
+from terraquilt.llm.common import discard, settle, slices, text_of
 from terraquilt.session import broadcast_if_small
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -91,7 +91,7 @@ def add_classes(docs: DataFrame, width: int = 3, bands: int = 32, rows: int = 4,
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, permutation = Shingler(width), OnePermutation(bands * rows)
         places = np.arange(1, bands + 1, dtype=np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, nodes, hashes = [], [], []
             for value in batch.column("text").to_pylist():
                 found = shingler.shingles(value)
@@ -123,7 +123,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int, key: str, text: str) ->
     """
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingler.shingles(value) for value in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()),
@@ -380,7 +380,7 @@ def _of_nodes(rows: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     """``row`` of one of the rows (key, text, row) for each chosen (key, node), that of least text hash."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingler.shingles(value or "") for value in batch.column("text").to_pylist()]
             nodes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, nodes], ["key", "text", "row", "node"])

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from terraquilt.llm.common import number_equal_rows, settle, text_of
+from terraquilt.llm.common import number_equal_rows, settle, slices, text_of
 
 #: Units whose ids one worker remembers; beyond it, it starts anew.
 _REMEMBERED = 300_000
@@ -110,7 +110,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens_of = UnitTokenizer(tokenizer).ids
-        for batch in batches:
+        for batch in slices(batches):
             of, rows, parts = [], [], []
             for i, value in enumerate(batch.column("text").to_pylist()):
                 found = tokens_of(value) + end

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from terraquilt.llm.common import settle, text_of
+from terraquilt.llm.common import settle, slices, text_of
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -92,7 +92,7 @@ def add_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     columns = [key, *others]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([statistics(t, width) for t in batch.column("_text").to_pylist()], float).reshape(-1, len(_COLUMNS))
             out = {c: batch.column(c) for c in columns}
             out |= {c: found[:, i].astype(np.int64) if c in BASE else found[:, i] for i, c in enumerate(_COLUMNS)}
@@ -263,7 +263,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = len(BASE)
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([statistics(t or "") for t in batch.column(text).to_pylist()], float).reshape(-1, len(_COLUMNS))
             bad = base_failed(found[:, 0], found[:, first - 1]) | (rules.scores(found[:, first:]) > rules.threshold)
             yield batch.filter(pa.array(~bad))

@@ -8,12 +8,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from awkward_rows import awkward, renamed
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from terraquilt.llm import common, minhash, mixing, order_minhash, packing, sharding
 from terraquilt.llm.queries import tokenizer_path
 
@@ -458,3 +460,29 @@ def test_fingerprints_of_awkward_rows(spark):
     lone = spark.createDataFrame([(5, "a b c d")], "doc_id long, text string")
     assert order_minhash.fingerprint_edits(lone).first().near_next == 1.0
     assert not math.isnan(by[9].near_edited)
+
+
+def test_workers_get_few_texts_at_a_time(spark):
+    whole = pa.RecordBatch.from_pydict({"text": [f"text {i}" for i in range(1300)]})
+    parts = list(common.slices(iter([whole, whole.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [512, 512, 276]
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([whole]))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given_rows, most in (("10000", 512), ("0", 512), ("100", 100)):
+            spark.conf.set(name, given_rows)
+            common.small_batches(spark)
+            found = [r.n for r in spark.range(0, 1300, 1, 1).mapInArrow(sizes, "n long").collect()]
+            assert max(found) == most and sum(found) == 1300
+        spark.conf.set(name, "10000")
+        docs = spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l")], "doc_id long, text string")
+        assert corpus_pipeline.dedup_stage(spark, docs, "").count() == 2
+        assert spark.conf.get(name) == "512"
+    finally:
+        spark.conf.set(name, before)
