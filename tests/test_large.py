@@ -423,3 +423,14 @@ def test_a_shape_that_only_touches_a_convex_tile_has_no_piece(spark):
     pieces = cover.overlay_convex(shapes, tiles)
     wrong = pieces.join(at.withColumnRenamed("x", "own").drop("y"), "id").where("own <= x")
     assert wrong.count() == 0
+
+
+def test_bins_are_small_beside_the_larger_shape(spark):
+    # as many envelopes as a bin of their own size would hold meet in twice the pairs that share a point, not nine times
+    shapes, boxes = squares(spark, 600, "a", 0.0001, "geometry"), squares(spark, 600, "b", 0.006, "aoi")
+    left, right = (cover._leveled(df, g, side, 0.0001) for df, g, side in ((shapes, "geometry", "l"), (boxes, "aoi", "r")))
+    levels = [{r[0] for r in df.select(c).distinct().collect()} for df, c in ((left, "_ll"), (right, "_rl"))]
+    assert all(0.006 / 4 <= 0.0001 * 2 ** k <= 0.006 / 2 for k in levels[1])
+    small, large = cover._binned(left, "l", 0.0001, sorted(levels[1])), cover._binned(right, "r", 0.0001, sorted(levels[0]))
+    assert {r[0] for r in small.select("_level").distinct().collect()} == levels[1]  # not at its own, where it meets none
+    assert large.groupBy("b").count().agg(F.max("count")).first()[0] <= 25
