@@ -242,7 +242,19 @@ def cutting_sides(sides: str, box: tuple[str, str, str, str]) -> str:
 
 def beyond_sides(sides: str, box: tuple[str, str, str, str]) -> str:
     """Whether the envelope lies beyond a half-plane, or touches it from there: nothing with an area is within."""
-    return f"exists({sides}, s_ -> {_least_and_most(box)[1]} <= 0)"
+    return _any_side(sides, f"{_least_and_most(box)[1]} <= 0")
+
+
+def any_side_cuts(sides: str, box: tuple[str, str, str, str]) -> str:
+    """Whether a half-plane doesn't hold the whole envelope; see :func:`cutting_sides`."""
+    return _any_side(sides, f"{_least_and_most(box)[0]} < 0")
+
+
+def _any_side(sides: str, test: str, written: int = 4) -> str:
+    """Whether a half-plane ``s_`` passes a test; the first ones are written out, as lambdas are interpreted."""
+    tests = [f"coalesce({test.replace('s_.', f'get({sides}, {i}).')}, false)" for i in range(written)]
+    rest = f"slice({sides}, {written + 1}, greatest(size({sides}) - {written}, 0))"
+    return f"({' OR '.join(tests)} OR (size({sides}) > {written} AND exists({rest}, s_ -> {test})))"
 
 
 def clip_ring_to_sides(ring: str, sides: str) -> str:

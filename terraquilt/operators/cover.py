@@ -342,7 +342,7 @@ def overlay_convex(
     """
     sides = {"_sides": geo.half_planes(f"{tile}.parts[0][0]")}
     pairs = envelope_join(shapes, tiles, cell, geometry, tile, _own_measures(geometry, measures), sides)
-    # whether the shape lies beyond a side, and the sides that reach into it
-    placed = once(pairs, {"_beyond": geo.beyond_sides("_sides", _LEFT_BOX), "_near": geo.cutting_sides("_sides", _LEFT_BOX)})
-    pieces = _pieces(placed.where("NOT _beyond"), "IF(size(_near) = 0, NULL, _near)", geometry, measures)
+    near = pairs.where(f"NOT {geo.beyond_sides('_sides', _LEFT_BOX)}")
+    cutting = f"IF({geo.any_side_cuts('_sides', _LEFT_BOX)}, {geo.cutting_sides('_sides', _LEFT_BOX)}, NULL)"
+    pieces = _pieces(near, cutting, geometry, measures)
     return pieces.select(*shapes.columns, *[c for c in tiles.columns if c != tile], *(measures or {}))

@@ -434,3 +434,20 @@ def test_bins_are_small_beside_the_larger_shape(spark):
     small, large = cover._binned(left, "l", 0.0001, sorted(levels[1])), cover._binned(right, "r", 0.0001, sorted(levels[0]))
     assert {r[0] for r in small.select("_level").distinct().collect()} == levels[1]  # not at its own, where it meets none
     assert large.groupBy("b").count().agg(F.max("count")).first()[0] <= 25
+
+
+def test_sides_beyond_the_written_ones_count(spark):
+    corners = [(round(float(x), 9), round(float(y), 9)) for x, y in ((np.cos(a), np.sin(a)) for a in np.arange(9) * 2 * np.pi / 9)]
+    boxes = spark.createDataFrame(
+        [(x / 5, y / 5, x / 5 + 0.1, y / 5 + 0.1) for x in range(-7, 7) for y in range(-7, 7)], "x0 double, y0 double, x1 double, y1 double"
+    )
+    box = ("x0", "y0", "x1", "y1")
+    for n in (3, 4, 9):
+        ring = "array(" + ", ".join(geo.point(f"{x}D", f"{y}D") for x, y in [*corners[:n], corners[0]]) + ")"
+        placed = boxes.withColumn("sides", F.expr(geo.half_planes(ring)))
+        least, most = geo._least_and_most(box)
+        wrong = placed.where(
+            f"{geo.beyond_sides('sides', box)} <> exists(sides, s_ -> {most} <= 0) OR {geo.any_side_cuts('sides', box)} <> exists(sides, s_ -> {least} < 0)"
+        )
+        assert wrong.count() == 0
+        assert 0 < placed.where(geo.beyond_sides("sides", box)).count() < placed.count()
