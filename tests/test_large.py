@@ -12,7 +12,7 @@ import pytest
 from conftest import pixel_table
 from pyspark.sql import functions as F
 
-from terraquilt.functions import geometry as geo
+from terraquilt.functions import crs, geometry as geo, planar
 from terraquilt.grid import GridSpec
 from terraquilt.operators import cover, focal, labels, raster, sampling, skew, warp
 from terraquilt.session import fresh_path, small_table
@@ -451,3 +451,97 @@ def test_sides_beyond_the_written_ones_count(spark):
         )
         assert wrong.count() == 0
         assert 0 < placed.where(geo.beyond_sides("sides", box)).count() < placed.count()
+
+
+# ---------------------------------------------------------------- pairs within blocks
+
+def rough_polygons(n, seed, spread=12.0):
+    """Polygons of one or two parts, some with a hole, some with crossing sides."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        parts = []
+        for _ in range(1 + i % 2):
+            x, y = map(float, rng.uniform(0, spread, 2))
+            turn = np.sort(rng.uniform(0, 2 * np.pi, 3 + i % 6)) if i % 7 else rng.uniform(0, 2 * np.pi, 5)
+            size = float(rng.uniform(0.2, 2.5))
+            ring = [(float(x + size * np.cos(a)), float(y + size * np.sin(a))) for a in turn]
+            hole = [(x + (u - x) * 0.3, y + (v - y) * 0.3) for u, v in ring[::-1]]
+            parts.append([ring + ring[:1]] + ([hole + hole[:1]] if i % 3 == 0 else []))
+        rows.append((i, ("Polygon", parts)))
+    return rows
+
+
+def convex_tiles(n, seed, spread=12.0):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        (x, y), size = rng.uniform(0, spread, 2), rng.uniform(0.3, 4)
+        ring = [(float(x + size * np.cos(a)), float(y + size * np.sin(a))) for a in rng.uniform(0, 1) + np.arange(3 + i % 5) * 2 * np.pi / (3 + i % 5)]
+        ring = ring if i % 2 else ring[::-1]
+        rows.append((i // 3, ("Polygon", [[ring + ring[:1]]])))
+    return rows
+
+
+def test_pieces_and_measures_in_arrays_are_those_of_the_sql(spark):
+    shapes = spark.createDataFrame(rough_polygons(60, 5), f"id int, geometry {geo.GEOMETRY_DDL}")
+    tiles = spark.createDataFrame(convex_tiles(45, 6), f"tile int, tile_geometry {geo.GEOMETRY_DDL}").withColumn("k", F.monotonically_increasing_id())
+    projected = lambda parts: geo.parts_area(geo.transform_parts(parts, crs.vertices_to_state_plane))
+    measures = {"area": geo.parts_area, "feet": cover.Measure(projected, planar.state_plane_areas)}
+    got = {(r.id, r.k): r for r in cover.overlay_convex(shapes, tiles, 1.0, measures=measures, columns=["id", "k", "geometry"]).collect()}
+    cut = geo.clip_parts_to_sides("geometry.parts", geo.half_planes("tile_geometry.parts[0][0]"))
+    want = shapes.crossJoin(tiles).withColumn("cut", F.expr(cut)).select(
+        "id", "k", F.expr(geo.parts_area("cut")).alias("area"), F.expr(projected("cut")).alias("feet")
+    ).where("area > 1e-12").collect()
+    assert len(want) > 300 and {(r.id, r.k) for r in want} <= set(got)
+    for r in want:
+        assert got[r.id, r.k].area == pytest.approx(r.area, rel=1e-9, abs=1e-12) and got[r.id, r.k].feet == pytest.approx(r.feet, rel=1e-9)
+    assert all(r.area <= 1e-9 for key, r in got.items() if key not in {(w.id, w.k) for w in want})
+
+
+def test_sums_by_keys_need_no_shuffle_of_pairs(spark):
+    shapes = spark.createDataFrame(rough_polygons(90, 8), f"id int, geometry {geo.GEOMETRY_DDL}")
+    shapes = shapes.withColumn("id", F.expr("IF(id % 11 = 0, NULL, id div 2)"))  # keys that repeat, and NULLs
+    tiles = spark.createDataFrame(convex_tiles(60, 9), f"tile int, tile_geometry {geo.GEOMETRY_DDL}")
+    tiles = tiles.withColumn("tile", F.expr("IF(tile = 4, NULL, tile)"))
+    pieces = cover.overlay_convex(shapes, tiles, 0.5, measures={"area": geo.parts_area})
+    want = {(r.id, r.tile): r.area for r in pieces.groupBy("id", "tile").agg(F.sum("area").alias("area")).collect()}
+    sums = cover.overlay_convex(shapes, tiles, 0.5, measures={"area": geo.parts_area}, by=("id", "tile"))
+    got = {(r.id, r.tile): r.area for r in sums.collect()}
+    assert len(got) == sums.count() == len(want) > 200 and {None} < {i for i, _ in got} and {None} < {t for _, t in got}
+    assert all(got[key] == pytest.approx(area, rel=1e-9) for key, area in want.items())
+    rounded = cover.overlay_convex(shapes, tiles, 0.5, measures={"area": geo.parts_area}, by=("id", "tile"), scaled=(100.0, 2))
+    assert all(r.area == pytest.approx(got[r.id, r.tile] * 100, abs=0.0051) and round(r.area, 2) == r.area for r in rounded.collect())
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan.split("MapInArrow")[0]
+    texts = cover.overlay_convex(shapes, tiles, 0.5, measures={"around": geo.parts_length}, by=("id", "tile"))
+    long = {(r.id, r.tile): r.around for r in pieces.groupBy("id", "tile").agg(F.sum(F.expr(geo.parts_length("geometry.parts"))).alias("around")).collect()}
+    assert {(r.id, r.tile): pytest.approx(r.around) for r in texts.collect()} == long
+
+
+
+def test_candidates_are_all_pairs_that_meet():
+    rng = np.random.default_rng(4)
+
+    def boxes(n, most):
+        low = np.round(rng.uniform(0, 10, (2, n)), 2)
+        high = low + np.round(rng.uniform(0, most, (2, n)), 2)
+        return low[0], low[1], high[0], high[1]
+
+    slot_i, slot_q = np.sort(rng.integers(0, 5, 700)), np.sort(rng.choice([0, 1, 3, 6], 160))
+    own, other, group = boxes(700, 0.5), boxes(160, 3), rng.integers(0, 40, 160)
+    group = group[np.lexsort((group, slot_q))]
+    planes = planar.box_planes(other)
+    want = {(i, q) for i in range(700) for q in range(160) if slot_i[i] == slot_q[q] and own[0][i] <= other[2][q] and own[2][i] >= other[0][q] and own[1][i] <= other[3][q] and own[3][i] >= other[1][q]}
+    for inner, together, step in ((None, None, 1 << 17), (planes.inner, None, 100), (planes.inner, group, 50)):
+        seen, steps, sure = [], {}, 0
+        for n, (looked, known) in enumerate(planar.candidates(slot_i, own, slot_q, other, inner, together, step)):
+            sure += len(known[0])
+            for i, q in zip(*known):
+                assert own[0][i] >= other[0][q] and own[1][i] >= other[1][q] and own[2][i] <= other[2][q] and own[3][i] <= other[3][q]
+            for i, q in [*zip(*looked), *zip(*known)]:
+                seen.append((int(i), int(q)))
+                steps.setdefault((slot_q[q], group[q]), set()).add(n)
+        assert len(seen) == len(set(seen)) and want <= set(seen) and len(seen) < 700 * 160 / 5
+        assert (sure > 10) == (inner is not None)
+        assert together is None or all(len(n) == 1 for n in steps.values())
