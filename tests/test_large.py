@@ -545,3 +545,10 @@ def test_candidates_are_all_pairs_that_meet():
         assert len(seen) == len(set(seen)) and want <= set(seen) and len(seen) < 700 * 160 / 5
         assert (sure > 10) == (inner is not None)
         assert together is None or all(len(n) == 1 for n in steps.values())
+
+
+def test_rounding_in_arrays_is_that_of_spark(spark):
+    values = [0.005, 1.005, 2.675, -2.675, 0.125, 0.375, -0.375, 1e15 + 0.5, 123456.785, 3.0, 0.0, 1e-9, 2.5e300, *np.random.default_rng(2).uniform(-1e5, 1e5, 500).round(3)]
+    frame = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double").select("i", F.round("v", 2).alias("v"))
+    want = [r.v for r in frame.orderBy("i").collect()]
+    assert planar.round_half_up(np.array(values, float), 2).tolist() == want
