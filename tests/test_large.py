@@ -519,6 +519,25 @@ def test_sums_by_keys_need_no_shuffle_of_pairs(spark):
     assert {(r.id, r.tile): pytest.approx(r.around) for r in texts.collect()} == long
 
 
+def test_a_shape_has_few_rows_among_boxes_of_all_sizes(spark, monkeypatch):
+    shapes = squares(spark, 2000, "a", 0.0001, "geometry")
+    sizes = [0.00002 * 2**k for k in range(9)] + [360.0]
+    boxes = spark.createDataFrame(
+        [(i, 0.3 + i / 500, 0.4 + i / 700, 0.3 + i / 500 + sizes[i % 10], 0.4 + i / 700 + sizes[i % 10]) for i in range(100)],
+        "b long, x0 double, y0 double, x1 double, y1 double",
+    ).select("b", F.expr(geo.box_polygon("x0", "y0", "x1", "y1")).alias("aoi"))
+
+    def counting(kernel, keys, by):
+        def run(batches):
+            import pyarrow as pa
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"a": [batch.num_rows], "b": [0]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return run
+
+    monkeypatch.setattr(cover.meeting, "worker", counting)
+    rows = cover.aoi_join(shapes, boxes, cell=0.00001, columns=["a", "b"]).agg(F.sum("a")).first()[0]
+    assert rows <= 9 * (2000 + 100)
+
 
 def test_candidates_are_all_pairs_that_meet():
     rng = np.random.default_rng(4)
