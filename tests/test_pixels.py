@@ -1,12 +1,14 @@
 """Pixel operators against brute force on small grids."""
 
 import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import pixel_table
+from terraquilt.functions.indices import BAND_MAPS, INDEX_NAMES
 from terraquilt.grid import GridSpec
 from terraquilt.operators import distance, focal, quantiles, raster, texture
 from terraquilt.sources import readers, writers
@@ -277,3 +279,37 @@ def test_clip_in_feet_keeps_the_whole_box(spark):
     values = {(r.row, r.col): r.value for r in clipped.collect()}
     assert len(values) == window.width * window.height
     assert 0 < sum(v is None for v in values.values()) < len(values) / 2
+
+
+# ---------------------------------------------------------------- indices of sensors
+
+def test_indices_of_odd_pixels_are_those_of_each_pixel(spark):
+    """NULL keys and bands, NaN, missing bands, other bands and bands that come twice, whose larger value counts."""
+    nan, numbers = float("nan"), BAND_MAPS["sentinel_2"]
+    rows = [("a", b, 0, 0, float(b)) for b in numbers.values()] + [(None, b, None, 1, 0.5) for b in numbers.values()]
+    rows += [("a", b, 0, 2, 0.0) for b in numbers.values()] + [("a", b, 0, 3, nan) for b in numbers.values()]
+    rows += [("a", numbers["red"], 0, 0, 9.0), ("a", numbers["red"], 0, 0, None), ("a", None, 0, 0, 99.0), ("a", 7, 0, 4, 1.0)]
+    rows += [("a", numbers["nir"], 1, 0, 3.0), ("a", numbers["red"], 1, 0, None)]
+    pixels = spark.createDataFrame(rows, "raster_id string, band int, row int, col int, value double")
+    columns = [F.max(F.when(F.col("band") == b, F.col("value"))).alias(n) for n, b in numbers.items()]
+    wide = pixels.where(F.col("band").isin(*numbers.values())).groupBy("raster_id", "row", "col").agg(*columns)
+    each = {tuple(r[:3]): r[3:] for r in raster.index_bands(wide).collect()}
+    long = raster.sensor_indices(pixels, "sentinel_2")
+    found = {(r.raster_id, r.row, r.col, r.band): r.value for r in long.collect()}
+    assert len(each) == 5 and len(found) == 5 * len(INDEX_NAMES) == long.count()
+    for key, values in each.items():
+        assert [repr(found[(*key, i)]) for i in range(1, len(INDEX_NAMES) + 1)] == [repr(v) for v in values]
+    again = raster.bands_to_columns(long, dict(enumerate(INDEX_NAMES, start=1)))
+    assert {tuple(r[:3]): repr(r[3:]) for r in again.collect()} == {k: repr(v) for k, v in each.items()}
+
+
+def test_generated_code_of_indices_is_small_enough_to_compile(spark, capsys):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    pixels = pixel_table(spark, np.ones((2, 2)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else no code is known before the run
+    try:
+        raster.bands_to_columns(raster.sensor_indices(pixels, "landsat_8"), dict(enumerate(INDEX_NAMES, start=1))).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(s) for s in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
