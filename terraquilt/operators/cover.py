cell_states_merged: a state is read once for all statistics, a cover moves no shape that nobody reads

Symptom: cell_states_merged shuffled several times what its covers need, and took the covers of later and taken features three times each.
Evidence: state_statistics read the merged state in three branches with filters of their own (modes, entropy, sums), so no exchange was shared and both covers ran three times (23 exchanges in the plan, 168.31 MB at 20 times sf0.1). Each row that cover_cells deals out carried the shape cut to its strip, which cell statistics never read: only its type was asked for, after the cut, so neither the shape nor the cut was pruned; it also carried four numbers that follow from the envelope.
Fix: bins and categories are grouping sets of one aggregation, followed by one by cell. The kind of a shape is a column of its own beside envelope and edges, so the shape is dropped before the exchange unless the caller selects it, and the numbers are computed after it. Same operators, same spread over tasks, no broadcast of its own and nothing kept. Tests hold the state to one scan, the exchange to rows without shape, and the statistics of cells without number, category, value or weight to plain loops (the old code gives the same values).
Effect, together with 1 more commit on this code: at 1 GB of input CPU 595 -> 337 s, shuffle 0.52 -> 0.23 GB, spill 0.00 -> 0.00 GB, read 0.05 -> 0.02 GB, longest task 16 -> 12 s, most memory of a task 68 -> 68 MB; at 6 GB of input CPU 1363 -> 627 s, shuffle 2.70 -> 1.11 GB, spill 0.00 -> 0.00 GB, read 0.26 -> 0.11 GB, longest task 18 -> 13 s, most memory of a task 101 -> 68 MB; with hot keys, at 1 GB of input CPU 615 -> 327 s, shuffle 0.52 -> 0.23 GB, spill 0.00 -> 0.00 GB, read 0.05 -> 0.02 GB, longest task 17 -> 12 s, most memory of a task 68 -> 68 MB.

@@ -50,15 +50,18 @@ def cover_cells(
     With ``spread`` the blocks are dealt out evenly before the exact tests. Moving a row costs
     far less than testing it, and no task is left with one huge shape or a file full of them.
     """
-    kind = f"{geometry}.type"
     # one cell of margin on either side covers shapes that end on a cell border
     shaped = features.where(f"{geometry} IS NOT NULL AND size({geo.vertices(f'{geometry}.parts')}) > 0")
-    local = once(shaped, {"_env": geo.envelope(geometry), "_edges": geo.geometry_edges(geometry)}).withColumns({
+    span = {
         "_c0": F.expr(f"greatest({grid.col_of('_env.xmin')} - 1, 0)"),
         "_c1": F.expr(f"least({grid.col_of('_env.xmax')} + 1, {grid.width - 1})"),
         "_r0": F.expr(f"greatest({grid.row_of('_env.ymax')} - 1, 0)"),
         "_r1": F.expr(f"least({grid.row_of('_env.ymin')} + 1, {grid.height - 1})"),
-    })
+    }
+    # the kind is a column of its own, as the type of a clipped shape would hold on to the shape where nobody reads it
+    local = once(shaped, {
+        "_kind": f"{geometry}.type", "_env": geo.envelope(geometry), "_edges": geo.geometry_edges(geometry),
+    }).withColumns(span)
 
     def blocks(axis: str) -> Column:
         """Blocks the envelope reaches; none if it misses the grid."""
@@ -80,7 +83,7 @@ def cover_cells(
 
     def part(box: tuple[str, str, str, str]) -> Column:
         clipped = geo.geometry("Polygon", geo.clip_parts_to_box(f"{geometry}.parts", box))
-        return F.expr(f"IF({kind} = 'Polygon', {clipped}, {geometry})")
+        return F.expr(f"IF(_kind = 'Polygon', {clipped}, {geometry})")
 
     _, south, _, north = grid.box(f"(_br * {block})", "0", block)
     west, _, east, _ = grid.box("0", f"(_bc * {block})", 1, block)
@@ -91,9 +94,11 @@ def cover_cells(
     })
     split = strips.withColumn("_bc", blocks("c")).withColumn("_edges", _narrowed(f"greatest(e_.x1, e_.x2) >= {west}"))
     if spread:
-        split = split.repartition(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # what the envelope tells isn't moved with it
+        tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        split = split.drop(*span).repartition(tasks).withColumns(span)
     near = split.withColumn("_border", F.expr(geo.any_edge_meets_box("_edges", box))).where(
-        f"_border OR {geo.box_in_area(kind, '_edges', box)}"
+        f"_border OR {geo.box_in_area('_kind', '_edges', box)}"
     ).withColumn(geometry, part(box))
     x_low, y_low, x_high, y_high = grid.box("i_", "i_")
     own = f"IF(_border, filter(_edges, e_ -> {reaches(y_low, y_high)}), slice(_edges, 1, 0))"
@@ -101,7 +106,7 @@ def cover_cells(
         "r", y_low, y_high, "k_.low <= _env.ymax AND k_.high >= _env.ymin", f", 'edges', {own}"
     ))
     candidates = lines.withColumn("_c", cells("c", x_low, x_high, "k_.low <= _env.xmax AND k_.high >= _env.xmin"))
-    exact = geo.box_intersects(kind, "_r.edges", ("_c.low", "_r.low", "_c.high", "_r.high"))
+    exact = geo.box_intersects("_kind", "_r.edges", ("_c.low", "_r.low", "_c.high", "_r.high"))
     return candidates.where(f"NOT _border OR {exact}").select(
         *features.columns, F.col("_r.i").alias("row"), F.col("_c.i").alias("col")
     )

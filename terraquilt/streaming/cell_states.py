@@ -47,21 +47,27 @@ def touched_cells(delta: DataFrame) -> DataFrame:
 
 
 def state_statistics(state: DataFrame) -> DataFrame:
-    """mean, std_dev, count, presence, mode and entropy of the cells that a state has."""
-    n = F.sum("n")
-    mean = F.sum("s").cast("double") / F.nullif(n, F.lit(0))
-    variance = F.sum("ss").cast("double") / F.nullif(n, F.lit(0)) - mean * mean
-    binned = state.where("bin IS NOT NULL").groupBy("row", "col", "bin").agg(F.sum("n").alias("k")).groupBy("row", "col").agg(
-        F.greatest(F.ln(F.sum("k")) - F.sum(F.col("k") * F.ln("k")) / F.sum("k"), F.lit(0.0)).alias("entropy")
-    )
-    modes = state.where("category IS NOT NULL").groupBy("row", "col", "category").agg(F.sum("members").alias("k")).groupBy("row", "col").agg(
-        F.min_by("category", F.struct(-F.col("k"), F.col("category"))).alias("mode")
-    )
-    sums = state.groupBy("row", "col").agg(
+    """mean, std_dev, count, presence, mode and entropy of the cells that a state has.
+
+    The state is read once: its sums by bin and its members by category are grouping sets of one aggregation.
+    """
+    sets = state.groupingSets([["row", "col", "bin"], ["row", "col", "category"]], "row", "col", "bin", "category").agg(
+        F.grouping("bin").alias("_coded"), *[F.sum(c).alias(c) for c in _SUMS]
+    ).withColumn("_keyed", F.expr("row IS NOT NULL AND col IS NOT NULL"))  # a cell without number has neither mode nor entropy
+
+    def of(aggregate: str, rows: str) -> Column:
+        return F.expr(f"{aggregate} FILTER (WHERE {rows})")
+
+    binned, coded = "_coded = 0 AND _keyed AND bin IS NOT NULL", "_coded = 1 AND _keyed AND category IS NOT NULL"
+    k, n = of("sum(n)", binned), of("sum(n)", "_coded = 0")
+    mean = of("sum(s)", "_coded = 0").cast("double") / F.nullif(n, F.lit(0))
+    variance = of("sum(ss)", "_coded = 0").cast("double") / F.nullif(n, F.lit(0)) - mean * mean
+    entropy = F.greatest(F.ln(k) - of("sum(n * ln(n))", binned) / k, F.lit(0.0))
+    return sets.groupBy("row", "col").agg(
         mean.alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std_dev"), n.alias("count"),
-        F.least(n, F.lit(1)).alias("presence"),
+        F.least(n, F.lit(1)).alias("presence"), of("min_by(category, struct(-members, category))", coded).alias("mode"),
+        F.when(of("count(1)", binned) > 0, entropy).alias("entropy"),
     )
-    return sums.join(modes, ["row", "col"], "left").join(binned, ["row", "col"], "left")
 
 
 def state_on_grid(state: DataFrame, grid: GridSpec) -> DataFrame:

@@ -291,6 +291,54 @@ def test_base_and_delta_equal_a_full_run(spark):
     assert [tuple(r) for r in touched.collect()] == [(1, 2)]
 
 
+def test_a_state_is_read_once_for_all_statistics(spark, tmp_path):
+    """Cells without number, category or value, bins that sum to nothing, and keys that come twice."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 0, 1, 2]), rng.choice([None, 0, 1]), rng.choice([None, 1, 2, 3]), rng.choice([None, 0, 4, 59]), rng.randrange(1, 4))
+            for _ in range(150)]
+    rows += [(8, 8, None, None, 2), (9, 9, None, 0, 2), (9, 9, None, 0, -2), (9, 9, 5, 1, 1), (9, 9, 4, 1, 1)]
+    rows = [(*r, r[4] if r[3] is not None else 0, r[4] * 1.5, r[4] * 2.25) for r in rows]
+    state = spark.createDataFrame(rows, "row int, col int, category int, bin int, members bigint, n bigint, s double, ss double").withColumns(
+        {"s": F.col("s").cast("decimal(38,8)"), "ss": F.col("ss").cast("decimal(38,12)")})
+    state.write.parquet(path := str(tmp_path / "state"))
+    stored = states.state_statistics(spark.read.parquet(path))
+    assert stored._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [t for _, t in stored.dtypes] == ["int", "int", "double", "double", "bigint", "bigint", "int", "double"]
+
+    found = {(r.row, r.col): r for r in stored.collect()}
+    assert set(found) == {r[:2] for r in rows}
+    for cell, r in found.items():
+        mine = [x for x in rows if x[:2] == cell]
+        n, total, squares = (sum(x[k] for x in mine) for k in (5, 6, 7))
+        assert (r["count"], r.presence) == (n, min(n, 1))
+        if n:
+            assert r.mean == pytest.approx(total / n) and r.std_dev == pytest.approx(max(squares / n - (total / n) ** 2, 0) ** 0.5)
+        bins, codes = Counter(), Counter()
+        for x in mine if None not in cell else []:
+            if x[3] is not None:
+                bins[x[3]] += x[5]
+            if x[2] is not None:
+                codes[x[2]] += x[4]
+        assert r.mode == (min(codes, key=lambda c: (-codes[c], c)) if codes else None)
+        k = sum(bins.values())
+        assert r.entropy == (pytest.approx(max(np.log(k) - sum(v * np.log(v) for v in bins.values() if v) / k, 0)) if bins else None)
+
+
+def test_a_cover_moves_no_shape_that_nobody_reads(spark, capsys):
+    grid = GridSpec(0.0, 4.0, 1.0, 1.0, 4, 4)
+    spark.range(1, 6).select(
+        "id", F.expr(geo.box_polygon("id / 2D", "id / 3D", "id / 2D + 1", "id / 3D + 1")).alias("geometry")
+    ).write.parquet(path := fresh_path(spark, "shapes"))
+    covered = cover.cover_cells(spark.read.parquet(path), grid)
+    covered.select("id", "row", "col").explain("formatted")
+    moved = [line for line in capsys.readouterr().out.split("Exchange\n")[1:] if "RoundRobin" in line.split("\n\n")[0]]
+    assert len(moved) == 1 and "geometry" not in moved[0].split("\n")[0] and "_kind" in moved[0].split("\n")[0]
+    want = {(i, r, c) for i in range(1, 6) for r in range(4) for c in range(4)
+            if i / 2 <= c + 1 and i / 2 + 1 >= c and i / 3 <= 4 - r and i / 3 + 1 >= 3 - r}
+    assert {(x.id, x.row, x.col) for x in covered.collect()} == want
+    assert {x.geometry.type for x in covered.collect()} == {"Polygon"}
+
+
 # ---------------------------------------------------------------- tile to tile
 
 @pytest.mark.parametrize("method", ["nearest", "bilinear"])
