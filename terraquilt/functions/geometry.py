@@ -122,8 +122,7 @@ def vertices(parts: str) -> str:
 
 def envelope(geom: str) -> str:
     """Bounding box ``struct<xmin, ymin, xmax, ymax>``."""
-    xs = f"transform({vertices(f'{geom}.parts')}, p_ -> p_.x)"
-    ys = f"transform({vertices(f'{geom}.parts')}, p_ -> p_.y)"
+    xs, ys = (f"{vertices(f'{geom}.parts')}.{axis}" for axis in "xy")
     return (
         f"named_struct('xmin', array_min({xs}), 'ymin', array_min({ys}), "
         f"'xmax', array_max({xs}), 'ymax', array_max({ys}))"

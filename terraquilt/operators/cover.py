@@ -289,6 +289,8 @@ def envelope_join(
 
 #: Rows of either side that meet in one slot of a block, at most, and so what a worker holds of them.
 BLOCK_ROWS = 100_000
+#: Placed shapes of a file, at most: those of one input task are read again by many.
+FILE_ROWS = 50_000
 
 
 def _meet(
@@ -309,12 +311,15 @@ def _meet(
     own_ends = [f"own_{end}" for end in ENDS] if by else []
 
     def placed(k: int, side: str) -> DataFrame:
-        spread = sides[k].repartition(tasks, by[k]) if by else _spread(sides[k])
-        found = _leveled(once(spread, values[k]) if values[k] else spread, geometries[k], side, cell, by and by[k])
+        if by:
+            shapes = sides[k].repartition(tasks, by[k])
+        else:  # an envelope costs less than the move of a shape, values may not
+            shapes = _spread(sides[k]) if values[k] else sides[k]
+        found = _leveled(once(shapes, values[k]) if values[k] else shapes, geometries[k], side, cell, by and by[k])
         narrow = found.select(
             F.struct(*kept[k]).alias(f"_{side}"), *[f"_{side}{end}" for end in (*ENDS, *own_ends)], F.expr(f"(_{side}l + 1) div 2 * 2").cast("int").alias(f"_{side}l")
         )
-        return settled(narrow, "shapes")
+        return settled(narrow, "shapes", FILE_ROWS)
 
     a, b = placed(0, "l"), placed(1, "r")
     # a dozen numbers

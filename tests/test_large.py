@@ -421,6 +421,40 @@ def test_a_small_file_of_shapes_is_work_for_many_tasks(spark):
     assert len(tasks) >= 4 and max(tasks) <= sum(tasks) / 2
 
 
+def test_shapes_go_to_their_blocks_in_one_exchange(spark, monkeypatch):
+    """Placed shapes are written by the tasks that read them, and read again by many."""
+    placed, settled = [], cover.settled
+    monkeypatch.setattr(cover, "settled", lambda df, *more: placed.append((df, settled(df, *more))) or placed[-1][1])
+    monkeypatch.setattr(cover, "FILE_ROWS", 100)
+    shapes = squares(spark, 1000, "a", 0.01, "geometry").coalesce(1)
+    odd = "(-1L, NULL), (-2L, named_struct('type', 'Polygon', 'parts', array())), (-3L, {0}), (-3L, {0}), (NULL, {0})".format(
+        geo.box_polygon("0.5D", "0.5D", "0.6D", "0.6D"))
+    shapes = shapes.unionByName(spark.sql(f"SELECT * FROM VALUES {odd} AS t(a, geometry)").withColumn(
+        "geometry", F.col("geometry").cast(shapes.schema["geometry"].dataType)))
+    boxes = squares(spark, 300, "b", 0.05, "aoi")
+    found = cover.aoi_join(shapes, boxes, cell=0.05, columns=["a", "b"])
+    assert [df._jdf.queryExecution().executedPlan().toString().count("Exchange") for df, _ in placed] == [0, 0]
+    kept = placed[0][1]
+    assert kept.count() == 1003 and kept.select(F.input_file_name()).distinct().count() >= 10
+    ends = [f"{name}{end} AS {name[1]}{end}" for name in ("_l", "_r") for end in cover.ENDS]
+    l, r = (df.selectExpr(f"_{side}.*", *[e for e in ends if e.startswith(f"_{side}")]) for side, (df, _) in zip("lr", placed))
+    want = l.drop("geometry").join(r, F.expr("lxmin <= rxmax AND lxmax >= rxmin AND lymin <= rymax AND lymax >= rymin")).select("a", "b")
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, want.collect()))
+    assert sum(x.a == -3 for x in found.collect()) == 2 * sum(x.a is None for x in found.collect()) > 0
+
+
+def test_envelope_of_odd_shapes(spark):
+    """Vertices without a number, NaN, empty and missing parts, as by a function of each vertex."""
+    parts = [[[[(1.0, 2.0), (3.0, None), (None, -1.0)]], [[(-4.0, float("nan"))]]], [[[]]], [], None, [[[None, (1.0, 1.0)]]], [None]]
+    shapes = spark.createDataFrame([(i, ("Polygon", p)) for i, p in enumerate(parts)], f"id int, geometry {geo.GEOMETRY_DDL}")
+    each = "transform(flatten(flatten(geometry.parts)), p_ -> p_.{})"
+    want = [f"array_{end}({each.format(axis)}) AS {axis}{end}" for end in ("min", "max") for axis in "xy"]
+    found = shapes.select("id", F.expr(geo.envelope("geometry")).alias("e")).select("id", "e.*")
+    wanted = shapes.selectExpr("id", *want)
+    assert found.columns == wanted.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
 def test_shapes_of_all_kinds_meet_rectangles_as_by_brute_force(spark):
     rng = np.random.default_rng(3)
     rows = []
